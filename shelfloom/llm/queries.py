@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: One module of this subpackage for each operator; each has QUERIES and ORACLES.
-_MODULES = ["q_bpe", "q_url"]
+_MODULES = ["q_bpe", "q_url", "q_lang"]
 
 
 def _modules():
