@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 END = "</w>"
-#: Words and (state, token) arcs that a worker remembers; beyond it the memory starts anew.
-WORD_MEMORY, ARC_MEMORY = 1_000_000, 2_000_000
+#: Text chunks, words and (state, token) arcs that a worker remembers (about 150 MB).
+CHUNK_MEMORY, WORD_MEMORY, ARC_MEMORY = 300_000, 200_000, 400_000
 CONTROLS = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\s+")
 
@@ -236,11 +236,7 @@ class Tokenizer:
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.words = regex.compile(splits[0]["pattern"]["Regex"])
         self.bytes = byte_symbols()
-        size = max([*model["vocab"].values(), *special.values()]) + 1
-        self.labels = np.full(size, None, dtype=object)
-        for s, i in {**model["vocab"], **special}.items():
-            self.labels[i] = s
-        self.memory, self.chunks = Memory(WORD_MEMORY), Memory(WORD_MEMORY)
+        self.memory, self.chunks = Memory(WORD_MEMORY), Memory(CHUNK_MEMORY)
 
     def word(self, word: str) -> bytes:
         ids = self.memory.get(word)
@@ -277,12 +273,25 @@ class Tokenizer:
             return np.frombuffer(b"".join(parts), np.int32)
         return np.frombuffer(self._plain(text), np.int32)
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The arc labels, joined by one space: the vocabulary file names no decoder."""
-        return " ".join(self.labels[ids].tolist())
+
+def read_labels(path: str) -> np.ndarray:
+    """The arc label of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    found = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    out = np.full(max(found.values()) + 1, None, dtype=object)
+    for s, i in found.items():
+        out[i] = s
+    return out
+
+
+def emit(labels: np.ndarray, ids: np.ndarray) -> str:
+    """The arc labels, joined by one space: the vocabulary file names no decoder."""
+    return " ".join(labels[ids].tolist())
 
 
 _LOADED: dict[str, Tokenizer] = {}
+_LABELS: dict[str, np.ndarray] = {}
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -324,14 +333,16 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded
     at = df.schema.fieldNames().index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(vocabulary)
+        if vocabulary not in _LABELS:
+            _LABELS[vocabulary] = read_labels(vocabulary)
+        labels = _LABELS[vocabulary]
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
                 lists = part.column(at)
                 bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
-                texts = [t.decode(flat[bounds[i] : bounds[i + 1]]) for i in range(part.num_rows)]
+                texts = [emit(labels, flat[bounds[i] : bounds[i + 1]]) for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + [pa.array(texts, pa.string())], names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)
