@@ -12,10 +12,10 @@ differs from its parent by one missing arc, so 49k merges give 49k small records
 dense table of states times tokens.  Whether a state has an arc is read off the tree and kept in a
 transition table that fills as words are met.
 
-Encoding a pre-split word walks the table from left to right: each reached position follows the
-arcs that match the next symbols.  Each prefix of a word has one segmentation, so each position is
-reached by one arc, and the accepting path is read backwards.  Work is linear in the word's
-length.  Decoding emits the arc labels.
+Encoding a pre-split word walks the table from left to right: a reached position follows the arcs
+that match the next symbols, the longest first.  Each prefix of a word has one segmentation, so a
+position is entered at most once, by one arc, and the accepting path is read backwards.  Work is
+linear in the word's length.  Decoding emits the arc labels.
 
 Cases: null text encodes as the empty text (no ids); null ids decode to the empty string; an id
 outside the vocabulary is an error; very long words are handled in linear time; rows are
@@ -168,29 +168,35 @@ class Automaton:
         return True
 
     def segment(self, symbols: list[str]) -> list[int]:
+        """The labels of the accepting path, longest arcs tried first.
+
+        A prefix has one segmentation, so a position is entered at most once, by its own arc.
+        """
         n, spellings, arcs, size = len(symbols), self.spellings, self.arcs, self.size
-        by = [-1] * (n + 1)
-        start = [-1] * (n + 1)
-        start[0] = 0
-        for i in range(n):
-            if start[i] < 0:
-                raise ValueError(f"no arc for {symbols[i - 1]!r}")
-            node, j, before = spellings, i, by[i]
+        by, start = [-1] * (n + 1), [-1] * (n + 1)
+        steps = [(0, -1, 0)]
+        while start[n] < 0 and steps:
+            i, token, origin = steps.pop()
+            if i:
+                if start[i] >= 0:
+                    continue
+                before = by[origin]
+                if before >= 0:
+                    ok = arcs.get(before * size + token)
+                    if not (self.has_arc(before, token) if ok is None else ok):
+                        continue
+                by[i], start[i] = token, origin
+            node, j = spellings, i
             while j < n:
                 node = node.get(symbols[j])
                 if node is None:
                     break
                 j += 1
-                if start[j] < 0:
-                    token = node.get(None)
-                    if token is not None:
-                        ok = arcs.get(before * size + token) if before >= 0 else True
-                        if ok is None:
-                            ok = self.has_arc(before, token)
-                        if ok:
-                            by[j], start[j] = token, i
+                token = node.get(None)
+                if token is not None:
+                    steps.append((j, token, i))
         if n and start[n] < 0:
-            raise ValueError(f"no arc for {symbols[n - 1]!r}")
+            raise ValueError(f"no path for {''.join(symbols)!r}")
         out, j = [], n
         while j:
             out.append(by[j])
