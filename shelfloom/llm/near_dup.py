@@ -23,7 +23,8 @@ meet a hot node's other members except in the pairs that are checked.  Joins on
 shuffles on both sides, which adaptive execution splits.
 
 Cases: null or blank text has the empty set, links with nothing and is its own component; texts
-shorter than a shingle are one shingle; repeated doc_ids are one vertex; equal similarity to the
+shorter than a shingle are one shingle; repeated doc_ids are one vertex; a row without doc_id takes its
+class's component and is kept only if no row of the class has an id; equal similarity to the
 threshold links; empty tables give empty results.
 """
 
@@ -263,4 +264,4 @@ def near_duplicates(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     low = materialize(groups.select("set_key", "id").join(merged, F.col("id") == F.col("node"), "left").select("set_key", F.coalesce("component", "id").alias("low")), "nd-low")
     out = profiles.select("doc_id", "n_shingles", "set_key").join(low, "set_key", "left")
     component = F.coalesce("low", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfloom.llm.common import materialize
 
@@ -117,7 +118,7 @@ def observe(docs: DataFrame, buckets: np.ndarray, lexicons: list[np.ndarray]) ->
     voter = {int(t): i + len(PATTERNS) for i, x in enumerate(lexicons) for t in x}
     position = {int(b): i for i, b in enumerate(buckets)}
     model = docs.sparkSession.sparkContext.broadcast((position, voter))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "votes long, terms binary"])
+    schema = T.StructType([*kept, T.StructField("votes", T.LongType()), T.StructField("terms", T.BinaryType())])
     source = docs.select(*[f.name for f in kept], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +150,7 @@ def observe(docs: DataFrame, buckets: np.ndarray, lexicons: list[np.ndarray]) ->
                         bits |= 1 << v
                 votes[k] = bits
                 terms.append(np.array(sorted(found), np.uint16).tobytes())
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(kept))], pa.array(votes), pa.array(terms, pa.binary())], names=[*[f.name for f in kept], "votes", "terms"])
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(kept))], pa.array(votes), pa.array(terms, pa.binary())], names=schema.fieldNames())
 
     return source.mapInArrow(run, schema)
 
@@ -171,7 +172,7 @@ class LabelModel:
         return np.log(self.share / (1 - self.share)) + bits @ (on - off) + off.sum()
 
     def posterior(self, bits: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.log_odds(bits), -40, 40)))
+        return _sigmoid(self.log_odds(bits))
 
 
 def _sums(patterns_: DataFrame, n: int, f) -> np.ndarray:
@@ -246,7 +247,7 @@ def fit_classifier(terms: list[np.ndarray], target: np.ndarray, size: int, l2: f
     step_b = 1 / (0.25 * n + 1e-9)
     for k in range(rounds):
         z = mb + np.bincount(rows, weights=mw[cols], minlength=n)
-        error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - target
+        error = _sigmoid(z) - target
         gw = np.bincount(cols, weights=error[rows], minlength=size) + l2 * mw
         nw, nb = mw - step_w * gw, mb - step_b * error.sum()
         mw, mb = nw + k / (k + 3) * (nw - w), nb + k / (k + 3) * (nb - b)
@@ -254,23 +255,33 @@ def fit_classifier(terms: list[np.ndarray], target: np.ndarray, size: int, l2: f
     return w, float(b)
 
 
-def score(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """docs: (kept columns, doc_id, text); labelled: (doc_id, toxic), the rows that may be learned from.
+class Model:
+    """What scoring needs: the selected terms' buckets and weights, and the bias."""
+
+    def __init__(self, buckets: np.ndarray, weights: np.ndarray, bias: float):
+        self.weight = {int(b): float(w) for b, w in zip(buckets, weights, strict=True)}
+        self.bias = bias
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def fit(docs: DataFrame, labelled: DataFrame) -> tuple[Model, DataFrame | None]:
+    """(model, observations): docs (doc_id, text and others), labelled (doc_id, toxic).
 
-    Returns docs without the text, with score and predicted.
+    The observations have all columns of docs but the text, with votes and terms; none if the sample
+    lacks a class.
     """
-    spark = docs.sparkSession
-    docs = docs.select(*[c for c in docs.columns if c not in ("score", "predicted", "votes", "terms")])
     picked = materialize(
         labelled.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS),
         "tox-picked",
     )
     sample = docs.select("doc_id", "text").join(picked, "doc_id").coalesce(8)
     neg, pos, n_neg, n_pos = _term_counts(sample)
-    kept = [c for c in docs.columns if c != "text"]
     if not n_neg or not n_pos:
         flat = (n_pos + 1) / (n_neg + n_pos + 2)
-        return docs.select(*kept, F.lit(flat).alias("score"), F.lit(int(flat >= 0.5)).alias("predicted"))
+        return Model(np.empty(0), np.empty(0), float(np.log(flat / (1 - flat)))), None
     buckets, lexicons = select_terms(neg, pos, n_neg, n_pos)
     n = len(PATTERNS) + len(lexicons)
     seen = materialize(observe(docs, buckets, lexicons), "tox-seen")
@@ -280,15 +291,57 @@ def score(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     votes, y = rows["votes"].to_numpy(np.int64), rows["toxic"].to_numpy(np.int64)
     model = fit_label_model(counts, votes, y, n)
     given = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * (2 * y - 1)
-    target = 1 / (1 + np.exp(-np.clip(model.log_odds(_bits(votes, n)) + given, -40, 40)))
-    w, b = fit_classifier(terms, target, len(buckets))
-    linear = spark.sparkContext.broadcast((w, b))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept), "score double"])
+    w, b = fit_classifier(terms, _sigmoid(model.log_odds(_bits(votes, n)) + given), len(buckets))
+    return Model(buckets, w, b), seen
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with score and predicted, from the texts (column ``text``)."""
+    docs = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, bias = shared.value.weight, shared.value.bias
+        memory: dict[str, tuple] = {}
+        for b in batches:
+            z = []
+            for text in b.column(at).to_pylist():
+                found: set[int] = set()
+                for w in words(text):
+                    codes = memory.get(w)
+                    if codes is None:
+                        codes = tuple(c for c in term_codes(w) if c in weight)
+                        if len(memory) >= WORD_MEMORY:
+                            memory.clear()
+                        if len(w) <= 64:
+                            memory[w] = codes
+                    if codes:
+                        found.update(codes)
+                z.append(bias + sum(weight[c] for c in sorted(found)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_sigmoid(np.array(z, np.float64)))], names=schema.fieldNames())
+
+    return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def score(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and others) without the text, with score and predicted.
+
+    The terms seen while the label model counted its votes are used, so texts are read once.
+    """
+    docs = docs.select(*[c for c in docs.columns if c not in ("score", "predicted", "votes", "terms")])
+    model, seen = fit(docs, labelled)
+    if seen is None:
+        return predict(docs, model).drop("text")
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+    linear = docs.sparkSession.sparkContext.broadcast((np.array(list(model.weight.values())), model.bias))
+    schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b = linear.value
-        for part in batches:
-            z = np.array([b + w[np.frombuffer(t, np.uint16)].sum() for t in part.column(len(kept)).to_pylist()], np.float64)
-            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=[*kept, "score"])
+        w, bias = linear.value
+        for b in batches:
+            z = np.array([bias + w[np.frombuffer(t, np.uint16)].sum() for t in b.column(len(kept)).to_pylist()], np.float64)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(_sigmoid(z))], names=schema.fieldNames())
 
-    return seen.select(*kept, "terms").mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return seen.select(*[f.name for f in kept], "terms").mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
