@@ -95,62 +95,87 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 def minwise(s: np.ndarray) -> np.ndarray:
-    """COORDS minwise tokens of a set, 16 bits each."""
+    """COORDS minwise tokens of a set, 64 bits each."""
     out = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(s), 2048):
         part = s[i : i + 2048]
         out = np.minimum(out, (part[None, :] * _MULT[:, None] + _ADD[:, None]).min(axis=1))
-    return (_mix(out) & np.uint64(0xFFFF)).astype(np.uint16)
+    return _mix(out)
 
 
-def profile(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sketch): set_key is null for the empty set."""
+def _coordinates(node: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The coordinates that nodes branch by: (positions of nodes, coordinate), 4/3 for each on average."""
+    draw = _mix(node ^ np.uint64(0x5851F42D4C957F2D))
+    first = (draw >> np.uint64(8)) % np.uint64(COORDS)
+    both = np.flatnonzero(draw % np.uint64(3) == 0)
+    # A second coordinate differs from the first.
+    second = (first[both] + np.uint64(1) + (draw[both] >> np.uint64(24)) % np.uint64(COORDS - 1)) % np.uint64(COORDS)
+    return [(np.arange(len(node)), first), (both, second)]
+
+
+def _child(node: np.ndarray, coordinate: np.ndarray, token: np.ndarray) -> np.ndarray:
+    return _mix(_mix(node * np.uint64(0x9E3779B97F4A7C15) ^ coordinate) ^ token)
+
+
+def roots(tokens: np.ndarray, trees: int) -> np.ndarray:
+    """The nodes of the first level of all trees, from one document's full tokens."""
+    node = _mix(np.arange(1, trees + 1, dtype=np.uint64))
+    return np.concatenate([_child(node[at], c, tokens[c.astype(np.int64)]) for at, c in _coordinates(node)])
+
+
+def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(doc_id, n_shingles, set_key, sketch, roots): all but the first two are null for the empty set.
+
+    The sketch keeps 16 bits of each token, enough below the first level, where nodes are small.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, keys, sketches = [], [], []
+            sizes, keys, sketches, first = [], [], [], []
             for text in b.column(1).to_pylist():
-                s = shingles(text, n)
+                s = shingles(text, spec.words)
                 sizes.append(len(s))
-                keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                sketches.append(minwise(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "set_key", "sketch"])
+                if len(s):
+                    tokens = minwise(s)
+                    keys.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    sketches.append((tokens & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
+                    first.append(roots(tokens, spec.trees).tobytes())
+                else:
+                    for x in (keys, sketches, first):
+                        x.append(None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), *[pa.array(x, pa.binary()) for x in (keys, sketches, first)]], names=["doc_id", "n_shingles", "set_key", "sketch", "roots"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary, roots binary")
 
 
-def _branch(nodes: DataFrame, trees: int) -> DataFrame:
-    """(node, id, sketch) or, at the root, (id, sketch) -> (node, id, sketch) one level down."""
-    root = "node" not in nodes.columns
+def _first_level(classes: DataFrame) -> DataFrame:
+    """(id, roots) -> (node, id)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                node = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
+                ids = np.repeat(b.column(0).to_numpy(), len(node) // b.num_rows)
+                for lo in range(0, len(node), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + 50_000]), pa.array(ids[lo : lo + 50_000])], names=["node", "id"])
+
+    return classes.select("id", "roots").mapInArrow(run, "node long, id long")
+
+
+def _branch(nodes: DataFrame) -> DataFrame:
+    """(node, id, sketch) -> (node, id), one level down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            tokens = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDS)
-            ids = b.column("id").to_numpy()
-            rows = np.arange(len(ids))
-            if root:
-                node = np.tile(_mix(np.arange(1, trees + 1, dtype=np.uint64)), len(ids))
-                rows = np.repeat(rows, trees)
-            else:
-                node = b.column("node").to_numpy().view(np.uint64)
-            draw = _mix(node ^ np.uint64(0x5851F42D4C957F2D))
-            second = draw % np.uint64(3) == 0  # 4/3 coordinates on average
-            for extra in (False, True):
-                use = second if extra else slice(None)
-                nd, rw = node[use], rows[use]
-                # The second coordinate differs from the first.
-                c = (draw[use] >> np.uint64(8)) % np.uint64(COORDS)
-                if extra:
-                    c = (c + np.uint64(1) + (draw[use] >> np.uint64(24)) % np.uint64(COORDS - 1)) % np.uint64(COORDS)
-                value = tokens[rw, c.astype(np.int64)].astype(np.uint64)
-                child = _mix(nd * np.uint64(0x9E3779B97F4A7C15) ^ (c << np.uint64(16)) ^ value).view(np.int64)
-                for lo in range(0, len(child), 50_000):
-                    at = rw[lo : lo + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(child[lo : lo + 50_000]), pa.array(ids[at])], names=["node", "id"])
-
-    return nodes.mapInArrow(run, "node long, id long")
+            tokens = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint16).reshape(-1, COORDS)
+            node, ids = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
+            for at, c in _coordinates(node):
+                child = _child(node[at], c, tokens[at, c.astype(np.int64)].astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(ids[at])], names=["node", "id"])
+
+    return nodes.select("node", "id", "sketch").mapInArrow(run, "node long, id long")
 
 
 def _far(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
@@ -195,13 +220,13 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def similar(classes: DataFrame, sets_of, spec: JoinSpec) -> DataFrame | None:
-    """Links (a, b) between classes (id, sketch) that join all that the threshold joins.
+    """Links (a, b) between classes (id, sketch, roots) that join all that the threshold joins.
 
     sets_of(ids) gives (id, s) for a table of ids; it is asked once, for classes that share a node.
     """
-    nodes, links, sets, tested = classes, [], None, None
+    nodes, links, sets, tested = None, [], None, None
     for level in range(1, spec.levels + 1):
-        nodes = materialize(_branch(nodes, spec.trees), "nd-nodes")
+        nodes = materialize(_first_level(classes) if level == 1 else _branch(nodes), "nd-nodes")
         counts = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
         counts = materialize(counts, "nd-counts")
         members = materialize(nodes.join(counts, "node").select("node", "id", "n", "first"), "nd-members")
@@ -232,7 +257,7 @@ def similar(classes: DataFrame, sets_of, spec: JoinSpec) -> DataFrame | None:
         open_ = lone.where(F.col("n") > spec.small).select("node").distinct()
         if last or open_.isEmpty():
             break
-        nodes = materialize(members.join(open_, "node", "left_semi").select("node", "id").join(classes, "id").select("node", "id", "sketch"), "nd-open")
+        nodes = materialize(members.join(open_, "node", "left_semi").select("node", "id").join(classes.select("id", "sketch"), "id").select("node", "id", "sketch"), "nd-open")
     if not links:
         return None
     out = links[0]
@@ -244,10 +269,10 @@ def similar(classes: DataFrame, sets_of, spec: JoinSpec) -> DataFrame | None:
 def near_duplicates(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = materialize(profile(docs, spec.words), "nd-profiles")
-    groups = profiles.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"))
+    profiles = materialize(profile(docs, spec), "nd-profiles")
+    groups = profiles.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"), F.min("roots").alias("roots"))
     groups = materialize(groups, "nd-classes")
-    classes = groups.select("id", "sketch").where("id is not null")
+    classes = groups.select("id", "sketch", "roots").where("id is not null")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
