@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_MODULES: list[str] = []
+_MODULES = ["q_core"]
 
 
 def _modules():
