@@ -42,3 +42,49 @@ def components(edges: DataFrame) -> DataFrame:
         later = out.select(F.col("node").alias("low"), F.col("low").alias("lower"))
         out = materialize(earlier.join(later, "low", "left").select("node", F.coalesce("lower", "low").alias("low")), "cc-out")
     return out.withColumnRenamed("low", "component")
+
+
+def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None = None, tested: DataFrame | None = None, rounds: int = 3, small: int | None = None):
+    """Links inside buckets, as far as they join components; no pair of a group is made that need not be.
+
+    members: (bucket, id), distinct.  verify(pairs (a, b)) gives the pairs that link, a < b.
+
+    In each round every bucket that still holds several components picks a member by hash, which is
+    compared with the members of other components; then components are taken anew.  In a group of
+    copies nearly all join in the first rounds, whatever its size.  At the end the members outside a
+    bucket's largest component are compared with all members of other components, so every pair that
+    could still join two components has been compared.  If ``small`` is given, buckets with more
+    members than that are left open instead.
+
+    Returns (links, tested, (bucket, id) of buckets left open or None).
+    """
+    empty = members.sparkSession.createDataFrame([], "a long, b long")
+    links, tested = links if links is not None else empty, tested if tested is not None else empty
+    for k in range(rounds + 1):
+        if k == 0 and links is empty:
+            labelled = members.select("bucket", "id", F.col("id").alias("label"))
+        else:
+            found = materialize(components(links), f"{tag}-components").withColumnRenamed("node", "id")
+            labelled = members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("label"))
+        spread = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+        spread = materialize(spread.select("bucket", "n"), f"{tag}-open")
+        here = materialize(labelled.join(spread, "bucket"), f"{tag}-here")
+        if here.isEmpty():
+            return links, tested, None
+        if k < rounds:
+            pick = here.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "label")).alias("p"))
+            pick = materialize(pick.select("bucket", F.col("p.id").alias("other"), F.col("p.label").alias("other_label")), f"{tag}-pick")
+            pairs = here.join(pick, "bucket").where("label != other_label")
+        else:
+            closing = here if small is None else here.where(F.col("n") <= small)
+            sizes = closing.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+            largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("m")).select("bucket", F.col("m.label").alias("largest"))
+            outside = closing.join(materialize(largest, f"{tag}-largest"), "bucket").where("label != largest").select("bucket", "id", "label")
+            other = closing.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
+            pairs = materialize(outside, f"{tag}-outside").join(other, "bucket").where("label != other_label")
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), f"{tag}-pairs")
+        tested = pairs if tested is empty else tested.unionByName(pairs)
+        good = materialize(verify(pairs), f"{tag}-links")
+        links = good if links is empty else links.unionByName(good)
+    return links, tested, here.where(F.col("n") > small).select("bucket", "id") if small is not None else None
