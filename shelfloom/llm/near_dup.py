@@ -7,11 +7,11 @@ class at once; classes are joined on similarity:
   all classes) picks one or two of these coordinates, 1/threshold on average, by a hash of the node
   alone, and branches its documents by their tokens there.  Two documents of similarity ``threshold``
   share one child on average, dissimilar ones share fewer at each level.
-* A node's documents are compared with its smallest one, exactly, on full sets.  If all link, the node
-  is done: whatever else links inside adds nothing to the components.
-* Else, a node of at most ``small`` documents is compared exhaustively: every document that did not
-  link with the smallest against all others.  Larger nodes branch again; at the last level what is
-  left is compared exhaustively as well, so nothing is capped.
+* A node's documents are compared exactly, on full sets, as far as they can still join components
+  (``components.link_buckets``): first with a few picked members, which settles groups of copies of
+  any size; then a node of at most ``small`` documents is compared exhaustively across components.
+  Larger nodes that still hold several components branch again; at the last level what is left is
+  compared exhaustively as well, so nothing is capped.
 * Before the exact check, sketches of the minwise tokens drop pairs that are far off (estimates six
   standard deviations under the threshold).
 
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import materialize
-from shelfloom.llm.components import components
+from shelfloom.llm.components import components, link_buckets
 
 COORDS = 96
 _SEEDS = np.random.default_rng(7_103)
@@ -224,46 +224,22 @@ def similar(classes: DataFrame, sets_of, spec: JoinSpec) -> DataFrame | None:
 
     sets_of(ids) gives (id, s) for a table of ids; it is asked once, for classes that share a node.
     """
-    nodes, links, sets, tested = None, [], None, None
+    nodes, links, sets, tested = None, None, None, None
     for level in range(1, spec.levels + 1):
         nodes = materialize(_first_level(classes) if level == 1 else _branch(nodes), "nd-nodes")
-        counts = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
-        counts = materialize(counts, "nd-counts")
-        members = materialize(nodes.join(counts, "node").select("node", "id", "n", "first"), "nd-members")
+        counts = materialize(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "nd-counts")
+        members = materialize(nodes.join(counts, "node").select(F.col("node").alias("bucket"), "id").distinct(), "nd-members")
         if members.isEmpty():
             break
-        star = members.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-        if tested is not None:
-            star = star.join(tested, ["a", "b"], "left_anti")
-        star = materialize(_far(star, classes, spec.threshold), "nd-star")
         if sets is None:
             sets = materialize(sets_of(members.select("id").distinct()), "nd-sets")
-        good = materialize(linked(star, sets, spec.threshold), "nd-links")
-        links.append(good)
-        tested = star if tested is None else tested.unionByName(star)
-        # Members that do not link with their node's smallest one.
-        known = links[0]
-        for more in links[1:]:
-            known = known.unionByName(more)
-        lone = members.where("id != first").join(known.select(F.col("a").alias("first"), F.col("b").alias("id"), F.lit(True).alias("ok")), ["first", "id"], "left").where("ok is null")
-        lone = materialize(lone.select("node", "id", "n"), "nd-lone")
-        last = level == spec.levels
-        now = lone if last else lone.where(F.col("n") <= spec.small)
-        other = members.select("node", F.col("id").alias("other"), "first").where("other != first")
-        pairs = now.join(other, "node").where("id != other").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(_far(pairs, classes, spec.threshold), "nd-pairs")
-        links.append(materialize(linked(pairs, sets, spec.threshold), "nd-links"))
-        tested = tested.unionByName(pairs)
-        open_ = lone.where(F.col("n") > spec.small).select("node").distinct()
-        if last or open_.isEmpty():
+        verify = lambda pairs: linked(materialize(_far(pairs, classes, spec.threshold), "nd-near"), sets, spec.threshold)  # noqa: E731, B023
+        small = None if level == spec.levels else spec.small
+        links, tested, left = link_buckets(members, verify, "nd", links, tested, small=small)
+        if left is None or left.isEmpty():
             break
-        nodes = materialize(members.join(open_, "node", "left_semi").select("node", "id").join(classes.select("id", "sketch"), "id").select("node", "id", "sketch"), "nd-open")
-    if not links:
-        return None
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+        nodes = materialize(left.withColumnRenamed("bucket", "node").join(classes.select("id", "sketch"), "id").select("node", "id", "sketch"), "nd-left")
+    return links
 
 
 def near_duplicates(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
