@@ -236,8 +236,9 @@ def backtest_kpis(rows: DataFrame, demand: str, by: str = "strategy") -> DataFra
 def policies(df: DataFrame, keys: list[str], time: str, demand: str) -> DataFrame:
     """The orders of both policies: a 7-day mean of demand, or the median forecast."""
     w = Window.partitionBy(*keys).orderBy(time).rowsBetween(-6, 0)
-    both = F.array(F.struct(F.lit("baseline").alias("strategy"), F.avg(demand).over(w).alias("order_quantity")), F.struct(F.lit("forecast").alias("strategy"), F.col("forecast_q50").alias("order_quantity")))
-    return df.select("*", F.explode(both).alias("__p")).select("*", "__p.strategy", "__p.order_quantity").drop("__p")
+    df = df.withColumn("__mean", F.avg(demand).over(w))
+    both = F.array(*[F.struct(F.lit(n).alias("strategy"), F.col(c).cast("double").alias("order_quantity")) for n, c in (("baseline", "__mean"), ("forecast", "forecast_q50"))])
+    return df.select("*", F.explode(both).alias("__p")).select("*", "__p.strategy", "__p.order_quantity").drop("__p", "__mean")
 
 
 def backtest_compare(df: DataFrame, keys: list[str], time: str, demand: str, c: LedgerConfig = LedgerConfig()) -> DataFrame:

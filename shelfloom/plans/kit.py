@@ -41,7 +41,7 @@ def out(df: DataFrame, keep: list[str], rounded: dict[str, int] | None = None) -
 
 def R(x: str, digits: int) -> str:
     """DuckDB: rounded, with one zero only."""
-    return f"(round({x}, {digits}) + 0.0)"
+    return f"(round(CAST({x} AS DOUBLE), {digits}) + 0.0)"
 
 
 def TS(c: str = "hour_timestamp") -> str:
