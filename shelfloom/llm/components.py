@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
     rounds = []
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low")).select(F.col("a").alias("node"), "low"), "cc-low")
+        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low")).select(F.col("a").alias("node"), "low")
         up = low.select(F.col("node").alias("low"), F.col("low").alias("lower"))
         point = materialize(low.join(up, "low").select("node", F.col("lower").alias("low")), "cc-point")
         rounds.append(point)
@@ -44,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
     return out.withColumnRenamed("low", "component")
 
 
-def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None = None, tested: DataFrame | None = None, rounds: int = 3, small: int | None = None):
+def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None = None, tested: DataFrame | None = None, rounds: int = 2, small: int | None = None):
     """Links inside buckets, as far as they join components; no pair of a group is made that need not be.
 
     members: (bucket, id), distinct.  verify(pairs (a, b)) gives the pairs that link, a < b.
@@ -67,21 +67,20 @@ def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None =
             found = materialize(components(links), f"{tag}-components").withColumnRenamed("node", "id")
             labelled = members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("label"))
         spread = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-        spread = materialize(spread.select("bucket", "n"), f"{tag}-open")
-        here = materialize(labelled.join(spread, "bucket"), f"{tag}-here")
+        here = materialize(labelled.join(spread.select("bucket", "n"), "bucket"), f"{tag}-here")
         if here.isEmpty():
             return links, tested, None
         if k < rounds:
             pick = here.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "label")).alias("p"))
-            pick = materialize(pick.select("bucket", F.col("p.id").alias("other"), F.col("p.label").alias("other_label")), f"{tag}-pick")
+            pick = pick.select("bucket", F.col("p.id").alias("other"), F.col("p.label").alias("other_label"))
             pairs = here.join(pick, "bucket").where("label != other_label")
         else:
             closing = here if small is None else here.where(F.col("n") <= small)
             sizes = closing.groupBy("bucket", "label").agg(F.count("*").alias("c"))
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("m")).select("bucket", F.col("m.label").alias("largest"))
-            outside = closing.join(materialize(largest, f"{tag}-largest"), "bucket").where("label != largest").select("bucket", "id", "label")
+            outside = closing.join(largest, "bucket").where("label != largest").select("bucket", "id", "label")
             other = closing.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
-            pairs = materialize(outside, f"{tag}-outside").join(other, "bucket").where("label != other_label")
+            pairs = outside.join(other, "bucket").where("label != other_label")
         pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), f"{tag}-pairs")
         tested = pairs if tested is empty else tested.unionByName(pairs)
