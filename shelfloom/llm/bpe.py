@@ -81,15 +81,21 @@ class Automaton:
         self._number(parent)
         self.arcs: dict[int, bool] = {}
         self.size = n
+        self.starts: dict[int, list] = {}
+        self.tails: dict[int, list] = {}
+        # A gadget that finds no v arc after u adds no arc: its token never occurs.
+        dead: set[int] = set()
+        for (u, v), rank in self.gadget.items():
+            if u in dead or v in dead or not self._arc_from(self.first[parent[rank + 1]], u, v):
+                dead.add(vocab[merges[rank][0] + merges[rank][1]])
         # The spellings of all tokens, as one tree over base symbols; a node's token is at key None.
         self.spellings: dict = {}
         for s, i in vocab.items():
-            node = self.spellings
-            for c in self.spell(s):
-                node = node.setdefault(c, {})
-            node[None] = i
-        self.starts: dict[int, list] = {}
-        self.tails: dict[int, list] = {}
+            if i not in dead:
+                node = self.spellings
+                for c in self.spell(s):
+                    node = node.setdefault(c, {})
+                node[None] = i
 
     @staticmethod
     def spell(token: str) -> list[str]:
@@ -158,7 +164,11 @@ class Automaton:
         return found
 
     def _arc(self, before: int, token: int) -> bool:
-        at, gadget, first = self.first[self.target.get(before, 0)], self.gadget, self.first
+        return self._arc_from(self.first[self.target.get(before, 0)], before, token)
+
+    def _arc_from(self, at: int, before: int, token: int) -> bool:
+        """at: the pre-order number of the state, which arcs ``before`` lead to or once led to."""
+        gadget, first = self.gadget, self.first
         starts = self._starts(token)
         for y in self._tails(before):
             for z, newer in starts:
