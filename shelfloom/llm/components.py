@@ -44,16 +44,30 @@ def components(edges: DataFrame) -> DataFrame:
     return out.withColumnRenamed("low", "component")
 
 
+def near_labels(links: DataFrame, hops: int = 3) -> DataFrame:
+    """(id, label) of every linked vertex: the least vertex within a few links.
+
+    Equal labels are proof of one component, different ones are not proof of two: enough to leave out
+    comparisons, at a fixed number of shuffles.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    label = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
+    for _ in range(hops - 1):
+        there = label.select(F.col("a").alias("b"), "label")
+        label = both.join(there, "b").groupBy("a").agg(F.least(F.col("a"), F.min("label")).alias("label"))
+    return label.select(F.col("a").alias("id"), "label")
+
+
 def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None = None, tested: DataFrame | None = None, rounds: int = 2, small: int | None = None):
     """Links inside buckets, as far as they join components; no pair of a group is made that need not be.
 
     members: (bucket, id), distinct.  verify(pairs (a, b)) gives the pairs that link, a < b.
 
-    In each round every bucket that still holds several components picks a member by hash, which is
-    compared with the members of other components; then components are taken anew.  In a group of
+    In each round every bucket that still holds several labels picks a member by hash, which is compared
+    with the members of other labels; then labels are taken anew (``near_labels``).  In a group of
     copies nearly all join in the first rounds, whatever its size.  At the end the members outside a
-    bucket's largest component are compared with all members of other components, so every pair that
-    could still join two components has been compared.  If ``small`` is given, buckets with more
+    bucket's largest label are compared with all members of other labels, so every pair that could
+    still join two components has been compared.  If ``small`` is given, buckets with more
     members than that are left open instead.
 
     Returns (links, tested, (bucket, id) of buckets left open or None).
@@ -64,8 +78,8 @@ def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None =
         if k == 0 and links is empty:
             labelled = members.select("bucket", "id", F.col("id").alias("label"))
         else:
-            found = materialize(components(links), f"{tag}-components").withColumnRenamed("node", "id")
-            labelled = members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("label"))
+            found = materialize(near_labels(links), f"{tag}-labels")
+            labelled = members.join(found, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
         spread = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi")
         here = materialize(labelled.join(spread.select("bucket", "n"), "bucket"), f"{tag}-here")
         if here.isEmpty():
