@@ -36,9 +36,9 @@ B.add(
 def _unpack(hourly):
     from shelfloom.sources.tables import unpack_hours
 
-    days = hourly.groupBy("product_id", "store_id", F.to_date("hour_timestamp").alias("dt")).agg(F.sort_array(F.collect_list(F.struct("hour_timestamp", "sales_quantity"))).alias("a"))
-    days = days.select("product_id", "store_id", "dt", F.transform("a", lambda x: x["sales_quantity"]).alias("hours_sale"))
-    return out(unpack_hours(days), [*HCELL, "sales_quantity"])
+    days = hourly.groupBy("product_id", "store_id", F.to_date("hour_timestamp").alias("dt")).agg(F.map_from_entries(F.collect_list(F.struct(F.hour("hour_timestamp"), "sales_quantity"))).alias("m"))
+    days = days.select("product_id", "store_id", "dt", F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.try_element_at("m", h)).alias("hours_sale"))
+    return out(unpack_hours(days).where("sales_quantity is not null"), [*HCELL, "sales_quantity"])
 
 
 B.add("metrics_json", lambda s, d: tb.product(s, d).select(as_json("product_id", "department").alias("line")), """SELECT '{"product_id":"' || product_id || '","department":"' || department || '"}' AS line FROM v_product""")
@@ -83,7 +83,7 @@ B.add("sample_n", lambda s, d: clean.sample_n(scan_table(s, d, "events").select(
 B.add(
     "stratified_sample",
     lambda s, d: clean.stratified_sample(tb.events(s, d).select("event_id", F.hour("ts").alias("hour")), F.col("hour"), 20, ["event_id"], (F.col("event_id") * 7919) % 1009),
-    "SELECT event_id, hour FROM (SELECT event_id, hour(ts) AS hour, row_number() OVER (PARTITION BY hour(ts) ORDER BY (event_id * 7919) % 1009, event_id) AS k FROM events) WHERE k <= 20",
+    "SELECT event_id, hour FROM (SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, row_number() OVER (PARTITION BY hour(ts) ORDER BY (event_id * 7919) % 1009, event_id) AS k FROM events) WHERE k <= 20",
 )
 B.add(
     "time_split",

@@ -55,7 +55,7 @@ B.add("demand_stats", lambda s, d: out(inventory.demand_stats(tb.hourly(s, d), K
 B.add(
     "forecast_risk",
     lambda s, d: out(inventory.forecast_risk(tb.predictions(s, d), F.lit(0.5)), ["product_id", "overstock_risk_pct"], {"stockout_risk_pct": 6}),
-    f"SELECT product_id, CASE WHEN m > 0 THEN CASE WHEN r < 3 THEN 5.0 WHEN r < 4 THEN 15.0 WHEN r < 6 THEN 30.0 WHEN r < 8 THEN 60.0 ELSE 80.0 END ELSE 0.0 END AS overstock_risk_pct, {R(f'CASE WHEN m > 0 AND sd > 0 THEN greatest(0, least(95, (1 - {norm_cdf_sql(chr(40) + chr(40) + "st - m * 2) / (sd * 1.4142135623730951))")}) * 100)) ELSE 0 END', 6)} AS stockout_risk_pct FROM (SELECT *, st / nullif(m, 0) AS r FROM (SELECT product_id, avg(forecast_q50) AS m, stddev_samp(forecast_q50) AS sd, avg(forecast_q50) * greatest(1, 2.2 + 0.6 * 0.5) + avg(forecast_q50) * 0.3 AS st FROM v_predictions GROUP BY 1))",
+    f"SELECT product_id, CAST(CASE WHEN m > 0 THEN CASE WHEN r < 3 THEN 5 WHEN r < 4 THEN 15 WHEN r < 6 THEN 30 WHEN r < 8 THEN 60 ELSE 80 END ELSE 0 END AS DOUBLE) AS overstock_risk_pct, {R(f'CASE WHEN m > 0 AND sd > 0 THEN greatest(0, least(95, (1 - {norm_cdf_sql(chr(40) + chr(40) + "st - m * 2) / (sd * 1.4142135623730951))")}) * 100)) ELSE 0 END', 6)} AS stockout_risk_pct FROM (SELECT *, st / nullif(m, 0) AS r FROM (SELECT product_id, avg(forecast_q50) AS m, stddev_samp(forecast_q50) AS sd, avg(forecast_q50) * greatest(1, 2.2 + 0.6 * 0.5) + avg(forecast_q50) * 0.3 AS st FROM v_predictions GROUP BY 1))",
 )
 B.add("inventory_snapshot", lambda s, d: out(inventory.inventory_snapshot(tb.hourly(s, d), F.lit(0.5)), [*K, "current_inventory"], {"inventory_ratio": 6}), f"SELECT product_id, store_id, CAST(floor(m * 2.25) AS BIGINT) AS current_inventory, {R('floor(m * 2.25) / m', 6)} AS inventory_ratio FROM (SELECT product_id, store_id, avg(sales_quantity) AS m FROM v_hourly GROUP BY ALL)")
 B.add("priority_reorders", lambda s, d: clean.priority_reorders(_stock_flags(s, d)).select("product_id", "stockout_risk"), "SELECT product_id, demand_std / 13.0 AS stockout_risk FROM v_stock WHERE current_inventory < 100 OR demand_std / 13.0 > 0.1")
@@ -199,7 +199,7 @@ B.add("validated_insights", lambda s, d: insights.validated_insights(_forecasts(
 
 # Data quality
 B.add("range_check", lambda s, d: quality.range_check(scan_table(s, d, "lineitem"), {"l_quantity": (5, 45), "l_discount": (0.01, 0.09)}), "SELECT 'l_quantity' AS column, count(*) FILTER (l_quantity < 5) AS below, count(*) FILTER (l_quantity > 45) AS above FROM lineitem UNION ALL SELECT 'l_discount', count(*) FILTER (l_discount < 0.01), count(*) FILTER (l_discount > 0.09) FROM lineitem")
-B.add("consistency_check", lambda s, d: quality.consistency_check(tb.pricing(s, d), {"cost": (F.col("cost"), F.col("current_price") * 0.6), "demand": (F.col("demand"), F.col("inventory_ratio") * 15 + 1)}).withColumn("max_diff", F.round("max_diff", 6)), "SELECT 'cost' AS rule, 0.0 AS max_diff, true AS consistent UNION ALL SELECT 'demand', 1.0, false")
+B.add("consistency_check", lambda s, d: quality.consistency_check(tb.pricing(s, d), {"cost": (F.col("cost"), F.col("current_price") * 0.6), "demand": (F.col("demand"), F.col("inventory_ratio") * 15 + 1)}).withColumn("max_diff", F.round("max_diff", 6)), "SELECT 'cost' AS rule, max(abs(cost - current_price * 0.6)) AS max_diff, true AS consistent FROM v_pricing UNION ALL SELECT 'demand', round(max(abs(demand - (inventory_ratio * 15 + 1))), 6), false FROM v_pricing")
 B.add("missing_profile", lambda s, d: quality.missing_profile(tb.gappy(s, d), ["sales_lag_1", "price"]).withColumn("null_pct", F.round("null_pct", 6)), "SELECT 'sales_lag_1' AS column, count(*) - count(sales_lag_1) AS nulls, round((count(*) - count(sales_lag_1)) * 100 / count(*), 6) AS null_pct, (count(*) - count(sales_lag_1)) * 100 / count(*) > 50 AS mostly_missing FROM v_gappy UNION ALL SELECT 'price', count(*) - count(price), round((count(*) - count(price)) * 100 / count(*), 6), (count(*) - count(price)) * 100 / count(*) > 50 FROM v_gappy")
 B.add("duplicate_count", lambda s, d: quality.duplicate_count(scan_table(s, d, "lineitem"), ["l_partkey", "l_suppkey"]), "SELECT CAST(count(*) - count(DISTINCT (l_partkey, l_suppkey)) AS BIGINT) AS duplicates FROM lineitem")
 B.add(
@@ -224,7 +224,7 @@ B.add(
     lambda s, d: out(quality.expectations(scan_table(s, d, "lineitem"), CHECKS), ["check", "success"], {"observed": 6}),
     f"SELECT 'rows' AS check, true AS success, count(*) + 0.0 AS observed FROM lineitem UNION ALL SELECT 'exists:absent', false, 0.0 UNION ALL SELECT 'columns', true, 1.0 UNION ALL SELECT 'not_null:l_tax', true, 1.0 UNION ALL SELECT 'between:l_quantity', avg((l_quantity BETWEEN 1 AND 45)::INT) >= 0.95, {R('avg((l_quantity BETWEEN 1 AND 45)::INT)', 6)} FROM lineitem UNION ALL SELECT 'unique:l_orderkey', count(DISTINCT l_orderkey) / count(*) >= 0.9, {R('count(DISTINCT l_orderkey) / count(*)', 6)} FROM lineitem UNION ALL SELECT 'type:l_tax', true, 1.0",
 )
-B.add("expectation_summary", lambda s, d: quality.expectation_summary(quality.expectations(scan_table(s, d, "lineitem"), CHECKS[:4])).select("success_pct", F.array_join("failed", "|").alias("failed")), "SELECT 75.0 AS success_pct, 'exists:absent' AS failed")
+B.add("expectation_summary", lambda s, d: quality.expectation_summary(quality.expectations(scan_table(s, d, "lineitem"), CHECKS[:4])).select("success_pct", F.array_join("failed", "|").alias("failed")), "SELECT CAST(75 AS DOUBLE) AS success_pct, 'exists:absent' AS failed")
 B.add("prediction_checks", lambda s, d: out(quality.prediction_checks(tb.predictions(s, d), ["forecast_q50"]), ["column", "negatives", "nulls", "n"], {"mean": 5}), f"SELECT 'forecast_q50' AS column, count(*) FILTER (forecast_q50 < 0) AS negatives, count(*) FILTER (forecast_q50 IS NULL) AS nulls, count(*) AS n, {R('avg(forecast_q50)', 5)} AS mean FROM v_predictions")
 B.add("metric_bounds", lambda s, d: out(quality.metric_bounds(metrics.quantile_metrics(tb.predictions(s, d), "sales_quantity", {0.05: "forecast_q05", 0.5: "forecast_q50"}).select("model", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("mae", "r2")])).alias("x")).select("model", "x.*")), ["model", "metric"], {"value": 5}), "WITH b AS (SELECT *, sales_quantity AS y, avg(sales_quantity) OVER () AS m FROM v_predictions), r AS (" + " UNION ALL ".join(f"SELECT '{c}' AS model, 'mae' AS metric, avg(abs(y - {c})) AS value FROM b UNION ALL SELECT '{c}', 'r2', 1 - sum((y - {c}) ** 2) / sum((y - m) ** 2) FROM b" for c in ("forecast_q05", "forecast_q50")) + f") SELECT model, metric, {R('value', 5)} AS value FROM r WHERE (metric = 'mae' AND (value < 0 OR value > 100)) OR (metric = 'r2' AND (value < 0.7 OR value > 1))")
 B.add("quality_rollup", lambda s, d: out(quality.quality_rollup(tb.log(s, d).select(F.col("type").alias("dataset"), F.struct("timestamp", "event_id").alias("ts"), F.col("duration_seconds").alias("score"), (F.col("event_id") % 3).alias("issues"))), ["datasets", "min_score", "max_score", "issues"], {"avg_score": 5}), f"SELECT count(*) AS datasets, min(s) AS min_score, max(s) AS max_score, CAST(sum(i) AS BIGINT) AS issues, {R('avg(s)', 5)} AS avg_score FROM (SELECT arg_max(duration_seconds, (timestamp, event_id)) AS s, arg_max(event_id % 3, (timestamp, event_id)) AS i FROM v_log GROUP BY type)")
