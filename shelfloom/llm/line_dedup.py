@@ -8,8 +8,9 @@ Lines are compared without case and with white space collapsed.  A line is the s
 2. Distinct lines that share a band key are candidates.  Buckets of one line are dropped by running
    window values, so a bucket is streamed, never held.
 3. Candidates are verified by exact Jaccard similarity on full lines, bucket by bucket and only as far
-   as they can still join two components (``components.link_buckets``).  Large buckets that stay
-   divided, such as lines around a common passage, are banded anew on their rare shingles.
+   as they can still join two components (``components.link_buckets``).  For the lines of large buckets
+   that stay divided, such as lines around a common passage, a prefix filter that loses no similar pair
+   gives the candidates.
 4. Union-find by contraction (``components``); of each component the first line, by doc_id and line
    number, stays.  Equal lines share a key and need no verification.
 
@@ -43,9 +44,6 @@ CHARS = 8
 BITS = 1 << 26
 _RNG = np.random.default_rng(90_017)
 _MULT = _RNG.integers(0, 2**31, 256, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-#: Lines, and characters of each, whose shingles tell the frequent ones; bands on the others.
-ORDER_SAMPLE, ORDER_CHARS = 1_000, 2_000
-RARE_BANDS, RARE_ROWS = 20, 2
 #: Characters hashed at once.
 BLOCK = 1 << 17
 
@@ -53,7 +51,7 @@ BLOCK = 1 << 17
 @dataclass(frozen=True)
 class LineSpec:
     """threshold: per cent of the union of shingles that must be shared.  small: members of a bucket up to
-    which it is compared exhaustively; larger ones that stay divided are banded on rare shingles."""
+    which it is compared exhaustively; lines of larger ones that stay divided pass a prefix filter first."""
 
     threshold: int = 80
     bands: int = 10
@@ -225,42 +223,54 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _rare_buckets(keys: DataFrame, texts: DataFrame) -> DataFrame:
-    """(bucket, id): the lines banded anew on their rare shingles.
-
-    Lines around a common passage share buckets without being similar.  Shingles that are frequent in a
-    bounded sample of the lines are left out here, and what remains is banded loosely: two lines of
-    similarity 0.8 that have half their shingles in the passage share 0.67 of the rest and meet with
-    probability above 0.999; with three quarters in it, 0.38 and 0.95.  The sample only decides which
-    shingles are left out; every line is banded.
-    """
-    lines = texts.join(keys, "key")
-    counts: dict[int, int] = {}
-    n = 0
-    for r in lines.orderBy("key").limit(ORDER_SAMPLE).select("line").toLocalIterator():
-        n += 1
-        for h in np.unique(shingle_hashes([r.line[:ORDER_CHARS]])[0]).tolist():
-            counts[h] = counts.get(h, 0) + 1
-    often = np.array(sorted(h for h, c in counts.items() if c >= max(5, 0.02 * n)), np.uint32)
-    common = keys.sparkSession.sparkContext.broadcast(often)
+def _shingles(lines: DataFrame) -> DataFrame:
+    """(id, shingle, size): the distinct shingle hashes of whole lines (key, line); size counts shingles as ``verified`` does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buckets, ids = [], []
-            for key, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h = shingle_hashes([line])[0]
-                rare = h[~np.isin(h, common.value)]
-                rare = rare if len(rare) >= RARE_ROWS * 2 else h
-                low = (rare[None, :] * _MULT[128 : 128 + RARE_BANDS * RARE_ROWS, None]).min(axis=1).astype(np.uint64).reshape(RARE_BANDS, RARE_ROWS)
-                band = np.arange(1, RARE_BANDS + 1, dtype=np.uint64)
-                for r in range(RARE_ROWS):
-                    band = (band ^ low[:, r]) * np.uint64(0x9E3779B97F4A7C15)
-                    band ^= band >> np.uint64(29)
-                buckets.append(band.view(np.int64))
-                ids += [key] * RARE_BANDS
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(buckets) if buckets else np.empty(0, np.int64)), pa.array(ids, pa.int64())], names=["bucket", "id"])
-
-    return lines.select("key", "line").mapInArrow(run, "bucket long, id long").distinct()
+            keys, lines = b.column(0).to_numpy(), b.column(1).to_pylist()
+            for x, y in _blocks(lines):
+                hashes = [np.unique(shingle_hashes([line])[0]).view(np.int32) for line in lines[x:y]]
+                sizes = np.array([len(shingle_set(line)) for line in lines[x:y]], np.int32)
+                n = [len(h) for h in hashes]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[x:y], n)), pa.array(np.concatenate(hashes)), pa.array(np.repeat(sizes, n))], names=["id", "shingle", "size"])
+
+    return lines.select("key", "line").mapInArrow(run, "id long, shingle int, size int")
+
+
+def _prefixes(lines: DataFrame, threshold: int) -> DataFrame:
+    """(shingle, id, size, pos): of each line its rarest shingles, as many as must hold one of any similar line's.
+
+    Shingles are ordered by their count over all the lines, then by hash.  A similar line shares at least
+    ``threshold`` per cent of a line's shingles, so the first shared one stands within the rest of them and
+    one more.  Shingles of one line count for positions only.  Equal hashes of two shingles of a line make
+    its prefix longer, never shorter.
+    """
+    rows = materialize(_shingles(lines), "ld-shingles")
+    counts = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = rows.join(counts, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    pos = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle")) - 1
+    return ranked.withColumn("pos", pos).where(f"pos <= size - int((size * {threshold}L + 99) div 100) and n > 1").select("shingle", "id", "size", "pos")
+
+
+def _similar_candidates(keys: DataFrame, texts: DataFrame, links: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): every pair of the lines that may be similar and is not in one component yet.
+
+    Lines around a common passage share buckets without being similar.  The prefix filter leaves out only
+    pairs that cannot be similar: those that share no shingle of their prefixes, or so late that what
+    remains of the shorter one is too little for the threshold.  Pairs inside a component are left out,
+    so a group of copies is compared only with the lines outside it.
+    """
+    groups = components(links).select(F.col("node").alias("id"), F.col("component").alias("label"))
+    prefixes = _prefixes(texts.join(keys, "key"), threshold)
+    rows = materialize(prefixes.join(groups, "id", "left").withColumn("label", F.coalesce("label", "id")), "ld-prefixes")
+    sizes = rows.groupBy("shingle", "label").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("shingle").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
+    outside = rows.join(largest.select("shingle", F.col("m.label").alias("largest")), "shingle").where("label != largest").drop("largest")
+    other = rows.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("id", "label", "size", "pos")])
+    enough = F.expr(f"{100 + threshold}L * least(size - pos, other_size - other_pos) >= {threshold}L * (size + other_size)")
+    pairs = outside.join(other, (outside["shingle"] == other["shingle"]) & (F.col("label") != F.col("other_label")) & enough)
+    return pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
 
 
 def kept_lines(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
@@ -276,8 +286,9 @@ def kept_lines(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     verify = lambda pairs: verified(pairs, texts, spec.threshold)
     links, tested, left = link_buckets(shared, verify, "ld", rounds=3, small=spec.small)
     if left is not None and not left.isEmpty():
-        rare = materialize(_rare_buckets(materialize(left.select(F.col("id").alias("key")).distinct(), "ld-left"), texts), "ld-rare")
-        links, _, _ = link_buckets(rare, verify, "ld", links, tested, rounds=1)
+        keys = materialize(left.select(F.col("id").alias("key")).distinct(), "ld-left")
+        pairs = _similar_candidates(keys, texts, links, spec.threshold).join(tested, ["a", "b"], "left_anti")
+        links = links.unionByName(materialize(verify(materialize(pairs, "ld-pairs")), "ld-links"))
     groups = components(links)
     by_key = lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
     low = by_key.join(groups.withColumnRenamed("node", "key"), "key", "left").groupBy(F.coalesce("component", "key").alias("component")).agg(F.min("at").alias("at"))

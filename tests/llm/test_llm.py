@@ -236,6 +236,23 @@ def test_fuzzy_lines_equal_brute_force(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_fuzzy_lines_joins_edited_copies_of_one_passage(spark):
+    rnd = random.Random(16)
+    passage = prose(rnd, 60).split()
+
+    def edited(n):
+        w = list(passage)
+        for k in rnd.sample(range(len(w)), n):
+            w[k] = "".join(rnd.choice("abcdefgh") for _ in range(5))
+        return " ".join(w)
+
+    lines = list(dict.fromkeys([edited(2) for _ in range(150)] + [edited(rnd.randrange(3, 9)) for _ in range(150)] + [" ".join(passage)]))
+    sets = [line_dedup.shingle_set(x) for x in lines]
+    want = brute_components(len(lines), [(a, b) for a, b in itertools.combinations(range(len(lines)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    got = line_dedup.kept_lines(docs_of(spark, lines)).collect()
+    assert {r.doc_id for r in got} == {min(i for i in range(len(lines)) if want[i] == c) for c in set(want)}
+
+
 # op8
 def test_pii_base_and_disclosure(spark):
     text = "mail a.b@mail.example.com or +1 (555) 555-1234, card 4111 1111 1111 1111, ip 10.0.255.1 and 10.0.256.1"
