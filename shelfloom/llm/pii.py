@@ -103,6 +103,11 @@ def entities(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+def lowered(text: str) -> str:
+    """Lower case in which all positions hold: U+0130 alone would become two characters."""
+    return text.replace("\u0130", "i").lower()
+
+
 def _hash(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -125,10 +130,11 @@ def neighbours(docs: DataFrame, spec: DisclosureSpec) -> DataFrame:
                 if not found:
                     continue
                 taken = sorted((s, e) for _, s, e in found)
+                low = lowered(text)
                 for kind, start, end in found:
                     value = _hash(kind, text[start:end].lower())
                     lo, hi = max(0, start - spec.window), min(len(text), end + spec.window)
-                    around = [(m[0], m.start() + lo, m.end() + lo) for m in WORD.finditer(text[lo:hi].lower())] if len(text[lo:hi].lower()) == hi - lo else []
+                    around = [(m[0], m.start(), m.end()) for m in WORD.finditer(low, lo, hi)]
                     # Words cut by the window's edge are left out, and so are the entities' own.
                     around = [w for w in around if (w[1] > lo or lo == 0) and (w[2] < hi or hi == len(text)) and not any(s < w[2] and w[1] < e for s, e in taken)]
                     left = [k for k, w in enumerate(around) if w[2] <= start][-spec.words :]
@@ -168,7 +174,7 @@ def disclosing_terms(docs: DataFrame, spec: DisclosureSpec = DisclosureSpec()) -
             allowed = {t: int(n / spec.disclosure) for t, n in near.items()}
             for b in batches:
                 for text in b.column(0).to_pylist():
-                    words = WORD.findall(text.lower()) if text else []
+                    words = WORD.findall(lowered(text)) if text else []
                     for k, w in enumerate(words):
                         uses = seen.get(w)
                         if uses is not None and len(uses) <= allowed[w]:
@@ -207,9 +213,9 @@ def detect(df: DataFrame, terms: DataFrame | None = None, out: str = "spans") ->
             for b in batches:
                 spans = b.column(b.num_columns - 1).to_pylist()
                 for text, own in zip(b.column(at).to_pylist(), spans, strict=True):
-                    low = text.lower() if text else ""
-                    if not low or len(low) != len(text):
+                    if not text:
                         continue
+                    low = lowered(text)
                     taken = sorted((s["start"], s["end"]) for s in own)
                     for m in WORD.finditer(low):
                         if m[0] in block and not any(s < m.end() and m.start() < e for s, e in taken):

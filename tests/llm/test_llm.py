@@ -270,6 +270,16 @@ def test_pii_base_and_disclosure(spark):
     assert pii.disclosing_terms(docs.limit(0)).count() == 0
 
 
+def test_pii_terms_beside_a_capital_i_with_dot(spark):
+    rnd = random.Random(17)
+    near = [f"\u0130 {prose(rnd, 20)} \u0130zorbo {rnd.choice(WORDS)} who@secret.example.org {prose(rnd, 20)} \u0130" for _ in range(12)]
+    docs = docs_of(spark, near + [prose(rnd, 50) for _ in range(40)])
+    terms = pii.disclosing_terms(docs)
+    assert [(r.near, r.uses) for r in terms.where("term = 'izorbo'").collect()] == [(12, 12)]
+    for r in pii.detect(docs, terms).where("doc_id < 12").collect():
+        assert "\u0130zorbo" in [r.text[s.start : s.end] for s in r.spans if s.kind == "term"]
+
+
 # op9
 def test_neighbours_recall_and_edges(spark):
     rng = np.random.default_rng(3)
