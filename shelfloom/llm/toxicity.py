@@ -3,21 +3,24 @@
 1. *Terms* of a text are its distinct words and their beginnings of four to six letters, hashed.  On a
    bounded sample of labelled rows (``TRAIN_ROWS``, chosen by hash) the terms that tell the labels
    apart are selected.
-2. *Voters*: the strongest toxic terms are dealt into ``LEXICONS`` small lexicons, each a voter that
+2. *Voters*: the strongest toxic terms, by purity, form ``LEXICONS`` small lexicons, each a voter that
    fires if one of its terms occurs; ``PATTERNS`` fire on the form of the text.
 3. *Label model*: every document's votes are counted by vote pattern, over all rows.  Expectation
    maximisation estimates how often each voter fires in either class, with the labelled sample's
    rates as the anchor.  Correlations of voters within the classes then discount those that repeat
    each other.
 4. *Classifier*: a logistic regression on the selected terms learns the label model's posterior of
-   the sample's rows, with the given label as one more voter.  It scores every document.
+   the sample's rows and of as many rows without a label; given labels are no voters.  It scores every
+   document.
 
 All documents are read once for votes and selected terms, which are small; votes and scores come
-from those.  The driver sees the sample's selected terms and per-voter sums, never documents.
+from those.  The driver sees term counts (``BUCKETS`` at most), per-voter sums and the selected terms
+of at most twice ``TRAIN_ROWS`` rows, never texts.
 
 Cases: null or empty text has no term and gets the classifier's base score; labels other than 0 and
 1 are ignored; if the sample lacks a class, every score is the (smoothed) share of toxic labels;
-several labels of one document all count; repeated rows are scored alike; empty tables are fine.
+several labels of one document all count; repeated rows are scored alike; empty tables are fine;
+columns named like the outputs (score, predicted; in ``score`` also votes, terms) are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +46,8 @@ WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
 WORD_MEMORY = 300_000
 EM_ROUNDS = 8
-LABEL_ACCURACY = 0.97
+#: Texts that a task holds as Python objects at once.
+SLICE = 256
 #: Pattern voters: each is the share or count of something in the text, and the level at which it fires.
 PATTERNS = (
     ("exclamations", re.compile("!"), 0.002),
@@ -75,29 +79,42 @@ def patterns(text: str | None) -> int:
 
 
 def _term_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Rows of the sample with each term, by label, and the numbers of rows."""
+    """Rows of the sample with each term, by label, and the numbers of rows.
+
+    Tasks count their own rows, Spark adds the counts; the driver gets one row for each hashed term.
+    """
+    schema = "term int, y int, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows = np.zeros((2, BUCKETS), np.int32), [0, 0]
-        for b in batches:
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                codes = np.array([c for w in words(text) for c in term_codes(w)], np.int64)
-                counts[y][np.unique(codes)] += 1
-                rows[y] += 1
+        counts, rows = np.zeros((2, BUCKETS), np.int64), [0, 0]
+        for text, y in _slices(batches, 0, 1):
+            codes = np.array([c for w in words(text) for c in term_codes(w)], np.int64)
+            counts[y][np.unique(codes)] += 1
+            rows[y] += 1
         for y in (0, 1):
             if rows[y]:
                 at = np.flatnonzero(counts[y])
-                yield pa.RecordBatch.from_pydict({"y": [y], "rows": [rows[y]], "at": [at.astype(np.int32).tobytes()], "n": [counts[y][at].tobytes()]})
+                out = [np.append(at, BUCKETS).astype(np.int32), np.full(len(at) + 1, y, np.int32), np.append(counts[y][at], rows[y])]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["term", "y", "n"])
+
+    added = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, schema).groupBy("term", "y").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros((2, BUCKETS + 1), np.int64)
+    counts[added["y"].to_numpy(np.int64), added["term"].to_numpy(np.int64)] = added["n"]
+    return counts[0][:-1], counts[1][:-1], int(counts[0][-1]), int(counts[1][-1])
+
 
-    counts, total = np.zeros((2, BUCKETS), np.int64), [0, 0]
-    for r in sample.select("text", "toxic").mapInArrow(run, "y long, rows long, at binary, n binary").toLocalIterator():
-        counts[r.y][np.frombuffer(r.at, np.int32)] += np.frombuffer(r.n, np.int32)
-        total[r.y] += r.rows
-    return counts[0], counts[1], total[0], total[1]
+def _slices(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[tuple]:
+    """The rows' values, a few at a time: whole batches of long texts are never held as Python objects."""
+    for b in batches:
+        for lo in range(0, b.num_rows, SLICE):
+            yield from zip(*(b.column(i).slice(lo, SLICE).to_pylist() for i in columns), strict=True)
 
 
 def select_terms(neg: np.ndarray, pos: np.ndarray, n_neg: int, n_pos: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(selected buckets by strength, lexicons as positions in them)."""
+    """(selected buckets by strength, lexicons as positions in them).
+
+    A lexicon holds toxic terms of like purity, so that one accuracy suits them all.
+    """
     p, q = (pos + 0.5) / (n_pos + 1), (neg + 0.5) / (n_neg + 1)
     both = (pos + neg) / max(n_pos + n_neg, 1)
     z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / max(n_pos, 1) + 1 / max(n_neg, 1)))
@@ -105,8 +122,8 @@ def select_terms(neg: np.ndarray, pos: np.ndarray, n_neg: int, n_pos: int) -> tu
     order = np.argsort(-np.abs(z), kind="stable")[:SELECTED]
     order = order[np.abs(z[order]) > 3]
     toxic = np.flatnonzero((z[order] > 0) & (p[order] > 4 * q[order]))[:LEXICON_TERMS]
-    lexicons = [toxic[i::LEXICONS] for i in range(LEXICONS)]
-    return order, [x for x in lexicons if len(x)]
+    toxic = toxic[np.argsort(-(p / q)[order[toxic]], kind="stable")]
+    return order, [x for x in np.array_split(toxic, LEXICONS) if len(x)]
 
 
 def observe(docs: DataFrame, buckets: np.ndarray, lexicons: list[np.ndarray]) -> DataFrame:
@@ -135,7 +152,7 @@ def observe(docs: DataFrame, buckets: np.ndarray, lexicons: list[np.ndarray]) ->
 
         for b in batches:
             votes, terms = np.zeros(b.num_rows, np.int64), []
-            for k, text in enumerate(b.column(len(kept)).to_pylist()):
+            for k, (text,) in enumerate(_slices(iter([b]), len(kept))):
                 found: set[int] = set()
                 for w in words(text):
                     ids = memory.get(w)
@@ -228,7 +245,7 @@ def fit_label_model(pattern_counts: DataFrame, votes: np.ndarray, y: np.ndarray,
             cov = joint - np.outer(rate, rate)
             total += np.abs(cov) / np.sqrt(np.outer(rate * (1 - rate), rate * (1 - rate))) / 2
         np.fill_diagonal(total, 0)
-        model.own = 1 / (1 + np.where(total > 0.1, total, 0).sum(axis=1))
+        model.own = 1 / np.sqrt(1 + np.where(total > 0.1, total, 0).sum(axis=1))
     return model
 
 
@@ -273,12 +290,10 @@ def fit(docs: DataFrame, labelled: DataFrame) -> tuple[Model, DataFrame | None]:
     The observations have all columns of docs but the text, with votes and terms; none if the sample
     lacks a class.
     """
-    picked = materialize(
-        labelled.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS),
-        "tox-picked",
-    )
-    sample = docs.select("doc_id", "text").join(picked, "doc_id").coalesce(8)
-    neg, pos, n_neg, n_pos = _term_counts(sample)
+    labelled = labelled.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
+    # TRAIN_ROWS rows at most, so this one is safe to broadcast.
+    picked = materialize(labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS), "tox-picked")
+    neg, pos, n_neg, n_pos = _term_counts(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"))
     if not n_neg or not n_pos:
         flat = (n_pos + 1) / (n_neg + n_pos + 2)
         return Model(np.empty(0), np.empty(0), float(np.log(flat / (1 - flat)))), None
@@ -286,43 +301,45 @@ def fit(docs: DataFrame, labelled: DataFrame) -> tuple[Model, DataFrame | None]:
     n = len(PATTERNS) + len(lexicons)
     seen = materialize(observe(docs, buckets, lexicons), "tox-seen")
     counts = materialize(seen.groupBy("votes").agg(F.count("*").alias("n")), "tox-patterns")
-    rows = seen.select("doc_id", "votes", "terms").join(picked, "doc_id").orderBy("doc_id", "toxic").toPandas()
-    terms = [np.frombuffer(bytes(t), np.uint16) for t in rows["terms"]]
-    votes, y = rows["votes"].to_numpy(np.int64), rows["toxic"].to_numpy(np.int64)
-    model = fit_label_model(counts, votes, y, n)
-    given = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * (2 * y - 1)
-    w, b = fit_classifier(terms, _sigmoid(model.log_odds(_bits(votes, n)) + given), len(buckets))
+    rows = seen.select("doc_id", "votes", "terms")
+    order = [F.xxhash64("doc_id"), "doc_id", "votes", "terms"]
+    anchor = rows.join(F.broadcast(picked), "doc_id").orderBy(*order, "toxic").limit(TRAIN_ROWS).toPandas()
+    model = fit_label_model(counts, anchor["votes"].to_numpy(np.int64), anchor["toxic"].to_numpy(np.int64), n)
+    # The classifier sees the label model's posterior only, of rows with and without a label alike.
+    others = rows.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_anti").orderBy(*order).limit(TRAIN_ROWS).toPandas()
+    votes = np.concatenate([x["votes"].to_numpy(np.int64) for x in (anchor, others)])
+    terms = [np.frombuffer(bytes(t), np.uint16) for x in (anchor, others) for t in x["terms"]]
+    w, b = fit_classifier(terms, model.posterior(_bits(votes, n)), len(buckets))
     return Model(buckets, w, b), seen
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with score and predicted, from the texts (column ``text``)."""
-    docs = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
+    """``docs`` with score and predicted, from the texts (column ``text``), which alone travel to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weight, bias = shared.value.weight, shared.value.bias
         memory: dict[str, tuple] = {}
-        for b in batches:
+        for batch in texts:
             z = []
-            for text in b.column(at).to_pylist():
-                found: set[int] = set()
-                for w in words(text):
-                    codes = memory.get(w)
-                    if codes is None:
-                        codes = tuple(c for c in term_codes(w) if c in weight)
-                        if len(memory) >= WORD_MEMORY:
-                            memory.clear()
-                        if len(w) <= 64:
-                            memory[w] = codes
-                    if codes:
-                        found.update(codes)
-                z.append(bias + sum(weight[c] for c in sorted(found)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_sigmoid(np.array(z, np.float64)))], names=schema.fieldNames())
-
-    return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+            for lo in range(0, len(batch), SLICE):
+                for text in batch.slice(lo, SLICE).to_pylist():
+                    found: set[int] = set()
+                    for w in words(text):
+                        codes = memory.get(w)
+                        if codes is None:
+                            codes = tuple(c for c in term_codes(w) if c in weight)
+                            if len(memory) >= WORD_MEMORY:
+                                memory.clear()
+                            if len(w) <= 64:
+                                memory[w] = codes
+                        if codes:
+                            found.update(codes)
+                    z.append(bias + sum(weight[c] for c in sorted(found)))
+            yield pa.array(_sigmoid(np.array(z, np.float64)))
+
+    return _judged(docs, scored("text"))
 
 
 def score(docs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -334,14 +351,18 @@ def score(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     model, seen = fit(docs, labelled)
     if seen is None:
         return predict(docs, model).drop("text")
-    kept = [f for f in docs.schema.fields if f.name != "text"]
     linear = docs.sparkSession.sparkContext.broadcast((np.array(list(model.weight.values())), model.bias))
-    schema = T.StructType([*kept, T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def scored(terms: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w, bias = linear.value
-        for b in batches:
-            z = np.array([bias + w[np.frombuffer(t, np.uint16)].sum() for t in b.column(len(kept)).to_pylist()], np.float64)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(_sigmoid(z))], names=schema.fieldNames())
+        for batch in terms:
+            z = [bias + w[np.frombuffer(t, np.uint16)].sum() for t in batch.to_pylist()]
+            yield pa.array(_sigmoid(np.array(z, np.float64)))
+
+    return _judged(seen, scored("terms")).drop("votes", "terms")
+
 
-    return seen.select(*[f.name for f in kept], "terms").mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def _judged(df: DataFrame, made: Column) -> DataFrame:
+    scored = df.drop("score", "predicted").withColumn("score", made)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
