@@ -21,13 +21,14 @@ _REST = "__rest"
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, one struct of all columns): other columns' names cannot meet an operator's own."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(_REST))
+    """(doc_id, text, one struct of the other columns): their names cannot meet an operator's own."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias(_REST)).alias(_REST))
 
 
 def _unpacked(packed: DataFrame, docs: DataFrame, changed: dict | None = None) -> DataFrame:
-    changed = changed or {}
-    return packed.select(*[changed.get(c, F.col(_REST)[c]).alias(c) for c in docs.columns])
+    own = {c: F.col(c) for c in ("doc_id", "text")} | (changed or {})
+    return packed.select(*[own.get(c, F.col(_REST)[c]).alias(c) for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each group of similar lines stays; n_chars follows the text."""
     cut = line_dedup.dedup_lines(_packed(docs))
-    changed = {"text": F.col("text")}
+    changed = {}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
     return _unpacked(cut, docs, changed)
