@@ -17,8 +17,9 @@ are taken in blocks of ``BLOCK`` characters at most; each block is one pass over
 what travels to the tasks is bounded whatever the benchmark's size.
 
 Cases: null and empty texts match nothing; items shorter than ``Q`` normalised characters cannot be
-judged and match nothing; equal items are both reported; repeated documents are judged alike; a
-document shorter than an item by more than the budget does not match it; an empty benchmark or
+judged and match nothing; equal items are both reported; repeated documents are judged alike, and
+alike whichever documents share their batch, since no region or alignment reaches over the border of
+a document; a document shorter than an item by more than the budget does not match it; an empty benchmark or
 document table gives documents without a match, or none.
 """
 
@@ -37,6 +38,10 @@ BLOCK = 2_000_000
 #: Characters of documents handled at once.
 BATCH = 1 << 20
 _TABLE_BITS = 22
+#: Hits expanded to items at once, and cells of alignment bands held at once.
+EXPAND = 1 << 21
+CELLS = 1 << 20
+FAR = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -124,65 +129,86 @@ class Items:
         found[found == len(self.distinct)] = 0
         same = self.distinct[found] == h[at]
         at, found = at[same], found[same]
-        times = self.times[found]
-        rows = np.repeat(self.begin[found] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
-        item = self.item[rows]
-        diagonal = np.repeat(at, times) - self.place[rows] + int(self.length.max(initial=0))  # not negative
-        width = self.budget[item] + 1
-        band = diagonal // width
-        # Halves of bands are counted first; a band is a half and the next one.
-        span = int(band.max(initial=0)) + 2
-        key = np.sort(item * span + band)
-        if not len(key):
+        longest, step = int(self.length.max(initial=0)), int((self.budget + 1).min())
+        span = (len(codes) + 2 * longest) // step + 2
+        # Halves of bands are counted first; a band is a half and the next one.  Hits are expanded to the
+        # items of their q-grams some at a time, since a frequent q-gram may be in many items.
+        keys, counts = [], []
+        reach = np.cumsum(self.times[found])
+        lo = 0
+        while lo < len(at):
+            hi = max(int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + EXPAND, side="right")), lo + 1)
+            times = self.times[found[lo:hi]]
+            rows = np.repeat(self.begin[found[lo:hi]] - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
+            item = self.item[rows]
+            diagonal = np.repeat(at[lo:hi], times) - self.place[rows] + longest  # not negative
+            key, count = np.unique(item * span + diagonal // (self.budget[item] + 1), return_counts=True)
+            keys.append(key)
+            counts.append(count)
+            lo = hi
+        if not keys:
             return none
+        key, count = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(key, kind="stable")
+        key, count = key[order], count[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        half, count = key[first], np.diff(np.concatenate([first, [len(key)]]))
+        half, count = key[first], np.add.reduceat(count, first)
         nxt = np.where(np.concatenate([half[1:] == half[:-1] + 1, [False]]) & ((half + 1) % span != 0), np.concatenate([count[1:], [0]]), 0)
         total = count + nxt
         item, band = half // span, half % span
         keep = total >= self.least[item]
         out_item, out_band = item[keep], band[keep]
-        return out_item, out_band * (self.budget[out_item] + 1) - int(self.length.max(initial=0))
+        return out_item, out_band * (self.budget[out_item] + 1) - longest
 
     def verify(self, codes: np.ndarray, item: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(edits, end) of the best alignment of each region's item over the band's diagonals.
 
         The band reaches ``budget`` diagonals beyond its hits on either side.
         """
-        best = np.full(len(item), 1 << 30, np.int64)
+        best = np.full(len(item), FAR, np.int64)
         end = np.zeros(len(item), np.int64)
         order = np.argsort(self.length[item], kind="stable")
-        for lo in range(0, len(order), 256):
-            part = order[lo : lo + 256]
-            it = item[part]
-            m, k = self.length[it], self.budget[it]
-            start = low[part] - k
-            width = int((4 * k + 4).max())
-            longest = int(m.max())
-            grid = np.zeros((len(part), longest), np.uint32)
-            for r, i in enumerate(it):
-                grid[r, : m[r]] = self.codes[i]
-            padded = np.concatenate([np.zeros(1, np.uint32), codes])
-            column = np.arange(width)
-            # cost[j]: edits of the item's first i letters, ending before document position start + i + j.
-            cost = np.zeros((len(part), width), np.int32)
-            big = np.int32(1 << 20)
-            row_best = np.full(len(part), big, np.int32)
-            row_end = np.zeros(len(part), np.int64)
-            for i in range(longest):
-                where = start[:, None] + i + column[None, :]
-                letter = padded[np.clip(where + 1, 0, len(codes)) * ((where >= 0) & (where < len(codes)))]
-                differs = (letter != grid[:, i : i + 1]) | (letter == 0)
-                new = cost + differs
-                new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)  # the item's letter is missing
-                # Extra letters in the document: cheapest of all to the left, one more for each step.
-                new = np.minimum.accumulate(new - column, axis=1) + column
-                cost = new.astype(np.int32)
-                done = m == i + 1
-                if done.any():
-                    row_best[done] = cost[done].min(axis=1)
-                    row_end[done] = start[done] + i + 1 + cost[done].argmin(axis=1)
-            best[part], end[part] = row_best, row_end
+        padded = np.concatenate([np.zeros(1, np.uint32), codes])
+        lo = 0
+        while lo < len(order):
+            # As many regions at once as CELLS allows; the longest item's band is the widest.
+            hi = lo + 1
+            while hi < len(order) and (hi + 1 - lo) * (4 * int(self.budget[item[order[hi]]]) + 4) <= CELLS:
+                hi += 1
+            part = order[lo:hi]
+            best[part], end[part] = self._align(codes, padded, item[part], low[part])
+            lo = hi
+        return best, end
+
+    def _align(self, codes: np.ndarray, padded: np.ndarray, it: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        m, k = self.length[it], self.budget[it]
+        start = low - k
+        column = np.arange(int((4 * k + 4).max()))
+        best, end = np.full(len(it), FAR, np.int64), np.zeros(len(it), np.int64)
+        active = np.arange(len(it))
+        # cost[j]: edits of the item's first i letters, ending before document position start + i + j.
+        cost = np.zeros((len(it), len(column)), np.int64)
+        for i in range(int(m.max())):
+            where = start[active, None] + i + column[None, :]
+            letter = padded[np.clip(where + 1, 0, len(codes)) * ((where >= 0) & (where < len(codes)))]
+            border = letter == 0
+            wanted = np.array([self.codes[x][i] for x in it[active]], np.uint32)
+            new = cost + (letter != wanted[:, None])
+            new[border] = FAR  # no alignment goes on into another document
+            new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)  # the item's letter is missing
+            # Extra letters in the document: cheapest of all to the left, one more for each step, as far as
+            # the last border, past which every value is lower than those before it.
+            shift = column + border.cumsum(axis=1) * (4 * FAR)
+            cost = np.minimum(np.minimum.accumulate(new - shift, axis=1) + shift, FAR)
+            done = m[active] == i + 1
+            if done.any():
+                best[active[done]] = cost[done].min(axis=1)
+                end[active[done]] = start[active[done]] + i + 1 + cost[done].argmin(axis=1)
+            if done.any() or i % 32 == 31:
+                stay = ~done & (cost.min(axis=1) <= k[active])  # costs never fall: the others are decided
+                active, cost = active[stay], cost[stay]
+                if not len(active):
+                    break
         return best, end
 
 
@@ -241,17 +267,21 @@ def _search(items: Items, ids: list, texts: list[str]) -> pa.RecordBatch:
     if len(item):
         edits, end = items.verify(codes, item, low)
         keep = edits <= items.budget[item]
-        best: dict[tuple, tuple] = {}
-        for i, n, e in zip(item[keep], edits[keep], end[keep], strict=True):
-            doc = int(np.searchsorted(first, e - 1, side="right") - 1)
-            near = (doc, int(i), int(e) // int(items.length[i]))
-            if near not in best or (n, e) < best[near][:2]:
-                best[near] = (int(n), int(e))
-        for (doc, i, _), (n, e) in sorted(best.items()):
-            at = parts[doc][1]
-            stop = min(max(e - int(first[doc]), 1), len(at))
+        item, edits, end = item[keep], edits[keep], end[keep]
+        doc = np.searchsorted(first, end - 1, side="right") - 1
+        best: list[tuple] = []  # of regions whose ends are less than half an item apart, the best
+        last = None
+        for d, i, e, n in sorted(zip(doc.tolist(), item.tolist(), end.tolist(), edits.tolist(), strict=True)):
+            if last is not None and last[:2] == (d, i) and 2 * (e - last[2]) < items.length[i]:
+                best[-1] = min(best[-1], (d, i, n, e))
+            else:
+                best.append((d, i, n, e))
+            last = (d, i, e)
+        for d, i, n, e in best:
+            at = parts[d][1]
+            stop = min(max(e - int(first[d]), 1), len(at))
             begin = max(stop - int(items.length[i]), 0)
-            rows.append((ids[doc], items.ids[i], int(at[begin]), int(at[stop - 1]) + 1, n))
+            rows.append((ids[d], items.ids[i], int(at[begin]), int(at[stop - 1]) + 1, n))
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["doc_id", "item_id", "begin", "end", "edits"])
 

@@ -54,6 +54,58 @@ def test_decontamination_finds_exact_and_edited_items_only(spark):
     assert decontaminate.matches(docs.limit(0), bench).count() == 0
 
 
+def nearest_part(item, text):
+    """Edits between a whole item and the part of the text that is nearest to it, by plain dynamic programming."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_equals_brute_force_under_any_partitioning(spark):
+    rnd = random.Random(21)
+    letters = "abcdef "
+
+    def noisy(s, n):
+        s = list(s)
+        for _ in range(n):
+            at = rnd.randrange(len(s))
+            s[at : at + 1] = rnd.choice([[], [rnd.choice(letters)], [s[at], rnd.choice(letters)]])
+        return "".join(s)
+
+    items = ["".join(rnd.choice("abcdef") for _ in range(n)) for n in (8, 30, 64, 90, 90)]
+    items[4] = items[3]
+    texts = [noisy(rnd.choice(items), rnd.randrange(14)) if rnd.random() < 0.7 else "".join(rnd.choice(letters) for _ in range(60)) for _ in range(90)]
+    # Neighbours that hold one half of an item each, and one with two copies.
+    texts += [items[3][:45], items[3][45:], items[2][:33], items[2][31:], f"{items[2]} {items[2]}", items[3], items[3]]
+    docs, bench = docs_of(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    plain = [" ".join(t.split()) for t in texts]
+    budget = [max(0, min(int(0.1 * len(x)), (len(x) - decontaminate.Q) // decontaminate.Q)) for x in items]
+    want = {(d, i): n for d, t in enumerate(plain) for i, x in enumerate(items) if (n := nearest_part(x, t)) <= budget[i]}
+    for parts in (1, 2, 7):
+        rows = decontaminate.matches(docs.coalesce(1).repartitionByRange(parts, "doc_id") if parts > 1 else docs.coalesce(1), bench).collect()
+        least = {}
+        for r in rows:
+            least[r.doc_id, r.item_id] = min(r.edits, least.get((r.doc_id, r.item_id), 99))
+        assert least == want
+        assert sum(r.doc_id == 94 and r.item_id == 2 for r in rows) == 2 and sum(r.doc_id == 96 for r in rows) == 2
+
+
+def test_decontamination_of_long_items_and_frequent_grams(spark):
+    rnd = random.Random(22)
+    long = "".join(rnd.choice("abcdefgh") for _ in range(6000))
+    items = [long, *("same words in all of them " + "".join(rnd.choice("xyz") for _ in range(9)) for _ in range(50))]
+    edited = list(long)
+    for k in rnd.sample(range(6000), 300):
+        edited[k] = "q"
+    docs = docs_of(spark, ["".join(edited), long[:5000], items[1], *["same words in all of them"] * 20])
+    got = {(r.doc_id, r.item_id, r.edits) for r in decontaminate.matches(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert {(0, 0, 300), (2, 1, 0)} <= got and not any(d in (1, 3) for d, _, _ in got)
+
+
 # op2
 def test_url_rules_and_tree(spark):
     urls = ["http://A.example.NET/en/1", "https://example.net/de/2", "http://x.example.com/de/", "http://x.example.com/de", "http://fr.org/fr/x", "http://notorg/fr/x", "example.net/en/", None, "http://b.net", "http://b.net?x=/", "x://u@h.org:80/fr/#a"]
