@@ -40,6 +40,8 @@ from shelfloom.llm.common import materialize
 TRAIN_ROWS = 20_000
 BUCKETS = 1 << 19
 SELECTED = 4096
+#: Rows that must hold a term for it to count.
+SUPPORT = 5
 LEXICONS = 48
 LEXICON_TERMS = 480
 WORD = re.compile(r"[^\W\d_]+")
@@ -97,9 +99,11 @@ def _term_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
                 out = [np.append(at, BUCKETS).astype(np.int32), np.full(len(at) + 1, y, np.int32), np.append(counts[y][at], rows[y])]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["term", "y", "n"])
 
-    added = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, schema).groupBy("term", "y").agg(F.sum("n").alias("n")).toPandas()
+    counted = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, schema)
+    side = lambda y: F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).alias(f"n{y}")
+    added = counted.groupBy("term").agg(side(0), side(1)).where(f"n0 + n1 >= {SUPPORT} or term = {BUCKETS}").toPandas()
     counts = np.zeros((2, BUCKETS + 1), np.int64)
-    counts[added["y"].to_numpy(np.int64), added["term"].to_numpy(np.int64)] = added["n"]
+    counts[:, added["term"].to_numpy(np.int64)] = added[["n0", "n1"]].to_numpy(np.int64).T
     return counts[0][:-1], counts[1][:-1], int(counts[0][-1]), int(counts[1][-1])
 
 
@@ -118,7 +122,7 @@ def select_terms(neg: np.ndarray, pos: np.ndarray, n_neg: int, n_pos: int) -> tu
     p, q = (pos + 0.5) / (n_pos + 1), (neg + 0.5) / (n_neg + 1)
     both = (pos + neg) / max(n_pos + n_neg, 1)
     z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / max(n_pos, 1) + 1 / max(n_neg, 1)))
-    z[(pos + neg) < 5] = 0
+    z[(pos + neg) < SUPPORT] = 0
     order = np.argsort(-np.abs(z), kind="stable")[:SELECTED]
     order = order[np.abs(z[order]) > 3]
     toxic = np.flatnonzero((z[order] > 0) & (p[order] > 4 * q[order]))[:LEXICON_TERMS]
