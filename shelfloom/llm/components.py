@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import materialize
+from shelfloom.llm.common import carried, discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,70 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
         rounds.append(point)
         end = lambda c: point.select(F.col("node").alias(c), F.col("low").alias(f"{c}_low"))  # noqa: E731, B023
         moved = left.join(end("a"), "a").join(end("b"), "b").select(F.greatest("a_low", "b_low").alias("a"), F.least("a_low", "b_low").alias("b"))
-        left = materialize(moved.where("a != b").distinct(), "cc-edges")
+        before, left = left, materialize(moved.where("a != b").distinct(), "cc-edges")
+        discard(before)
+    discard(left)
     if not rounds:
         return edges.sparkSession.createDataFrame([], f"node {kind.simpleString()}, component {kind.simpleString()}")
     out = rounds[-1]
     for earlier in reversed(rounds[:-1]):
         later = out.select(F.col("node").alias("low"), F.col("low").alias("lower"))
-        out = materialize(earlier.join(later, "low", "left").select("node", F.coalesce("lower", "low").alias("low")), "cc-out")
-    return out.withColumnRenamed("low", "component")
-
-
-def near_labels(links: DataFrame, hops: int = 3) -> DataFrame:
-    """(id, label) of every linked vertex: the least vertex within a few links.
-
-    Equal labels are proof of one component, different ones are not proof of two: enough to leave out
-    comparisons, at a fixed number of shuffles.
-    """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    label = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
-    for _ in range(hops - 1):
-        there = label.select(F.col("a").alias("b"), "label")
-        label = both.join(there, "b").groupBy("a").agg(F.least(F.col("a"), F.min("label")).alias("label"))
-    return label.select(F.col("a").alias("id"), "label")
-
-
-def link_buckets(members: DataFrame, verify, tag: str, links: DataFrame | None = None, tested: DataFrame | None = None, rounds: int = 2, small: int | None = None):
-    """Links inside buckets, as far as they join components; no pair of a group is made that need not be.
-
-    members: (bucket, id), distinct.  verify(pairs (a, b)) gives the pairs that link, a < b.
-
-    In each round every bucket that still holds several labels picks a member by hash, which is compared
-    with the members of other labels; then labels are taken anew (``near_labels``).  In a group of
-    copies nearly all join in the first rounds, whatever its size.  At the end the members outside a
-    bucket's largest label are compared with all members of other labels, so every pair that could
-    still join two components has been compared.  If ``small`` is given, buckets with more
-    members than that are left open instead.
-
-    Returns (links, tested, (bucket, id) of buckets left open or None).
-    """
-    empty = members.sparkSession.createDataFrame([], "a long, b long")
-    links, tested = links if links is not None else empty, tested if tested is not None else empty
-    for k in range(rounds + 1):
-        if k == 0 and links is empty:
-            labelled = members.select("bucket", "id", F.col("id").alias("label"))
-        else:
-            found = materialize(near_labels(links), f"{tag}-labels")
-            labelled = members.join(found, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-        spread = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-        here = materialize(labelled.join(spread.select("bucket", "n"), "bucket"), f"{tag}-here")
-        if here.isEmpty():
-            return links, tested, None
-        if k < rounds:
-            pick = here.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "label")).alias("p"))
-            pick = pick.select("bucket", F.col("p.id").alias("other"), F.col("p.label").alias("other_label"))
-            pairs = here.join(pick, "bucket").where("label != other_label")
-        else:
-            closing = here if small is None else here.where(F.col("n") <= small)
-            sizes = closing.groupBy("bucket", "label").agg(F.count("*").alias("c"))
-            largest = sizes.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("m")).select("bucket", F.col("m.label").alias("largest"))
-            outside = closing.join(largest, "bucket").where("label != largest").select("bucket", "id", "label")
-            other = closing.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
-            pairs = outside.join(other, "bucket").where("label != other_label")
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), f"{tag}-pairs")
-        tested = pairs if tested is empty else tested.unionByName(pairs)
-        good = materialize(verify(pairs), f"{tag}-links")
-        links = good if links is empty else links.unionByName(good)
-    return links, tested, here.where(F.col("n") > small).select("bucket", "id") if small is not None else None
+        before, out = out, materialize(earlier.join(later, "low", "left").select("node", F.coalesce("lower", "low").alias("low")), "cc-out")
+        discard(before, earlier)
+    return carried(out.withColumnRenamed("low", "component"), out)

@@ -5,24 +5,24 @@ Lines are compared without case and with white space collapsed.  A line is the s
 
 1. One pass gives each line a 64-bit key and minwise signatures, folded into ``bands`` band keys of
    ``rows`` tokens.  All signatures of a batch are computed at once on its rolling hashes.
-2. Distinct lines that share a band key are candidates.  Buckets of one line are dropped by running
-   window values, so a bucket is streamed, never held.
-3. Candidates are verified by exact Jaccard similarity on full lines, bucket by bucket and only as far
-   as they can still join two components (``components.link_buckets``).  For the lines of large buckets
-   that stay divided, such as lines around a common passage, a prefix filter that loses no similar pair
-   gives the candidates.
+2. Distinct lines that share a band key are candidates.
+3. Candidates are verified by exact Jaccard similarity on full lines, only as far as they can still join
+   two components (``linking``).  For the lines of buckets that stay much divided, such as lines around
+   a common passage, a prefix filter that loses no similar pair gives the candidates.
 4. Union-find by contraction (``components``); of each component the first line, by doc_id and line
    number, stays.  Equal lines share a key and need no verification.
 
-The texts for step 3 are read again from the documents: a bitmap of fixed size (``BITS``) over the
-candidates' keys keeps other lines from being shuffled, an exact join follows.
+The texts for step 3 are read again from the documents: a bitmap (``KeyFilter``) over the candidates'
+keys keeps other lines from being shuffled, an exact join follows.
 
 A pair at similarity 0.8 shares a band with probability 1 - (1 - 0.8^4)^10 = 0.995; at 0.9 more than
 0.9999.
 
 Cases: blank lines stay where they are and belong to no group; null text stays null; documents keep
 their row even if no line is left; rows that share a doc_id are taken as one document, whose lines
-stay in all of them or in none; empty tables are fine; other columns pass through.
+stay in all of them or in none; rows without doc_id stay as they are and take no part; lines of any
+length are taken whole; of equal first places, that of the smallest line number stays; empty tables are
+fine; other columns pass through, but for n_lines and n_removed, which are replaced.
 """
 
 from __future__ import annotations
@@ -35,28 +35,30 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shelfloom.llm.common import materialize
-from shelfloom.llm.components import components, link_buckets
+from shelfloom.llm.common import KeyFilter, discard, materialize
+from shelfloom.llm.components import components
+from shelfloom.llm.linking import rest_pairs, shared_members, star_pairs
 
 CHARS = 8
-BITS = 1 << 26
 _RNG = np.random.default_rng(90_017)
 _MULT = _RNG.integers(0, 2**31, 256, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-#: Characters hashed at once.
+#: Characters hashed at once, and texts that a task holds as Python objects.
 BLOCK = 1 << 17
+SLICE = 256
+#: Eight collisions, each of which moves 100 * shared - threshold * union by 200 at most; long lines have more.
+CLOSE = 200 * 8
 
 
 @dataclass(frozen=True)
 class LineSpec:
-    """threshold: per cent of the union of shingles that must be shared.  small: members of a bucket up to
-    which it is compared exhaustively; lines of larger ones that stay divided pass a prefix filter first."""
+    """threshold: per cent of the union of shingles that must be shared.  few: lines outside a bucket's largest
+    component up to which it is compared exhaustively; the lines of others pass a prefix filter first."""
 
     threshold: int = 80
     bands: int = 10
     rows: int = 4
-    small: int = 20
+    few: int = 20
 
 
 def normalize(line: str) -> str:
@@ -125,9 +127,9 @@ def sketch(docs: DataFrame, spec: LineSpec) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # lines whose bands this task has given: repeats need none
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
+            for lo in range(0, b.num_rows, SLICE):
                 ids, numbers, keys, new, at = [], [], [], [], []
-                for doc, text in zip(b.column(0).slice(lo, 500).to_pylist(), b.column(1).slice(lo, 500).to_pylist(), strict=True):
+                for doc, text in zip(b.column(0).slice(lo, SLICE).to_pylist(), b.column(1).slice(lo, SLICE).to_pylist(), strict=True):
                     for number, line in enumerate(text.split("\n") if text else ()):
                         line = normalize(line)
                         if line:
@@ -148,79 +150,109 @@ def sketch(docs: DataFrame, spec: LineSpec) -> DataFrame:
                         bands[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.int64()), pa.array(bands, pa.binary())], names=["doc_id", "line_no", "key", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, line_no int, key long, bands binary")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    return named.mapInArrow(run, "doc_id long, line_no int, key long, bands binary")
 
 
-def _buckets(lines: DataFrame, spec: LineSpec) -> DataFrame:
-    """(bucket, key): one row for each band of each line that has bands."""
+def _buckets(lines: DataFrame, spec: LineSpec, some: KeyFilter | None = None) -> DataFrame:
+    """(bucket, id): one row for each band of each line that has bands, if the band passes ``some``."""
+    shared = lines.sparkSession.sparkContext.broadcast(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = shared.value
         for b in batches:
             if b.num_rows:
                 bands = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
                 keys = np.repeat(b.column(0).to_numpy(), spec.bands)
+                if some is not None:
+                    keep = some.test(bands)
+                    bands, keys = bands[keep], keys[keep]
                 for lo in range(0, len(keys), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(bands[lo : lo + 50_000]), pa.array(keys[lo : lo + 50_000])], names=["bucket", "key"])
+                    yield pa.RecordBatch.from_arrays([pa.array(bands[lo : lo + 50_000]), pa.array(keys[lo : lo + 50_000])], names=["bucket", "id"])
 
-    return lines.where("bands is not null").select("key", "bands").mapInArrow(run, "bucket long, key long")
+    return lines.where("bands is not null").select("key", "bands").mapInArrow(run, "bucket long, id long")
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, line) for a table of distinct keys."""
-    words = keys.select(F.expr(f"int((key & {BITS - 1}) >> 6)").alias("w"), F.expr("shiftleft(1L, int(key & 63))").alias("bit"))
-    found = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bitmap = np.zeros(BITS >> 6, np.int64)
-    bitmap[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast(KeyFilter(keys, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = shared.value, set()
+        some, seen = shared.value, set()
         for b in batches:
-            keys, lines = [], []
-            for text in b.column(0).to_pylist():
-                for line in text.split("\n") if text else ():
-                    line = normalize(line)
-                    if line:
-                        keys.append(line_key(line))
-                        lines.append(line)
-            k = np.array(keys, np.int64)
-            hit = np.flatnonzero((bits[(k & (BITS - 1)) >> 6] >> (k & 63)) & 1) if len(k) else []
-            keep = []
-            for i in hit:
-                if keys[i] not in seen:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen.add(keys[i])
-                    keep.append(int(i))
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in keep], pa.int64()), pa.array([lines[i] for i in keep], pa.string())], names=["key", "line"])
-
-    near = docs.select("text").mapInArrow(run, "key long, line string")
-    return near.join(keys, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line"))
+            for lo in range(0, b.num_rows, SLICE):
+                lines = []
+                for text in b.column(0).slice(lo, SLICE).to_pylist():
+                    if text:
+                        lines += [x for x in map(normalize, text.split("\n")) if x]
+                k = np.array(list(map(line_key, lines)), np.int64)
+                keep = []
+                for i in np.flatnonzero(some.test(k)).tolist():
+                    key = int(k[i])
+                    if key not in seen:
+                        if len(seen) > 1_000_000:
+                            seen.clear()
+                        seen.add(key)
+                        keep.append(i)
+                yield pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array([lines[i] for i in keep], pa.string())], names=["key", "line"])
+
+    near = docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line string")
+    return near.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
 def shingle_set(line: str) -> set[str]:
     return {line[i : i + CHARS] for i in range(max(1, len(line) - CHARS + 1))}
 
 
+def similar(left: list[str], right: list[str], threshold: int) -> np.ndarray:
+    """Which pairs of lines meet the threshold.
+
+    Shingles are compared as 32-bit hashes, all pairs of the block at once.  A collision moves a count by
+    one, so pairs as close to the threshold as some collisions are decided on the shingles themselves.
+    """
+    number = {x: i for i, x in enumerate(dict.fromkeys([*left, *right]))}
+    a, b = (np.array([number[x] for x in side], np.int64) for side in (left, right))
+    h, begin = shingle_hashes(list(number))
+    line = np.repeat(np.arange(len(number)), np.diff(np.append(begin, len(h))))
+    keys = np.sort((line.astype(np.uint64) << np.uint64(32)) | h)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])]
+    size = np.bincount((keys >> np.uint64(32)).astype(np.int64), minlength=len(number))
+    first = np.concatenate([[0], np.cumsum(size)])
+    low = keys & np.uint64(0xFFFFFFFF)
+
+    def of(side: np.ndarray) -> np.ndarray:
+        n = size[side]
+        at = np.repeat(first[side] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return (np.repeat(np.arange(len(side), dtype=np.uint64), n) << np.uint64(32)) | low[at]
+
+    both = np.sort(np.concatenate([of(a), of(b)]))
+    shared = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(32)).astype(np.int64), minlength=len(a))
+    margin = 100 * shared - threshold * (size[a] + size[b] - shared)
+    keep = margin >= 0
+    close = CLOSE * (1 + ((size[a] + size[b]) / (1 << 18)) ** 2)
+    for i in np.flatnonzero(np.abs(margin) <= close).tolist():
+        x, y = shingle_set(left[i]), shingle_set(right[i])
+        keep[i] = 100 * len(x & y) >= threshold * len(x | y)
+    return keep
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) whose lines' exact Jaccard similarity meets the threshold."""
     side = lambda c: texts.select(F.col("key").alias(c), F.col("line").alias(f"l{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = np.zeros(b.num_rows, bool)
-            last, x = None, set()
-            for i, (la, lb) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
-                if la != last:
-                    last, x = la, shingle_set(la)
-                y = shingle_set(lb)
-                if 100 * min(len(x), len(y)) >= threshold * max(len(x), len(y)):
-                    both = len(x & y)
-                    keep[i] = 100 * both >= threshold * (len(x) + len(y) - both)
-            yield b.filter(pa.array(keep)).select(["a", "b"])
+            n = np.asarray(b.column(4)) + np.asarray(b.column(5))
+            reach, lo = np.cumsum(n), 0
+            while lo < b.num_rows:
+                hi = max(int(np.searchsorted(reach, (reach[lo - 1] if lo else 0) + BLOCK, side="right")), lo + 1)
+                part = b.slice(lo, hi - lo)
+                keep = similar(part.column(2).to_pylist(), part.column(3).to_pylist(), threshold)
+                yield part.filter(pa.array(keep)).select(["a", "b"])
+                lo = hi
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "la", "lb")
-    return joined.mapInArrow(run, "a long, b long")
+    joined = pairs.join(side("b"), "b").join(side("a"), "a").withColumns({"na": F.length("la"), "nb": F.length("lb")})
+    return joined.select("a", "b", "la", "lb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
 def _shingles(lines: DataFrame) -> DataFrame:
@@ -253,7 +285,7 @@ def _prefixes(lines: DataFrame, threshold: int) -> DataFrame:
     return ranked.withColumn("pos", pos).where(f"pos <= size - int((size * {threshold}L + 99) div 100) and n > 1").select("shingle", "id", "size", "pos")
 
 
-def _similar_candidates(keys: DataFrame, texts: DataFrame, links: DataFrame, threshold: int) -> DataFrame:
+def _similar_candidates(keys: DataFrame, texts: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     """(a, b): every pair of the lines that may be similar and is not in one component yet.
 
     Lines around a common passage share buckets without being similar.  The prefix filter leaves out only
@@ -261,9 +293,8 @@ def _similar_candidates(keys: DataFrame, texts: DataFrame, links: DataFrame, thr
     remains of the shorter one is too little for the threshold.  Pairs inside a component are left out,
     so a group of copies is compared only with the lines outside it.
     """
-    groups = components(links).select(F.col("node").alias("id"), F.col("component").alias("label"))
     prefixes = _prefixes(texts.join(keys, "key"), threshold)
-    rows = materialize(prefixes.join(groups, "id", "left").withColumn("label", F.coalesce("label", "id")), "ld-prefixes")
+    rows = materialize(prefixes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "ld-prefixes")
     sizes = rows.groupBy("shingle", "label").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("shingle").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
     outside = rows.join(largest.select("shingle", F.col("m.label").alias("largest")), "shingle").where("label != largest").drop("largest")
@@ -273,58 +304,65 @@ def _similar_candidates(keys: DataFrame, texts: DataFrame, links: DataFrame, thr
     return pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
 
 
+def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
+    """(node, component) of the line keys that are similar to others."""
+    members = shared_members(_buckets(lines, spec), "ld", lambda some: _buckets(lines, spec, some))
+    keys = materialize(members.select(F.col("id").alias("key")).distinct(), "ld-keys")
+    texts = materialize(_texts(docs, keys), "ld-texts")
+    discard(keys)
+    verify = lambda pairs: materialize(verified(pairs, texts, spec.threshold), "ld-links")
+    labelled = lambda links: components(links).withColumnsRenamed({"node": "id", "component": "label"})
+    pairs = materialize(star_pairs(members), "ld-pairs")
+    links = verify(pairs)
+    others, rest = rest_pairs(members, labelled(links), spec.few, "ld")
+    discard(members, pairs)
+    links = links.unionByName(verify(others))
+    discard(others)
+    if not rest.isEmpty():
+        keys = materialize(rest.select(F.col("id").alias("key")).distinct(), "ld-keys")
+        candidates = materialize(_similar_candidates(keys, texts, labelled(links), spec.threshold), "ld-pairs")
+        links = links.unionByName(verify(candidates))
+        discard(keys, candidates)
+    discard(rest, texts)
+    return components(links)
+
+
 def kept_lines(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     """(doc_id, lines): the numbers of the lines that stay, blank ones not counted."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = materialize(sketch(docs, spec), "ld-lines")
-    first = F.first("key").over(Window.partitionBy("bucket").orderBy("key"))
-    second = F.lead("key").over(Window.partitionBy("bucket").orderBy("key"))
-    buckets = _buckets(lines, spec).select("bucket", "key", first.alias("first"), second.alias("next"))
-    # Buckets of several distinct lines; a row that repeats its successor goes.
-    buckets = buckets.where("(key != first or next is not null) and (next is null or next != key)").select("bucket", F.col("key").alias("id"), "first", "next")
-    shared = materialize(buckets.where("id != first or next != id").select("bucket", "id"), "ld-buckets")
-    texts = materialize(_texts(docs, materialize(shared.select(F.col("id").alias("key")).distinct(), "ld-keys")), "ld-texts")
-    verify = lambda pairs: verified(pairs, texts, spec.threshold)
-    links, tested, left = link_buckets(shared, verify, "ld", rounds=3, small=spec.small)
-    if left is not None and not left.isEmpty():
-        keys = materialize(left.select(F.col("id").alias("key")).distinct(), "ld-left")
-        pairs = _similar_candidates(keys, texts, links, spec.threshold).join(tested, ["a", "b"], "left_anti")
-        links = links.unionByName(materialize(verify(materialize(pairs, "ld-pairs")), "ld-links"))
-    groups = components(links)
+    groups = _grouped(docs, lines, spec)
     by_key = lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
     low = by_key.join(groups.withColumnRenamed("node", "key"), "key", "left").groupBy(F.coalesce("component", "key").alias("component")).agg(F.min("at").alias("at"))
-    return low.select("at.doc_id", "at.line_no").groupBy("doc_id").agg(F.collect_list("line_no").alias("lines"))
+    # Lines of several rows with one doc_id may share a number: a set is no longer than a document's lines.
+    out = materialize(low.select("at.doc_id", "at.line_no").groupBy("doc_id").agg(F.collect_set("line_no").alias("lines")), "ld-kept")
+    discard(lines, groups)
+    return out
 
 
 def dedup_lines(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     """``docs`` with ``text`` cut to the lines that stay, n_lines and n_removed (lines that are not blank)."""
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     keep = kept_lines(docs, spec).select(F.col("doc_id").alias("__doc"), F.col("lines").alias("__lines"))
-    joined = docs.select(*columns).join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), "left").drop("__doc")
-    fields = [f for f in docs.schema.fields if f.name in columns]
-    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
-    at = columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, total, gone = [], [], []
-            for text, lines in zip(b.column(at).to_pylist(), b.column(len(columns)).to_pylist(), strict=True):
-                if text is None:
-                    texts.append(None)
-                    total.append(0)
-                    gone.append(0)
-                    continue
-                stay, out, n = set(lines or ()), [], 0
-                for i, line in enumerate(text.split("\n")):
-                    if not line or line.isspace():
-                        out.append(line)
+    joined = docs.select(*columns).join(keep, F.col("doc_id").cast("long") == F.col("__doc"), "left")
+
+    @F.arrow_udf("text string, n_lines long, n_removed long")
+    def cut(texts: pa.Array, kept: pa.Array, whole: pa.Array) -> pa.Array:
+        out, total, gone = [], [], []
+        for lo in range(0, len(texts), SLICE):
+            for text, lines, all_stay in zip(*(x.slice(lo, SLICE).to_pylist() for x in (texts, kept, whole)), strict=True):
+                stay, parts, n, lost = set(lines or ()), [], 0, 0
+                for i, line in enumerate(text.split("\n") if text is not None else ()):
+                    blank = not line or line.isspace()
+                    n += not blank
+                    if blank or all_stay or i in stay:
+                        parts.append(line)
                     else:
-                        n += 1
-                        if i in stay:
-                            out.append(line)
-                texts.append("\n".join(out))
+                        lost += 1
+                out.append(None if text is None else "\n".join(parts))
                 total.append(n)
-                gone.append(n - len(stay))
-            made = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*made, pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=[*columns, "n_lines", "n_removed"])
+                gone.append(lost)
+        return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], names=["text", "n_lines", "n_removed"])
 
-    return joined.mapInArrow(run, schema)
+    made = joined.withColumn("__cut", cut("text", "__lines", F.col("doc_id").isNull()))
+    return made.select(*[F.col("__cut.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in columns], "__cut.n_lines", "__cut.n_removed")

@@ -6,26 +6,24 @@ class at once; classes are joined on similarity:
 * Every class has ``COORDS`` minwise tokens.  In each of ``trees`` independent trees, a node (at first
   all classes) picks one or two of these coordinates, 1/threshold on average, by a hash of the node
   alone, and branches its documents by their tokens there.  Two documents of similarity ``threshold``
-  share one child on average, dissimilar ones share fewer at each level.
-* A node's documents are compared exactly, on full sets, as far as they can still join components
-  (``components.link_buckets``): first with a few picked members, which settles groups of copies of
-  any size; then a node of at most ``small`` documents is compared exhaustively across components.
-  Larger nodes that still hold several components branch again; at the last level what is left is
-  compared exhaustively as well, so nothing is capped.
+  share one child on average at any depth, dissimilar ones fewer and fewer.
+* The first comparison is at depth ``DEPTH``.  Documents of a node are compared only as far as they can
+  still join components (``linking``): with the node's ends first, which settles groups of copies of any
+  size, then exhaustively across components where few documents are outside the largest one.  Nodes
+  that stay divided branch ``DEPTH`` levels further; after ``rounds`` of them what is left is compared
+  exhaustively, so nothing is capped.
 * Before the exact check, sketches of the minwise tokens drop pairs that are far off (estimates six
-  standard deviations under the threshold).
+  standard deviations under the threshold).  Only documents of pairs that pass have their full sets
+  made, once, in a second reading of the texts.
 
-With ``trees`` = 12 a pair at the threshold is missed by all first two levels with probability
-0.31 ** 12 (below 1e-6), and by the first alone with 0.19 ** 12.
-
-Rows move as keys; sets are read for documents that share a node with another one only, and never
-meet a hot node's other members except in the pairs that are checked.  Joins on hot nodes have plain
-shuffles on both sides, which adaptive execution splits.
+A pair at the threshold has no common node at depth 2 with probability 0.31 a tree, 0.47 at depth 4 and
+0.56 at depth 6: below 1e-6, 2e-4 and 1e-3 for ``trees`` = 12, and nodes are that deep in hot groups
+only.  Pairs that are more similar are missed far less often.
 
 Cases: null or blank text has the empty set, links with nothing and is its own component; texts
 shorter than a shingle are one shingle; repeated doc_ids are one vertex; a row without doc_id takes its
 class's component and is kept only if no row of the class has an id; equal similarity to the
-threshold links; empty tables give empty results.
+threshold links; empty tables give empty results; columns besides doc_id and text are not used.
 """
 
 from __future__ import annotations
@@ -39,28 +37,46 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import materialize
-from shelfloom.llm.components import components, link_buckets
+from shelfloom.llm.common import KeyFilter, discard, materialize
+from shelfloom.llm.components import components
+from shelfloom.llm.linking import labelled_members, rest_pairs, shared_members, star_pairs
 
 COORDS = 96
+DEPTH = 2
 _SEEDS = np.random.default_rng(7_103)
-_MULT = _SEEDS.integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _SEEDS.integers(0, 2**63, COORDS, dtype=np.uint64)
+_MULT = _SEEDS.integers(0, 2**31, COORDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _SEEDS.integers(0, 2**32, COORDS, dtype=np.uint32)
 WORD_MEMORY = 400_000
+#: Shingles hashed at once for minwise tokens, and texts that a task holds as Python objects.
+CHUNK = 512
+SLICE = 256
 
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """threshold: per cent of the union that must be shared.  words: words in a shingle."""
+    """threshold: per cent of the union that must be shared.  words: words in a shingle.
+
+    few: documents outside a node's largest component up to which it is compared exhaustively.
+    """
 
     threshold: int = 75
     words: int = 5
     trees: int = 12
-    small: int = 200
-    levels: int = 5
+    few: int = 32
+    rounds: int = 4
+
 
+class _Words(dict):
+    """Hash of each word; the long ones are not kept."""
 
-_WORDS: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
+_WORDS = _Words()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -74,18 +90,9 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    known = _WORDS
-    if len(known) > WORD_MEMORY:
-        known.clear()
-    codes = []
-    for w in words:
-        h = known.get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) <= 64:
-                known[w] = h
-        codes.append(h)
-    h = np.array(codes, np.uint64)
+    if len(_WORDS) > WORD_MEMORY:
+        _WORDS.clear()
+    h = np.array(list(map(_WORDS.__getitem__, words)), np.uint64)
     k = min(n, len(h))
     out = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
@@ -95,12 +102,16 @@ def shingles(text: str | None, n: int) -> np.ndarray:
 
 
 def minwise(s: np.ndarray) -> np.ndarray:
-    """COORDS minwise tokens of a set, 64 bits each."""
-    out = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(s), 2048):
-        part = s[i : i + 2048]
-        out = np.minimum(out, (part[None, :] * _MULT[:, None] + _ADD[:, None]).min(axis=1))
-    return _mix(out)
+    """COORDS minwise tokens of a set, 32 bits each."""
+    out = np.full(COORDS, np.iinfo(np.uint32).max, np.uint32)
+    h = (s >> np.uint64(32)).astype(np.uint32)
+    room = np.empty((COORDS, min(len(h), CHUNK)), np.uint32)
+    for i in range(0, len(h), CHUNK):
+        part = h[i : i + CHUNK]
+        tokens = np.multiply(part[None, :], _MULT[:, None], out=room[:, : len(part)])
+        tokens += _ADD[:, None]
+        np.minimum(out, tokens.min(axis=1), out=out)
+    return out
 
 
 def _coordinates(node: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -113,69 +124,82 @@ def _coordinates(node: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.arange(len(node)), first), (both, second)]
 
 
-def _child(node: np.ndarray, coordinate: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return _mix(_mix(node * np.uint64(0x9E3779B97F4A7C15) ^ coordinate) ^ token)
-
-
-def roots(tokens: np.ndarray, trees: int) -> np.ndarray:
-    """The nodes of the first level of all trees, from one document's full tokens."""
-    node = _mix(np.arange(1, trees + 1, dtype=np.uint64))
-    return np.concatenate([_child(node[at], c, tokens[c.astype(np.int64)]) for at, c in _coordinates(node)])
+def branched(node: np.ndarray, who: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, who) ``DEPTH`` levels down; row ``who`` of tokens is the node's document."""
+    for _ in range(DEPTH):
+        children = []
+        for at, c in _coordinates(node):
+            token = tokens[who[at], c.astype(np.int64)].astype(np.uint64)
+            children.append((_mix(_mix(node[at] * np.uint64(0x9E3779B97F4A7C15) ^ c) ^ token), who[at]))
+        node, who = (np.concatenate(x) for x in zip(*children, strict=True))
+    return node, who
 
 
 def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sketch, roots): all but the first two are null for the empty set.
+    """(doc_id, n_shingles, set_key, sketch, nodes): all but the first two are null for the empty set.
 
-    The sketch keeps 16 bits of each token, enough below the first level, where nodes are small.
+    nodes are those at depth ``DEPTH``, from full tokens; the sketch keeps 16 bits of each token, enough
+    for the levels below, where nodes are small.
     """
+    trees = _mix(np.arange(1, spec.trees + 1, dtype=np.uint64))
+    start = np.zeros(spec.trees, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, keys, sketches, first = [], [], [], []
-            for text in b.column(1).to_pylist():
-                s = shingles(text, spec.words)
-                sizes.append(len(s))
-                if len(s):
-                    tokens = minwise(s)
-                    keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    sketches.append((tokens & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
-                    first.append(roots(tokens, spec.trees).tobytes())
-                else:
-                    for x in (keys, sketches, first):
-                        x.append(None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), *[pa.array(x, pa.binary()) for x in (keys, sketches, first)]], names=["doc_id", "n_shingles", "set_key", "sketch", "roots"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary, roots binary")
-
-
-def _first_level(classes: DataFrame) -> DataFrame:
-    """(id, roots) -> (node, id)."""
+            for lo in range(0, b.num_rows, SLICE):
+                sizes, keys, sketches, nodes = [], [], [], []
+                for text in b.column(1).slice(lo, SLICE).to_pylist():
+                    s = shingles(text, spec.words)
+                    sizes.append(len(s))
+                    if len(s):
+                        tokens = minwise(s)
+                        keys.append(xxhash.xxh3_128_digest(s.tobytes()))
+                        sketches.append(tokens.astype(np.uint16).tobytes())
+                        nodes.append(branched(trees, start, tokens[None, :])[0].tobytes())
+                    else:
+                        for x in (keys, sketches, nodes):
+                            x.append(None)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, SLICE), pa.array(sizes, pa.int64()), *[pa.array(x, pa.binary()) for x in (keys, sketches, nodes)]], names=["doc_id", "n_shingles", "set_key", "sketch", "nodes"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary, nodes binary")
+
+
+def _rows(node: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(node), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + 50_000].view(np.int64)), pa.array(ids[lo : lo + 50_000])], names=["bucket", "id"])
+
+
+def _first_nodes(classes: DataFrame, some: KeyFilter | None = None) -> DataFrame:
+    """(id, nodes) -> (bucket, id), of the buckets that pass ``some``."""
+    shared = classes.sparkSession.sparkContext.broadcast(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = shared.value
         for b in batches:
             if b.num_rows:
-                node = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
-                ids = np.repeat(b.column(0).to_numpy(), len(node) // b.num_rows)
-                for lo in range(0, len(node), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(node[lo : lo + 50_000]), pa.array(ids[lo : lo + 50_000])], names=["node", "id"])
+                raw = b.column(1).to_pylist()
+                node = np.frombuffer(b"".join(raw), np.uint64)
+                ids = np.repeat(b.column(0).to_numpy(), [len(x) // 8 for x in raw])
+                if some is not None:
+                    keep = some.test(node)
+                    node, ids = node[keep], ids[keep]
+                yield from _rows(node, ids)
 
-    return classes.select("id", "roots").mapInArrow(run, "node long, id long")
+    return classes.select("id", "nodes").mapInArrow(run, "bucket long, id long")
 
 
-def _branch(nodes: DataFrame) -> DataFrame:
-    """(node, id, sketch) -> (node, id), one level down."""
+def _next_nodes(rest: DataFrame) -> DataFrame:
+    """(bucket, id, sketch) -> (bucket, id), ``DEPTH`` levels down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            tokens = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint16).reshape(-1, COORDS)
-            node, ids = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
-            for at, c in _coordinates(node):
-                child = _child(node[at], c, tokens[at, c.astype(np.int64)].astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(ids[at])], names=["node", "id"])
+            for lo in range(0, b.num_rows, 5_000):
+                part = b.slice(lo, 5_000)
+                tokens = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint16).reshape(-1, COORDS)
+                node, who = branched(part.column(0).to_numpy().view(np.uint64), np.arange(part.num_rows), tokens)
+                yield from _rows(node, part.column(1).to_numpy()[who])
 
-    return nodes.select("node", "id", "sketch").mapInArrow(run, "node long, id long")
+    return rest.select("bucket", "id", "sketch").mapInArrow(run, "bucket long, id long")
 
 
 def _far(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
@@ -219,50 +243,108 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def similar(classes: DataFrame, sets_of, spec: JoinSpec) -> DataFrame | None:
-    """Links (a, b) between classes (id, sketch, roots) that join all that the threshold joins.
-
-    sets_of(ids) gives (id, s) for a table of ids; it is asked once, for classes that share a node.
-    """
-    nodes, links, sets, tested = None, None, None, None
-    for level in range(1, spec.levels + 1):
-        nodes = materialize(_first_level(classes) if level == 1 else _branch(nodes), "nd-nodes")
-        counts = materialize(nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node"), "nd-counts")
-        members = materialize(nodes.join(counts, "node").select(F.col("node").alias("bucket"), "id").distinct(), "nd-members")
+class _Sets:
+    """Full sets of the documents that were asked for so far, each made once."""
+
+    def __init__(self, docs: DataFrame, spec: JoinSpec):
+        self.docs, self.spec, self.parts = docs, spec, []
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """(id, s) for at least all ends of the pairs."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        for part in self.parts:
+            ids = ids.join(part.select("id"), "id", "left_anti")
+        ids = materialize(ids, "nd-ids")
+        if not ids.isEmpty():
+            some = self.docs.sparkSession.sparkContext.broadcast(KeyFilter(ids, "id"))
+            words = self.spec.words
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                seen: set[tuple] = set()  # rows of one doc_id and text: one is enough
+                for b in batches:
+                    at = np.flatnonzero(some.value.test(b.column(0).to_numpy()))
+                    for lo in range(0, len(at), SLICE):
+                        part = b.take(pa.array(at[lo : lo + SLICE]))
+                        ids, sets = [], []
+                        for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                            s = shingles(t, words).tobytes()
+                            key = (i, xxhash.xxh3_128_digest(s))
+                            if s and key not in seen:
+                                if len(seen) > 500_000:
+                                    seen.clear()
+                                seen.add(key)
+                                ids.append(i)
+                                sets.append(s)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "s"])
+
+            known = self.docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "id long, s binary")
+            self.parts.append(materialize(known.join(ids, "id", "left_semi"), "nd-sets"))
+        discard(ids)
+        out = self.parts[0]
+        for part in self.parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+
+def similar(classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame | None:
+    """(node, component) of the classes (id, sketch, nodes) that the threshold joins; None if it joins none."""
+    sets, found, labels = _Sets(docs, spec), [], None
+    empty = classes.sparkSession.createDataFrame([], "id long, label long")
+
+    def verify(pairs: DataFrame) -> None:
+        near = materialize(_far(pairs, classes, spec.threshold), "nd-near")
+        if not near.isEmpty():
+            found.append(materialize(linked(near, sets.of(near), spec.threshold), "nd-links"))
+        discard(near)
+
+    def joined() -> DataFrame:
+        links = found[0]
+        for more in found[1:]:
+            links = links.unionByName(more)
+        return components(links)
+
+    members = shared_members(_first_nodes(classes), "nd", lambda some: _first_nodes(classes, some))
+    for k in range(1, spec.rounds + 1):
         if members.isEmpty():
             break
-        if sets is None:
-            sets = materialize(sets_of(members.select("id").distinct()), "nd-sets")
-        verify = lambda pairs: linked(materialize(_far(pairs, classes, spec.threshold), "nd-near"), sets, spec.threshold)  # noqa: E731, B023
-        small = None if level == spec.levels else spec.small
-        links, tested, left = link_buckets(members, verify, "nd", links, tested, small=small)
-        if left is None or left.isEmpty():
+        before = len(found)
+        pairs = materialize(star_pairs(members), "nd-pairs")
+        verify(pairs)
+        if len(found) > before:
+            discard(labels)
+            labels = joined()
+        known = labels.withColumnsRenamed({"node": "id", "component": "label"}) if labels is not None else empty
+        others, rest = rest_pairs(members, known, None if k == spec.rounds else spec.few, "nd")
+        verify(others)
+        discard(pairs, others, members)
+        if rest.isEmpty():
             break
-        nodes = materialize(left.withColumnRenamed("bucket", "node").join(classes.select("id", "sketch"), "id").select("node", "id", "sketch"), "nd-left")
-    return links
+        deeper = _next_nodes(rest.join(classes.select("id", "sketch"), "id"))
+        named = materialize(deeper.join(known, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label")), "nd-nodes")
+        members = labelled_members(named, "nd")
+        discard(rest, named)
+    discard(labels)
+    out = joined() if found else None
+    discard(*found, *sets.parts)
+    return out
 
 
 def near_duplicates(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profiles = materialize(profile(docs, spec), "nd-profiles")
-    groups = profiles.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min("sketch").alias("sketch"), F.min("roots").alias("roots"))
-    groups = materialize(groups, "nd-classes")
-    classes = groups.select("id", "sketch", "roots").where("id is not null")
-
-    def sets_of(ids: DataFrame) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, spec.words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["id", "s"])
-
-        picked = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-        return picked.mapInArrow(run, "id long, s binary")
-
-    links = similar(classes, sets_of, spec)
-    merged = components(links) if links is not None else None
-    if merged is None:
-        merged = docs.sparkSession.createDataFrame([], "node long, component long")
-    low = materialize(groups.select("set_key", "id").join(merged, F.col("id") == F.col("node"), "left").select("set_key", F.coalesce("component", "id").alias("low")), "nd-low")
+    least = profiles.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"))
+    groups = materialize(least, "nd-groups")
+    # Rows of one class have one sketch; of several rows with the class's id, any one will do.
+    own = profiles.where("set_key is not null").select("doc_id", "set_key", "sketch", "nodes")
+    first = groups.where("id is not null").select(F.col("set_key").alias("key"), "id")
+    classes = own.join(first, (own["set_key"] == first["key"]) & (own["doc_id"] == first["id"])).select("id", "sketch", "nodes")
+    classes = materialize(classes.dropDuplicates(["id", "sketch"]), "nd-classes")
+    merged = similar(classes, docs, spec)
+    discard(classes)
+    merged = merged if merged is not None else docs.sparkSession.createDataFrame([], "node long, component long")
+    low = materialize(groups.join(merged, F.col("id") == F.col("node"), "left").select("set_key", F.coalesce("component", "id").alias("low")), "nd-low")
+    discard(groups, merged)
     out = profiles.select("doc_id", "n_shingles", "set_key").join(low, "set_key", "left")
     component = F.coalesce("low", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
