@@ -134,6 +134,40 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert none == [] and language_id.predict(docs.select("doc_id", "text"), none, empty).where("lang_pred != 'und'").count() == 0
 
 
+def test_language_profiles_equal_brute_force(spark):
+    rnd = random.Random(31)
+    alphabets = {"aa": "abcde", "bb": "abcxy", "cc": "кабия", "dd": "一二三丁十"}
+    say = lambda g, n: " ".join("".join(rnd.choice(alphabets[g]) for _ in range(rnd.randrange(1, 6))) for _ in range(n))
+    rows = [(i, g, say(g, 30)) for i, g in enumerate(["aa", "bb", "cc", "dd"] * 8)] + [(90, None, "abc"), (91, "aa", None), (92, "aa", say("aa", 5)), (92, "aa", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    roll = lambda c, k: np.roll(language_id.letter_vector(ord(c) if c != " " else 0).astype(np.int64), k)
+
+    def bundle(text):
+        text = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        words = f" {' '.join(text.split())} "
+        return sum((roll(words[i], 2) * roll(words[i + 1], 1) * roll(words[i + 2], 0) for i in range(len(words) - 2)), np.zeros(language_id.DIMS, np.int64))
+
+    want = {g: sum(bundle(t) for _, h, t in rows if h == g and t) for g in alphabets}
+    langs, protos = language_id.train(docs)
+    assert langs == sorted(want) and all((protos[k] == want[g]).all() for k, g in enumerate(langs))
+    unit = np.array([want[g] / np.linalg.norm(want[g]) for g in langs])
+    unit -= unit.mean(axis=0)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    for r in language_id.predict(docs, langs, protos).join(docs.select("doc_id", "text").distinct(), "doc_id").where("doc_id < 90").collect():
+        v = bundle(r.text)
+        cos = unit @ v / np.linalg.norm(v)
+        assert r.lang_pred == langs[int(np.argmax(cos))] and abs(r.score - (1 + cos.max()) / 2) < 1e-9
+    # Several passes give the same, and of equal prototypes the first by name wins.
+    twice, both = sorted([*langs, "a0"]), np.array([want[g if g != "a0" else "aa"] for g in sorted([*langs, "a0"])], np.float64)
+    assert {r.lang_pred for r in language_id.predict(docs.where("lang = 'aa' and text is not null"), twice, both).collect()} <= {"a0", "bb"}
+    block, language_id.BLOCK = language_id.BLOCK, 2
+    try:
+        again = {(r.doc_id, r.lang_pred) for r in language_id.predict(docs.where("doc_id < 90"), langs, protos).collect()}
+    finally:
+        language_id.BLOCK = block
+    assert again == {(r.doc_id, r.lang_pred) for r in language_id.predict(docs.where("doc_id < 90"), langs, protos).collect()}
+
+
 # op4
 def test_warc_round_trip(spark):
     big = "<p>" + "é\r\n\r\nWARC/1.1\r\n" * 20
