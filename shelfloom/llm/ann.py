@@ -7,7 +7,8 @@
   product in each subtree: q.c + |q| * radius, for the centre and radius of the subtree's sample.
   Leaves leave the queue in the order in which they should be visited.
 * The number of leaf visits is calibrated: sample queries are answered exactly, over all rows, and
-  visits widen (by half each time, up to all leaves, which is exact) until their recall reaches ``target``.
+  visits widen, one leaf at a time, until they reach the leaves of ``target`` of the true neighbours (all
+  leaves, if need be, which is exact).
 * Scores are inner products of the original vectors in double precision.
 
 Index rows are split into blocks of about ``BLOCK_ROWS`` by a hash inside their leaf, so a leaf that
@@ -24,13 +25,14 @@ give fewer results; an empty table gives none.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import materialize
@@ -38,7 +40,7 @@ from shelfloom.llm.common import materialize
 SAMPLE = 20_000
 CALIBRATION = 64
 BLOCK_ROWS = 4_096
-#: Queries of one part of the search; more queries make more parts, and each reads the index once.
+#: Queries of one part of a leaf; more queries make more parts, and each reads the leaf once.
 PART_QUERIES = 100_000
 
 
@@ -172,10 +174,9 @@ FOUND = "query_id long, vec_id long, score double"
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
-    """Best k of each query: bounded groups, k rows for each block visited."""
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
-    ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("pos", "b"))
-    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    """Best k of each query; the limit on the rank is taken before the shuffle, too."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def exact(rows: DataFrame, queries: pd.DataFrame, k: int) -> DataFrame:
@@ -207,21 +208,42 @@ def visit_table(queries: DataFrame, tree, visits: int) -> DataFrame:
     return queries.select("id", "v").mapInArrow(run, f"leaf int, id long, v {queries.schema['v'].dataType.simpleString()}")
 
 
-def _search(index: DataFrame, sizes: DataFrame, queries: DataFrame, tree, visits: int, k: int, parts: int = 1) -> DataFrame:
-    """Joins queries with the blocks of the leaves that they visit."""
-    part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part")
-    wanted = visit_table(queries, tree, visits).withColumnsRenamed({"id": "query_id", "v": "q"})
+def _search(index: DataFrame, sizes: DataFrame, queries: DataFrame, tree, visits: int, k: int) -> DataFrame:
+    """Joins queries with the blocks of the leaves that they visit.
+
+    A leaf that more than ``PART_QUERIES`` queries visit has them in several parts, each of which meets
+    all its blocks; others are read once.
+    """
+    wanted = materialize(visit_table(queries, tree, visits).withColumnsRenamed({"id": "query_id", "v": "q"}), "ann-wanted")
+    parts = wanted.groupBy("leaf").agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("parts"))
+    plan = materialize(sizes.join(parts, "leaf"), "ann-plan")
     # A query goes to every block of the leaf.
-    wanted = wanted.join(sizes, "leaf").select(part, "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query_id", "q")
-    index = index.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), *index.columns) if parts > 1 else index.select(F.lit(0).alias("part"), *index.columns)
+    blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    asked = wanted.join(plan, "leaf").select("leaf", blocks, F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("part"), "query_id", "q")
+    rows = index.join(plan.select("leaf", "parts"), "leaf").select("leaf", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "v")
 
     def run(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(rows):
             return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         return _best(asked["query_id"].to_numpy(), np.array(asked["q"].tolist(), np.float64), rows["id"].to_numpy(), np.array(rows["v"].tolist(), np.float64), k)
 
-    keys = ["part", "leaf", "block"]
-    return _merge(wanted.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInPandas(run, FOUND), k)
+    keys = ["leaf", "block", "part"]
+    return _merge(asked.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(run, FOUND), k)
+
+
+def calibrated(tree: Tree, trial: pd.DataFrame, truth: pd.DataFrame, target: float) -> int:
+    """The fewest leaf visits with which the trial queries find ``target`` of their true neighbours.
+
+    truth: (query_id, leaf) of each true neighbour.  A query's whole visiting order is known from the
+    tree, so no search has to be run.
+    """
+    needed = []
+    for i, v in zip(trial["id"], trial["v"], strict=True):
+        place = np.empty(tree.leaves, np.int64)
+        place[tree.visit(np.array(v, np.float64), tree.leaves)] = np.arange(1, tree.leaves + 1)
+        needed.append(place[truth.loc[truth["query_id"] == i, "leaf"].to_numpy(np.int64)])
+    needed = np.sort(np.concatenate(needed)) if needed else np.empty(0, np.int64)
+    return int(needed[min(len(needed) - 1, math.ceil(target * len(needed)))]) if len(needed) else 1
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str = "vec_id", vector: str = "embedding", spec: TreeSpec = TreeSpec()) -> DataFrame:
@@ -244,17 +266,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str
     placed = materialize(rows.mapInArrow(place, f"leaf int, id long, v {kind}"), "ann-placed")
     sizes = materialize(placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "ann-sizes")
     index = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v")
-    trial = sample.head(CALIBRATION)
-    truth = exact(rows, trial, k).toPandas()
-    trials = rows.join(spark.createDataFrame(trial[["id"]], "id long").distinct(), "id").select("id", "v")
-    visits = max(1, fitted.leaves // 8)
-    while visits < fitted.leaves:
-        got = _search(index, sizes, trials, tree, visits, k).toPandas()
-        # Rows as good as the true last one count as found.
-        least = truth.groupby("query_id")["score"].min()
-        hits = (got["score"] >= got["query_id"].map(least) - 1e-12).sum()
-        if hits >= spec.target * len(truth):
-            break
-        visits = visits * 3 // 2 + 1
-    parts = max(1, -(-asked.count() // PART_QUERIES))
-    return _search(index, sizes, asked, tree, min(visits, fitted.leaves), k, parts)
+    trial = sample.drop_duplicates("id").head(CALIBRATION)
+    truth = exact(rows, trial, k).join(placed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "leaf").toPandas()
+    visits = calibrated(fitted, trial, truth, spec.target)
+    return _search(index, sizes, asked, tree, visits, k)

@@ -46,7 +46,10 @@ DEPTH = 2
 _SEEDS = np.random.default_rng(7_103)
 _MULT = _SEEDS.integers(0, 2**31, COORDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _SEEDS.integers(0, 2**32, COORDS, dtype=np.uint32)
-WORD_MEMORY = 400_000
+#: Ids (8 bytes each) up to which a table of them is broadcast.
+BROADCAST_IDS = 1 << 17
+#: Bytes of text hashed at once.
+PIECE = 1 << 20
 #: Shingles hashed at once for minwise tokens, and texts that a task holds as Python objects.
 CHUNK = 512
 SLICE = 256
@@ -66,39 +69,77 @@ class JoinSpec:
     rounds: int = 4
 
 
-class _Words(dict):
-    """Hash of each word; the long ones are not kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_WORDS = _Words()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles; A-Z lower-cased, words cut at ASCII white space."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(_WORDS) > WORD_MEMORY:
-        _WORDS.clear()
-    h = np.array(list(map(_WORDS.__getitem__, words)), np.uint64)
-    k = min(n, len(h))
-    out = np.full(len(h) - k + 1, k, np.uint64)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
+
+
+#: Words are hashed all at once: differences of running sums of (random number of a byte) * BASE ** position.
+_BASE = 0x9E3779B97F4A7C15
+_UP, _DOWN = _powers(_BASE, PIECE), _powers(pow(_BASE, -1, 1 << 64), PIECE)
+_BYTE = _SEEDS.integers(0, 2**63, 256, dtype=np.uint64)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as lower case
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+
+
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, where it begins), words cut at ASCII white space."""
+    raw = np.frombuffer(data, np.uint8)
+    if not len(raw):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[raw], [True]])))
+    start, end = edge[::2], edge[1::2]
+    out, lo = np.empty(len(start), np.uint64), 0
+    while lo < len(start):
+        # As many words as PIECE bytes hold; a longer word is hashed on its own.
+        hi = int(np.searchsorted(end, start[lo] + PIECE, side="right"))
+        if hi == lo:
+            out[lo] = xxhash.xxh3_64_intdigest(bytes(raw[start[lo] : end[lo]]).lower(), 1)
+            lo += 1
+            continue
+        at = int(start[lo])
+        piece = raw[at : int(end[hi - 1])]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[piece] * _UP[: len(piece)], dtype=np.uint64)])
+        first, last = start[lo:hi] - at, end[lo:hi] - at
+        out[lo:hi] = _mix((sums[last] - sums[first]) * _DOWN[first] + (last - first).astype(np.uint64))
+        lo = hi
+    return out, start
+
+
+def _folded(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all windows of k words."""
+    n = len(h) - k + 1
+    out = np.full(n, k, np.uint64)
     for i in range(k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - k + 1 + i]
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : n + i]
         out ^= out >> np.uint64(29)
-    return np.unique(_mix(out))
+    return _mix(out)
+
+
+def shingles(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the n-word shingles of each text; A-Z lower-cased, words cut at ASCII white space."""
+    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    out: list[np.ndarray] = []
+    lo = 0
+    while lo < len(raw):
+        hi, size = lo, 0
+        while hi < len(raw) and (hi == lo or size + len(raw[hi]) < PIECE):
+            size += len(raw[hi]) + 1
+            hi += 1
+        h, start = _words(b" ".join(raw[lo:hi]))
+        bounds = np.searchsorted(start, np.cumsum([0, *(len(r) + 1 for r in raw[lo:hi])]))
+        full = _folded(h, n) if len(h) >= n else h[:0]
+        for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            part = full[x : y - n + 1] if y - x >= n else _folded(h[x:y], y - x) if y > x else h[:0]
+            out.append(np.unique(part))
+        lo = hi
+    return out
 
 
 def minwise(s: np.ndarray) -> np.ndarray:
@@ -142,23 +183,23 @@ def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
     for the levels below, where nodes are small.
     """
     trees = _mix(np.arange(1, spec.trees + 1, dtype=np.uint64))
-    start = np.zeros(spec.trees, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, SLICE):
-                sizes, keys, sketches, nodes = [], [], [], []
-                for text in b.column(1).slice(lo, SLICE).to_pylist():
-                    s = shingles(text, spec.words)
-                    sizes.append(len(s))
-                    if len(s):
-                        tokens = minwise(s)
-                        keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                        sketches.append(tokens.astype(np.uint16).tobytes())
-                        nodes.append(branched(trees, start, tokens[None, :])[0].tobytes())
-                    else:
-                        for x in (keys, sketches, nodes):
-                            x.append(None)
+                sets = shingles(b.column(1).slice(lo, SLICE).to_pylist(), spec.words)
+                sizes = [len(x) for x in sets]
+                keys, sketches, nodes = ([None] * len(sets) for _ in range(3))
+                some = [i for i, x in enumerate(sets) if len(x)]
+                if some:
+                    tokens = np.array([minwise(sets[i]) for i in some])
+                    node, who = branched(np.tile(trees, len(some)), np.repeat(np.arange(len(some)), spec.trees), tokens)
+                    order = np.argsort(who, kind="stable")
+                    node, cut = node[order], np.searchsorted(who[order], np.arange(len(some) + 1))
+                    for k, i in enumerate(some):
+                        keys[i] = xxhash.xxh3_128_digest(sets[i].tobytes())
+                        sketches[i] = tokens[k].astype(np.uint16).tobytes()
+                        nodes[i] = node[cut[k] : cut[k + 1]].tobytes()
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, SLICE), pa.array(sizes, pa.int64()), *[pa.array(x, pa.binary()) for x in (keys, sketches, nodes)]], names=["doc_id", "n_shingles", "set_key", "sketch", "nodes"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary, nodes binary")
@@ -255,9 +296,13 @@ class _Sets:
         for part in self.parts:
             ids = ids.join(part.select("id"), "id", "left_anti")
         ids = materialize(ids, "nd-ids")
-        if not ids.isEmpty():
+        n = ids.count()
+        if n:
+            words, named = self.spec.words, self.docs.where("doc_id is not null").select("doc_id", "text")
+            few = n <= BROADCAST_IDS
+            if few:  # of a checked size: other texts need not go to Python
+                named = named.join(F.broadcast(ids), named["doc_id"] == ids["id"], "left_semi")
             some = self.docs.sparkSession.sparkContext.broadcast(KeyFilter(ids, "id"))
-            words = self.spec.words
 
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen: set[tuple] = set()  # rows of one doc_id and text: one is enough
@@ -266,8 +311,8 @@ class _Sets:
                     for lo in range(0, len(at), SLICE):
                         part = b.take(pa.array(at[lo : lo + SLICE]))
                         ids, sets = [], []
-                        for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                            s = shingles(t, words).tobytes()
+                        for i, made in zip(part.column(0).to_pylist(), shingles(part.column(1).to_pylist(), words), strict=True):
+                            s = made.tobytes()
                             key = (i, xxhash.xxh3_128_digest(s))
                             if s and key not in seen:
                                 if len(seen) > 500_000:
@@ -277,8 +322,8 @@ class _Sets:
                                 sets.append(s)
                         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "s"])
 
-            known = self.docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "id long, s binary")
-            self.parts.append(materialize(known.join(ids, "id", "left_semi"), "nd-sets"))
+            known = named.mapInArrow(run, "id long, s binary")
+            self.parts.append(materialize(known if few else known.join(ids, "id", "left_semi"), "nd-sets"))
         discard(ids)
         out = self.parts[0]
         for part in self.parts[1:]:

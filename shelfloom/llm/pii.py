@@ -1,25 +1,30 @@
 """Personal data: fixed patterns, and terms that disclose them (information-theoretic sanitisation).
 
 *Entities* are found by patterns: e-mail addresses, IPv4 addresses, payment cards (Luhn) and phone
-numbers.  *Terms* that give an entity away are found from the corpus: for every entity value the words
-in its neighbourhood are counted, and a term's disclosure of the entity is the information that the
-term carries about it as a share of the entity's own information,
+numbers.  *Terms* that give an entity away are found from the corpus.  With
 
-    I(term; entity) / I(entity) >= level   in the form   near(term, entity) / all(term) >= ``disclosure``:
+    p(e)     the share of all words of the corpus that stand beside entity e,
+    p(e | t) the share of the uses of term t that stand beside e,
 
-the share of the term's uses that stand beside that entity.  Both sides count *distinct* uses (the
-term with its neighbours), so copies of a text are one piece of evidence, and at least ``support`` of
-them must be near the entity.  Everything is counted over all documents.  Terms over the threshold
-become spans of kind ``term`` wherever they occur; ``sanitize`` generalises entities to their kind and
-removes terms.
+an entity's information content is IC(e) = -log p(e), a term's information about it is the pointwise
+mutual information PMI(t; e) = log p(e | t) / p(e), and t discloses e if
+
+    PMI(t; e) >= ``disclosure`` * IC(e):
+
+a term that stands beside e only has PMI = IC; rare entities are given away by less certain terms than
+common ones.  Uses are *distinct* ones (the term with its neighbours), so copies of a text are one piece
+of evidence, and at least ``support`` of them must be near the entity.  Everything is counted over all
+documents.  Terms over the threshold become spans of kind ``term`` wherever they occur; ``sanitize``
+generalises entities to their kind and removes terms.
 
 Terms travel to the tasks in blocks of at most ``MAX_TERMS``; more terms make more passes over the
 rows in place, never a larger broadcast.  A term whose uses in one task already exceed what its
-threshold allows is reported as common at once, which decides it exactly and keeps shuffles small.
+threshold allows is not counted further, which decides it exactly and keeps shuffles small.
 
 Cases: null and empty texts have no spans; entities of one kind do not overlap, of several kinds may;
 terms inside an entity are not reported; repeated rows are treated alike; an empty table is fine;
-long digit or letter runs are handled in linear time.
+long digit or letter runs are handled in linear time; columns named like the output are replaced, others
+pass through.
 """
 
 from __future__ import annotations
@@ -34,10 +39,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfloom.llm.common import materialize
+from shelfloom.llm.common import discard, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TERMS = 200_000
+#: Texts that a task holds as Python objects at once.
+SLICE = 256
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -56,7 +63,7 @@ class DisclosureSpec:
     window: int = 60
     words: int = 4
     support: int = 3
-    disclosure: float = 0.5
+    disclosure: float = 0.95
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -125,7 +132,7 @@ def neighbours(docs: DataFrame, spec: DisclosureSpec) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = set()
-            for text in b.column(0).to_pylist():
+            for text in (t for lo in range(0, b.num_rows, SLICE) for t in b.column(0).slice(lo, SLICE).to_pylist()):
                 found = entities(text)
                 if not found:
                     continue
@@ -160,20 +167,31 @@ def _blocks(terms: DataFrame, value: str) -> Iterator[dict]:
 
 
 def disclosing_terms(docs: DataFrame, spec: DisclosureSpec = DisclosureSpec()) -> DataFrame:
-    """(term, near, uses): terms of which at least ``disclosure`` of all uses stand beside one entity."""
-    pairs = neighbours(docs, spec).groupBy("entity", "term").agg(F.count("*").alias("n"))
-    near = materialize(pairs.where(F.col("n") >= spec.support).groupBy("term").agg(F.max("n").alias("near")), "pii-near")
+    """(term, near, uses, pmi, ic): terms whose information about an entity is at least ``disclosure`` of the entity's own.
+
+    near, pmi and ic (in nats) are those of the entity that the term gives away most surely.
+    """
     spark = docs.sparkSession
+    words = docs.agg(F.sum(F.regexp_count("text", F.lit(r"\p{L}{3,}"))).alias("n")).collect()[0]["n"] or 0
+    pairs = materialize(neighbours(docs, spec).groupBy("entity", "term").agg(F.count("*").alias("n")), "pii-pairs")
+    beside = pairs.groupBy("entity").agg(F.sum("n").alias("beside"))
+    # More distinct uses than words cannot be, but a window may cut words otherwise: never below zero.
+    ic = F.greatest(F.log(F.lit(float(words)) / F.col("beside")), F.lit(0.0))
+    # PMI >= d * IC  is  uses <= near * exp((1 - d) * IC): what a term may have at most, by its best entity.
+    best = pairs.where(F.col("n") >= spec.support).join(beside, "entity").select("term", "n", ic.alias("ic"))
+    best = best.withColumn("allowed", F.floor(F.col("n") * F.exp((1 - spec.disclosure) * F.col("ic"))).cast("long"))
+    best = best.groupBy("term").agg(F.max(F.struct("allowed", F.col("n").alias("near"), "ic")).alias("b"))
+    near = materialize(best.select("term", "b.allowed", "b.near", "b.ic"), "pii-near")
+    discard(pairs)
     out = None
-    for block in _blocks(near, "near"):
+    for block in _blocks(near, "allowed"):
         model = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            near = model.value
-            seen: dict[str, set[int]] = {t: set() for t in near}
-            allowed = {t: int(n / spec.disclosure) for t, n in near.items()}
+            allowed = model.value
+            seen: dict[str, set[int]] = {t: set() for t in allowed}
             for b in batches:
-                for text in b.column(0).to_pylist():
+                for text in (t for lo in range(0, b.num_rows, SLICE) for t in b.column(0).slice(lo, SLICE).to_pylist()):
                     words = WORD.findall(lowered(text)) if text else []
                     for k, w in enumerate(words):
                         uses = seen.get(w)
@@ -189,62 +207,60 @@ def disclosing_terms(docs: DataFrame, spec: DisclosureSpec = DisclosureSpec()) -
         counted = docs.select("text").mapInArrow(run, "term string, use long").distinct().groupBy("term").agg(F.count("*").alias("uses"))
         out = counted if out is None else out.unionByName(counted)
     if out is None:
-        return spark.createDataFrame([], "term string, near long, uses long")
-    return near.join(out, "term").select("term", "near", "uses").where(F.col("near") >= spec.disclosure * F.col("uses"))
+        return spark.createDataFrame([], "term string, near long, uses long, pmi double, ic double")
+    pmi = F.log(F.col("near") / F.col("uses")) + F.col("ic")
+    return near.join(out, "term").where("uses <= allowed").select("term", "near", "uses", pmi.alias("pmi"), "ic")
 
 
 def detect(df: DataFrame, terms: DataFrame | None = None, out: str = "spans") -> DataFrame:
     """``df`` (with ``text``) and a column ``out``: array of (kind, start, end), entities first, then terms."""
-    df = df.drop(out)
-    schema = T.StructType([*df.schema.fields, T.StructField(out, SPANS, False)])
-    at = df.columns.index("text")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in entities(t)] for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(spans, _SPAN_TYPE)], names=schema.fieldNames())
-
-    found = df.mapInArrow(first, schema)
+    found = df.drop(out).withColumn(out, _base_spans("text"))
     for block in _blocks(terms.withColumn("one", F.lit(1)), "one") if terms is not None else ():
-        model = df.sparkSession.sparkContext.broadcast(block)
-
-        def more(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
-            block = model.value
-            for b in batches:
-                spans = b.column(b.num_columns - 1).to_pylist()
-                for text, own in zip(b.column(at).to_pylist(), spans, strict=True):
-                    if not text:
-                        continue
-                    low = lowered(text)
-                    taken = sorted((s["start"], s["end"]) for s in own)
-                    for m in WORD.finditer(low):
-                        if m[0] in block and not any(s < m.end() and m.start() < e for s, e in taken):
-                            own.append({"kind": "term", "start": m.start(), "end": m.end()})
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(spans, _SPAN_TYPE)], names=schema.fieldNames())
-
-        found = found.mapInArrow(more, schema)
+        found = found.withColumn(out, _term_spans(df.sparkSession.sparkContext.broadcast(block))("text", out))
     return found
 
 
+@F.arrow_udf(SPANS)
+def _base_spans(texts: pa.Array) -> pa.Array:
+    spans = []
+    for lo in range(0, len(texts), SLICE):
+        spans += [[{"kind": k, "start": s, "end": e} for k, s, e in entities(t)] for t in texts.slice(lo, SLICE).to_pylist()]
+    return pa.array(spans, _SPAN_TYPE)
+
+
+def _term_spans(model):
+    @F.arrow_udf(SPANS)
+    def more(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        block, out = model.value, []
+        for lo in range(0, len(texts), SLICE):
+            for text, own in zip(texts.slice(lo, SLICE).to_pylist(), spans.slice(lo, SLICE).to_pylist(), strict=True):
+                taken = sorted((s["start"], s["end"]) for s in own)
+                for m in WORD.finditer(lowered(text)) if text else ():
+                    if m[0] in block and not any(s < m.end() and m.start() < e for s, e in taken):
+                        own.append({"kind": "term", "start": m.start(), "end": m.end()})
+                out.append(own)
+        return pa.array(out, _SPAN_TYPE)
+
+    return more
+
+
+@F.arrow_udf(T.StringType())
+def _sanitized(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    out = []
+    for lo in range(0, len(texts), SLICE):
+        for text, own in zip(texts.slice(lo, SLICE).to_pylist(), spans.slice(lo, SLICE).to_pylist(), strict=True):
+            parts, free = [], 0
+            for s in sorted(own or (), key=lambda s: (s["start"], -s["end"])):
+                if s["start"] >= free and text is not None:
+                    parts += [text[free : s["start"]], "" if s["kind"] == "term" else f"<{s['kind'].upper()}>"]
+                    free = s["end"]
+            out.append(None if text is None else "".join(parts) + text[free:])
+    return pa.array(out, pa.string())
+
+
 def sanitize(df: DataFrame, spans: str = "spans", out: str = "clean_text") -> DataFrame:
     """``df`` with ``out``: entities generalised to ``<KIND>``, disclosing terms removed."""
-    df = df.drop(out)
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
-    at, where = df.columns.index("text"), df.columns.index(spans)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = []
-            for text, own in zip(b.column(at).to_pylist(), b.column(where).to_pylist(), strict=True):
-                parts, free = [], 0
-                for s in sorted(own or (), key=lambda s: (s["start"], -s["end"])):
-                    if s["start"] >= free:
-                        parts += [text[free : s["start"]], "" if s["kind"] == "term" else f"<{s['kind'].upper()}>"]
-                        free = s["end"]
-                texts.append(None if text is None else "".join(parts) + text[free:])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=schema.fieldNames())
-
-    return df.mapInArrow(run, schema)
+    return df.drop(out).withColumn(out, _sanitized("text", spans))
 
 
 def joined(spans: Column) -> Column:

@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -214,6 +216,36 @@ def test_components_of_random_graphs(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
+def word_shingles(text):
+    w = text.encode().lower().split() if text else []
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_word_shingles_are_those_of_the_definition():
+    rnd = random.Random(51)
+    texts = [*EDGE, "\x85a\xa0b c", "A\x0bb\x0cC d\x1ce f", "x" * 1_500_000 + " tail", "ab " * 500_000]
+    texts += ["".join(rnd.choice(["ab", "AB", "c", " ", "\t", "\n", "é", "É"]) for _ in range(rnd.randrange(60))) for _ in range(300)]
+    got = near_dup.shingles(texts, 5)
+    known = {}
+    for t, s in zip(texts, got, strict=True):
+        want = word_shingles(t)
+        assert len(s) == len(want)
+        for x in want if len(want) == 1 else ():  # one shingle, one hash, whatever stands around it
+            assert known.setdefault(x, int(s[0])) == int(s[0])
+    assert all((near_dup.shingles([t], 5)[0] == s).all() for t, s in zip(texts, got, strict=True))
+
+
+def test_near_duplicates_with_repeated_and_missing_ids(spark):
+    rnd = random.Random(52)
+    one, two = prose(rnd, 40), prose(rnd, 40)
+    near = two.rsplit(" ", 1)[0] + " other"
+    rows = [(1, one), (1, two), (1, one), (None, near), (None, None), (None, prose(rnd, 40)), (7, near), (8, prose(rnd, 40)), (8, None), (9, one.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("clash")).withColumn("label", F.lit("clash"))
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect() if r.component_id is not None)
+    assert got == sorted([(1, 36, 1, True)] * 3 + [(0, 36, 1, False), (7, 36, 1, False), (8, 36, 8, True), (8, 0, 8, True), (9, 36, 1, False)])
+    assert near_dup.near_duplicates(docs).where("component_id is null and kept").count() == 2
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rnd = random.Random(3)
     texts = []
@@ -228,11 +260,7 @@ def test_near_duplicates_equal_brute_force(spark):
     docs = docs_of(spark, texts)
     got = {r.doc_id: r for r in near_dup.near_duplicates(docs).collect()}
 
-    def shingles(t):
-        w = t.encode().lower().split() if t else []
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-    sets = [shingles(t) for t in texts]
+    sets = [word_shingles(t) for t in texts]
     links = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
     want = brute_components(len(sets), links)
     assert [got[i].component_id for i in range(len(sets))] == want
@@ -366,6 +394,71 @@ def test_pii_terms_beside_a_capital_i_with_dot(spark):
         assert "\u0130zorbo" in [r.text[s.start : s.end] for s in r.spans if s.kind == "term"]
 
 
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_entities(text):
+    def fits(kind, s):
+        digits = [int(c) for c in s if c.isdigit()]
+        doubled = sum(sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits)))
+        return {
+            "email": True,
+            "ip": kind != "ip" or all(int(p) <= 255 for p in s.split(".")),
+            "card": 16 <= len(digits) <= 19 and doubled % 10 == 0,
+            "phone": 8 <= len(digits) <= 15,
+        }[kind]
+
+    return [(k, m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, text) if fits(k, m[0])]
+
+
+def test_pii_spans_and_terms_equal_brute_force(spark):
+    rnd = random.Random(41)
+    bits = ["a.b@c", ".de", "@", "+1 ", "(55) ", "10.0.0.", "256", "4111 1111 1111 1111", "-", " ", "7", "12", ".", "x", "\u0130", "é"]
+    people = ["who@secret.example.org", "10.1.2.3", "+1 555 555 1234"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(40))) for _ in range(150)]
+    own = ["zorbo", "quixo", "plimo"]
+    for _ in range(60):
+        k = rnd.randrange(3)
+        texts.append(f"{prose(rnd, 6)} {rnd.choice([own[k], 'kaber'])} {people[k]} {rnd.choice(['velpo', 'mijin'])} {prose(rnd, 6)}")
+    texts += [f"{prose(rnd, 4)} {rnd.choice(['quixo', 'kaber'])} {prose(rnd, 4)}" for _ in range(60)] + texts[150:160] + ["9" * 3_000, "a" * 3_000 + "@b.c", None, ""]
+    docs = docs_of(spark, texts).withColumn("spans", F.lit("clash")).repartition(3)
+    spec = pii.DisclosureSpec(disclosure=0.9)
+    # Terms by the definition, on all texts at once.
+    near, uses, words = {}, {}, 0
+    for t in texts:
+        low = (t or "").replace("\u0130", "i").lower()
+        found = [(m[0], m.start(), m.end()) for m in pii.WORD.finditer(low)]
+        words += len(found)
+        for k, w in enumerate(found):
+            uses.setdefault(w[0], set()).add((found[k - 1][0] if k else "", w[0], found[k + 1][0] if k + 1 < len(found) else ""))
+        taken = [(s, e) for _, s, e in plain_entities(t or "")]
+        for kind, s, e in plain_entities(t or ""):
+            lo, hi = max(0, s - 60), min(len(low), e + 60)
+            around = [(m[0], m.start(), m.end()) for m in pii.WORD.finditer(low, lo, hi)]
+            around = [w for w in around if (w[1] > lo or not lo) and (w[2] < hi or hi == len(low)) and not any(x < w[2] and w[1] < y for x, y in taken)]
+            for k in [i for i, w in enumerate(around) if w[2] <= s][-4:] + [i for i, w in enumerate(around) if w[1] >= e][:4]:
+                use = (around[k - 1][0] if k else "", around[k][0], around[k + 1][0] if k + 1 < len(around) else "")
+                near.setdefault((kind, t[s:e].lower()), {}).setdefault(around[k][0], set()).add(use)
+    want = set()
+    for terms in near.values():
+        content = math.log(words / sum(map(len, terms.values())))
+        for term, n in terms.items():
+            if len(n) >= spec.support and math.log(len(n) / len(uses[term])) + content >= spec.disclosure * content - 1e-9:
+                want.add(term)
+    terms = pii.disclosing_terms(docs, spec)
+    assert {r.term for r in terms.collect()} == want and "zorbo" in want and not {"quixo", "kaber", "velpo"} & want
+    for r in pii.detect(docs, terms).collect():
+        base = plain_entities(r.text or "")
+        low = (r.text or "").replace("\u0130", "i").lower()
+        own = [("term", m.start(), m.end()) for m in pii.WORD.finditer(low) if m[0] in want and not any(s < m.end() and m.start() < e for _, s, e in base)]
+        assert [tuple(s) for s in r.spans] == base + own
+
+
 # op9
 def test_neighbours_recall_and_edges(spark):
     rng = np.random.default_rng(3)
