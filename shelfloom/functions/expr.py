@@ -53,8 +53,17 @@ def norm_cdf_sql(x: str) -> str:
 
 
 def hash_uniform(*cols: Column, seed: int = 0) -> Column:
-    """A number in [0, 1) that depends on the columns and the seed only."""
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
+    """A number in [0, 1) that depends on the columns (as text, nulls left out) and the seed only.
+
+    Taken from an MD5 digest, so any engine can make it.
+    """
+    digest = F.md5(F.concat_ws("|", *cols, F.lit(seed)))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def hash_uniform_sql(*cols: str, seed: int = 0) -> str:
+    """The same as DuckDB text."""
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {', '.join(cols)}, {seed})), 1, 13) AS UBIGINT) / {float(1 << 52)!r})"
 
 
 def steps(c: Column, bounds: list[tuple[float, object]], otherwise: object) -> Column:

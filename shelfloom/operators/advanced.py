@@ -20,7 +20,8 @@ def decompose(df: DataFrame, spec: SeriesSpec, period: int = 52) -> DataFrame:
     """Additive trend, seasonal and residual; series shorter than two periods are 0.
 
     The trend is a centred mean over one period (weights 1/2 at both ends if the period is even),
-    continued at either end by the line through its first or last ``period`` values.
+    continued at either end by the line through its first or last ``period`` values.  All of it is windows
+    over one series: one shuffle, and none if rows come by series.
     """
     keys = list(spec.keys)
     half = period // 2
@@ -34,15 +35,17 @@ def decompose(df: DataFrame, spec: SeriesSpec, period: int = 52) -> DataFrame:
     x = F.col("pos").cast("double")
     head = F.col("pos") <= half + period
     tail = F.col("pos") > F.col("n") - half - period
-    line = lambda at: [F.regr_slope(F.when(at, F.col("centred")), F.when(at, x)), F.regr_intercept(F.when(at, F.col("centred")), F.when(at, x))]
+    line = lambda at: [f(F.when(at, F.col("centred")), F.when(at, x)) for f in (F.regr_slope, F.regr_intercept)]
     (hs, hi), (ts, ti) = line(head), line(tail)
-    ends = rows.where("centred is not null").groupBy(*keys).agg(hs.alias("hs"), hi.alias("hi"), ts.alias("ts"), ti.alias("ti"))
-    rows = rows.join(ends, keys, "left")
+    series = Window.partitionBy(*keys)
+    rows = rows.withColumns({"hs": hs.over(series), "hi": hi.over(series), "ts": ts.over(series), "ti": ti.over(series)})
     trend = F.coalesce("centred", F.when(F.col("pos") <= half, F.col("hs") * x + F.col("hi")).otherwise(F.col("ts") * x + F.col("ti")))
     rows = rows.withColumns({"trend": trend, "phase": (F.col("pos") - 1) % period})
-    phases = rows.where("trend is not null").groupBy(*keys, "phase").agg(F.avg(F.col("y") - F.col("trend")).alias("level"))
-    mean = phases.groupBy(*keys).agg(F.avg("level").alias("mean_level"))
-    rows = rows.join(phases, [*keys, "phase"], "left").join(mean, keys, "left")
+    same = Window.partitionBy(*keys, "phase")
+    rows = rows.withColumns({"level": F.avg(F.col("y") - F.col("trend")).over(same), "m": F.count("trend").over(same)})
+    # The mean over phases: a phase of m rows counts once.
+    share = F.when(F.col("trend").isNotNull(), 1 / F.col("m"))
+    rows = rows.withColumn("mean_level", F.sum(F.col("level") * share).over(series) / F.sum(share).over(series))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     seasonal = F.col("level") - F.col("mean_level")
     return rows.select(*keys, spec.time, zero(F.col("trend")).alias("trend"), zero(seasonal).alias("seasonal"), zero(F.col("y") - F.col("trend") - seasonal).alias("residual"))

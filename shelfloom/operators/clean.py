@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfloom.functions.expr import clip, equal_width_bin
+from shelfloom.functions.expr import clip, equal_width_bin, hash_uniform
 from shelfloom.spec import SeriesSpec
 
 #: Other names under which columns arrive.
@@ -90,11 +90,13 @@ def limit_entities(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.join(df.select(column).distinct().orderBy(column).limit(n), column, "left_semi")
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """F6."""
+def sample_fraction(df: DataFrame, fraction: float, keys: list[str] = (), seed: int = 42, draw: Column | None = None) -> DataFrame:
+    """about that share of the rows, by a number in [0, 1) that is drawn from a hash of the keys (of all
+    columns, if none are given), so the same rows in every run and under any partitioning."""
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be above 0 and at most 1")
-    return df if fraction == 1 else df.sample(fraction=fraction, seed=seed)
+    draw = draw if draw is not None else hash_uniform(*(keys or df.columns), seed=seed)
+    return df if fraction == 1 else df.where(draw < fraction)
 
 
 def sample_n(df: DataFrame, n: int, keys: list[str], order: Column | None = None, seed: int = 42) -> DataFrame:
@@ -111,7 +113,9 @@ def stratified_sample(df: DataFrame, stratum: Column, n: int, keys: list[str], o
 def time_split(df: DataFrame, time: str, q: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(rows before the q quantile of time, rows from it on)."""
     number = F.unix_micros(F.col(time)) if dict(df.dtypes)[time] == "timestamp" else F.col(time)
-    cut = df.agg(F.percentile(number, q)).first()[0]
+    # Times repeat: the quantile is taken over the distinct ones and their counts.
+    times = df.groupBy(number.alias("t")).agg(F.count("*").alias("n"))
+    cut = times.agg(F.percentile("t", q, F.col("n"))).first()[0]
     if cut is None:
         return df, df.limit(0)
     return df.where(number < cut), df.where(number >= cut)
@@ -128,8 +132,9 @@ def active_recommendations(df: DataFrame, n: int = 50) -> DataFrame:
 
 
 def priority_reorders(df: DataFrame, risk: float = 0.1) -> DataFrame:
-    """what must be ordered or may run out, riskiest first."""
-    return df.where(F.col("should_reorder") | (F.col("stockout_risk") > risk)).orderBy(F.desc("stockout_risk"), "product_id")
+    """what must be ordered or may run out, riskiest first, by the unclipped risk where there is one."""
+    c = "stockout_risk_raw" if "stockout_risk_raw" in df.columns else "stockout_risk"
+    return df.where(F.col("should_reorder") | (F.col(c) > risk)).orderBy(F.desc(c), "product_id")
 
 
 def null_fill(df: DataFrame, measures: list[str] = (), categories: list[str] = (), flags: list[str] = ()) -> DataFrame:

@@ -37,13 +37,13 @@ def weather_features(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return weather_lags(df, spec)
 
 
-def with_weather(df: DataFrame, weather: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Attached by date, filled forwards and backwards within the store."""
+def with_weather(df: DataFrame, weather: DataFrame, spec: SeriesSpec, backward: bool = True) -> DataFrame:
+    """Attached by date, filled forwards within the store, and backwards unless that would look ahead."""
     from shelfloom.operators.impute import fill_forward_back
 
     days = df.select("store_id", F.to_date(spec.time).alias("date")).distinct()
     values = [c for c in ("temperature", "precipitation", "humidity") if c in weather.columns]
-    filled = fill_forward_back(days.join(weather, ["store_id", "date"], "left"), ["store_id"], "date", values)
+    filled = fill_forward_back(days.join(weather, ["store_id", "date"], "left"), ["store_id"], "date", values, backward)
     return attach_weather(df, filled, spec.time)
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from shelfloom.functions.expr import interpolate as line
 
 
-def fill_forward_back(df: DataFrame, keys: list[str], time: str, columns: list[str]) -> DataFrame:
-    """The last known value, before the first one the next."""
+def fill_forward_back(df: DataFrame, keys: list[str], time: str, columns: list[str], backward: bool = True) -> DataFrame:
+    """The last known value, before the first one the next (null, if not ``backward``)."""
     w = Window.partitionBy(*keys).orderBy(time)
     past, future = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.coalesce(F.last(c, True).over(past), F.first(c, True).over(future)) for c in columns})
+    last = lambda c: F.last(c, True).over(past)
+    return df.withColumns({c: F.coalesce(last(c), F.first(c, True).over(future)) if backward else last(c) for c in columns})
 
 
 def ffill_bfill_zero(df: DataFrame, keys: list[str], time: str, columns: list[str]) -> DataFrame:

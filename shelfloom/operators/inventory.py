@@ -103,6 +103,7 @@ def optimize_inventory(forecasts: DataFrame, keys: list[str], time: str, c: Inve
             "days_until_reorder": F.greatest(F.lit(0.0), ratio(stock - rop, d)),
             "should_reorder": stock <= rop,
             "stockout_risk": stockout_probability(stock, d, F.col("demand_std"), c.lead_time, c.service_level),
+            "stockout_risk_raw": stockout_probability(stock, d, F.col("demand_std"), c.lead_time, c.service_level, clipped=False),
             "overstock_risk": F.when(F.col("demand_std") > 0, over).otherwise(0.0),
         }
     )

@@ -12,9 +12,13 @@ def pinball(y: Column, q: Column, level: float) -> Column:
     return F.greatest((y - q) * level, (y - q) * (level - 1))
 
 
-def r2(y: Column, p: Column, mean: Column) -> Column:
-    """In two-pass form; null for a constant target."""
-    return 1 - F.try_divide(F.sum((y - p) * (y - p)), F.sum((y - mean) * (y - mean)))
+def r2(y: Column, p: Column) -> Column:
+    """In one pass: the squares about the mean come from the population variance; null for a constant target.
+
+    Rows without a forecast count in neither.
+    """
+    own = F.when(p.isNotNull(), y)
+    return 1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(own) * F.count(own))
 
 
 def quantile_metrics(df: DataFrame, target: str, quantiles: dict[float, str], floor: float = 0.1) -> DataFrame:
@@ -24,7 +28,6 @@ def quantile_metrics(df: DataFrame, target: str, quantiles: dict[float, str], fl
     """
     y = F.col(target)
     low, high = quantiles[min(quantiles)], quantiles[max(quantiles)]
-    rows = df.crossJoin(F.broadcast(df.agg(F.avg(y).alias("__mean"))))
     inside = F.avg(((y >= F.col(low)) & (y <= F.col(high))).cast("double"))
     aggs = []
     for level, c in quantiles.items():
@@ -39,10 +42,10 @@ def quantile_metrics(df: DataFrame, target: str, quantiles: dict[float, str], fl
                 (F.avg(F.when(y > floor, e / y)) * 100).alias("mape"),
                 F.count_if(y > floor).alias("n_mape"),
                 inside.alias("coverage"),
-                r2(y, p, F.col("__mean")).alias("r2"),
+                r2(y, p).alias("r2"),
             )
         )
-    return rows.agg(F.array(*aggs).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    return df.agg(F.array(*aggs).alias("m")).select(F.explode("m").alias("m")).select("m.*")
 
 
 def category_metrics(df: DataFrame, category: str, target: str, forecast: str, top: int = 10) -> DataFrame:
@@ -62,13 +65,12 @@ def category_metrics(df: DataFrame, category: str, target: str, forecast: str, t
 def group_sensitivity(df: DataFrame, group: str, product: str, target: str, forecast: str) -> DataFrame:
     """A15."""
     y, p = F.col(target), F.col(forecast)
-    means = df.groupBy(group).agg(F.avg(y).alias("__mean"))
-    return df.join(means, group).groupBy(group).agg(
+    return df.groupBy(group).agg(
         F.count_distinct(product).alias("n_products"),
         F.count("*").alias("n"),
         F.avg(F.abs(y - p)).alias("mae"),
         F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"),
-        r2(y, p, F.col("__mean")).alias("r2"),
+        r2(y, p).alias("r2"),
         F.avg(y).alias("avg_demand"),
     )
 
@@ -86,11 +88,17 @@ def category_accuracy(df: DataFrame, category: str, target: str, forecast: str)
 
 
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
-    """Equal bins between the extremes, the maximum in the last; empty bins are not listed."""
+    """(bin, n) of ``bins`` equal bins between the extremes, the maximum in the last.
+
+    Empty bins are 0; equal extremes give one bin; nulls count nowhere; without values there is no row.
+    """
     rows = df.select(value.cast("double").alias("v")).where("v is not null")
-    ends = rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ends = rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo is not null")
     at = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int"))).otherwise(0)
-    return rows.crossJoin(F.broadcast(ends)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    counts = rows.crossJoin(F.broadcast(ends)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    last = F.when(F.col("hi") > F.col("lo"), bins - 1).otherwise(0)
+    every = ends.select(F.explode(F.sequence(F.lit(0), last)).alias("bin"))
+    return every.join(counts, "bin", "left").fillna(0, ["n"])
 
 
 def error_by_period(df: DataFrame, period: str, target: str, forecast: str) -> DataFrame:

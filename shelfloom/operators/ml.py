@@ -9,9 +9,14 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfloom.operators.metrics import r2
 from shelfloom.spec import SeriesSpec
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
+#: All that the ensemble has weights for.
+SEVEN = (0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
+ACCURACY = 1_000_000
+BUCKET_ROWS = 10_000
 #: Weights of the quantiles in the ensemble.
 WEIGHTS = {"q05": 0.1, "q10": 0.1, "q25": 0.2, "q50": 0.4, "q75": 0.15, "q90": 0.025, "q95": 0.025}
 
@@ -20,10 +25,10 @@ def name(q: float) -> str:
     return f"forecast_q{round(q * 100):02d}"
 
 
-def quantile_baseline(train: DataFrame, spec: SeriesSpec, phase: Column) -> DataFrame:
+def quantile_baseline(train: DataFrame, spec: SeriesSpec, phase: Column, levels: tuple[float, ...] = QUANTILES) -> DataFrame:
     """M4: empirical quantiles of history by series and phase."""
-    rows = train.groupBy(*spec.keys, phase.alias("phase")).agg(F.percentile(spec.target, F.array(*map(F.lit, QUANTILES))).alias("__q"))
-    return rows.select(*spec.keys, "phase", *[F.col("__q")[i].alias(name(q)) for i, q in enumerate(QUANTILES)])
+    rows = train.groupBy(*spec.keys, phase.alias("phase")).agg(F.percentile(spec.target, F.array(*map(F.lit, levels))).alias("__q"))
+    return rows.select(*spec.keys, "phase", *[F.col("__q")[i].alias(name(q)) for i, q in enumerate(levels)])
 
 
 def encoder(categories: list[str]) -> Pipeline:
@@ -34,8 +39,9 @@ def encoder(categories: list[str]) -> Pipeline:
 class QuantileForecaster:
     """M3, M5: a boosted centre, and held-out residual quantiles by segment around it."""
 
-    def __init__(self, centre: PipelineModel, residuals: DataFrame, features: list[str], segment: str, overall: list[float]):
+    def __init__(self, centre: PipelineModel, residuals: DataFrame, features: list[str], segment: str, overall: list[float], levels: tuple[float, ...] = QUANTILES):
         self.centre, self.residuals, self.features, self.segment, self.overall = centre, residuals, features, segment, overall
+        self.levels = tuple(sorted(levels))
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Quantiles in order, not negative, with interval and centre; missing features are 0."""
@@ -46,11 +52,12 @@ class QuantileForecaster:
         rows = rows.join(self.residuals, self.segment, "left")
         shift = F.coalesce("__r", F.array(*map(F.lit, self.overall)))
         rows = rows.withColumn("__q", F.array_sort(F.transform(shift, lambda x: F.greatest(F.lit(0.0), x + F.col("prediction")))))
-        rows = rows.withColumns({name(q): F.col("__q")[i] for i, q in enumerate(QUANTILES)})
-        return rows.withColumns({"prediction_interval": F.col(name(0.95)) - F.col(name(0.05)), "prediction_center": (F.col(name(0.95)) + F.col(name(0.05))) / 2}).drop("__q", "__r", "prediction", *missing)
+        rows = rows.withColumns({name(q): F.col("__q")[i] for i, q in enumerate(self.levels)})
+        low, high = F.col(name(self.levels[0])), F.col(name(self.levels[-1]))
+        return rows.withColumns({"prediction_interval": high - low, "prediction_center": (high + low) / 2}).drop("__q", "__r", "prediction", *missing)
 
 
-def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 20, depth: int = 4, calibrate: float = 0.75) -> QuantileForecaster:
+def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 20, depth: int = 4, calibrate: float = 0.75, levels: tuple[float, ...] = QUANTILES) -> QuantileForecaster:
     """M3: the centre is fitted on the older part of train, residual quantiles come from the newer part."""
     from shelfloom.operators.clean import time_split
 
@@ -58,9 +65,10 @@ def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segm
     stages = [VectorAssembler(inputCols=features, outputCol="features"), GBTRegressor(featuresCol="features", labelCol=spec.target, maxIter=max_iter, maxDepth=depth, seed=7)]
     centre = Pipeline(stages=stages).fit(old)
     left = centre.transform(new).withColumn("__e", F.col(spec.target) - F.col("prediction"))
-    levels = F.percentile("__e", F.array(*map(F.lit, QUANTILES)))
-    overall = left.agg(levels.alias("q")).first()["q"] or [0.0] * len(QUANTILES)
-    return QuantileForecaster(centre, left.groupBy(segment).agg(levels.alias("__r")), features, segment, list(overall))
+    at = F.array(*map(F.lit, sorted(levels)))
+    # Over all segments the residuals are as many as the rows: their quantiles are to one part in ACCURACY.
+    overall = left.agg(F.percentile_approx("__e", at, ACCURACY).alias("q")).first()["q"] or [0.0] * len(levels)
+    return QuantileForecaster(centre, left.groupBy(segment).agg(F.percentile("__e", at).alias("__r")), features, segment, list(overall), levels)
 
 
 def ensemble_forecast(df: DataFrame) -> DataFrame:
@@ -128,13 +136,14 @@ def feature_selection(train: DataFrame, features: list[str], target: str) -> lis
 def permutation_importance(model: QuantileForecaster, df: DataFrame, features: list[str], target: str, keys: list[str]) -> DataFrame:
     """How much the absolute error rises when a feature is exchanged between rows.
 
-    Rows exchange values inside hash buckets, so no sort spans the table.
+    Rows exchange values inside hash buckets of about ``BUCKET_ROWS`` rows, so no sort spans the table.
     """
-    base = model.predict(df).agg(F.avg(F.abs(F.col(target) - F.col("forecast_q50"))).alias("e")).first()["e"]
+    base, n = model.predict(df).agg(F.avg(F.abs(F.col(target) - F.col("forecast_q50"))), F.count("*")).first()
+    buckets = -(-n // BUCKET_ROWS) or 1
     out = None
     for f in features:
         slot = lambda seed: Window.partitionBy("__b").orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
-        rows = df.withColumn("__b", F.pmod(F.xxhash64(*keys), F.lit(64)))
+        rows = df.withColumn("__b", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
         left = rows.drop(f).withColumn("__i", F.row_number().over(slot(1)))
         right = rows.select("__b", F.col(f), F.row_number().over(slot(2)).alias("__i"))
         mixed = model.predict(left.join(right, ["__b", "__i"]).drop("__b", "__i"))
@@ -156,11 +165,9 @@ def walk_forward(df: DataFrame, spec: SeriesSpec, folds: int = 52, train: int =
     tests = rows.where(t > F.col("__last") - folds).withColumn("fold", t).join(q, ["fold", *keys])
     y = F.col(spec.target)
     e = y - F.col("q")[2]
-    mean = Window.partitionBy("fold")
-    tests = tests.withColumn("__m", F.avg(y).over(mean))
     by = tests.groupBy("fold").agg(
         F.avg(F.abs(e)).alias("mae"),
         F.avg(((y >= F.col("q")[0]) & (y <= F.col("q")[4])).cast("double")).alias("coverage"),
-        (1 - F.try_divide(F.sum(e * e), F.sum((y - F.col("__m")) * (y - F.col("__m"))))).alias("r2"),
+        r2(y, F.col("q")[2]).alias("r2"),
     )
     return by.agg(F.count("*").alias("folds"), *[f(c).alias(f"{c}_{n}") for c in ("r2", "coverage", "mae") for n, f in (("mean", F.avg), ("std", F.stddev_samp))])

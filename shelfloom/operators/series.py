@@ -143,8 +143,11 @@ def interactions(df: DataFrame, target: str) -> DataFrame:
     return df.withColumns(out)
 
 
-def series_features(df: DataFrame, spec: SeriesSpec, fill: bool = True) -> DataFrame:
-    """FE8: lags, rolling statistics, trend, calendar; nulls are 0 if asked."""
+def series_features(df: DataFrame, spec: SeriesSpec, fill: bool = True, advanced: bool = False) -> DataFrame:
+    """FE8: lags, rolling statistics, trend, calendar; nulls are 0 if asked.
+
+    ``advanced`` adds decomposition (as trend_component, seasonal, residual) and the measures of W21 to W24.
+    """
     out = df.select("*", *lag_columns(spec), *rolling_columns(spec), *(lag_columns(spec, "quantity", (1, 4)) if spec.unit == "week" and "quantity" in df.columns else []))
     new = [c for c in out.columns if c not in df.columns]
     if {1, 4} <= set(spec.lags) and {4, 8} <= set(spec.windows):
@@ -152,9 +155,21 @@ def series_features(df: DataFrame, spec: SeriesSpec, fill: bool = True) -> DataF
         new += ["wow_change", "wow_pct_change", "momentum", "volatility"]
     t = F.col(spec.time)
     out = out.withColumns(calendar_week(t) if spec.unit == "week" else {**calendar_hour(t), **intraday(t)})
-    return out.fillna(0, new) if fill else out
+    out = out.fillna(0, new) if fill else out
+    if advanced:
+        from shelfloom.operators.advanced import advanced_series, decompose
+
+        parts = decompose(df, spec).withColumnRenamed("trend", "trend_component")
+        out = advanced_series(out.join(parts, [*spec.keys, spec.time], "left"), spec)
+    return out
+
 
+def order_check(df: DataFrame, spec: SeriesSpec, *position: str) -> DataFrame:
+    """(keys, n, n_backward, n_repeated): how often time goes back, or stays, from one row to the next.
 
-def order_check(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Series with repeated times."""
-    return df.groupBy(*spec.keys, spec.time).agg(F.count("*").alias("n")).where("n > 1")
+    position: the columns that say in which order the rows came.  Rows without a time count in n only.
+    """
+    before = F.lag(spec.time).over(Window.partitionBy(*spec.keys).orderBy(*position))
+    rows = df.select(*spec.keys, spec.time, before.alias("__before"))
+    now, was = F.col(spec.time), F.col("__before")
+    return rows.groupBy(*spec.keys).agg(F.count("*").alias("n"), F.count_if(now < was).alias("n_backward"), F.count_if(now == was).alias("n_repeated"))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfloom.operators.series import order
 from shelfloom.spec import SeriesSpec
 
-#: Columns that look at later rows of the series; leave them out when training.
-LOOKAHEAD = ("until_next_stockout", "latent_demand")
+#: Columns that look at later rows of the series, or are made from such; leave them out when training.
+LOOKAHEAD = ("until_next_stockout", "latent_demand", "post_stockout_bounce", "stockout_severity")
 
 
 def streak(flag: Column, spec: SeriesSpec, df: DataFrame, out: str) -> DataFrame:

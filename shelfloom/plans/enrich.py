@@ -15,7 +15,7 @@ from shelfloom.spec import SeriesSpec
 def enrich_pipeline(tables: dict[str, DataFrame], spec: SeriesSpec, training: bool = False) -> DataFrame:
     """FE13: grid, products, stockouts, weather, series, behaviour, prices, as far as the tables go.
 
-    ``training`` leaves out columns that look ahead.
+    ``training`` leaves out columns that look ahead, and fills weather forwards only.
     """
     df = master_grid(tables["sales"], spec)
     if "product" in tables:
@@ -23,7 +23,7 @@ def enrich_pipeline(tables: dict[str, DataFrame], spec: SeriesSpec, training: bo
     if spec.has_stockout:
         df = stockout_features(df, spec)
     if spec.has_weather and "weather" in tables:
-        df = weather_features(with_weather(df, tables["weather"], spec), spec)
+        df = weather_features(with_weather(df, tables["weather"], spec, backward=not training), spec)
     df = series_features(df, spec)
     if spec.has_behavior and "clicks" in tables and "visitorid" in df.columns:
         df = with_behavior(df, tables["clicks"], "visitorid")

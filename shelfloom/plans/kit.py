@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfloom.functions.expr import r
 from shelfloom.plans.testbed import sql
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the session names none, a temporary folder serves on a single machine; a cluster has to name one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
 class Book:
     """The queries of one module, with their oracles."""
 

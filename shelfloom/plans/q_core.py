@@ -6,10 +6,11 @@ import math
 
 from pyspark.sql import functions as F
 
+from shelfloom.functions.expr import hash_uniform_sql
 from shelfloom.operators import clean, context, grid, relational, series
 from shelfloom.plans import testbed as tb
 from shelfloom.plans.kit import TS, Book, R, out
-from shelfloom.sources.tables import as_json, scan_table
+from shelfloom.sources.tables import as_json, peek, scan_table
 from shelfloom.spec import HOURLY, WEEKLY
 
 B = Book()
@@ -25,7 +26,7 @@ def weekly_grid(s, d):
 
 # Sources
 B.add("scan_region", lambda s, d: scan_table(s, d, "region"), "SELECT * FROM region")
-B.add("peek_parts", lambda s, d: scan_table(s, d, "part").select("p_partkey", "p_name").orderBy("p_partkey").limit(10), "SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 10")
+B.add("peek_regions", lambda s, d: peek(s, f"{d}/region.parquet", ["R_REGIONKEY", "r_name", "absent"]), "SELECT r_regionkey, r_name FROM region LIMIT 10")
 B.add(
     "unpack_hours",
     lambda s, d: _unpack(tb.hourly(s, d)),
@@ -78,7 +79,7 @@ B.add(
 B.add("drop_zero_sales", lambda s, d: clean.drop_zero_sales(grid.aggregate_series(tb.sales_weekly(s, d), WEEKLY), WEEKLY).select(*CELL, "sales_value"), "SELECT product_id, store_id, week_no, sales_value FROM v_weekly WHERE sales_value > 0")
 B.add("drop_null_keys", lambda s, d: clean.drop_null_keys(out(tb.gappy(s, d), [*HCELL, "price"]), "price"), f"SELECT product_id, store_id, {TS()} AS hour_timestamp, price FROM v_gappy WHERE price IS NOT NULL")
 B.add("limit_entities", lambda s, d: clean.limit_entities(tb.sales_weekly(s, d), "product_id", 5).groupBy("product_id").agg(F.count("*").alias("n")), "SELECT product_id, count(*) AS n FROM v_sales_weekly WHERE product_id IN (SELECT DISTINCT product_id FROM v_sales_weekly ORDER BY 1 LIMIT 5) GROUP BY 1")
-B.add("sample_fraction", lambda s, d: out(clean.sample_fraction(tb.hourly(s, d), 0.1), [*HCELL, "sales_quantity"]))
+B.add("sample_fraction", lambda s, d: clean.sample_fraction(scan_table(s, d, "events").select("event_id", "event_type"), 0.1, ["event_id", "event_type"]), f"SELECT event_id, event_type FROM events WHERE {hash_uniform_sql('event_id', 'event_type', seed=42)} < 0.1")
 B.add("sample_n", lambda s, d: clean.sample_n(scan_table(s, d, "events").select("event_id", "user_id"), 100, ["event_id"], (F.col("event_id") * 7919 + 42) % 1009), "SELECT event_id, user_id FROM events ORDER BY (event_id * 7919 + 42) % 1009, event_id LIMIT 100")
 B.add(
     "stratified_sample",
@@ -116,7 +117,8 @@ B.add(
     lambda s, d: relational.enrich(scan_table(s, d, "orders").withColumnRenamed("o_custkey", "household_key"), tb.household(s, d), "household_key", ["income_desc", "segment"]).select("o_orderkey", "income_desc", "segment"),
     "SELECT o_orderkey, coalesce(income_desc, 'Unknown') AS income_desc, coalesce(segment, 'Unknown') AS segment FROM orders LEFT JOIN v_household ON o_custkey = household_key",
 )
-B.add("attach_stockout", lambda s, d: out(relational.attach_stockout(tb.hourly_raw(s, d), tb.hourly(s, d).where("is_stockout = 1 or sales_quantity > 100"), HCELL), [*HCELL, "is_stockout", "sales_quantity"]), f"SELECT product_id, store_id, {TS('r.hour_timestamp')} AS hour_timestamp, coalesce(h.is_stockout, 0) AS is_stockout, r.sales_quantity FROM v_hourly_raw r LEFT JOIN (SELECT * FROM v_hourly WHERE is_stockout = 1 OR sales_quantity > 100) h USING (product_id, store_id, hour_timestamp)")
+# The labels list stockouts only: what they do not list is in stock.
+B.add("attach_stockout", lambda s, d: out(relational.attach_stockout(tb.hourly(s, d).drop("is_stockout"), tb.hourly(s, d).where("is_stockout = 1").select(*HCELL, "is_stockout"), HCELL), [*HCELL, "is_stockout", "sales_quantity"]), f"SELECT product_id, store_id, {TS()} AS hour_timestamp, is_stockout, sales_quantity FROM v_hourly")
 B.add(
     "attach_weather",
     lambda s, d: out(context.with_weather(tb.hourly(s, d), tb.weather(s, d), HOURLY), [*HCELL], {"temperature": 2, "precipitation": 2, "humidity": 2}),
@@ -147,7 +149,7 @@ def _full(s, d):
 B.add(
     "combine_modules",
     lambda s, d: _combine(s, d),
-    "SELECT product_id, demand_ratio, coalesce(CASE WHEN product_id % 3 <> 0 THEN current_inventory END, 100.0) AS current_inventory, coalesce(CASE WHEN product_id % 5 <> 0 THEN current_price END, 10000.0) AS current_price FROM v_pricing JOIN v_stock USING (product_id)",
+    "SELECT product_id, demand_ratio, coalesce(CASE WHEN current_inventory > 0 THEN current_inventory END, 100.0) AS current_inventory, coalesce(CASE WHEN inventory_ratio >= 1 THEN current_price END, 10000.0) AS current_price FROM v_pricing JOIN v_stock USING (product_id)",
 )
 
 
@@ -155,13 +157,13 @@ def _combine(s, d):
     from shelfloom.operators.insights import combine_modules
 
     p, k = tb.pricing(s, d), tb.stock(s, d)
-    inv = k.where("product_id % 3 <> 0").select("product_id", "current_inventory", F.lit(1.0).alias("reorder_point"), F.lit(1.0).alias("safety_stock"), F.lit(1.0).alias("stockout_risk_pct"))
-    price = p.where("product_id % 5 <> 0").select("product_id", "current_price", F.lit(1.0).alias("recommended_price"), F.lit(0.0).alias("discount_pct"), F.lit("x").alias("action"))
+    inv = k.where("current_inventory > 0").select("product_id", "current_inventory", F.lit(1.0).alias("reorder_point"), F.lit(1.0).alias("safety_stock"), F.lit(1.0).alias("stockout_risk_pct"))
+    price = p.where("inventory_ratio >= 1").select("product_id", "current_price", F.lit(1.0).alias("recommended_price"), F.lit(0.0).alias("discount_pct"), F.lit("x").alias("action"))
     return combine_modules(p.select("product_id", "demand_ratio"), inv, price, ["product_id"]).select("product_id", "demand_ratio", "current_inventory", "current_price")
 
 
-B.add("attach_forecast", lambda s, d: out(relational.attach_forecast(tb.hourly(s, d), tb.predictions(s, d).where("store_id < 5"), HCELL), [*HCELL, "sales_quantity", "forecast_q50"]), f"SELECT h.product_id, h.store_id, {TS('h.hour_timestamp')} AS hour_timestamp, h.sales_quantity, forecast_q50 FROM v_hourly h LEFT JOIN (SELECT * FROM v_predictions WHERE store_id < 5) p ON h.product_id = p.product_id AND h.store_id = p.store_id AND h.hour_timestamp = p.hour_timestamp")
-B.add("lookup_default", lambda s, d: relational.lookup_default(tb.pricing(s, d).select("product_id", "category"), tb.stock(s, d).where("product_id % 2 = 0"), "product_id", {"current_inventory": 100.0, "unit_cost": 5000.0}), "SELECT product_id, category, coalesce(CASE WHEN product_id % 2 = 0 THEN current_inventory END, 100.0) AS current_inventory, coalesce(CASE WHEN product_id % 2 = 0 THEN unit_cost END, 5000.0) AS unit_cost FROM v_pricing JOIN v_stock USING (product_id)")
+B.add("attach_forecast", lambda s, d: out(relational.attach_forecast(tb.hourly(s, d), tb.predictions(s, d).where("forecast_q50 > 0"), HCELL), [*HCELL, "sales_quantity", "forecast_q50"]), f"SELECT h.product_id, h.store_id, {TS('h.hour_timestamp')} AS hour_timestamp, h.sales_quantity, forecast_q50 FROM v_hourly h LEFT JOIN (SELECT * FROM v_predictions WHERE forecast_q50 > 0) p ON h.product_id = p.product_id AND h.store_id = p.store_id AND h.hour_timestamp = p.hour_timestamp")
+B.add("lookup_default", lambda s, d: relational.lookup_default(tb.pricing(s, d).select("product_id", "category"), tb.stock(s, d).where("demand_std > 0"), "product_id", {"current_inventory": 100.0, "unit_cost": 5000.0}), "SELECT product_id, category, coalesce(CASE WHEN demand_std > 0 THEN current_inventory END, 100.0) AS current_inventory, coalesce(CASE WHEN demand_std > 0 THEN unit_cost END, 5000.0) AS unit_cost FROM v_pricing JOIN v_stock USING (product_id)")
 B.add("semi_topk", lambda s, d: relational.semi_topk(grid.aggregate_series(tb.sales_weekly(s, d), WEEKLY), "product_id", "sales_value", 3).select(*CELL, "sales_value"), "SELECT product_id, store_id, week_no, sales_value FROM v_weekly WHERE product_id IN (SELECT product_id FROM v_weekly GROUP BY 1 ORDER BY sum(sales_value) DESC, 1 LIMIT 3)")
 
 # Aggregation and grid
@@ -218,14 +220,15 @@ FROM v_weekly LEFT JOIN v_causal USING (product_id, store_id, week_no)""",
 B.add(
     "interactions",
     lambda s, d: _interactions(s, d),
-    f"""SELECT product_id, store_id, week_no, coalesce((sales_value - (retail_disc + coupon_disc)) * CAST(coalesce(display, '0') <> '0' AS INTEGER), 0.0) AS price_x_promo, code * CAST(least(12, floor(((week_no - 1) % 52) / 4.33) + 1) AS INTEGER) AS dept_x_month,
+    f"""SELECT product_id, store_id, week_no, coalesce((sales_value - (retail_disc + coupon_disc)) * CAST(coalesce(display, '0') <> '0' AS INTEGER), 0.0) AS price_x_promo, coalesce(code, -1) * CAST(least(12, floor(((week_no - 1) % 52) / 4.33) + 1) AS INTEGER) AS dept_x_month,
   {R(f"coalesce(lag(sales_value) {W}) * sin(CAST((week_no - 1) % 52 + 1 AS INTEGER) * {2 * math.pi / 52!r}), 0.0)", 3)} AS lag_1_x_week_sin
-FROM v_weekly_grid LEFT JOIN v_causal USING (product_id, store_id, week_no) LEFT JOIN (SELECT product_id, coalesce(CAST(dense_rank() OVER (ORDER BY department) - 1 AS INTEGER), -1) AS code FROM v_product) USING (product_id) WHERE code IS NOT NULL""",
+FROM v_weekly_grid LEFT JOIN v_causal USING (product_id, store_id, week_no) LEFT JOIN (SELECT product_id, CAST(dense_rank() OVER (ORDER BY department) - 1 AS INTEGER) AS code FROM v_product) USING (product_id)""",
 )
 
 
 def _interactions(s, d):
-    df = context.price_promo(weekly_grid(s, d), tb.causal(s, d)).join(series.department_code(tb.product(s, d)).select("product_id", "dept_code"), "product_id")
+    codes = series.department_code(tb.product(s, d)).select("product_id", "dept_code")
+    df = context.price_promo(weekly_grid(s, d), tb.causal(s, d)).join(codes, "product_id", "left").fillna(-1, ["dept_code"])
     df = series.interactions(series.with_lags(df, WEEKLY).withColumns(series.calendar_week(F.col("week_no"))), "sales_value")
     return out(df.withColumn("dept_x_month", F.col("dept_x_month").cast("int")), [*CELL, "price_x_promo", "dept_x_month"], {"lag_1_x_week_sin": 3})
 
@@ -244,7 +247,12 @@ B.add(
     lambda s, d: out(series.series_features(tb.hourly(s, d), HOURLY), [*HCELL, *[f"sales_quantity_lag_{k}" for k in HOURLY.lags], *[f"rolling_{x}_{n}" for n in HOURLY.windows for x in ("mean", "max")], "hour_of_day", "is_weekend"]),
     f"SELECT product_id, store_id, {TS()} AS hour_timestamp, {HLAGS}, {HROLL}, CAST(hour(hour_timestamp) AS INTEGER) AS hour_of_day, CAST(isodow(hour_timestamp) >= 6 AS INTEGER) AS is_weekend FROM v_hourly",
 )
-B.add("order_check", lambda s, d: series.order_check(tb.sales_weekly(s, d), WEEKLY), "SELECT product_id, store_id, week_no, count(*) AS n FROM v_sales_weekly GROUP BY ALL HAVING count(*) > 1")
+B.add(
+    "order_check",
+    lambda s, d: series.order_check(tb.events(s, d).select(F.col("event_type").alias("product_id"), (F.col("user_id") % 10).cast("int").alias("store_id"), F.date_trunc("hour", "ts").alias("hour_timestamp"), "event_id"), HOURLY, "event_id"),
+    """SELECT product_id, store_id, count(*) AS n, count(*) FILTER (t < b) AS n_backward, count(*) FILTER (t = b) AS n_repeated
+FROM (SELECT *, lag(t) OVER (PARTITION BY product_id, store_id ORDER BY event_id) AS b FROM (SELECT event_type AS product_id, CAST(user_id % 10 AS INTEGER) AS store_id, date_trunc('hour', ts) AS t, event_id FROM events)) GROUP BY ALL""",
+)
 B.add("pct_change", lambda s, d: out(series.pct_change(grid.aggregate_series(tb.sales_weekly(s, d), WEEKLY), "sales_value", "week_no", (1,), ["product_id", "store_id"]), CELL, {"sales_value_change_1": 2}), f"SELECT product_id, store_id, week_no, {R(f'(sales_value / nullif(lag(sales_value) {W}), 0) - 1) * 100', 2)} AS sales_value_change_1 FROM v_weekly")
 
 QUERIES, ORACLES = B.queries, B.oracles

@@ -69,13 +69,39 @@ SELECT product_id, store_id, {TS()} AS hour_timestamp, CASE WHEN t < 10 THEN 'co
   CASE WHEN p = 0 THEN 'none' WHEN p < 5 THEN 'light' WHEN p < 20 THEN 'moderate' ELSE 'heavy' END AS rain_intensity, CAST(t > 30 AS INTEGER) AS is_extreme_heat, CAST(t < 5 AS INTEGER) AS is_extreme_cold, CAST(u > 80 AS INTEGER) AS is_high_humidity,
   CASE WHEN u < 40 THEN 'low' WHEN u < 70 THEN 'medium' ELSE 'high' END AS humidity_category, coalesce(lag(CAST(p > 0 AS INTEGER), 24) OVER ({O}), 0) AS rain_lag_24, {R(f'coalesce(t - lag(t, 24) OVER ({O}), 0)', 2)} AS temp_change_24h FROM j""",
 )
-B.add("enrich_pipeline_weekly", lambda s, d: _enriched(s, d), "SELECT product_id, count(*) AS n, coalesce(department, 'Unknown') AS department, sum(sales_value) AS sales_value, sum(display)::BIGINT AS displays FROM (SELECT g.*, CAST(coalesce(c.display, '0') <> '0' AS INTEGER) AS display FROM v_weekly_grid g LEFT JOIN v_causal c USING (product_id, store_id, week_no)) LEFT JOIN v_product USING (product_id) GROUP BY ALL")
-
-
-def _enriched(s, d):
-    df = enrich_pipeline({"sales": tb.sales_weekly(s, d), "product": tb.product(s, d), "causal": tb.causal(s, d)}, WEEKLY)
-    return df.groupBy("product_id", "department").agg(F.count("*").alias("n"), F.sum("sales_value").alias("sales_value"), F.sum("is_on_display").alias("displays"))
-
+WK = f"{P} ORDER BY week_no"
+B.add(
+    "enrich_pipeline_weekly",
+    lambda s, d: out(
+        enrich_pipeline({"sales": tb.sales_weekly(s, d), "product": tb.product(s, d), "causal": tb.causal(s, d)}, WEEKLY),
+        [*K, "week_no", "department", "sales_value", "quantity", *[f"sales_value_lag_{k}" for k in WEEKLY.lags], *[f"rolling_mean_{n}" for n in WEEKLY.windows], "quantity_lag_4", "week_of_year", "month_proxy", "base_price", "total_discount", "is_on_retail_promo", "is_on_coupon_promo", "is_on_display", "is_on_mailer"],
+        {**{f"rolling_std_{n}": 2 for n in WEEKLY.windows}, "week_sin": 6, "momentum": 2, "discount_pct": 6},
+    ),
+    f"""SELECT product_id, store_id, week_no, coalesce(department, 'Unknown') AS department, sales_value, quantity, {', '.join(f'coalesce(lag(sales_value, {k}) OVER w, 0) AS sales_value_lag_{k}' for k in WEEKLY.lags)},
+  {', '.join(f"coalesce(avg(sales_value) OVER ({WK} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), 0) AS rolling_mean_{n}, coalesce({R(f'stddev_samp(sales_value) OVER ({WK} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)', 2)}, 0) AS rolling_std_{n}" for n in WEEKLY.windows)},
+  coalesce(lag(quantity, 4) OVER w, 0) AS quantity_lag_4, CAST((week_no - 1) % 52 + 1 AS INTEGER) AS week_of_year, CAST(least(12, floor(((week_no - 1) % 52) / 4.33) + 1) AS INTEGER) AS month_proxy, {R(f'sin(CAST((week_no - 1) % 52 + 1 AS INTEGER) * {2 * math.pi / 52!r})', 6)} AS week_sin,
+  {R(f'coalesce(avg(sales_value) OVER ({WK} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) - avg(sales_value) OVER ({WK} ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), 0)', 2)} AS momentum,
+  sales_value - (retail_disc + coupon_disc) AS base_price, abs(retail_disc + coupon_disc) AS total_discount, {R('abs(retail_disc + coupon_disc) / (sales_value - (retail_disc + coupon_disc) + 1e-6)', 6)} AS discount_pct, CAST(retail_disc < 0 AS INTEGER) AS is_on_retail_promo, CAST(coupon_disc < 0 AS INTEGER) AS is_on_coupon_promo,
+  CAST(coalesce(display, '0') <> '0' AS INTEGER) AS is_on_display, CAST(coalesce(mailer, '0') <> '0' AS INTEGER) AS is_on_mailer
+FROM v_weekly_grid LEFT JOIN v_product USING (product_id) LEFT JOIN v_causal USING (product_id, store_id, week_no) WINDOW w AS ({WK})""",
+)
+HROLLS = [(x, n) for n in HOURLY.windows for x in ("mean", "max")]
+B.add(
+    "enrich_pipeline_hourly",
+    lambda s, d: out(
+        enrich_pipeline({"sales": tb.hourly(s, d), "weather": tb.weather(s, d)}, HOURLY),
+        [*HCELL, "sales_quantity", "is_stockout", "stockout_streak", "stockout_frequency", "temp_category", "is_rainy", "rain_lag_24", *[f"sales_quantity_lag_{k}" for k in HOURLY.lags], *[f"rolling_{x}_{n}" for x, n in HROLLS], "hour_of_day", "is_weekend", "day_of_year"],
+        {"latent_demand": 6, "stockout_severity": 8, "temperature": 2, "temp_change_24h": 2, "hour_sin": 6},
+    ),
+    f"""WITH {LATENT}, {FILLED},
+e AS (SELECT *, CASE WHEN count(*) OVER w >= 3 THEN avg(sales_quantity) OVER w END AS e, sum(1 - is_stockout) OVER ({O} {PAST}) AS i FROM latent WINDOW w AS ({O} ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)),
+b AS (SELECT e.*, temperature AS t, precipitation AS p FROM e JOIN f ON e.store_id = f.store_id AND CAST(hour_timestamp AS DATE) = f.date)
+SELECT product_id, store_id, {TS()} AS hour_timestamp, sales_quantity, is_stockout, CAST(CASE WHEN is_stockout = 1 THEN sum(is_stockout) OVER (PARTITION BY product_id, store_id, i ORDER BY hour_timestamp {PAST}) ELSE 0 END AS INTEGER) AS stockout_streak,
+  CAST(sum(is_stockout) OVER ({O} ROWS BETWEEN 167 PRECEDING AND CURRENT ROW) AS INTEGER) AS stockout_frequency, CASE WHEN t < 10 THEN 'cold' WHEN t < 25 THEN 'moderate' ELSE 'hot' END AS temp_category, CAST(p > 0 AS INTEGER) AS is_rainy, coalesce(lag(CAST(p > 0 AS INTEGER), 24) OVER ({O}), 0) AS rain_lag_24,
+  {', '.join(f'coalesce(lag(sales_quantity, {k}) OVER ({O}), 0) AS sales_quantity_lag_{k}' for k in HOURLY.lags)}, {', '.join(f"coalesce({'avg' if x == 'mean' else x}(sales_quantity) OVER ({O} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), 0) AS rolling_{x}_{n}" for x, n in HROLLS)},
+  CAST(hour(hour_timestamp) AS INTEGER) AS hour_of_day, CAST(isodow(hour_timestamp) >= 6 AS INTEGER) AS is_weekend, CAST(dayofyear(hour_timestamp) AS INTEGER) AS day_of_year, {R('latent_demand', 6)} AS latent_demand,
+  {R('coalesce(CASE WHEN is_stockout = 1 THEN latent_demand / nullif(e, 0) WHEN sales_quantity > 0 THEN sales_quantity / nullif(e, 0) END, 0)', 8)} AS stockout_severity, {R('t', 2)} AS temperature, {R(f'coalesce(t - lag(t, 24) OVER ({O}), 0)', 2)} AS temp_change_24h, {R(f'sin(hour(hour_timestamp) * {2 * math.pi / 24!r})', 6)} AS hour_sin FROM b""",
+)
 
 # Imputation
 B.add("fill_forward_back", lambda s, d: out(impute.fill_forward_back(tb.gappy(s, d), K, "hour_timestamp", ["sales_lag_1"]), [*HCELL, "sales_lag_1"]), f"SELECT product_id, store_id, {TS()} AS hour_timestamp, coalesce(last_value(sales_lag_1 IGNORE NULLS) OVER ({O} {PAST}), first_value(sales_lag_1 IGNORE NULLS) OVER ({O} {AHEAD})) AS sales_lag_1 FROM v_gappy")
@@ -98,35 +124,24 @@ def _after_split(s, d):
 
 
 # Long-range measures
+PARTS: dict[str, str] = {}
 N = f"(SELECT product_id, store_id, week_no, sales_value AS y, row_number() OVER ({P} ORDER BY week_no) AS pos, count(*) OVER ({P}) AS n FROM v_weekly_grid)"
-B.add(
-    "autocorrelation",
-    lambda s, d: out(advanced.autocorrelation(weekly_grid(s, d), WEEKLY), K, {"acf_1": 6, "acf_4": 6, "acf_12": 6}),
-    f"""SELECT product_id, store_id, {', '.join(f"{R(f'CASE WHEN max(n) > 12 THEN coalesce(sum(dv * d{k}) / nullif(sum(dv * dv), 0), 0) ELSE 0 END', 6)} AS acf_{k}" for k in (1, 4, 12))}
-FROM (SELECT *, {', '.join(f'lag(dv, {k}) OVER ({P} ORDER BY pos) AS d{k}' for k in (1, 4, 12))} FROM (SELECT *, y - avg(y) OVER ({P}) AS dv FROM {N})) GROUP BY ALL""",
-)
-B.add(
-    "entropy",
-    lambda s, d: out(advanced.entropy(weekly_grid(s, d), WEEKLY), K, {"entropy": 6}),
-    f"""SELECT product_id, store_id, {R('CASE WHEN max(n) > 5 THEN -sum(c / n * ln(c / n)) ELSE 0 END', 6)} AS entropy FROM (SELECT product_id, store_id, n, bin, count(*) AS c FROM (
-  SELECT *, CASE WHEN hi > lo THEN least(b - 1, CAST(floor((y - lo) / (hi - lo) * b) AS INTEGER)) ELSE 0 END AS bin FROM (SELECT *, min(y) OVER ({P}) AS lo, max(y) OVER ({P}) AS hi, CAST(least(10, n // 2) AS INTEGER) AS b FROM {N})) GROUP BY ALL) GROUP BY product_id, store_id""",
-)
-B.add(
-    "hurst",
-    lambda s, d: out(advanced.hurst(weekly_grid(s, d), WEEKLY), K, {"hurst": 6}),
-    f"""WITH x AS (SELECT *, (pos - 1) // len AS block FROM (SELECT *, unnest(range(2, CAST(least(20, n // 2) AS BIGINT))) AS len FROM {N} WHERE n >= 10)),
+PARTS["autocorrelation"] = f"""SELECT product_id, store_id, {', '.join(f"{R(f'CASE WHEN max(n) > 12 THEN coalesce(sum(dv * d{k}) / nullif(sum(dv * dv), 0), 0) ELSE 0 END', 6)} AS acf_{k}" for k in (1, 4, 12))}
+FROM (SELECT *, {', '.join(f'lag(dv, {k}) OVER ({P} ORDER BY pos) AS d{k}' for k in (1, 4, 12))} FROM (SELECT *, y - avg(y) OVER ({P}) AS dv FROM {N})) GROUP BY ALL"""
+B.add("autocorrelation", lambda s, d: out(advanced.autocorrelation(weekly_grid(s, d), WEEKLY), K, {"acf_1": 6, "acf_4": 6, "acf_12": 6}), PARTS["autocorrelation"])
+PARTS["entropy"] = f"""SELECT product_id, store_id, {R('CASE WHEN max(n) > 5 THEN -sum(c / n * ln(c / n)) ELSE 0 END', 6)} AS entropy FROM (SELECT product_id, store_id, n, bin, count(*) AS c FROM (
+  SELECT *, CASE WHEN hi > lo THEN least(b - 1, CAST(floor((y - lo) / (hi - lo) * b) AS INTEGER)) ELSE 0 END AS bin FROM (SELECT *, min(y) OVER ({P}) AS lo, max(y) OVER ({P}) AS hi, CAST(least(10, n // 2) AS INTEGER) AS b FROM {N})) GROUP BY ALL) GROUP BY product_id, store_id"""
+B.add("entropy", lambda s, d: out(advanced.entropy(weekly_grid(s, d), WEEKLY), K, {"entropy": 6}), PARTS["entropy"])
+PARTS["hurst"] = f"""WITH x AS (SELECT *, (pos - 1) // len AS block FROM (SELECT *, unnest(range(2, CAST(least(20, n // 2) AS BIGINT))) AS len FROM {N} WHERE n >= 10)),
 y AS (SELECT *, y - avg(y) OVER (PARTITION BY product_id, store_id, len, block) AS dv FROM x WHERE (block + 1) * len <= n),
 z AS (SELECT *, sum(dv) OVER (PARTITION BY product_id, store_id, len, block ORDER BY pos {PAST}) AS walk FROM y),
 b AS (SELECT product_id, store_id, len, block, max(walk) - min(walk) AS r, stddev_pop(y) AS s FROM z GROUP BY ALL),
 l AS (SELECT product_id, store_id, len, avg(CASE WHEN s > 0 THEN r / s ELSE 0 END) AS rs FROM b GROUP BY ALL),
 h AS (SELECT product_id, store_id, count(*) AS k, regr_slope(ln(rs), ln(len)) AS slope FROM l WHERE rs > 0 GROUP BY ALL)
-SELECT product_id, store_id, {R('CASE WHEN k >= 2 THEN greatest(0.1, least(0.9, slope)) ELSE 0.5 END', 6)} AS hurst FROM (SELECT DISTINCT product_id, store_id FROM v_weekly_grid) LEFT JOIN h USING (product_id, store_id)""",
-)
-B.add(
-    "nonlinearity",
-    lambda s, d: out(advanced.nonlinearity(weekly_grid(s, d), WEEKLY), K, {"nonlinearity": 6}),
-    f"SELECT product_id, store_id, {R('coalesce(least(10, stddev_pop(d2) / nullif(stddev_pop(d1), 0)), 0)', 6)} AS nonlinearity FROM (SELECT *, d1 - lag(d1) OVER ({P} ORDER BY week_no) AS d2 FROM (SELECT *, sales_value - lag(sales_value) OVER ({P} ORDER BY week_no) AS d1 FROM v_weekly_grid)) GROUP BY ALL",
-)
+SELECT product_id, store_id, {R('CASE WHEN k >= 2 THEN greatest(0.1, least(0.9, slope)) ELSE 0.5 END', 6)} AS hurst FROM (SELECT DISTINCT product_id, store_id FROM v_weekly_grid) LEFT JOIN h USING (product_id, store_id)"""
+B.add("hurst", lambda s, d: out(advanced.hurst(weekly_grid(s, d), WEEKLY), K, {"hurst": 6}), PARTS["hurst"])
+PARTS["nonlinearity"] = f"SELECT product_id, store_id, {R('coalesce(least(10, stddev_pop(d2) / nullif(stddev_pop(d1), 0)), 0)', 6)} AS nonlinearity FROM (SELECT *, d1 - lag(d1) OVER ({P} ORDER BY week_no) AS d2 FROM (SELECT *, sales_value - lag(sales_value) OVER ({P} ORDER BY week_no) AS d1 FROM v_weekly_grid)) GROUP BY ALL"
+B.add("nonlinearity", lambda s, d: out(advanced.nonlinearity(weekly_grid(s, d), WEEKLY), K, {"nonlinearity": 6}), PARTS["nonlinearity"])
 B.add(
     "seasonal_decompose",
     lambda s, d: out(advanced.decompose(weekly_grid(s, d), WEEKLY), [*K, "week_no"], {"trend": 3, "seasonal": 3, "residual": 3}),
@@ -136,7 +151,12 @@ t AS (SELECT a.*, (pos - 1) % 52 AS ph, coalesce(c, CASE WHEN pos <= 26 THEN hs
 p AS (SELECT product_id, store_id, ph, avg(y - tr) AS lv FROM t WHERE tr IS NOT NULL GROUP BY ALL), m AS (SELECT product_id, store_id, avg(lv) AS ml FROM p GROUP BY ALL)
 SELECT product_id, store_id, week_no, {R('coalesce(tr, 0)', 3)} AS trend, {R('coalesce(lv - ml, 0)', 3)} AS seasonal, {R('coalesce(y - tr - (lv - ml), 0)', 3)} AS residual FROM t LEFT JOIN p USING (product_id, store_id, ph) LEFT JOIN m USING (product_id, store_id)""",
 )
-B.add("advanced_series", lambda s, d: out(advanced.advanced_series(weekly_grid(s, d), WEEKLY), [*K, "week_no"], {"acf_1": 6, "entropy": 6, "hurst": 6, "nonlinearity": 6}))
+LONG = ("acf_1", "acf_4", "acf_12", "entropy", "hurst", "nonlinearity")
+B.add(
+    "advanced_series",
+    lambda s, d: out(advanced.advanced_series(weekly_grid(s, d), WEEKLY), [*K, "week_no"], dict.fromkeys(LONG, 6)),
+    f"WITH m1 AS ({PARTS['autocorrelation']}), m2 AS ({PARTS['entropy']}), m3 AS ({PARTS['hurst']}), m4 AS ({PARTS['nonlinearity']}) SELECT product_id, store_id, week_no, {', '.join(f'CASE WHEN count(*) OVER ({P}) >= 12 THEN {c} ELSE 0 END AS {c}' for c in LONG)} FROM v_weekly_grid JOIN m1 USING (product_id, store_id) JOIN m2 USING (product_id, store_id) JOIN m3 USING (product_id, store_id) JOIN m4 USING (product_id, store_id)",
+)
 
 # Forecasts
 PRED = ", ".join(QS)
@@ -146,7 +166,11 @@ B.add("uncertainty_weighted", lambda s, d: out(ml.uncertainty_weighted(tb.predic
 B.add("share_of_total", lambda s, d: out(ml.share_of_total(weekly_grid(s, d).groupBy("product_id").agg(F.sum("sales_value").alias("v")), "v"), ["product_id"], {"share": 9}), f"SELECT product_id, {R('sum(sales_value) / (SELECT sum(sales_value) FROM v_weekly_grid)', 9)} AS share FROM v_weekly_grid GROUP BY 1")
 B.add("correlation_pairs", lambda s, d: out(ml.correlation_pairs(weekly_grid(s, d), ["sales_value", "quantity", "retail_disc"]), ["a", "b"], {"rho": 6}), f"SELECT 'quantity' AS a, 'sales_value' AS b, {R('corr(quantity, sales_value)', 6)} AS rho FROM v_weekly_grid UNION ALL SELECT 'quantity', 'retail_disc', {R('corr(quantity, retail_disc)', 6)} FROM v_weekly_grid UNION ALL SELECT 'retail_disc', 'sales_value', {R('corr(retail_disc, sales_value)', 6)} FROM v_weekly_grid")
 B.add("correlation_spearman", lambda s, d: out(ml.correlation_pairs(weekly_grid(s, d), ["sales_value", "quantity"], "spearman"), ["a", "b"], {"rho": 6}), f"SELECT 'quantity' AS a, 'sales_value' AS b, {R('corr(q, v)', 6)} AS rho FROM (SELECT rank() OVER (ORDER BY quantity) + (count(*) OVER (PARTITION BY quantity) - 1) / 2.0 AS q, rank() OVER (ORDER BY sales_value) + (count(*) OVER (PARTITION BY sales_value) - 1) / 2.0 AS v FROM v_weekly_grid)")
-B.add("drop_correlated", lambda s, d: s.createDataFrame([(c,) for c in ml.drop_correlated(weekly_grid(s, d), ["sales_value", "quantity", "retail_disc"], 0.9)], "feature string"))
+B.add(
+    "drop_correlated",
+    lambda s, d: s.createDataFrame([(c,) for c in ml.drop_correlated(weekly_grid(s, d), ["sales_value", "quantity"], 0.9)], "feature string"),
+    """SELECT unnest(CASE WHEN abs(corr(sales_value, quantity)) < 0.9 THEN ['sales_value', 'quantity'] WHEN var_samp(sales_value) > var_samp(quantity) THEN ['sales_value'] ELSE ['quantity'] END) AS feature FROM v_weekly_grid""",
+)
 
 
 def _features(s, d):
@@ -157,10 +181,18 @@ def _features(s, d):
 def _trained(s, d):
     rows, names = _features(s, d)
     train, test = clean.time_split(rows, "hour_timestamp")
-    return ml.quantile_train(train, HOURLY, names, "product_id", max_iter=5, depth=3), test, names
+    return ml.quantile_train(train, HOURLY, names, "product_id"), test, names
+
+
+B.add("quantile_train_predict", lambda s, d: _predicted(s, d))
+
+
+def _predicted(s, d):
+    model, test, _ = _trained(s, d)
+    return out(model.predict(test), [*HCELL, *QS, "prediction_interval"])
+
 
 
-B.add("quantile_train_predict", lambda s, d: out(_trained(s, d)[0].predict(_trained(s, d)[1]), [*HCELL, *QS, "prediction_interval"]))
 B.add("select_by_importance", lambda s, d: ml.select_by_importance(*_features(s, d), "sales_quantity"))
 B.add("feature_selection", lambda s, d: s.createDataFrame([(c,) for c in ml.feature_selection(*_features(s, d), "sales_quantity")], "feature string"))
 B.add("permutation_importance", lambda s, d: _permuted(s, d))
@@ -168,7 +200,7 @@ B.add("permutation_importance", lambda s, d: _permuted(s, d))
 
 def _permuted(s, d):
     model, test, names = _trained(s, d)
-    return ml.permutation_importance(model, test, names[:2], "sales_quantity", ["product_id", "store_id", "hour_timestamp"])
+    return ml.permutation_importance(model, test, names, "sales_quantity", ["product_id", "store_id", "hour_timestamp"])
 
 
 B.add("encode_categories", lambda s, d: _encoded(s, d), "SELECT product_id, CAST(row_number() OVER (ORDER BY n DESC, product_id) - 1 AS DOUBLE) AS product_id_code FROM (SELECT product_id, count(*) AS n FROM v_sales_weekly GROUP BY 1)")
@@ -207,7 +239,7 @@ B.add("group_sensitivity", lambda s, d: out(metrics.group_sensitivity(tb.predict
 B.add("region_sensitivity", lambda s, d: out(metrics.region_sensitivity(tb.predictions(s, d), "store_id", "sales_quantity", "forecast_q50"), ["region", "n_stores", "n", "total_demand"], {"mae": 5, "mape": 4}), f"SELECT substr(CAST(store_id AS VARCHAR), 1, 1) AS region, count(DISTINCT store_id) AS n_stores, count(*) AS n, sum(sales_quantity) AS total_demand, {R(f'avg({E_})', 5)} AS mae, {R(f'avg({E_} / nullif(sales_quantity, 0)) * 100', 4)} AS mape FROM v_predictions GROUP BY 1")
 B.add("category_accuracy", lambda s, d: out(metrics.category_accuracy(tb.predictions(s, d), "product_id", "sales_quantity", "forecast_q50"), ["product_id"], {"accuracy": 6}), f"SELECT product_id, {R(f'1 - avg({E_}) / avg(sales_quantity)', 6)} AS accuracy FROM v_predictions GROUP BY 1")
 B.add("error_by_period", lambda s, d: out(metrics.error_by_period(tb.predictions(s, d).withColumn("date", F.to_date("hour_timestamp")), "date", "sales_quantity", "forecast_q50"), ["date"], {"mae": 6}), f"SELECT CAST(CAST(hour_timestamp AS DATE) AS VARCHAR) AS date, {R(f'avg({E_})', 6)} AS mae FROM v_predictions GROUP BY 1")
-B.add("error_histogram", lambda s, d: metrics.histogram(tb.hourly(s, d), F.col("sales_quantity"), 50), "SELECT CAST(least(49, floor((sales_quantity - lo) / (hi - lo) * 50)) AS INTEGER) AS bin, count(*) AS n FROM v_hourly, (SELECT min(sales_quantity) AS lo, max(sales_quantity) AS hi FROM v_hourly) GROUP BY 1")
+B.add("error_histogram", lambda s, d: metrics.histogram(tb.hourly(s, d), F.col("sales_quantity"), 50), "SELECT CAST(b AS INTEGER) AS bin, coalesce(n, 0) AS n FROM range(50) r(b) LEFT JOIN (SELECT CAST(least(49, floor((sales_quantity - lo) / (hi - lo) * 50)) AS INTEGER) AS bin, count(*) AS n FROM v_hourly, (SELECT min(sales_quantity) AS lo, max(sales_quantity) AS hi FROM v_hourly) GROUP BY 1) ON bin = b")
 ATTR = "(SELECT product_id AS row_id, unnest(['promo_x', 'price_y', 'lag_1', 'is_weekend']) AS feature, unnest([demand_ratio - 1, inventory_ratio - 1.5, (product_id % 11) - 5, (product_id % 7) / 10.0]) AS value FROM v_pricing)"
 
 

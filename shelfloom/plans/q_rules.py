@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfloom.functions.expr import norm_cdf, norm_cdf_sql
+from shelfloom.functions.expr import hash_uniform_sql, norm_cdf, norm_cdf_sql
 from shelfloom.operators import clean, insights, inventory, metrics, pricing, quality, report
 from shelfloom.plans import testbed as tb
 from shelfloom.plans.kit import TS, Book, R, out
@@ -52,23 +52,19 @@ B.add(
     f"SELECT product_id, {R(f'greatest(0, least(7, coalesce((1 - p) * 100, CASE WHEN current_inventory >= l THEN 0 ELSE 5 END)))', 2)} AS stockout_risk_pct, {R('greatest(0, least(95, (current_inventory / avg_daily_demand - t) / t * 100))', 2)} AS overstock_risk_pct, {R('t', 6)} AS target_days FROM (SELECT *, greatest(1, least(60, (l + demand_std * 2) / avg_daily_demand)) AS t, {norm_cdf_sql('((current_inventory - l) / nullif(demand_std * sqrt(7.0), 0))')} AS p FROM (SELECT *, avg_daily_demand * 7 AS l FROM v_stock))",
 )
 B.add("demand_stats", lambda s, d: out(inventory.demand_stats(tb.hourly(s, d), K, "sales_quantity"), [*K, "avg_demand"], {"demand_std": 5}), f"SELECT product_id, store_id, avg(sales_quantity) AS avg_demand, {R('stddev_samp(sales_quantity)', 5)} AS demand_std FROM v_hourly GROUP BY ALL")
+DRAW, DRAW2 = hash_uniform_sql("product_id", seed=42), hash_uniform_sql("product_id", "store_id", seed=42)
 B.add(
     "forecast_risk",
-    lambda s, d: out(inventory.forecast_risk(tb.predictions(s, d), F.lit(0.5)), ["product_id", "overstock_risk_pct"], {"stockout_risk_pct": 6}),
-    f"SELECT product_id, CAST(CASE WHEN m > 0 THEN CASE WHEN r < 3 THEN 5 WHEN r < 4 THEN 15 WHEN r < 6 THEN 30 WHEN r < 8 THEN 60 ELSE 80 END ELSE 0 END AS DOUBLE) AS overstock_risk_pct, {R(f'CASE WHEN m > 0 AND sd > 0 THEN greatest(0, least(95, (1 - {norm_cdf_sql(chr(40) + chr(40) + "st - m * 2) / (sd * 1.4142135623730951))")}) * 100)) ELSE 0 END', 6)} AS stockout_risk_pct FROM (SELECT *, st / nullif(m, 0) AS r FROM (SELECT product_id, avg(forecast_q50) AS m, stddev_samp(forecast_q50) AS sd, avg(forecast_q50) * greatest(1, 2.2 + 0.6 * 0.5) + avg(forecast_q50) * 0.3 AS st FROM v_predictions GROUP BY 1))",
+    lambda s, d: out(inventory.forecast_risk(tb.predictions(s, d)), ["product_id", "overstock_risk_pct"], {"stockout_risk_pct": 6}),
+    f"SELECT product_id, CAST(CASE WHEN m > 0 THEN CASE WHEN r < 3 THEN 5 WHEN r < 4 THEN 15 WHEN r < 6 THEN 30 WHEN r < 8 THEN 60 ELSE 80 END ELSE 0 END AS DOUBLE) AS overstock_risk_pct, {R(f'CASE WHEN m > 0 AND sd > 0 THEN greatest(0, least(95, (1 - {norm_cdf_sql(chr(40) + chr(40) + "st - m * 2) / (sd * 1.4142135623730951))")}) * 100)) ELSE 0 END', 6)} AS stockout_risk_pct FROM (SELECT *, st / nullif(m, 0) AS r FROM (SELECT product_id, avg(forecast_q50) AS m, stddev_samp(forecast_q50) AS sd, avg(forecast_q50) * greatest(1, 2.2 + 0.6 * {DRAW}) + avg(forecast_q50) * 0.3 AS st FROM v_predictions GROUP BY 1))",
 )
-B.add("inventory_snapshot", lambda s, d: out(inventory.inventory_snapshot(tb.hourly(s, d), F.lit(0.5)), [*K, "current_inventory"], {"inventory_ratio": 6}), f"SELECT product_id, store_id, CAST(floor(m * 2.25) AS BIGINT) AS current_inventory, {R('floor(m * 2.25) / m', 6)} AS inventory_ratio FROM (SELECT product_id, store_id, avg(sales_quantity) AS m FROM v_hourly GROUP BY ALL)")
-B.add("priority_reorders", lambda s, d: clean.priority_reorders(_stock_flags(s, d)).select("product_id", "stockout_risk"), "SELECT product_id, demand_std / 13.0 AS stockout_risk FROM v_stock WHERE current_inventory < 100 OR demand_std / 13.0 > 0.1")
-
-
-def _stock_flags(s, d):
-    return tb.stock(s, d).select("product_id", (F.col("current_inventory") < 100).alias("should_reorder"), (F.col("demand_std") / 13.0).alias("stockout_risk"))
-
-
+B.add("inventory_snapshot", lambda s, d: out(inventory.inventory_snapshot(tb.hourly(s, d)), [*K, "current_inventory"], {"inventory_ratio": 6}), f"SELECT product_id, store_id, CAST(floor(m * (1.5 + 1.5 * {DRAW2})) AS BIGINT) AS current_inventory, {R(f'floor(m * (1.5 + 1.5 * {DRAW2})) / m', 6)} AS inventory_ratio FROM (SELECT product_id, store_id, avg(sales_quantity) AS m FROM v_hourly GROUP BY ALL)")
+RAW = f"CASE WHEN sd = 0 THEN (rop * 1.5 < d * 7)::INT ELSE 1 - {norm_cdf_sql(f'((rop * 1.5 - d * 7) / nullif(sd * {RT7}, 0))')} END"
+B.add("priority_reorders", lambda s, d: out(clean.priority_reorders(inventory.optimize_inventory(tb.predictions(s, d), K, "hour_timestamp"), 0.02), K, {"stockout_risk_raw": 7}), f"SELECT product_id, store_id, {R('raw', 7)} AS stockout_risk_raw FROM (SELECT *, {RAW} AS raw FROM {OPT}) WHERE rop * 1.5 <= rop OR raw > 0.02")
 B.add(
     "inventory_report",
-    lambda s, d: out(report.inventory_report(inventory.optimize_inventory(tb.predictions(s, d), K, "hour_timestamp")), ["products", "reorders", "high_risk"], {"mean_days_until_reorder": 5, "total_cost": 3}),
-    f"SELECT count(*) AS products, count(*) FILTER (rop * 1.5 <= rop) AS reorders, count(*) FILTER (sd = 0 AND rop * 1.5 < d * 7) AS high_risk, {R('avg(greatest(0, (rop * 1.5 - rop) / nullif(d, 0)))', 5)} AS mean_days_until_reorder, {R('sum(a / nullif(q, 0) * 50 + q / 2 * 2)', 3)} AS total_cost FROM {OPT}",
+    lambda s, d: out(report.inventory_report(inventory.optimize_inventory(tb.predictions(s, d), K, "hour_timestamp"), 0.02), ["products", "reorders", "high_risk"], {"mean_days_until_reorder": 5, "total_cost": 3}),
+    f"SELECT count(*) AS products, count(*) FILTER (rop * 1.5 <= rop) AS reorders, count(*) FILTER ({RAW} > 0.02) AS high_risk, {R('avg(greatest(0, (rop * 1.5 - rop) / nullif(d, 0)))', 5)} AS mean_days_until_reorder, {R('sum(a / nullif(q, 0) * 50 + q / 2 * 2)', 3)} AS total_cost FROM {OPT}",
 )
 
 # Ledger
@@ -112,8 +108,8 @@ FROM (SELECT *, (np - current_price) / current_price * 100 AS pc, CASE WHEN curr
 )
 B.add(
     "pricing_inputs",
-    lambda s, d: out(pricing.pricing_inputs(tb.predictions(s, d), inventory.inventory_snapshot(tb.hourly(s, d), F.lit(0.5)).where("store_id < 7"), K), [*K, "hour_timestamp"], {"demand_ratio": 6, "inventory_ratio": 6}),
-    f"SELECT p.product_id, p.store_id, {TS('p.hour_timestamp')} AS hour_timestamp, {R('coalesce(forecast_q50 / (SELECT avg(sales_quantity) FROM v_predictions), 1)', 6)} AS demand_ratio, {R('coalesce(r, 1)', 6)} AS inventory_ratio FROM v_predictions p LEFT JOIN (SELECT product_id, store_id, floor(avg(sales_quantity) * 2.25) / avg(sales_quantity) AS r FROM v_hourly WHERE store_id < 7 GROUP BY ALL) i ON p.product_id = i.product_id AND p.store_id = i.store_id",
+    lambda s, d: out(pricing.pricing_inputs(tb.predictions(s, d), inventory.inventory_snapshot(tb.hourly(s, d)).where("current_inventory > 5"), K), [*K, "hour_timestamp"], {"demand_ratio": 6, "inventory_ratio": 6}),
+    f"SELECT p.product_id, p.store_id, {TS('p.hour_timestamp')} AS hour_timestamp, {R('coalesce(forecast_q50 / (SELECT avg(sales_quantity) FROM v_predictions), 1)', 6)} AS demand_ratio, {R('coalesce(r, 1)', 6)} AS inventory_ratio FROM v_predictions p LEFT JOIN (SELECT product_id, store_id, c / m AS r FROM (SELECT *, floor(m * (1.5 + 1.5 * {DRAW2})) AS c FROM (SELECT product_id, store_id, avg(sales_quantity) AS m FROM v_hourly GROUP BY ALL)) WHERE c > 5) i ON p.product_id = i.product_id AND p.store_id = i.store_id",
 )
 
 # Insights
@@ -207,13 +203,13 @@ B.add(
     lambda s, d: out(quality.baseline_profile(tb.hourly(s, d), ["sales_quantity"], ["product_id"]), ["column", "metric"], {"value": 5}),
     f"WITH x AS (SELECT sales_quantity AS v, product_id AS p FROM v_hourly) " + " UNION ALL ".join(f"SELECT '{c}' AS column, '{m}' AS metric, {R(e, 5)} AS value FROM x" for c, m, e in (("sales_quantity", "mean", "avg(v)"), ("sales_quantity", "std", "stddev_samp(v)"), ("sales_quantity", "min", "min(v)"), ("sales_quantity", "max", "max(v)"), ("sales_quantity", "q25", "quantile_cont(v, 0.25)"), ("sales_quantity", "q50", "quantile_cont(v, 0.5)"), ("sales_quantity", "q75", "quantile_cont(v, 0.75)"), ("sales_quantity", "null_pct", "0.0 * count(*)"), ("product_id", "null_pct", "0.0 * count(*)"), ("product_id", "distinct", "count(DISTINCT p)"))) + " UNION ALL SELECT 'product_id', 'top:' || p, count(*)::DOUBLE FROM x GROUP BY p",
 )
-B.add("detect_drift", lambda s, d: _drift(s, d), f"SELECT 'sales_quantity' AS column, {R('avg(sales_quantity)', 5)} AS mean_base, {R('avg(sales_quantity) FILTER (store_id < 3) * 9', 5)} AS mean_now, abs(avg(sales_quantity) FILTER (store_id < 3) * 9 - avg(sales_quantity)) > 2 * stddev_samp(sales_quantity) AS drifted FROM v_hourly")
+OLD = "epoch_us(hour_timestamp) < (SELECT quantile_cont(epoch_us(hour_timestamp)::DOUBLE, 0.5) FROM v_hourly)"
+B.add("detect_drift", lambda s, d: _drift(s, d), f"SELECT 'sales_quantity' AS column, {R(f'avg(sales_quantity) FILTER ({OLD})', 5)} AS mean_base, {R(f'avg(sales_quantity) FILTER (NOT {OLD})', 5)} AS mean_now, abs(avg(sales_quantity) FILTER (NOT {OLD}) - avg(sales_quantity) FILTER ({OLD})) > 2 * stddev_samp(sales_quantity) FILTER ({OLD}) AS drifted FROM v_hourly")
 
 
 def _drift(s, d):
-    rows = tb.hourly(s, d)
-    now = rows.where("store_id < 3").withColumn("sales_quantity", F.col("sales_quantity") * 9)
-    found = quality.detect_drift(quality.baseline_profile(rows, ["sales_quantity"], []), quality.baseline_profile(now, ["sales_quantity"], []))
+    before, now = clean.time_split(tb.hourly(s, d), "hour_timestamp", 0.5)
+    found = quality.detect_drift(quality.baseline_profile(before, ["sales_quantity"], []), quality.baseline_profile(now, ["sales_quantity"], []))
     return out(found, ["column", "drifted"], {"mean_base": 5, "mean_now": 5})
 
 
@@ -238,8 +234,7 @@ B.add("period_rollup_r2", lambda s, d: _daily_r2(s, d), f"SELECT {R('1 - sum((ac
 
 def _daily_r2(s, d):
     rows = tb.demand_daily(s, d)
-    rows = rows.crossJoin(F.broadcast(rows.agg(F.avg("actual_demand").alias("m"))))
-    return out(rows.agg(metrics.r2(F.col("actual_demand"), F.col("forecast_q50"), F.col("m")).alias("r2")), [], {"r2": 6})
+    return out(rows.agg(metrics.r2(F.col("actual_demand"), F.col("forecast_q50")).alias("r2")), [], {"r2": 6})
 
 
 B.add("rollup_monthly", lambda s, d: report.rollup_monthly(tb.market(s, d), "date", ["transaction_count", "revenue"]), "SELECT strftime(date, '%Y-%m') AS month, CAST(sum(transaction_count) AS BIGINT) AS transaction_count, sum(revenue) AS revenue FROM v_market GROUP BY 1")
@@ -280,27 +275,4 @@ def _per_column(s, d):
     return apply_per_column(weekly_grid(s, d), ["sales_value", "quantity"], lambda c: c * 2).select("product_id", "store_id", "week_no", "sales_value", "quantity")
 
 
-# Streaming
-B.add("incremental_aggregate", lambda s, d: _streamed(s, d), f"SELECT product_id, store_id, {TS()} AS hour_timestamp, sales_quantity FROM v_hourly_raw WHERE hour_timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS")
-
-
-def _streamed(s, d):
-    """The closed hours of the events table, read as a stream."""
-    import uuid
-
-    from shelfloom.streaming.incremental import hourly_stream, incremental_aggregate
-
-    base = f"{_shared(s)}/stream-{uuid.uuid4().hex}"
-    rows = scan_table(s, d, "events")
-    # A glob that matches the one table: streams read folders.
-    incremental_aggregate(hourly_stream(s, f"{d}/events.parque[t]", rows.schema), f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return out(s.read.parquet(f"{base}/out"), [*K, "hour_timestamp", "sales_quantity"])
-
-
-def _shared(s) -> str:
-    import tempfile
-
-    return (s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")).rstrip("/")
-
-
 QUERIES, ORACLES = B.queries, B.oracles

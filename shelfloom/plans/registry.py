@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_MODULES = ["q_core", "q_model", "q_rules"]
+_MODULES = ["q_core", "q_io", "q_model", "q_rules"]
 
 
 def _modules():

@@ -27,9 +27,9 @@ FROM (SELECT DISTINCT product_id, store_id FROM v_weekly WHERE sales_value > 0)
 CROSS JOIN (SELECT DISTINCT week_no FROM v_weekly WHERE sales_value > 0) w
 LEFT JOIN (SELECT * FROM v_weekly WHERE sales_value > 0) v USING (product_id, store_id, week_no)""",
     "v_product": """SELECT p_brand AS product_id, min(p_type) AS department FROM part
-WHERE p_brand <> (SELECT max(p_brand) FROM part) GROUP BY p_brand""",
+GROUP BY p_brand HAVING avg(p_retailprice) <= (SELECT avg(p_retailprice) FROM part)""",
     "v_household": """SELECT c_custkey AS household_key, CASE WHEN c_acctbal < 0 THEN 'debt' WHEN c_acctbal < 5000 THEN 'middle' ELSE 'high' END AS income_desc,
-  c_mktsegment AS segment FROM customer WHERE c_custkey % 10 <> 3""",
+  c_mktsegment AS segment FROM customer WHERE c_acctbal >= 0""",
     "v_causal": """SELECT product_id, store_id, week_no, CAST(CAST(sum(l_linenumber) AS BIGINT) % 3 AS VARCHAR) AS display, CAST(count(*) % 2 AS VARCHAR) AS mailer
 FROM v_sales_weekly WHERE l_returnflag = 'R' GROUP BY ALL""",
     "v_clicks": """SELECT user_id AS visitorid, CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event,
@@ -42,7 +42,7 @@ FROM (SELECT DISTINCT product_id, store_id FROM v_hourly_raw) s CROSS JOIN (SELE
 LEFT JOIN v_hourly_raw USING (product_id, store_id, hour_timestamp)""",
     "v_weather": """SELECT CAST(user_id % 10 AS INTEGER) AS store_id, CAST(ts AS DATE) AS date, round(avg(floor(value)) - 35, 2) AS temperature,
   round(greatest(0, max(floor(value)) - 150) / 10, 2) AS precipitation, CAST(least(100, (count(*) * 7) % 111) AS DOUBLE) AS humidity
-FROM events WHERE day(ts) % 7 <> 0 GROUP BY ALL""",
+FROM events GROUP BY ALL HAVING arg_min(event_type, (ts, event_id)) <> 'error'""",
     "v_predictions": """SELECT v.*, q[1] AS forecast_q05, q[2] AS forecast_q25, q[3] AS forecast_q50, q[4] AS forecast_q75, q[5] AS forecast_q95
 FROM v_hourly v JOIN (SELECT product_id, store_id, hour(hour_timestamp) AS h, quantile_cont(sales_quantity, [0.05, 0.25, 0.5, 0.75, 0.95]) AS q
   FROM v_hourly WHERE epoch_us(hour_timestamp) < (SELECT quantile_cont(epoch_us(hour_timestamp)::DOUBLE, 0.8) FROM v_hourly) GROUP BY ALL) p
@@ -105,14 +105,16 @@ def sales_weekly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def product(spark: SparkSession, d: str) -> DataFrame:
+    """Departments are known for brands of at most the average price."""
     part = scan_table(spark, d, "part")
-    last = part.agg(F.max("p_brand").alias("last"))
-    return part.join(F.broadcast(last), F.col("p_brand") != F.col("last")).groupBy(F.col("p_brand").alias("product_id")).agg(F.min("p_type").alias("department"))
+    average = part.agg(F.avg("p_retailprice").alias("average"))
+    brands = part.groupBy(F.col("p_brand").alias("product_id")).agg(F.min("p_type").alias("department"), F.avg("p_retailprice").alias("price"))
+    return brands.crossJoin(F.broadcast(average)).where("price <= average").select("product_id", "department")
 
 
 def household(spark: SparkSession, d: str) -> DataFrame:
     income = F.when(F.col("c_acctbal") < 0, "debt").when(F.col("c_acctbal") < 5000, "middle").otherwise("high")
-    return scan_table(spark, d, "customer").where("c_custkey % 10 <> 3").select(F.col("c_custkey").alias("household_key"), income.alias("income_desc"), F.col("c_mktsegment").alias("segment"))
+    return scan_table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("household_key"), income.alias("income_desc"), F.col("c_mktsegment").alias("segment"))
 
 
 def causal(spark: SparkSession, d: str) -> DataFrame:
@@ -134,19 +136,21 @@ def hourly_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, d: str) -> DataFrame:
-    from shelfloom.operators.grid import grid_cross
+    from shelfloom.operators.grid import complete
     from shelfloom.spec import HOURLY
 
-    raw = hourly_raw(spark, d)
-    cells = grid_cross(raw, HOURLY).join(raw, ["product_id", "store_id", "hour_timestamp"], "left")
+    cells = complete(hourly_raw(spark, d), HOURLY, fill=False)
     empty = F.col("sales_quantity").isNull() & ((F.hour("hour_timestamp") + F.col("store_id")) % 3 == 0)
     return cells.withColumn("is_stockout", F.when(empty, 1).otherwise(0)).fillna(0, ["sales_quantity"])
 
 
 def weather(spark: SparkSession, d: str) -> DataFrame:
     whole = F.floor("value").cast("double")
-    rows = events(spark, d).where("day(ts) % 7 <> 0").groupBy((F.col("user_id") % 10).cast("int").alias("store_id"), F.to_date("ts").alias("date"))
-    return rows.agg(F.round(F.avg(whole) - 35, 2).alias("temperature"), F.round(F.greatest(F.lit(0.0), F.max(whole) - 150) / 10, 2).alias("precipitation"), F.least(F.lit(100), (F.count("*") * 7) % 111).cast("double").alias("humidity"))
+    # A store has no weather on days that begin with an error.
+    rows = events(spark, d).groupBy((F.col("user_id") % 10).cast("int").alias("store_id"), F.to_date("ts").alias("date"))
+    begins = F.min_by("event_type", F.struct("ts", "event_id")).alias("begins")
+    found = rows.agg(begins, F.round(F.avg(whole) - 35, 2).alias("temperature"), F.round(F.greatest(F.lit(0.0), F.max(whole) - 150) / 10, 2).alias("precipitation"), F.least(F.lit(100), (F.count("*") * 7) % 111).cast("double").alias("humidity"))
+    return found.where("begins <> 'error'").drop("begins")
 
 
 def predictions(spark: SparkSession, d: str) -> DataFrame:

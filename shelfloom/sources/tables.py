@@ -59,10 +59,11 @@ def load_weather(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(WEATHER).csv(path).withColumn("date", F.to_date("date"))
 
 
-def load_forecasts(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet or CSV by suffix."""
+def load_forecasts(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Parquet or CSV by suffix.  A CSV is read once if its schema is given, else once more to infer it."""
     if path.endswith((".csv", ".csv.gz")):
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+        read = spark.read.option("header", True)
+        return (read.schema(schema) if schema else read.option("inferSchema", True)).csv(path)
     return spark.read.parquet(path)
 
 

@@ -20,7 +20,10 @@ def incremental_aggregate(stream: DataFrame, out: str, checkpoint: str) -> Strea
 
 
 def incremental_upsert(stream: DataFrame, out: str, checkpoint: str, partition: str) -> StreamingQuery:
-    """ST2: each batch replaces the partitions that it touches, so a repeated batch changes nothing."""
+    """ST2: each batch replaces the partitions that it touches, so a repeated batch changes nothing.
+
+    A partition's rows have to come in one batch, as those of a day's file do.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(out)
