@@ -7,7 +7,7 @@ Lines are compared without case and with white space collapsed.  A line is the s
    ``rows`` tokens.  All signatures of a batch are computed at once on its rolling hashes.
 2. Distinct lines that share a band key are candidates.
 3. Candidates are verified by exact Jaccard similarity on full lines, only as far as they can still join
-   two components (``linking``).  For the lines of buckets that stay much divided, such as lines around
+   two components (``linking``).  For the lines of large buckets that stay divided, such as lines around
    a common passage, a prefix filter that loses no similar pair gives the candidates.
 4. Union-find by contraction (``components``); of each component the first line, by doc_id and line
    number, stays.  Equal lines share a key and need no verification.
@@ -33,12 +33,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
 from shelfloom.llm.components import components
-from shelfloom.llm.linking import rest_pairs, shared_members, star_pairs
+from shelfloom.llm.linking import prefix_pairs, rest_pairs, shared_members, star_pairs
 
 CHARS = 8
 _RNG = np.random.default_rng(90_017)
@@ -52,13 +52,13 @@ CLOSE = 200 * 8
 
 @dataclass(frozen=True)
 class LineSpec:
-    """threshold: per cent of the union of shingles that must be shared.  few: lines outside a bucket's largest
-    component up to which it is compared exhaustively; the lines of others pass a prefix filter first."""
+    """threshold: per cent of the union of shingles that must be shared.  small: members of a bucket up to
+    which it is compared exhaustively; the lines of larger ones that stay divided pass a prefix filter first."""
 
     threshold: int = 80
     bands: int = 10
     rows: int = 4
-    few: int = 20
+    small: int = 20
 
 
 def normalize(line: str) -> str:
@@ -256,7 +256,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 
 def _shingles(lines: DataFrame) -> DataFrame:
-    """(id, shingle, size): the distinct shingle hashes of whole lines (key, line); size counts shingles as ``verified`` does."""
+    """(id, element, size): the distinct shingle hashes of whole lines (key, line); size counts shingles as ``verified`` does.
+
+    Equal hashes of two shingles of a line make its prefix longer, never shorter.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -265,43 +268,9 @@ def _shingles(lines: DataFrame) -> DataFrame:
                 hashes = [np.unique(shingle_hashes([line])[0]).view(np.int32) for line in lines[x:y]]
                 sizes = np.array([len(shingle_set(line)) for line in lines[x:y]], np.int32)
                 n = [len(h) for h in hashes]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[x:y], n)), pa.array(np.concatenate(hashes)), pa.array(np.repeat(sizes, n))], names=["id", "shingle", "size"])
-
-    return lines.select("key", "line").mapInArrow(run, "id long, shingle int, size int")
-
-
-def _prefixes(lines: DataFrame, threshold: int) -> DataFrame:
-    """(shingle, id, size, pos): of each line its rarest shingles, as many as must hold one of any similar line's.
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[x:y], n)), pa.array(np.concatenate(hashes)), pa.array(np.repeat(sizes, n))], names=["id", "element", "size"])
 
-    Shingles are ordered by their count over all the lines, then by hash.  A similar line shares at least
-    ``threshold`` per cent of a line's shingles, so the first shared one stands within the rest of them and
-    one more.  Shingles of one line count for positions only.  Equal hashes of two shingles of a line make
-    its prefix longer, never shorter.
-    """
-    rows = materialize(_shingles(lines), "ld-shingles")
-    counts = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    ranked = rows.join(counts, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    pos = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle")) - 1
-    return ranked.withColumn("pos", pos).where(f"pos <= size - int((size * {threshold}L + 99) div 100) and n > 1").select("shingle", "id", "size", "pos")
-
-
-def _similar_candidates(keys: DataFrame, texts: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): every pair of the lines that may be similar and is not in one component yet.
-
-    Lines around a common passage share buckets without being similar.  The prefix filter leaves out only
-    pairs that cannot be similar: those that share no shingle of their prefixes, or so late that what
-    remains of the shorter one is too little for the threshold.  Pairs inside a component are left out,
-    so a group of copies is compared only with the lines outside it.
-    """
-    prefixes = _prefixes(texts.join(keys, "key"), threshold)
-    rows = materialize(prefixes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "ld-prefixes")
-    sizes = rows.groupBy("shingle", "label").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("shingle").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
-    outside = rows.join(largest.select("shingle", F.col("m.label").alias("largest")), "shingle").where("label != largest").drop("largest")
-    other = rows.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("id", "label", "size", "pos")])
-    enough = F.expr(f"{100 + threshold}L * least(size - pos, other_size - other_pos) >= {threshold}L * (size + other_size)")
-    pairs = outside.join(other, (outside["shingle"] == other["shingle"]) & (F.col("label") != F.col("other_label")) & enough)
-    return pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
+    return lines.select("key", "line").mapInArrow(run, "id long, element int, size int")
 
 
 def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
@@ -314,13 +283,13 @@ def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
     labelled = lambda links: components(links).withColumnsRenamed({"node": "id", "component": "label"})
     pairs = materialize(star_pairs(members), "ld-pairs")
     links = verify(pairs)
-    others, rest = rest_pairs(members, labelled(links), spec.few, "ld")
+    others, rest = rest_pairs(members, labelled(links), spec.small, "ld")
     discard(members, pairs)
     links = links.unionByName(verify(others))
     discard(others)
     if not rest.isEmpty():
         keys = materialize(rest.select(F.col("id").alias("key")).distinct(), "ld-keys")
-        candidates = materialize(_similar_candidates(keys, texts, labelled(links), spec.threshold), "ld-pairs")
+        candidates = prefix_pairs(_shingles(texts.join(keys, "key")), labelled(links), spec.threshold, "ld")
         links = links.unionByName(verify(candidates))
         discard(keys, candidates)
     discard(rest, texts)

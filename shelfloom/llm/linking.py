@@ -5,16 +5,16 @@ Ids that share a bucket are candidates; a bucket may hold a group of any size.
 1. *Stars*: each bucket names its least and greatest id, and each id is compared with the one that most
    of its buckets name on either side: two pairs an id at most.  In a group of copies nearly all ids meet
    the same one, so nearly all join.
-2. *Rest*: where a bucket still holds several components, the ids outside its largest one are compared
-   with all ids of other components, if they are few.  Buckets with many of them are given back with
-   their members, for a finer method to part them.
+2. *Rest*: a small bucket that still holds several components is compared exhaustively across them.
+   Larger ones are given back with their members, for a finer method to part them.
+3. *Prefixes*: what cannot be parted is compared by a prefix filter, which loses no similar pair.
 
 Every table that a join meets on a hot bucket is a plain shuffled one, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
@@ -52,29 +52,52 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def _sizes(here: DataFrame, tag: str) -> DataFrame:
-    """(bucket, largest, n_outside) of the buckets with several labels: their largest label, and how many ids have another."""
-    sizes = here.groupBy("bucket", "label").agg(F.count("*").alias("c"))
-    found = sizes.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("n"))
-    return materialize(found.select("bucket", F.col("m.label").alias("largest"), (F.col("n") - F.col("m.c")).alias("n_outside")).where("n_outside > 0"), f"{tag}-sizes")
-
-
-def rest_pairs(members: DataFrame, labels: DataFrame, few: int | None, tag: str) -> tuple[DataFrame, DataFrame]:
+def rest_pairs(members: DataFrame, labels: DataFrame, small: int, tag: str) -> tuple[DataFrame, DataFrame]:
     """(pairs (a, b), rest (bucket, id, label)).
 
-    pairs: what buckets with at most ``few`` ids outside their largest component still have to compare.
-    rest: the members of the others.  If ``few`` is None, there is no rest.
+    pairs: what buckets of at most ``small`` members still have to compare, which is everything across
+    components.  rest: the members of larger buckets that hold several components.
     """
     label: Column = F.coalesce("label", "id").alias("label")
     here = materialize(members.select("bucket", "id").join(labels, "id", "left").select("bucket", "id", label), f"{tag}-here")
-    sizes = _sizes(here, tag)
-    divided = materialize(here.join(sizes, "bucket"), f"{tag}-divided")
-    discard(here, sizes)
-    small = divided if few is None else divided.where(F.col("n_outside") <= few)
-    outside = small.where("label != largest").select("bucket", "id", "label")
-    other = small.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
-    pairs = outside.join(other, "bucket").where("label != other_label").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    divided = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high")
+    here = here.join(materialize(divided.select("bucket", "n"), f"{tag}-sizes"), "bucket")
+    few = here.where(F.col("n") <= small).select("bucket", "id", "label")
+    other = few.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
+    pairs = few.join(other, "bucket").where("label < other_label").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     pairs = materialize(pairs, f"{tag}-pairs")
-    rest = materialize(divided.where(F.lit(False) if few is None else F.col("n_outside") > few).select("bucket", "id", "label"), f"{tag}-rest")
-    discard(divided)
-    return pairs, rest
+    return pairs, materialize(here.where(F.col("n") > small).select("bucket", "id", "label"), f"{tag}-rest")
+
+
+def prefix_pairs(elements: DataFrame, labels: DataFrame, threshold: int, tag: str) -> DataFrame:
+    """(a, b): every pair of the sets that may meet the threshold and is not in one component yet.
+
+    elements: (id, element, size), distinct; size is that of the id's set.  If an id has several sets, a
+    column part tells them apart.  A set's elements are ordered
+    by their count over all the sets, then by value.  Of two similar sets each shares at least
+    ``threshold`` per cent of its elements with the other, so their first common element stands within
+    the rest of either and one more: only those are compared.  Pairs that meet so late that what remains
+    of either is too little go too, and so do pairs inside a component.  No similar pair is lost.
+
+    Sets around a common passage that are not similar have their own rare elements first, so they do not
+    meet, however many they are.
+    """
+    rows = materialize(elements, f"{tag}-elements")
+    counts = materialize(rows.groupBy("element").agg(F.count("*").alias("n")).where("n > 1"), f"{tag}-counts")
+    ranked = rows.join(counts, "element", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    one = [c for c in ("id", "part") if c in elements.columns]
+    pos = F.row_number().over(Window.partitionBy(*one).orderBy("n", "element")) - 1
+    first = ranked.withColumn("pos", pos).where(f"pos <= size - int((size * {threshold}L + 99) div 100) and n > 1").select("element", "id", "size", "pos")
+    first = first.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    first = materialize(first, f"{tag}-prefixes")
+    discard(rows, counts)
+    sizes = first.groupBy("element", "label").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("element").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
+    largest = materialize(largest.select("element", F.col("m.label").alias("largest")), f"{tag}-largest")
+    outside = first.join(largest, "element").where("label != largest").drop("largest")
+    other = first.select("element", *[F.col(c).alias(f"other_{c}") for c in ("id", "label", "size", "pos")])
+    enough = F.expr(f"{100 + threshold}L * least(size - pos, other_size - other_pos) >= {threshold}L * (size + other_size)")
+    pairs = outside.join(other, (outside["element"] == other["element"]) & (F.col("label") != F.col("other_label")) & enough)
+    pairs = materialize(pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct(), f"{tag}-pairs")
+    discard(first, largest)
+    return pairs

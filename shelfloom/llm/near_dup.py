@@ -9,16 +9,16 @@ class at once; classes are joined on similarity:
   share one child on average at any depth, dissimilar ones fewer and fewer.
 * The first comparison is at depth ``DEPTH``.  Documents of a node are compared only as far as they can
   still join components (``linking``): with the node's ends first, which settles groups of copies of any
-  size, then exhaustively across components where few documents are outside the largest one.  Nodes
-  that stay divided branch ``DEPTH`` levels further; after ``rounds`` of them what is left is compared
-  exhaustively, so nothing is capped.
+  size, then exhaustively across components if the node is ``small``.  Larger nodes that stay divided
+  branch ``DEPTH`` levels further.  After ``rounds`` of them what is left, such as many documents around
+  one passage, is compared by a prefix filter on full sets that loses no similar pair: nothing is capped.
 * Before the exact check, sketches of the minwise tokens drop pairs that are far off (estimates six
   standard deviations under the threshold).  Only documents of pairs that pass have their full sets
   made, once, in a second reading of the texts.
 
-A pair at the threshold has no common node at depth 2 with probability 0.31 a tree, 0.47 at depth 4 and
-0.56 at depth 6: below 1e-6, 2e-4 and 1e-3 for ``trees`` = 12, and nodes are that deep in hot groups
-only.  Pairs that are more similar are missed far less often.
+A pair at the threshold has no common node at depth 2 with probability 0.31 a tree and 0.47 at depth 4:
+below 1e-6 and 2e-4 for ``trees`` = 12, and nodes are that deep in hot groups only.  Pairs that are more
+similar are missed far less often.
 
 Cases: null or blank text has the empty set, links with nothing and is its own component; texts
 shorter than a shingle are one shingle; repeated doc_ids are one vertex; a row without doc_id takes its
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
 from shelfloom.llm.components import components
-from shelfloom.llm.linking import labelled_members, rest_pairs, shared_members, star_pairs
+from shelfloom.llm.linking import labelled_members, prefix_pairs, rest_pairs, shared_members, star_pairs
 
 COORDS = 96
 DEPTH = 2
@@ -59,14 +59,14 @@ SLICE = 256
 class JoinSpec:
     """threshold: per cent of the union that must be shared.  words: words in a shingle.
 
-    few: documents outside a node's largest component up to which it is compared exhaustively.
+    small: documents of a node up to which it is compared exhaustively.
     """
 
     threshold: int = 75
     words: int = 5
     trees: int = 12
-    few: int = 32
-    rounds: int = 4
+    small: int = 32
+    rounds: int = 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -290,9 +290,8 @@ class _Sets:
     def __init__(self, docs: DataFrame, spec: JoinSpec):
         self.docs, self.spec, self.parts = docs, spec, []
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        """(id, s) for at least all ends of the pairs."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def of(self, ids: DataFrame) -> DataFrame:
+        """(id, s) for at least all these ids."""
         for part in self.parts:
             ids = ids.join(part.select("id"), "id", "left_anti")
         ids = materialize(ids, "nd-ids")
@@ -339,7 +338,8 @@ def similar(classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame |
     def verify(pairs: DataFrame) -> None:
         near = materialize(_far(pairs, classes, spec.threshold), "nd-near")
         if not near.isEmpty():
-            found.append(materialize(linked(near, sets.of(near), spec.threshold), "nd-links"))
+            ends = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            found.append(materialize(linked(near, sets.of(ends), spec.threshold), "nd-links"))
         discard(near)
 
     def joined() -> DataFrame:
@@ -359,21 +359,44 @@ def similar(classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame |
             discard(labels)
             labels = joined()
         known = labels.withColumnsRenamed({"node": "id", "component": "label"}) if labels is not None else empty
-        others, rest = rest_pairs(members, known, None if k == spec.rounds else spec.few, "nd")
+        others, rest = rest_pairs(members, known, spec.small, "nd")
         verify(others)
         discard(pairs, others, members)
         if rest.isEmpty():
             break
-        deeper = _next_nodes(rest.join(classes.select("id", "sketch"), "id"))
-        named = materialize(deeper.join(known, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label")), "nd-nodes")
-        members = labelled_members(named, "nd")
-        discard(rest, named)
+        if k == spec.rounds:
+            ids = materialize(rest.select("id").distinct(), "nd-ids")
+            candidates = prefix_pairs(_elements(sets.of(ids), ids), known, spec.threshold, "nd")
+            verify(candidates)
+            discard(ids, candidates)
+        else:
+            deeper = _next_nodes(rest.join(classes.select("id", "sketch"), "id"))
+            named = materialize(deeper.join(known, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label")), "nd-nodes")
+            members = labelled_members(named, "nd")
+            discard(named)
+        discard(rest)
     discard(labels)
     out = joined() if found else None
     discard(*found, *sets.parts)
     return out
 
 
+def _elements(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, part, element, size) of the full sets of some documents; a repeated doc_id has a part for each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                s, which = np.frombuffer(raw, np.int64), xxhash.xxh3_64_intdigest(raw) - (1 << 63)
+                for lo in range(0, len(s), 50_000):
+                    part = s[lo : lo + 50_000]
+                    same = [np.full(len(part), x) for x in (i, which)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, same), pa.array(part), pa.array(np.full(len(part), len(s), np.int32))], names=["id", "part", "element", "size"])
+
+    found = sets.join(ids, "id", "left_semi").mapInArrow(run, "id long, part long, element long, size int")
+    return found.dropDuplicates(["id", "part", "element"])
+
+
 def near_duplicates(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

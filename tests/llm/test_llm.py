@@ -269,12 +269,13 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_levels_below_the_first_and_small_nodes(spark):
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_levels_below_the_first_and_small_nodes(spark, rounds):
     rnd = random.Random(8)
     base = prose(rnd, 60).split()
     texts = [" ".join(base[:40] + [rnd.choice(WORDS) for _ in range(20)]) for _ in range(60)]
     docs = docs_of(spark, texts)
-    spec = near_dup.JoinSpec(few=2, rounds=3)
+    spec = near_dup.JoinSpec(small=5, rounds=rounds)
     got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs, spec).collect()}
     sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
     want = brute_components(60, [(a, b) for a, b in itertools.combinations(range(60), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])])
