@@ -12,7 +12,8 @@ from shelfloom.llm.common import materialize, scratch_path, table
 def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    captures = warc.assemble(warc.read_records(spark, path, block=False))
+    records = materialize(warc.read_records(spark, path, block=False), "warc-records")
+    captures = warc.assemble(records)
     rows = materialize(
         captures.select(
             "capture_id",

@@ -6,15 +6,20 @@ at least ``min_revisit`` bytes, the one with the smallest id is the response, th
 without a body.  The files come from Spark's own text writer: a record is its header block and
 block, and the writer's line separator is the blank lines that end a record.
 
-``read_records`` loads whole archive files, of a size that the writer bounds by ``per_file``
-records, and cuts them by Content-Length, so payloads may hold any bytes, record separators too.
+Files hold about ``FILE_BYTES`` of payload at most: pages are written by classes of size, each with as
+many records to a file as its largest page allows.  ``read_records`` decompresses a file as it goes, a
+record at a time, and cuts records by Content-Length, so payloads may hold any bytes, record separators
+too; a task holds a compressed file, one record and a batch of about ``BATCH_BYTES``.
 
 ``assemble`` joins the records of a transaction through their concurrent-to identifiers, whichever
-side names the other, and gives one nested row per capture.
+side names the other, and gives one nested row per capture.  It reads the records twice: give it a
+written table, as the query does, and archives are parsed once.
 
 Cases: null html is an empty payload; null url is written as an empty target; null page ids are
 kept (their revisits name no page); repeated rows are separate captures, and only one of them is the
-response when their payload is long enough; an empty table writes no record and reads back empty.
+response when their payload is long enough; an empty table writes no record and reads back empty;
+payloads of any length that Spark's strings allow; columns besides page_id, url and html are not used.
+``pages`` is read twice and has to give the same rows in the same order, as files do.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +37,10 @@ from shelfloom.llm.common import materialize
 
 CRLF = "\r\n"
 END = CRLF + CRLF
+FILE_BYTES = 256 << 20
+BATCH_BYTES = 8 << 20
+#: Classes of payload bytes: above the first, up to the second.
+CLASSES = ((-1, 64 << 10), (64 << 10, 4 << 20), (4 << 20, 1 << 40))
 DATE = "2024-01-01T00:00:00Z"
 RECORD = "record_id string, type string, uri string, date string, concurrent_to array<string>, refers_to string, payload_digest string, block_length long, payload_bytes long, block binary"
 
@@ -44,7 +54,7 @@ def _record(kind: str, record_id: Column, headers: list[tuple[str, Column | str]
     return F.concat(*lines)
 
 
-def write_archive(pages: DataFrame, path: str, min_revisit: int = 100, per_file: int = 4000) -> None:
+def write_archive(pages: DataFrame, path: str, min_revisit: int = 100, file_bytes: int = FILE_BYTES) -> None:
     """Writes (page_id, url, html) as gzip-compressed WARC files under ``path``."""
     one = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[\r\n]+", " ")  # noqa: E731  a header is one line
     base = pages.select(
@@ -85,34 +95,39 @@ def write_archive(pages: DataFrame, path: str, min_revisit: int = 100, per_file:
             F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(f"{CRLF}payload-length: "), F.col("bytes").cast("string"), F.lit(CRLF)),
         ),
     )
-    out = rows.select(F.explode(records).alias("value"))
-    out.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * per_file).text(path)
-
-
-def _parse(data: bytes) -> Iterator[dict]:
-    """The records of one archive file."""
-    at = 0
-    while at < len(data):
-        cut = data.find(b"\r\n\r\n", at)
-        if cut < 0:
-            if data[at:].strip():
-                raise ValueError("a record's headers do not end")
+    body = F.when(again, 0).otherwise(F.col("bytes"))
+    n = base.agg(*[F.count_if((F.col("bytes") > low) & (F.col("bytes") <= high)) for low, high in CLASSES]).first()
+    for k, (low, high) in enumerate(CLASSES):
+        # Revisits have no body and go with the smallest pages; a class that no page has is not written.
+        if k == 0 or n[k]:
+            out = rows.where((body > low) & (body <= high)).select(F.explode(records).alias("value"))
+            out.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 3 * max(1, file_bytes // high)).text(f"{path}/{k}")
+
+
+def _parse(file: BinaryIO) -> Iterator[dict]:
+    """The records of one archive file, read in order."""
+    while True:
+        line = file.readline()
+        if not line:
             return
-        lines = data[at:cut].decode("utf-8").split(CRLF)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+        if not line.strip():
+            continue  # the blank lines after a record
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no record where one should begin: {line[:40]!r}")
         heads: dict[str, list[str]] = {}
-        for line in lines[1:]:
-            key, _, value = line.partition(":")
+        while (line := file.readline()).strip():
+            key, _, value = line.decode("utf-8").partition(":")
             heads.setdefault(key.lower(), []).append(value.strip())
+        if not line:
+            raise ValueError("a record's headers do not end")
         one = lambda k: heads.get(k, [None])[0]  # noqa: E731, B023
         size = int(one("content-length"))
-        block = data[cut + 4 : cut + 4 + size]
+        block = file.read(size)
         if len(block) < size:
             raise ValueError("a record is cut short")
         payload = block
         if (one("content-type") or "").startswith("application/http"):
-            payload = block[block.find(b"\r\n\r\n") + 4 :]
+            payload = memoryview(block)[block.find(b"\r\n\r\n") + 4 :]
         own = one("warc-type") in ("response", "resource")
         bare = lambda v: v.strip("<>") if v else None
         yield {
@@ -128,25 +143,26 @@ def _parse(data: bytes) -> Iterator[dict]:
             "payload_bytes": len(payload) if own else None,
             "block": block,
         }
-        at = cut + 4 + size + 4
 
 
 def read_records(spark: SparkSession, path: str, block: bool = True) -> DataFrame:
     """One row per WARC record under ``path``; ``block=False`` leaves the bytes of bodies of captures out."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").option("recursiveFileLookup", True).load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _schema()
         for b in batches:
             for i in range(b.num_rows):
-                rows: list[dict] = []
-                for r in _parse(gzip.decompress(b.column(0)[i].as_py())):
-                    if not block and r["type"] in ("response", "revisit", "request"):
-                        r["block"] = None
-                    rows.append(r)
-                    if len(rows) == 1000:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
+                rows, size = [], 0
+                with gzip.GzipFile(fileobj=pa.BufferReader(b.column(0)[i].as_buffer())) as file:
+                    for r in _parse(file):
+                        if not block and r["type"] in ("response", "revisit", "request"):
+                            r["block"] = None
+                        rows.append(r)
+                        size += len(r["block"] or b"") + 500
+                        if size >= BATCH_BYTES:
+                            yield pa.RecordBatch.from_pylist(rows, schema)
+                            rows, size = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 

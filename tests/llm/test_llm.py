@@ -176,7 +176,7 @@ def test_warc_round_trip(spark):
     rows = [(3, "http://a/1", big), (1, "http://a/2", big), (2, "http://a/3", "small"), (4, None, "small"), (5, "u", None), (1, "http://a/2", big), (None, "v", "x" * 100)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
     path = scratch_path(spark, "test-warc")
-    warc.write_archive(pages, path, per_file=2)
+    warc.write_archive(pages, path, file_bytes=128 << 10)
     got = warc.assemble(warc.read_records(spark, path)).select("capture.*", warc.field("page-id").alias("id"), F.size("requests").alias("nq"), F.size("metadata").alias("nm")).collect()
     assert len(got) == 7 and all(r.nq == r.nm == 1 for r in got)
     kinds = sorted((r.id or "-", r.type) for r in got)
@@ -191,6 +191,16 @@ def test_warc_round_trip(spark):
     assert warc.assemble(warc.read_records(spark, empty)).count() == 0
 
 
+def test_warc_long_payloads_are_read_record_by_record(spark):
+    texts = ["a" * 70_000, "b" * 5_000_000, "b" * 5_000_000, "WARC/1.1\r\n\r\n" * 9_000, "é" * 50_000]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").withColumn("url", F.lit("http://a/"))
+    path = scratch_path(spark, "test-warc")
+    warc.write_archive(pages, path)
+    got = warc.assemble(warc.read_records(spark, path)).select("capture.*", warc.field("page-id").cast("int").alias("id")).collect()
+    assert sorted((r.id, r.type, r.payload_digest) for r in got) == [(i, "revisit" if i == 2 else "response", hashlib.sha256(t.encode()).hexdigest()) for i, t in enumerate(texts)]
+    assert all(bytes(r.block).endswith(texts[r.id].encode()) for r in got if r.type == "response")
+
+
 # op5, components
 def brute_components(n, linked):
     low = list(range(n))
