@@ -26,6 +26,7 @@ whatever their names, as long as they do not equal the output column (which is r
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from array import array
@@ -310,11 +311,20 @@ _LOADED: dict[str, Tokenizer] = {}
 _LABELS: dict[str, np.ndarray] = {}
 
 
-def tokenizer(path: str) -> Tokenizer:
+def located(vocabulary: str) -> str:
+    """The path of a vocabulary file on this machine; a bare name is that of a public vocabulary."""
+    if os.path.exists(vocabulary):
+        return vocabulary
+    import public_tokenizers
+
+    return public_tokenizers.path(vocabulary)
+
+
+def tokenizer(vocabulary: str) -> Tokenizer:
     """Compiled once in each worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Tokenizer(path)
-    return _LOADED[path]
+    if vocabulary not in _LOADED:
+        _LOADED[vocabulary] = Tokenizer(located(vocabulary))
+    return _LOADED[vocabulary]
 
 
 def _with(schema: T.StructType, field: T.StructField) -> T.StructType:
@@ -350,7 +360,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _LABELS:
-            _LABELS[vocabulary] = read_labels(vocabulary)
+            _LABELS[vocabulary] = read_labels(located(vocabulary))
         labels = _LABELS[vocabulary]
         for b in batches:
             for lo in range(0, b.num_rows, 1000):

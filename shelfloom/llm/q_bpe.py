@@ -8,17 +8,14 @@ from shelfloom.llm import bpe
 from shelfloom.llm.common import table
 
 
-def vocabulary() -> str:
-    """Path of the public word-level vocabulary; callers may name any other file of its kind."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+#: Executors find the file by its name; callers may give the path of any other file of its kind.
+VOCABULARY = "word_bpe_49k.json"
 
 
 def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, vocabulary()).drop("text")
-    both = bpe.decode(ids, vocabulary())
+    ids = bpe.encode(docs, VOCABULARY).drop("text")
+    both = bpe.decode(ids, VOCABULARY)
     return both.select("doc_id", *bpe.digests(both))
 
 

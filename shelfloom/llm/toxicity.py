@@ -299,7 +299,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> tuple[Model, DataFrame | None]:
     picked = materialize(labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS), "tox-picked")
     neg, pos, n_neg, n_pos = _term_counts(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"))
     if not n_neg or not n_pos:
-        flat = (n_pos + 1) / (n_neg + n_pos + 2)
+        flat = (n_pos + 1) / (n_neg + n_pos + 3)  # without any label: not toxic
         return Model(np.empty(0), np.empty(0), float(np.log(flat / (1 - flat)))), None
     buckets, lexicons = select_terms(neg, pos, n_neg, n_pos)
     n = len(PATTERNS) + len(lexicons)
