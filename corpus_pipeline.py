@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfloom.llm import bpe, decontaminate, line_dedup, near_dup, toxicity
-from shelfloom.llm.common import materialize, table
-from shelfloom.llm.q_bpe import vocabulary
+from shelfloom.llm.common import discard, materialize, table
+from shelfloom.llm.q_bpe import VOCABULARY
 from shelfloom.llm.q_tox import held_out
 
 _REST = "__rest"
@@ -32,15 +32,27 @@ def _unpacked(packed: DataFrame, docs: DataFrame, changed: dict | None = None) -
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised classifier calls toxic go."""
+    """Documents that the weakly supervised classifier calls toxic go.
+
+    Null and empty texts have the base score; repeated rows stay or go alike; rows without doc_id are
+    judged by their text; without labels of both classes nothing is learned and all stay; an empty table
+    stays empty.
+    """
     labels = table(spark, sf_dir, "labels").where(~held_out())
     packed = _packed(docs)
-    model, _ = toxicity.fit(packed.select("doc_id", "text"), labels)
+    model, learned = toxicity.fit(packed.select("doc_id", "text"), labels)
+    if learned is None:
+        return docs
+    discard(learned)
     return _unpacked(toxicity.predict(packed, model).where("predicted = 0"), docs)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One line of each group of similar lines stays; n_chars follows the text."""
+    """One line of each group of similar lines stays; n_chars follows the text.
+
+    Every row stays, if only with blank lines; null texts stay null; rows that share a doc_id keep the
+    same line numbers; rows without doc_id stay as they are; an empty table stays empty.
+    """
     cut = line_dedup.dedup_lines(_packed(docs))
     changed = {}
     if "n_chars" in docs.columns:
@@ -49,20 +61,31 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, that with the smallest doc_id.
+
+    Null and blank texts are in no group and stay; a doc_id's rows stay or go together; rows without
+    doc_id stay; an empty table stays empty.
+    """
     gone = near_dup.near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null texts match nothing; a doc_id's rows stay or go together; rows without doc_id stay; an empty
+    table, or an empty benchmark, changes nothing.
+    """
     found = decontaminate.matches(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and digests that show the way back."""
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary()), vocabulary())
+    """Token ids of every document, and digests that show the way back.
+
+    Every row stays; a null text has no token and decodes to the empty text.
+    """
+    both = bpe.decode(bpe.encode(docs.select("doc_id", "text"), VOCABULARY), VOCABULARY)
     return both.select("doc_id", "text", "ids", *bpe.digests(both))
 
 
@@ -81,5 +104,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
