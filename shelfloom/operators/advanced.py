@@ -86,9 +86,9 @@ def hurst(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     rows = rows.withColumn("walk", F.sum("dev").over(b.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
     blocks = rows.groupBy(*keys, "len", "block").agg((F.max("walk") - F.min("walk")).alias("r"), F.stddev_pop("y").alias("s"))
     rs = blocks.groupBy(*keys, "len").agg(F.avg(F.when(F.col("s") > 0, F.col("r") / F.col("s")).otherwise(0.0)).alias("rs"))
-    slope = rs.where("rs > 0").groupBy(*keys).agg(F.count("*").alias("k"), F.regr_slope(F.log("rs"), F.log(F.col("len").cast("double"))).alias("slope"))
+    slope = rs.where("rs > 0").groupBy(*keys).agg(F.count("*").alias("__k"), F.regr_slope(F.log("rs"), F.log(F.col("len").cast("double"))).alias("slope"))
     found = df.select(*keys).distinct().join(slope, keys, "left")
-    return found.select(*keys, F.when(F.col("k") >= 2, F.coalesce(clip(F.col("slope"), 0.1, 0.9), F.lit(0.5))).otherwise(0.5).alias("hurst"))
+    return found.select(*keys, F.when(F.col("__k") >= 2, F.coalesce(clip(F.col("slope"), 0.1, 0.9), F.lit(0.5))).otherwise(0.5).alias("hurst"))
 
 
 def nonlinearity(df: DataFrame, spec: SeriesSpec) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfloom.functions.expr import clip, labels, ratio
+from shelfloom.functions.quantile import exact_quantiles
 
 LARGE_FORECAST, LARGE_PRICE, SMALL_PRICE = 1_000_000, 1_000_000, 0.01
 
@@ -84,8 +85,8 @@ def baseline_profile(df: DataFrame, numeric: list[str], categorical: list[str],
     stats = []
     for c in numeric:
         x = F.col(c)
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        pairs = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x), "q25": q[0], "q50": q[1], "q75": q[2]}
+        q = dict(zip(("q25", "q50", "q75"), map(F.lit, exact_quantiles(df, c, [0.25, 0.5, 0.75])), strict=True))
+        pairs = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x), **q}
         stats += [F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in pairs.items()]
     for c in [*numeric, *categorical]:
         stats += [F.struct(F.lit(c).alias("column"), F.lit("null_pct").alias("metric"), (F.avg(F.col(c).isNull().cast("double")) * 100).alias("value"))]
