@@ -255,22 +255,18 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return joined.select("a", "b", "la", "lb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def _shingles(lines: DataFrame) -> DataFrame:
-    """(id, element, size): the distinct shingle hashes of whole lines (key, line); size counts shingles as ``verified`` does.
-
-    Equal hashes of two shingles of a line make its prefix longer, never shorter.
-    """
+def _sets(lines: DataFrame) -> DataFrame:
+    """(id, s, size): the distinct shingle hashes of whole lines (key, line); size counts shingles as ``verified`` does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, lines = b.column(0).to_numpy(), b.column(1).to_pylist()
+            keys, lines = b.column(0), b.column(1).to_pylist()
             for x, y in _blocks(lines):
-                hashes = [np.unique(shingle_hashes([line])[0]).view(np.int32) for line in lines[x:y]]
-                sizes = np.array([len(shingle_set(line)) for line in lines[x:y]], np.int32)
-                n = [len(h) for h in hashes]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys[x:y], n)), pa.array(np.concatenate(hashes)), pa.array(np.repeat(sizes, n))], names=["id", "element", "size"])
+                sets = [np.unique(shingle_hashes([line])[0]).astype(np.int64).tobytes() for line in lines[x:y]]
+                sizes = [len(shingle_set(line)) for line in lines[x:y]]
+                yield pa.RecordBatch.from_arrays([keys.slice(x, y - x), pa.array(sets, pa.binary()), pa.array(sizes, pa.int32())], names=["id", "s", "size"])
 
-    return lines.select("key", "line").mapInArrow(run, "id long, element int, size int")
+    return lines.select("key", "line").mapInArrow(run, "id long, s binary, size int")
 
 
 def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
@@ -289,7 +285,9 @@ def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
     discard(others)
     if not rest.isEmpty():
         keys = materialize(rest.select(F.col("id").alias("key")).distinct(), "ld-keys")
-        candidates = prefix_pairs(_shingles(texts.join(keys, "key")), labelled(links), spec.threshold, "ld")
+        full = materialize(_sets(texts.join(keys, "key")), "ld-hot")
+        candidates = prefix_pairs(full, labelled(links), spec.threshold, "ld")
+        discard(full)
         links = links.unionByName(verify(candidates))
         discard(keys, candidates)
     discard(rest, texts)

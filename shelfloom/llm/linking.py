@@ -14,11 +14,19 @@ Every table that a join meets on a hot bucket is a plain shuffled one, which ada
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
 
+#: Elements that a task counts at once, and the count from which they are common.
+HELD = 1 << 21
+FREQUENT = 4
+
 
 def shared_members(nodes: DataFrame, tag: str, kept=None) -> DataFrame:
     """(bucket, id, lo, hi): members of the buckets that hold several ids; lo and hi are the least and greatest.
@@ -69,28 +77,63 @@ def rest_pairs(members: DataFrame, labels: DataFrame, small: int, tag: str) -> t
     return pairs, materialize(here.where(F.col("n") > small).select("bucket", "id", "label"), f"{tag}-rest")
 
 
-def prefix_pairs(elements: DataFrame, labels: DataFrame, threshold: int, tag: str) -> DataFrame:
-    """(a, b): every pair of the sets that may meet the threshold and is not in one component yet.
+def _frequent(sets: DataFrame) -> DataFrame:
+    """(element, n): elements that tasks have met in several sets, and how often; single ones are not sent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            value, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(value[n > 1]), pa.array(n[n > 1])], names=["element", "n"])
+
+        size = 0
+        for b in batches:
+            for raw in b.column(0).to_pylist():
+                held.append(np.frombuffer(raw, np.int64))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield counted()
+                    size = 0
+        if held:
+            yield counted()
+
+    return sets.select("s").mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
 
-    elements: (id, element, size), distinct; size is that of the id's set.  If an id has several sets, a
-    column part tells them apart.  A set's elements are ordered
-    by their count over all the sets, then by value.  Of two similar sets each shares at least
-    ``threshold`` per cent of its elements with the other, so their first common element stands within
-    the rest of either and one more: only those are compared.  Pairs that meet so late that what remains
-    of either is too little go too, and so do pairs inside a component.  No similar pair is lost.
 
-    Sets around a common passage that are not similar have their own rare elements first, so they do not
-    meet, however many they are.
+def _prefixes(sets: DataFrame, often: KeyFilter, threshold: int) -> DataFrame:
+    """(id, element, size, pos): of each set the elements one of which any similar set must share."""
+    shared = sets.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, raw, size in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                s = np.frombuffer(raw, np.int64)
+                first = s[np.lexsort((s, shared.value.test(s)))][: size - -(-size * threshold // 100) + 1]
+                n = len(first)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i)), pa.array(first), pa.array(np.full(n, size, np.int32)), pa.array(np.arange(n, dtype=np.int32))], names=["id", "element", "size", "pos"])
+
+    return sets.select("id", "s", "size").mapInArrow(run, "id long, element long, size int, pos int")
+
+
+def prefix_pairs(sets: DataFrame, labels: DataFrame, threshold: int, tag: str) -> DataFrame:
+    """(a, b): every pair of the sets that may meet the threshold and is not in one component yet.
+
+    sets: (id, s, size): distinct 64-bit elements as binary, and the size of the set that they stand for
+    (more than the elements where hashes coincide).  All sets order elements alike: those that several
+    sets hold come last, else by value.  Of two similar sets each shares at least ``threshold`` per cent
+    of its elements with the other, so their first common element stands within the rest of either and
+    one more: only sets that meet there are compared.  Pairs that meet so late that what remains of
+    either is too little go too, and so do pairs inside a component.  No similar pair is lost, whatever
+    the order; the better it is, the fewer others are compared: sets around a common passage that are not
+    similar have their own elements first, so they do not meet, however many they are.
     """
-    rows = materialize(elements, f"{tag}-elements")
-    counts = materialize(rows.groupBy("element").agg(F.count("*").alias("n")).where("n > 1"), f"{tag}-counts")
-    ranked = rows.join(counts, "element", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    one = [c for c in ("id", "part") if c in elements.columns]
-    pos = F.row_number().over(Window.partitionBy(*one).orderBy("n", "element")) - 1
-    first = ranked.withColumn("pos", pos).where(f"pos <= size - int((size * {threshold}L + 99) div 100) and n > 1").select("element", "id", "size", "pos")
+    common = materialize(_frequent(sets).where(f"n >= {FREQUENT}"), f"{tag}-common")
+    first = _prefixes(sets, KeyFilter(common, "element"), threshold)
     first = first.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     first = materialize(first, f"{tag}-prefixes")
-    discard(rows, counts)
+    discard(common)
     sizes = first.groupBy("element", "label").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("element").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1")
     largest = materialize(largest.select("element", F.col("m.label").alias("largest")), f"{tag}-largest")

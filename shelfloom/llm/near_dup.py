@@ -366,9 +366,11 @@ def similar(classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame |
             break
         if k == spec.rounds:
             ids = materialize(rest.select("id").distinct(), "nd-ids")
-            candidates = prefix_pairs(_elements(sets.of(ids), ids), known, spec.threshold, "nd")
+            full = sets.of(ids).join(ids, "id", "left_semi").withColumn("size", (F.octet_length("s") / 8).cast("int"))
+            full = materialize(full, "nd-hot")
+            candidates = prefix_pairs(full, known, spec.threshold, "nd")
             verify(candidates)
-            discard(ids, candidates)
+            discard(ids, full, candidates)
         else:
             deeper = _next_nodes(rest.join(classes.select("id", "sketch"), "id"))
             named = materialize(deeper.join(known, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label")), "nd-nodes")
@@ -381,22 +383,6 @@ def similar(classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame |
     return out
 
 
-def _elements(sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, part, element, size) of the full sets of some documents; a repeated doc_id has a part for each text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s, which = np.frombuffer(raw, np.int64), xxhash.xxh3_64_intdigest(raw) - (1 << 63)
-                for lo in range(0, len(s), 50_000):
-                    part = s[lo : lo + 50_000]
-                    same = [np.full(len(part), x) for x in (i, which)]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, same), pa.array(part), pa.array(np.full(len(part), len(s), np.int32))], names=["id", "part", "element", "size"])
-
-    found = sets.join(ids, "id", "left_semi").mapInArrow(run, "id long, part long, element long, size int")
-    return found.dropDuplicates(["id", "part", "element"])
-
-
 def near_duplicates(docs: DataFrame, spec: JoinSpec = JoinSpec()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for documents (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
