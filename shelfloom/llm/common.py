@@ -39,7 +39,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     at its end.
     """
     spark = df.sparkSession
-    path, before = scratch_path(spark, tag), spark.conf.get(_CLEANUP)
+    path, before = scratch_path(spark, tag), spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)

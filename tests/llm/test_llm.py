@@ -550,6 +550,82 @@ def test_toxicity_term_counts_and_scores_equal_brute_force(spark):
     assert all(abs(r.score - by_row[r.doc_id]) < 1e-9 for r in toxicity.predict(docs, model).collect())
 
 
+# What the docstrings state of the other cases
+def test_long_and_repeated_urls(spark):
+    urls = ["http://a.com/" + "x" * 100_000, "http://a.com/" + "y/" * 5_000, "http://" + "h" * 50_000, "http://net/" + "q" * 20_000] * 2
+    rules = [("block", "net", "/")]
+    rows = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    got = {r.page_id: r for r in rows}
+    assert len(rows) == 8 and all(got[i].verdict == got[i + 4].verdict and got[i].path == got[i + 4].path for i in range(4))
+    assert got[3].rule == "net/" and got[3].verdict == "block" and len(got[0].path) == 100_001
+
+
+@pytest.mark.parametrize("name", ["op2_url_template_tree", "op4_warc_transactions"])
+def test_native_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from shelfloom.llm import queries
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    want = con.sql(queries.oracles()[name])
+    got = queries.queries()[name](spark, SF).select(*want.columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
+
+
+def test_bpe_of_empty_tables_nulls_and_clashing_names(spark):
+    pytest.importorskip("tokenizers")
+    from shelfloom.llm.q_bpe import VOCABULARY
+
+    docs = spark.createDataFrame([(1, None, "x", "y"), (2, "", "x", "y"), (2, "hello world", "x", "y"), (2, "hello world", "x", "y")], "doc_id long, text string, ids string, decoded string")
+    rows = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
+    assert [list(r.ids) for r in rows[:2]] == [[], []] and rows[0].decoded == "" and rows[2] == rows[3] and rows[2].decoded == "hello</w> world</w>"
+    assert bpe.decode(bpe.encode(docs.limit(0), VOCABULARY), VOCABULARY).count() == 0
+    empty = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [r.decoded for r in bpe.decode(empty, VOCABULARY).collect()] == ["", ""]
+
+
+def test_lines_of_repeated_and_missing_ids(spark):
+    one, two = "the first line is here\nthe second line is there", "the first line is here\nsomething else altogether"
+    rows = [(5, one, "a", "b"), (5, one, "a", "b"), (None, two, "a", "b"), (None, two, "a", "b"), (6, two, "a", "b"), (7, None, "a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string, lines string")
+    got = sorted(((r.doc_id or 0, r.text, r.n_lines, r.n_removed, r.lines) for r in line_dedup.dedup_lines(docs).collect()), key=repr)
+    want = [(0, two, 2, 0, "b")] * 2 + [(5, one, 2, 0, "b")] * 2 + [(6, "something else altogether", 2, 1, "b"), (7, None, 0, 0, "b")]
+    assert got == sorted(want, key=repr)
+
+
+def test_neighbours_with_repeated_ids_and_extra_columns(spark):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(300, 8)).astype(np.float32)
+    rows = [(i % 290, [float(x) for x in r], "x", 1) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id string, rank int")
+    got = ann.nearest(df, df.where("vec_id = 20"), 5).collect()
+    w = v.astype(np.float64)
+    s = w @ w[20]
+    s[20] = -np.inf
+    assert [r.vec_id for r in got] == [int(i) % 290 for i in np.argsort(-s, kind="stable")[:5]] and {r.query_id for r in got} == {20}
+    twice = ann.nearest(df, df.where("vec_id = 3"), 5).collect()
+    assert all(r.vec_id != 3 for r in twice) and len(twice) >= 5
+
+
+def test_hot_line_bucket_of_two_thousand_around_one_passage(spark):
+    rnd = random.Random(81)
+    passage = prose(rnd, 30)
+    lines = [f"{passage} {''.join(rnd.choice('abcdefghij') for _ in range(rnd.randrange(60, 140)))}" for _ in range(2000)]
+    lines += [x[:-1] + "q" for x in lines[:40]]
+    got = line_dedup.kept_lines(docs_of(spark, lines)).count()
+    sets = [line_dedup.shingle_set(x) for x in lines]
+    rare: dict[str, list[int]] = {}  # similar lines share more than the passage: only those are compared
+    common = line_dedup.shingle_set(passage)
+    for i, s in enumerate(sets):
+        for x in s - common:
+            rare.setdefault(x, []).append(i)
+    pairs = {p for ids in rare.values() for p in itertools.combinations(ids, 2)}
+    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    links += [(a, b) for a, b in itertools.combinations([i for i, s in enumerate(sets) if len(s) * 80 <= 100 * len(common)], 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert got == len(set(brute_components(len(lines), links)))
+
+
 # The pipeline
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     import corpus_pipeline
