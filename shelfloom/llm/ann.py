@@ -3,6 +3,8 @@
 * The tree is fitted by recursive k-means on a bounded sample (``SAMPLE`` vectors, chosen by hash)
   until a leaf's share of the sample is at most ``leaf``.  Every vector is then indexed: it descends
   the tree to its leaf.
+* The tree grows with the rows: leaves that hold more than ``leaf_rows`` of them are split in the same
+  way, each on a bounded sample of its own rows, all at once and as often as needed, up to ``MAX_LEAVES``.
 * A query walks the tree through a priority queue that is ordered by an upper bound of the inner
   product in each subtree: q.c + |q| * radius, for the centre and radius of the subtree's sample.
   Leaves leave the queue in the order in which they should be visited.
@@ -13,7 +15,7 @@
 
 Index rows are split into blocks of about ``BLOCK_ROWS`` by a hash inside their leaf, so a leaf that
 holds a third of all vectors is many tasks; each block gets its leaf's queries and
-returns the best k of each, which are merged per query.  Only the tree (bounded by the sample) is
+returns the best k of each, which are merged per query.  Only the tree (bounded by ``MAX_LEAVES``) is
 broadcast.
 
 Cases: vectors that are null, zero, hold null, NaN or infinite components, or differ in length from
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,9 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import materialize
+from shelfloom.llm.common import discard, materialize
 
 SAMPLE = 20_000
+#: Rows of a large leaf that its own part of the tree is fitted on, and leaves up to which the tree grows.
+LEAF_SAMPLE = 4_096
+MAX_LEAVES = 8_192
 CALIBRATION = 64
 BLOCK_ROWS = 4_096
 #: Queries of one part of a leaf; more queries make more parts, and each reads the leaf once.
@@ -46,10 +52,11 @@ PART_QUERIES = 100_000
 
 @dataclass(frozen=True)
 class TreeSpec:
-    """branches of a node, sample vectors in a leaf at most, and the recall that calibration asks for."""
+    """branches of a node, sample vectors and rows of a leaf at most, and the recall that calibration asks for."""
 
     branches: int = 8
     leaf: int = 128
+    leaf_rows: int = 16_384
     target: float = 0.95
     seed: int = 5
 
@@ -101,6 +108,24 @@ class Tree:
     def _nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
         return np.argmin((centres**2).sum(axis=1) - 2 * rows @ centres.T, axis=1)
 
+    def graft(self, parts: dict[int, Tree]) -> None:
+        """Puts trees in the place of leaves; all leaves get new numbers."""
+        centre, radius = [self.centre], [self.radius]
+        for number, part in parts.items():
+            node = self.leaf.index(number)
+            shift = len(self.children) - 1  # the part's root is the leaf itself
+            self.children[node] = [c + shift for c in part.children[0]]
+            self.children += [[c + shift for c in kids] for kids in part.children[1:]]
+            self.leaf += [-1] * (len(part.children) - 1)
+            centre.append(part.centre[1:])
+            radius.append(part.radius[1:])
+        self.centre, self.radius = np.concatenate(centre), np.concatenate(radius)
+        ends = [i for i, kids in enumerate(self.children) if not kids]
+        self.leaf = [-1] * len(self.children)
+        for number, node in enumerate(ends):
+            self.leaf[node] = number
+        self.leaves = len(ends)
+
     def assign(self, rows: np.ndarray) -> np.ndarray:
         """The leaf of each row: at every node, to the child with the nearest centre."""
         out = np.zeros(len(rows), np.int32)
@@ -246,6 +271,39 @@ def calibrated(tree: Tree, trial: pd.DataFrame, truth: pd.DataFrame, target: flo
     return int(needed[min(len(needed) - 1, math.ceil(target * len(needed)))]) if len(needed) else 1
 
 
+def _grown(rows: DataFrame, fitted: Tree, spec: TreeSpec):
+    """(broadcast tree, (leaf, id, v) of all rows, (leaf, n, blocks)); splits ``fitted`` where leaves are large."""
+    spark, kind, whole = rows.sparkSession, rows.schema["v"].dataType.simpleString(), set()
+    while True:
+        tree = spark.sparkContext.broadcast(fitted)
+
+        def place(batches: Iterator[pa.RecordBatch], tree=tree) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(tree.value.assign(_matrix(b.column(1)))), *b.columns], names=["leaf", "id", "v"])
+
+        placed = materialize(rows.mapInArrow(place, f"leaf int, id long, v {kind}"), "ann-placed")
+        counts = placed.groupBy("leaf").agg(F.count("*").alias("n"))
+        sizes = materialize(counts.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")), "ann-sizes")
+        node = {number: i for i, number in enumerate(fitted.leaf) if number >= 0}
+        # Leaves of equal vectors cannot be split; they are not asked again.
+        large = [r["leaf"] for r in sizes.where(F.col("n") > spec.leaf_rows).orderBy(F.desc("n"), "leaf").collect() if node[r["leaf"]] not in whole]
+        large = large[: max(0, (MAX_LEAVES - fitted.leaves) * spec.leaf // LEAF_SAMPLE)]
+        if not large:
+            return tree, placed, sizes
+
+        def fit(group: pd.DataFrame) -> pd.DataFrame:
+            made = Tree(np.array(group["v"].tolist(), np.float64), spec)
+            return pd.DataFrame({"leaf": group["leaf"].iloc[:1], "tree": [pickle.dumps(made)]})
+
+        chosen = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64("id"), "id"))
+        sample = placed.where(F.col("leaf").isin(large)).withColumn("k", chosen).where(F.col("k") <= LEAF_SAMPLE).select("leaf", "v")
+        parts = {r["leaf"]: pickle.loads(r["tree"]) for r in sample.groupBy("leaf").applyInPandas(fit, "leaf int, tree binary").collect()}
+        whole |= {node[k] for k, part in parts.items() if not part.children[0]}
+        fitted.graft({k: part for k, part in sorted(parts.items()) if part.children[0]})
+        discard(placed, sizes)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str = "vec_id", vector: str = "embedding", spec: TreeSpec = TreeSpec()) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each query, by inner product."""
     spark = vectors.sparkSession
@@ -255,18 +313,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     fitted = Tree(np.array(sample["v"].tolist(), np.float64), spec)
-    tree = spark.sparkContext.broadcast(fitted)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(tree.value.assign(_matrix(b.column(1)))), *b.columns], names=["leaf", "id", "v"])
-
-    kind = rows.schema["v"].dataType.simpleString()
-    placed = materialize(rows.mapInArrow(place, f"leaf int, id long, v {kind}"), "ann-placed")
-    sizes = materialize(placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "ann-sizes")
+    tree, placed, sizes = _grown(rows, fitted, spec)
     index = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v")
     trial = sample.drop_duplicates("id").head(CALIBRATION)
     truth = exact(rows, trial, k).join(placed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "leaf").toPandas()
-    visits = calibrated(fitted, trial, truth, spec.target)
+    visits = calibrated(tree.value, trial, truth, spec.target)
     return _search(index, sizes, asked, tree, visits, k)

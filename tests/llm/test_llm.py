@@ -608,6 +608,28 @@ def test_neighbours_with_repeated_ids_and_extra_columns(spark):
     assert all(r.vec_id != 3 for r in twice) and len(twice) >= 5
 
 
+def test_trees_grow_with_the_rows(spark):
+    rng = np.random.default_rng(12)
+    v = np.concatenate([rng.normal(size=(1200, 6)) + 8 * np.eye(6)[k % 6] for k in range(2)] + [np.ones((300, 6))]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<float>")
+    spec = ann.TreeSpec(branches=4, leaf=32, leaf_rows=100)
+    rows = ann.usable(df, "vec_id", "embedding")
+    few = ann.Tree(v[:64].astype(np.float64), spec)
+    before = few.leaves
+    tree, placed, sizes = ann._grown(rows, few, spec)
+    assert tree.value.leaves > before and placed.count() == 2700 and sizes.agg(F.sum("n")).first()[0] == 2700
+    assert all(r.n <= 100 or r.n >= 300 for r in sizes.collect())  # the equal vectors stay together
+    assert sorted(x for x in tree.value.leaf if x >= 0) == list(range(tree.value.leaves))
+    assert sorted(tree.value.visit(v[0].astype(np.float64), tree.value.leaves)) == list(range(tree.value.leaves))
+    got = ann.nearest(df, df.where("vec_id % 20 = 0"), 10, spec=spec).toPandas()
+    w, hits = v.astype(np.float64), 0
+    for q, g in got.groupby("query_id"):
+        s = w @ w[q]
+        s[q] = -np.inf
+        hits += (s[g["vec_id"]] >= np.sort(s)[-10] - 1e-9).sum()
+    assert hits / len(got) >= 0.9 and len(got) == 1350
+
+
 def test_hot_line_bucket_of_two_thousand_around_one_passage(spark):
     rnd = random.Random(81)
     passage = prose(rnd, 30)
