@@ -122,7 +122,7 @@ def _blocks(lines: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def sketch(docs: DataFrame, spec: LineSpec) -> DataFrame:
-    """(doc_id, line_no, key, bands binary) of every line that is not blank."""
+    """(doc_id, line_no, key, bands) of every line that is not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # lines whose bands this task has given: repeats need none
@@ -143,34 +143,38 @@ def sketch(docs: DataFrame, spec: LineSpec) -> DataFrame:
                             ids.append(doc)
                             numbers.append(number)
                             keys.append(key)
-                bands: list[bytes | None] = [None] * len(keys)
-                for x, y in _blocks(new):
-                    made = band_keys(new[x:y], spec)
-                    for i, row in zip(at[x:y], made, strict=True):
-                        bands[i] = row.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.int64()), pa.array(bands, pa.binary())], names=["doc_id", "line_no", "key", "bands"])
+                made = [band_keys(new[x:y], spec) for x, y in _blocks(new)]
+                flat = np.concatenate(made).ravel() if made else np.empty(0, np.int64)
+                # A repeated line has a null list.
+                n = np.zeros(len(keys) + 1, np.int32)
+                n[np.array(at, np.int64) + 1] = spec.bands
+                given = np.zeros(len(keys), bool)
+                given[at] = True
+                bands = pa.ListArray.from_arrays(pa.array(np.cumsum(n, dtype=np.int32)), pa.array(flat), mask=pa.array(~given))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.int64()), bands], names=["doc_id", "line_no", "key", "bands"])
 
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    return named.mapInArrow(run, "doc_id long, line_no int, key long, bands binary")
+    return named.mapInArrow(run, "doc_id long, line_no int, key long, bands array<long>")
 
 
-def _buckets(lines: DataFrame, spec: LineSpec, some: KeyFilter | None = None) -> DataFrame:
+def _buckets(lines: DataFrame, some: KeyFilter | None = None) -> DataFrame:
     """(bucket, id): one row for each band of each line that has bands, if the band passes ``some``."""
+    lines = lines.where("bands is not null").select("key", "bands")
+    if some is None:
+        return lines.select(F.explode("bands").alias("bucket"), F.col("key").alias("id"))
     shared = lines.sparkSession.sparkContext.broadcast(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = shared.value
         for b in batches:
-            if b.num_rows:
-                bands = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
-                keys = np.repeat(b.column(0).to_numpy(), spec.bands)
-                if some is not None:
-                    keep = some.test(bands)
-                    bands, keys = bands[keep], keys[keep]
-                for lo in range(0, len(keys), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(bands[lo : lo + 50_000]), pa.array(keys[lo : lo + 50_000])], names=["bucket", "id"])
+            bands = b.column(1)
+            keys = np.repeat(b.column(0).to_numpy(), bands.value_lengths().to_numpy(zero_copy_only=False))
+            flat = bands.flatten().to_numpy()
+            keep = shared.value.test(flat)
+            flat, keys = flat[keep], keys[keep]
+            for lo in range(0, len(keys), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(flat[lo : lo + 50_000]), pa.array(keys[lo : lo + 50_000])], names=["bucket", "id"])
 
-    return lines.where("bands is not null").select("key", "bands").mapInArrow(run, "bucket long, id long")
+    return lines.mapInArrow(run, "bucket long, id long")
 
 
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -271,7 +275,7 @@ def _sets(lines: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
     """(node, component) of the line keys that are similar to others."""
-    members = shared_members(_buckets(lines, spec), "ld", lambda some: _buckets(lines, spec, some))
+    members = shared_members(_buckets(lines), "ld", lambda some: _buckets(lines, some))
     keys = materialize(members.select(F.col("id").alias("key")).distinct(), "ld-keys")
     texts = materialize(_texts(docs, keys), "ld-texts")
     discard(keys)

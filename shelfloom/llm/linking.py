@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
 
-#: Elements that a task counts at once, and the count from which they are common.
+#: Elements that a task counts at once, and the counts from which they are common, more and more so.
 HELD = 1 << 21
-FREQUENT = 4
+COMMON = (3, 8, 32, 128, 512)
 
 
 def shared_members(nodes: DataFrame, tag: str, kept=None) -> DataFrame:
@@ -102,7 +102,7 @@ def _frequent(sets: DataFrame) -> DataFrame:
     return sets.select("s").mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n"))
 
 
-def _prefixes(sets: DataFrame, often: KeyFilter, threshold: int) -> DataFrame:
+def _prefixes(sets: DataFrame, often: list[KeyFilter], threshold: int) -> DataFrame:
     """(id, element, size, pos): of each set the elements one of which any similar set must share."""
     shared = sets.sparkSession.sparkContext.broadcast(often)
 
@@ -110,7 +110,8 @@ def _prefixes(sets: DataFrame, often: KeyFilter, threshold: int) -> DataFrame:
         for b in batches:
             for i, raw, size in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 s = np.frombuffer(raw, np.int64)
-                first = s[np.lexsort((s, shared.value.test(s)))][: size - -(-size * threshold // 100) + 1]
+                rank = sum((f.test(s) for f in shared.value), np.zeros(len(s), np.int8))
+                first = s[np.lexsort((s, rank))][: size - -(-size * threshold // 100) + 1]
                 n = len(first)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, i)), pa.array(first), pa.array(np.full(n, size, np.int32)), pa.array(np.arange(n, dtype=np.int32))], names=["id", "element", "size", "pos"])
 
@@ -121,16 +122,16 @@ def prefix_pairs(sets: DataFrame, labels: DataFrame, threshold: int, tag: str) -
     """(a, b): every pair of the sets that may meet the threshold and is not in one component yet.
 
     sets: (id, s, size): distinct 64-bit elements as binary, and the size of the set that they stand for
-    (more than the elements where hashes coincide).  All sets order elements alike: those that several
-    sets hold come last, else by value.  Of two similar sets each shares at least ``threshold`` per cent
+    (more than the elements where hashes coincide).  All sets order elements alike: by how common they
+    are, in a few classes, then by value.  Of two similar sets each shares at least ``threshold`` per cent
     of its elements with the other, so their first common element stands within the rest of either and
     one more: only sets that meet there are compared.  Pairs that meet so late that what remains of
     either is too little go too, and so do pairs inside a component.  No similar pair is lost, whatever
     the order; the better it is, the fewer others are compared: sets around a common passage that are not
     similar have their own elements first, so they do not meet, however many they are.
     """
-    common = materialize(_frequent(sets).where(f"n >= {FREQUENT}"), f"{tag}-common")
-    first = _prefixes(sets, KeyFilter(common, "element"), threshold)
+    common = materialize(_frequent(sets).where(f"n >= {COMMON[0]}"), f"{tag}-common")
+    first = _prefixes(sets, [KeyFilter(common.where(f"n >= {n}"), "element") for n in COMMON], threshold)
     first = first.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     first = materialize(first, f"{tag}-prefixes")
     discard(common)
