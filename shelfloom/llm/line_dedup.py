@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
 from shelfloom.llm.components import components
-from shelfloom.llm.linking import prefix_pairs, rest_pairs, shared_members, star_pairs
+from shelfloom.llm.linking import prefix_pairs, rest_pairs, settle, shared_members, star_pairs
 
 CHARS = 8
 _RNG = np.random.default_rng(90_017)
@@ -279,23 +279,32 @@ def _grouped(docs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
     keys = materialize(members.select(F.col("id").alias("key")).distinct(), "ld-keys")
     texts = materialize(_texts(docs, keys), "ld-texts")
     discard(keys)
-    verify = lambda pairs: materialize(verified(pairs, texts, spec.threshold), "ld-links")
-    labelled = lambda links: components(links).withColumnsRenamed({"node": "id", "component": "label"})
+    found = []
+
+    def verify(pairs: DataFrame) -> None:
+        found.append(materialize(verified(pairs, texts, spec.threshold), "ld-links"))
+
+    def grouped() -> DataFrame:
+        links = found[0]
+        for more in found[1:]:
+            links = links.unionByName(more)
+        return components(links)
+
+    labels = lambda: grouped().withColumnsRenamed({"node": "id", "component": "label"})
     pairs = materialize(star_pairs(members), "ld-pairs")
-    links = verify(pairs)
-    others, rest = rest_pairs(members, labelled(links), spec.small, "ld")
+    verify(pairs)
+    others, rest = rest_pairs(members, labels(), spec.small, "ld")
     discard(members, pairs)
-    links = links.unionByName(verify(others))
+    verify(others)
     discard(others)
     if not rest.isEmpty():
         keys = materialize(rest.select(F.col("id").alias("key")).distinct(), "ld-keys")
         full = materialize(_sets(texts.join(keys, "key")), "ld-hot")
-        candidates = prefix_pairs(full, labelled(links), spec.threshold, "ld")
-        discard(full)
-        links = links.unionByName(verify(candidates))
-        discard(keys, candidates)
-    discard(rest, texts)
-    return components(links)
+        settle(prefix_pairs(full, labels(), spec.threshold, "ld"), verify, labels, "ld")
+        discard(keys, full)
+    out = grouped()
+    discard(rest, texts, *found)
+    return out
 
 
 def kept_lines(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:

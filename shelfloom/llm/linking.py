@@ -2,9 +2,10 @@
 
 Ids that share a bucket are candidates; a bucket may hold a group of any size.
 
-1. *Stars*: each bucket names its least and greatest id, and each id is compared with the one that most
-   of its buckets name on either side: two pairs an id at most.  In a group of copies nearly all ids meet
-   the same one, so nearly all join.
+1. *Stars*: each bucket names its least and greatest id and its centre, the id with most company in all its
+   buckets (of edited copies, the least edited one).  Each id is compared with the one that most of its
+   buckets name in each part: three pairs an id at most.  In a group of copies nearly all ids meet the
+   same ones, so nearly all join.
 2. *Rest*: a small bucket that still holds several components is compared exhaustively across them.
    Larger ones are given back with their members, for a finer method to part them.
 3. *Prefixes*: what cannot be parted is compared by a prefix filter, which loses no similar pair.
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
@@ -29,15 +30,19 @@ COMMON = (3, 8, 32, 128, 512)
 
 
 def shared_members(nodes: DataFrame, tag: str, kept=None) -> DataFrame:
-    """(bucket, id, lo, hi): members of the buckets that hold several ids; lo and hi are the least and greatest.
+    """(bucket, id, lo, hi, mid): members of the buckets that hold several ids, with the bucket's ends and centre.
 
     nodes: (bucket, id).  kept(key_filter) gives the nodes whose bucket passes the filter, so that only
     they are shuffled again.
     """
-    ends = materialize(nodes.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), f"{tag}-ends")
+    ends = nodes.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi")
+    ends = materialize(ends, f"{tag}-ends")
     some = kept(KeyFilter(ends, "bucket")) if kept else nodes
-    out = materialize(some.join(ends, "bucket").select("bucket", "id", "lo", "hi").distinct(), f"{tag}-members")
-    discard(ends)
+    known = materialize(some.join(ends, "bucket").select("bucket", "id", "lo", "hi", "n").distinct(), f"{tag}-known")
+    company = materialize(known.groupBy("id").agg(F.sum("n").alias("company")), f"{tag}-company")
+    mid = known.join(company, "id").groupBy("bucket").agg(F.max(F.struct("company", "id")).alias("m")).select("bucket", F.col("m.id").alias("mid"))
+    out = materialize(known.drop("n").join(materialize(mid, f"{tag}-mid"), "bucket"), f"{tag}-members")
+    discard(ends, known, company)
     return out
 
 
@@ -53,10 +58,11 @@ def labelled_members(nodes: DataFrame, tag: str) -> DataFrame:
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
-    """(a, b), a < b: each id with the low and the high end that most of its buckets name."""
+    """(a, b), a < b: each id with the ends, and the centre, that most of its buckets name."""
+    parts = [c for c in ("lo", "hi", "mid") if c in members.columns]
     other = lambda c: F.mode(F.when(F.col(c) != F.col("id"), F.col(c)), deterministic=True).alias(c)
-    named = members.groupBy("id").agg(other("lo"), other("hi"))
-    pairs = named.select("id", F.explode(F.array("lo", "hi")).alias("other")).where("other is not null")
+    named = members.groupBy("id").agg(*map(other, parts))
+    pairs = named.select("id", F.explode(F.array(*parts)).alias("other")).where("other is not null")
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
@@ -119,7 +125,9 @@ def _prefixes(sets: DataFrame, often: list[KeyFilter], threshold: int) -> DataFr
 
 
 def prefix_pairs(sets: DataFrame, labels: DataFrame, threshold: int, tag: str) -> DataFrame:
-    """(a, b): every pair of the sets that may meet the threshold and is not in one component yet.
+    """(a, b, shared): every pair of the sets that may meet the threshold and is not in one component yet.
+
+    shared counts the elements of both prefixes that led to it.
 
     sets: (id, s, size): distinct 64-bit elements as binary, and the size of the set that they stand for
     (more than the elements where hashes coincide).  All sets order elements alike: by how common they
@@ -142,6 +150,35 @@ def prefix_pairs(sets: DataFrame, labels: DataFrame, threshold: int, tag: str) -
     other = first.select("element", *[F.col(c).alias(f"other_{c}") for c in ("id", "label", "size", "pos")])
     enough = F.expr(f"{100 + threshold}L * least(size - pos, other_size - other_pos) >= {threshold}L * (size + other_size)")
     pairs = outside.join(other, (outside["element"] == other["element"]) & (F.col("label") != F.col("other_label")) & enough)
-    pairs = materialize(pairs.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct(), f"{tag}-pairs")
+    pairs = pairs.groupBy(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).agg(F.count("*").alias("shared"))
+    pairs = materialize(pairs, f"{tag}-pairs")
     discard(first, largest)
     return pairs
+
+
+def best_pairs(pairs: DataFrame, k: int = 3) -> DataFrame:
+    """(a, b): of each id the ``k`` pairs that share most, to be verified first."""
+    both = pairs.select(F.col("a").alias("id"), F.col("b").alias("other"), "shared").unionByName(pairs.select(F.col("b").alias("id"), F.col("a").alias("other"), "shared"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("shared"), "other"))
+    best = both.withColumn("rank", rank).where(F.col("rank") <= k)
+    return best.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def settle(candidates: DataFrame, verify, labels, tag: str) -> None:
+    """Verifies all candidates (a, b, shared) that can still join two components, the likeliest first.
+
+    verify(pairs) keeps the links that it finds; labels() gives (id, label) by all links so far.  Each id's
+    best pairs go first, twice: most of the others are inside one component then.
+    """
+    left = candidates
+    for k in (3, 6):
+        best = materialize(best_pairs(left, k), f"{tag}-best")
+        verify(best)
+        known = labels()
+        side = lambda c: known.select(F.col("id").alias(c), F.col("label").alias(f"{c}_label"))  # noqa: E731, B023
+        found = left.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
+        found = found.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b", "shared")
+        before, left = left, materialize(found, f"{tag}-left")
+        discard(before, best)
+    verify(left.select("a", "b"))
+    discard(left)

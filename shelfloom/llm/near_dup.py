@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from shelfloom.llm.common import KeyFilter, discard, materialize
 from shelfloom.llm.components import components
-from shelfloom.llm.linking import labelled_members, prefix_pairs, rest_pairs, shared_members, star_pairs
+from shelfloom.llm.linking import labelled_members, prefix_pairs, rest_pairs, settle, shared_members, star_pairs
 
 COORDS = 96
 DEPTH = 2
@@ -368,9 +368,9 @@ def similar(classes: DataFrame, docs: DataFrame, spec: JoinSpec) -> DataFrame |
             ids = materialize(rest.select("id").distinct(), "nd-ids")
             full = sets.of(ids).join(ids, "id", "left_semi").withColumn("size", (F.octet_length("s") / 8).cast("int"))
             full = materialize(full, "nd-hot")
-            candidates = prefix_pairs(full, known, spec.threshold, "nd")
-            verify(candidates)
-            discard(ids, full, candidates)
+            renamed = lambda: joined().withColumnsRenamed({"node": "id", "component": "label"}) if found else empty
+            settle(prefix_pairs(full, known, spec.threshold, "nd"), verify, renamed, "nd")
+            discard(ids, full)
         else:
             deeper = _next_nodes(rest.join(classes.select("id", "sketch"), "id"))
             named = materialize(deeper.join(known, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label")), "nd-nodes")
