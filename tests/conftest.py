@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
