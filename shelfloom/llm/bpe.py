@@ -253,6 +253,10 @@ class Tokenizer:
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.words = regex.compile(splits[0]["pattern"]["Regex"])
         self.bytes = byte_symbols()
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words met so far; the automaton stays."""
         self.memory, self.chunks = Memory(WORD_MEMORY), Memory(CHUNK_MEMORY)
 
     def word(self, word: str) -> bytes:
@@ -339,15 +343,18 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(vocabulary)
-        for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
-                ids = [t.encode(x) for x in part.column(at).to_pylist()]
-                offsets = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum([len(x) for x in ids], out=offsets[1:])
-                values = np.concatenate(ids) if ids else np.empty(0, np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-                yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + [column], names=schema.fieldNames())
+        try:
+            for b in batches:
+                for lo in range(0, b.num_rows, 1000):
+                    part = b.slice(lo, 1000)
+                    ids = [t.encode(x) for x in part.column(at).to_pylist()]
+                    offsets = np.zeros(len(ids) + 1, np.int32)
+                    np.cumsum([len(x) for x in ids], out=offsets[1:])
+                    values = np.concatenate(ids) if ids else np.empty(0, np.int32)
+                    column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+                    yield pa.RecordBatch.from_arrays([part.column(i) for i in keep] + [column], names=schema.fieldNames())
+        finally:
+            t.forget()  # an idle worker keeps no words of a task that is over
 
     return df.mapInArrow(run, schema)
 

@@ -46,7 +46,7 @@ LEXICONS = 48
 LEXICON_TERMS = 480
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
-WORD_MEMORY = 300_000
+WORD_MEMORY = 150_000
 EM_ROUNDS = 8
 #: Texts that a task holds as Python objects at once.
 SLICE = 256
