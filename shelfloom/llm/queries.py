@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: One module of this subpackage for each operator; each has QUERIES and ORACLES.
-_MODULES = ["q_bpe", "q_url", "q_lang", "q_warc", "q_tox", "q_near", "q_lines", "q_decon", "q_pii", "q_ann"]
+_MODULES = ["q_bpe", "q_url", "q_lang", "q_warc", "q_tox", "q_near", "q_lines", "q_decon", "q_pii", "q_ann", "q_variants", "q_pack", "q_trie"]
 
 
 def _modules():
