@@ -9,6 +9,7 @@ from shelfloom.plans import testbed as tb
 from shelfloom.plans.kit import TS, Book, R, out, scratch
 from shelfloom.sources import tables
 from shelfloom.streaming import incremental
+from shelfloom.streaming.keyed import KeyedTable
 
 B = Book()
 HCELL = ["product_id", "store_id", "hour_timestamp"]
@@ -76,11 +77,6 @@ B.add("sink_metrics", _metrics, " UNION ALL ".join(f"SELECT '{c}' AS model, '{m}
 
 
 # Streaming
-def _event_stream(s, d):
-    # A glob that matches the one table: streams read folders.
-    return s.readStream.schema(s.read.parquet(f"{d}/events.parquet").schema).parquet(f"{d}/events.parque[t]")
-
-
 def _closed_hours(s, d):
     """The closed hours of the events table, read as a stream."""
     base = scratch(s, "stream")
@@ -92,13 +88,28 @@ def _closed_hours(s, d):
 B.add("incremental_aggregate", _closed_hours, f"SELECT product_id, store_id, {TS()} AS hour_timestamp, sales_quantity FROM v_hourly_raw WHERE hour_timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS")
 
 
+#: Files that the events arrive in, one a batch; each holds rows of every day.
+ARRIVALS = 4
+
+
+def _arriving(s, d, base):
+    rows = s.read.parquet(f"{d}/events.parquet").withColumn("day", F.to_date("ts").cast("string"))
+    rows.repartition(ARRIVALS).write.parquet(f"{base}/in")
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+
+def _events_table(s, rows, base):
+    return KeyedTable(s, f"{base}/table", rows.schema, ["event_id"], ["ts"], "day")
+
+
 def _upserted(s, d):
-    """Every batch is applied twice, by two runs that know nothing of each other."""
+    """Days come in several batches, and every batch twice, by two runs that know nothing of each other."""
     base = scratch(s, "upsert")
-    rows = _event_stream(s, d).select("event_id", "user_id", "event_type", "value", F.to_date("ts").cast("string").alias("day"))
+    rows = _arriving(s, d, base)
+    table = _events_table(s, rows, base)
     for run in (1, 2):
-        incremental.incremental_upsert(rows, f"{base}/out", f"{base}/checkpoint{run}", "day").awaitTermination()
-    return s.read.schema(rows.schema).parquet(f"{base}/out")
+        incremental.incremental_upsert(rows, table, f"{base}/checkpoint{run}").awaitTermination()
+    return table.read().select("event_id", "user_id", "event_type", "value", "day")
 
 
 B.add("incremental_upsert", _upserted, "SELECT event_id, user_id, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events")
@@ -106,12 +117,12 @@ B.add("incremental_upsert", _upserted, "SELECT event_id, user_id, event_type, va
 
 def _stats(s, d):
     base = scratch(s, "stats")
-    rows = _event_stream(s, d).select("event_id", F.to_date("ts").cast("string").alias("day"))
-    query = incremental.incremental_upsert(rows, f"{base}/out", f"{base}/checkpoint", "day")
-    query.awaitTermination()
-    return incremental.incremental_stats(s, query, "events").select("dataset", "rows")
+    rows = _arriving(s, d, base)
+    ledger = incremental.ProgressLedger(s, f"{base}/progress")
+    incremental.incremental_upsert(rows, _events_table(s, rows, base), f"{base}/checkpoint", ledger, "events", "ts").awaitTermination()
+    return out(incremental.incremental_stats(ledger, "events"), ["dataset", "batches", "rows", "first_time", "last_time"])
 
 
-B.add("incremental_stats", _stats, "SELECT 'events' AS dataset, count(*) AS rows FROM events")
+B.add("incremental_stats", _stats, f"SELECT 'events' AS dataset, {ARRIVALS} AS batches, count(*) AS rows, {TS('min(ts)')} AS first_time, {TS('max(ts)')} AS last_time FROM events")
 
 QUERIES, ORACLES = B.queries, B.oracles

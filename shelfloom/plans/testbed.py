@@ -40,7 +40,7 @@ FROM v_sales_weekly WHERE l_returnflag = 'R' GROUP BY ALL""",
   CAST(CASE WHEN sales_quantity IS NULL AND (hour(h.hour_timestamp) + s.store_id) % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS is_stockout
 FROM (SELECT DISTINCT product_id, store_id FROM v_hourly_raw) s CROSS JOIN (SELECT DISTINCT hour_timestamp FROM v_hourly_raw) h
 LEFT JOIN v_hourly_raw USING (product_id, store_id, hour_timestamp)""",
-    "v_weather": """SELECT CAST(user_id % 10 AS INTEGER) AS store_id, CAST(ts AS DATE) AS date, round(avg(floor(value)) - 35, 2) AS temperature,
+    "v_weather": """SELECT CAST(user_id % 10 AS INTEGER) AS store_id, CAST(ts AS DATE) AS date, floor((sum(floor(value)) - 35 * count(*)) * 4 / count(*)) / 4 AS temperature,
   round(greatest(0, max(floor(value)) - 150) / 10, 2) AS precipitation, CAST(least(100, (count(*) * 7) % 111) AS DOUBLE) AS humidity
 FROM events GROUP BY ALL HAVING arg_min(event_type, (ts, event_id)) <> 'error'""",
     "v_predictions": """SELECT v.*, q[1] AS forecast_q05, q[2] AS forecast_q25, q[3] AS forecast_q50, q[4] AS forecast_q75, q[5] AS forecast_q95
@@ -149,7 +149,7 @@ def weather(spark: SparkSession, d: str) -> DataFrame:
     # A store has no weather on days that begin with an error.
     rows = events(spark, d).groupBy((F.col("user_id") % 10).cast("int").alias("store_id"), F.to_date("ts").alias("date"))
     begins = F.min_by("event_type", F.struct("ts", "event_id")).alias("begins")
-    found = rows.agg(begins, F.round(F.avg(whole) - 35, 2).alias("temperature"), F.round(F.greatest(F.lit(0.0), F.max(whole) - 150) / 10, 2).alias("precipitation"), F.least(F.lit(100), (F.count("*") * 7) % 111).cast("double").alias("humidity"))
+    found = rows.agg(begins, (F.floor((F.sum(whole) - 35 * F.count("*")) * 4 / F.count("*")) / 4).alias("temperature"), F.round(F.greatest(F.lit(0.0), F.max(whole) - 150) / 10, 2).alias("precipitation"), F.least(F.lit(100), (F.count("*") * 7) % 111).cast("double").alias("humidity"))
     return found.where("begins <> 'error'").drop("begins")
 
 
