@@ -110,15 +110,29 @@ def stratified_sample(df: DataFrame, stratum: Column, n: int, keys: list[str], o
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 
 
-def time_split(df: DataFrame, time: str, q: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """(rows before the q quantile of time, rows from it on)."""
-    number = F.unix_micros(F.col(time)) if dict(df.dtypes)[time] == "timestamp" else F.col(time)
+def split_time(df: DataFrame, time: str, q: float = 0.8) -> float | None:
+    """The q quantile of time, as a number (microseconds of a timestamp); None without rows."""
+    times = df.groupBy(_number(df, time).alias("t")).agg(F.count("*").alias("n"))
     # Times repeat: the quantile is taken over the distinct ones and their counts.
-    times = df.groupBy(number.alias("t")).agg(F.count("*").alias("n"))
-    cut = times.agg(F.percentile("t", q, F.col("n"))).first()[0]
+    return times.agg(F.percentile("t", q, F.col("n"))).first()[0]
+
+
+def _number(df: DataFrame, time: str) -> Column:
+    return F.unix_micros(F.col(time)) if dict(df.dtypes)[time] == "timestamp" else F.col(time)
+
+
+def is_newer(df: DataFrame, time: str, q: float = 0.8) -> Column:
+    """Whether a row is at or after the q quantile of time."""
+    cut = split_time(df, time, q)
+    return F.lit(False) if cut is None else _number(df, time) >= cut
+
+
+def time_split(df: DataFrame, time: str, q: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """(rows before the q quantile of time, rows from it on); rows without a time are in neither."""
+    cut = split_time(df, time, q)
     if cut is None:
         return df, df.limit(0)
-    return df.where(number < cut), df.where(number >= cut)
+    return df.where(_number(df, time) < cut), df.where(_number(df, time) >= cut)
 
 
 def last_periods(df: DataFrame, period: str, n: int = 30) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfloom.operators import quantile_trees
 from shelfloom.operators.metrics import r2
+from shelfloom.operators.quantile_trees import QuantileForecaster
 from shelfloom.spec import SeriesSpec
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -36,8 +38,8 @@ def encoder(categories: list[str]) -> Pipeline:
     return Pipeline(stages=[StringIndexer(inputCols=categories, outputCols=[f"{c}_code" for c in categories], handleInvalid="keep")])
 
 
-class QuantileForecaster:
-    """M3, M5: a boosted centre, and held-out residual quantiles by segment around it."""
+class CentredForecaster:
+    """One boosted centre, and held-out residual quantiles by segment around it: all levels share a shape."""
 
     def __init__(self, centre: PipelineModel, residuals: DataFrame, features: list[str], segment: str, overall: list[float], levels: tuple[float, ...] = QUANTILES):
         self.centre, self.residuals, self.features, self.segment, self.overall = centre, residuals, features, segment, overall
@@ -57,8 +59,8 @@ class QuantileForecaster:
         return rows.withColumns({"prediction_interval": high - low, "prediction_center": (high + low) / 2}).drop("__q", "__r", "prediction", *missing)
 
 
-def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 20, depth: int = 4, calibrate: float = 0.75, levels: tuple[float, ...] = QUANTILES) -> QuantileForecaster:
-    """M3: the centre is fitted on the older part of train, residual quantiles come from the newer part."""
+def centred_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 20, depth: int = 4, calibrate: float = 0.75, levels: tuple[float, ...] = QUANTILES) -> CentredForecaster:
+    """The simpler model: the centre from the older part of train, residual quantiles from the newer part."""
     from shelfloom.operators.clean import time_split
 
     old, new = time_split(train.fillna(0, features), spec.time, calibrate)
@@ -68,7 +70,19 @@ def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segm
     at = F.array(*map(F.lit, sorted(levels)))
     # Over all segments the residuals are as many as the rows: their quantiles are to one part in ACCURACY.
     overall = left.agg(F.percentile_approx("__e", at, ACCURACY).alias("q")).first()["q"] or [0.0] * len(levels)
-    return QuantileForecaster(centre, left.groupBy(segment).agg(F.percentile("__e", at).alias("__r")), features, segment, list(overall), levels)
+    return CentredForecaster(centre, left.groupBy(segment).agg(F.percentile("__e", at).alias("__r")), features, segment, list(overall), levels)
+
+
+def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 12, depth: int = 3, levels: tuple[float, ...] = QUANTILES, rate: float = 0.5, least: int = 50, calibrate: float = 0.75) -> QuantileForecaster:
+    """M3: boosted trees with quantile loss, an ensemble for each level; ``least`` rows in a leaf.
+
+    The part of train from the ``calibrate`` quantile of times on decides how many rounds each level keeps.
+    """
+    from shelfloom.operators.clean import is_newer
+
+    newer = is_newer(train, spec.time, calibrate)
+    trees, starts, overall = quantile_trees.fit(train, spec.target, features, segment, levels, max_iter, depth, rate, least, F.coalesce(newer, F.lit(False)))
+    return QuantileForecaster(trees, starts, overall, features, segment)
 
 
 def ensemble_forecast(df: DataFrame) -> DataFrame:
@@ -134,22 +148,25 @@ def feature_selection(train: DataFrame, features: list[str], target: str) -> lis
 
 
 def permutation_importance(model: QuantileForecaster, df: DataFrame, features: list[str], target: str, keys: list[str]) -> DataFrame:
-    """How much the absolute error rises when a feature is exchanged between rows.
+    """(feature, rise): how much the absolute error rises when a feature is exchanged between rows.
+
+    One permutation serves all features: inside hash buckets of about ``BUCKET_ROWS`` rows, so that no sort
+    spans the table, each row takes the values of the next one in the order of a key hash.  All features of a
+    row move in one struct through one window, and all are scored in one projection.
 
-    Rows exchange values inside hash buckets of about ``BUCKET_ROWS`` rows, so no sort spans the table.
+    Cases: features that the model does not know, or that are constant, rise by exactly 0; a table without rows
+    has null rises; rows of equal keys follow each other.
     """
-    base, n = model.predict(df).agg(F.avg(F.abs(F.col(target) - F.col("forecast_q50"))), F.count("*")).first()
-    buckets = -(-n // BUCKET_ROWS) or 1
-    out = None
-    for f in features:
-        slot = lambda seed: Window.partitionBy("__b").orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
-        rows = df.withColumn("__b", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-        left = rows.drop(f).withColumn("__i", F.row_number().over(slot(1)))
-        right = rows.select("__b", F.col(f), F.row_number().over(slot(2)).alias("__i"))
-        mixed = model.predict(left.join(right, ["__b", "__i"]).drop("__b", "__i"))
-        one = mixed.agg(F.lit(f).alias("feature"), (F.avg(F.abs(F.col(target) - F.col("forecast_q50"))) - F.lit(base)).alias("rise"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    buckets = -(-df.count() // BUCKET_ROWS) or 1
+    rows = df.withColumn("__b", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    x = F.struct(*quantile_trees._filled(df, model.features))
+    slot = Window.partitionBy("__b").orderBy(F.xxhash64(*keys, F.lit(1)), *keys)
+    whole = slot.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("__other", F.coalesce(F.lead(x).over(slot), F.first(x).over(whole)))
+    error = lambda i: F.abs(F.col(target) - F.col("__p")[i])
+    at = {c: i + 1 for i, c in enumerate(model.features)}
+    one = [F.struct(F.lit(c).alias("feature"), (F.avg(error(at[c])) - F.avg(error(0)) if c in at else F.lit(0.0)).alias("rise")) for c in features]
+    return model.exchanged(rows, "__other").agg(F.array(*one).alias("o")).select(F.explode("o").alias("o")).select("o.*")
 
 
 def walk_forward(df: DataFrame, spec: SeriesSpec, folds: int = 52, train: int = 4) -> DataFrame:

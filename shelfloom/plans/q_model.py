@@ -11,7 +11,7 @@ from shelfloom.plans import testbed as tb
 from shelfloom.plans.enrich import enrich_pipeline
 from shelfloom.plans.kit import TS, Book, R, out
 from shelfloom.plans.q_core import weekly_grid
-from shelfloom.spec import HOURLY, WEEKLY
+from shelfloom.spec import HOURLY, WEEKLY, SeriesSpec
 
 B = Book()
 K = ["product_id", "store_id"]
@@ -193,6 +193,63 @@ def _predicted(s, d):
 
 
 
+def _held_out(s, d):
+    """What has to hold on all rows that the model has not seen; shares may miss their level by two points."""
+    model, test, _ = _trained(s, d)
+    y, q = F.col("sales_quantity"), [F.col(c) for c in QS]
+    ordered = F.lit(True)
+    for low, high in zip(q, q[1:], strict=False):
+        ordered = ordered & (low <= high)
+    share = lambda c: F.avg(c.cast("double"))
+    # Of a target with ties the level lies between the shares below and up to its quantile.
+    fits = [(share(y < c) <= level + 0.02) & (share(y <= c) >= level - 0.02) for level, c in zip(LEVELS, q, strict=True)]
+    return model.predict(test).agg(
+        F.count("*").alias("rows"),
+        F.bool_and(ordered).alias("in_order"),
+        F.bool_and(q[0] >= 0).alias("not_negative"),
+        F.bool_and(F.col("prediction_interval") == q[-1] - q[0]).alias("interval_is_outer"),
+        F.bool_and(F.col("prediction_center") == (q[-1] + q[0]) / 2).alias("centre_is_middle"),
+        *[f.alias(f"level_{c[-3:]}") for f, c in zip(fits, QS, strict=True)],
+    )
+
+
+B.add(
+    "quantile_invariants",
+    _held_out,
+    f"SELECT count(*) AS rows, true AS in_order, true AS not_negative, true AS interval_is_outer, true AS centre_is_middle, {', '.join(f'true AS level_{c[-3:]}' for c in QS)} FROM v_hourly WHERE epoch_us(hour_timestamp) >= (SELECT quantile_cont(epoch_us(hour_timestamp)::DOUBLE, 0.8) FROM v_hourly)",
+)
+
+
+def _prices(s, d):
+    """What order lines bring, by their price before discount; noise, a copy and a constant beside it."""
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    noise = F.pmod(F.xxhash64(*key), F.lit(1000)).cast("double")
+    gross = F.col("l_extendedprice").cast("double")
+    rows = s.read.parquet(f"{d}/lineitem.parquet")
+    return rows.select(*key, F.lit("all").alias("kind"), F.datediff("l_shipdate", F.lit("1992-01-01")).alias("day"), (gross * (1 - F.col("l_discount").cast("double"))).alias("net"), gross.alias("gross"), (2 * gross).alias("twice"), noise.alias("noise"), F.lit(1.0).alias("same")), key
+
+
+def _importance(s, d):
+    rows, key = _prices(s, d)
+    train, test = clean.time_split(rows, "day")
+    names = ["noise", "gross", "same"]
+    spec = SeriesSpec(keys=tuple(key), time="day", target="net", lags=(1,), windows=(2,))
+    rise = {r.feature: r.rise for r in ml.permutation_importance(ml.quantile_train(train, spec, names, "kind", max_iter=5), test, [*names, "unknown"], "net", key).collect()}
+    kept = {r.feature: r.importance for r in ml.select_by_importance(train, names, "net").collect()}
+    chosen = ml.feature_selection(train, ["noise", "gross", "same", "twice"], "net")
+    facts = {
+        "M12 a constant rises by exactly 0": rise["same"] == 0 and rise["unknown"] == 0,
+        "M12 gross rises most": max(rise, key=rise.get) == "gross",
+        "M12 noise rises by under a hundredth of it": abs(rise["noise"]) < rise["gross"] / 100,
+        "M8 the largest importance is 1": max(kept.values()) == 1.0 == kept["gross"],
+        "M8 constants are left out": "same" not in kept,
+        "M8 what is kept reaches the threshold": min(kept.values()) >= 0.005,
+        "M10 one of two copies stays": len({"gross", "twice"} & set(chosen)) == 1,
+    }
+    return s.createDataFrame([(k, bool(v)) for k, v in facts.items()], "fact string, holds boolean")
+
+
+B.add("importance_invariants", _importance, "SELECT unnest(['M12 a constant rises by exactly 0', 'M12 gross rises most', 'M12 noise rises by under a hundredth of it', 'M8 the largest importance is 1', 'M8 constants are left out', 'M8 what is kept reaches the threshold', 'M10 one of two copies stays']) AS fact, true AS holds")
 B.add("select_by_importance", lambda s, d: ml.select_by_importance(*_features(s, d), "sales_quantity"))
 B.add("feature_selection", lambda s, d: s.createDataFrame([(c,) for c in ml.feature_selection(*_features(s, d), "sales_quantity")], "feature string"))
 B.add("permutation_importance", lambda s, d: _permuted(s, d))

@@ -10,12 +10,13 @@ follows the last one, and whatever a run that died has left behind is in no mani
 the last batch of each stream, so that one that is replayed after a crash is skipped; one that comes again from
 another run changes nothing, since its rows are no newer than those that stand.
 
-A batch rewrites the partitions that it touches and reads no others (dynamic partition pruning on the manifest).
+A batch rewrites the partitions for which it has rows that do not stand there yet, and reads no others than it
+names (dynamic partition pruning on the manifest): to apply one again costs a read and no write.
 One writer at a time: the second of two commits with one number fails, and its stream tries again.
 
 Cases: rows of one key and version: the one with the larger hash of all columns stays, in any order of arrival;
 null keys, versions and partitions are values like others, null versions being the oldest; a key must keep its
-partition; an empty batch is committed without rows; a table without commits is empty.
+partition; columns of map type cannot be compared and fail; an empty batch is committed without rows; a table without commits is empty.
 """
 
 from __future__ import annotations
@@ -73,11 +74,13 @@ class KeyedTable:
             return False
         name = f"{number + 1:012d}-{uuid.uuid4().hex}"
         new = batch.select(*self.schema.fieldNames())
-        touched = new.select(self.partition).distinct()
+        named = new.select(F.col(self.partition).alias("__t")).distinct()
+        there = self._rows(commit).join(named, F.col(self.partition).eqNullSafe(F.col("__t")), "left_semi")
+        touched = new.subtract(there).select(self.partition).distinct()
         p = touched.select(F.col(self.partition).alias("__t"))
         same = F.col(self.partition).eqNullSafe(F.col("__t"))
         old = self._rows(commit).join(p, same, "left_semi")
-        merged = self._newest(new.unionByName(old))
+        merged = self._newest(new.join(p, same, "left_semi").unionByName(old))
         # A partition goes to one task; adaptive execution splits large ones.
         merged.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.path}/data/{COMMIT}={name}")
         stays = self._manifest(commit).join(p, same, "left_anti")
