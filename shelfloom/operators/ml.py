@@ -73,7 +73,7 @@ def centred_train(train: DataFrame, spec: SeriesSpec, features: list[str], segme
     return CentredForecaster(centre, left.groupBy(segment).agg(F.percentile("__e", at).alias("__r")), features, segment, list(overall), levels)
 
 
-def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 12, depth: int = 3, levels: tuple[float, ...] = QUANTILES, rate: float = 0.5, least: int = 50, calibrate: float = 0.75) -> QuantileForecaster:
+def quantile_train(train: DataFrame, spec: SeriesSpec, features: list[str], segment: str, max_iter: int = 12, depth: int = 3, levels: tuple[float, ...] = QUANTILES, rate: float = 0.5, least: int = 100, calibrate: float = 0.75) -> QuantileForecaster:
     """M3: boosted trees with quantile loss, an ensemble for each level; ``least`` rows in a leaf.
 
     The part of train from the ``calibrate`` quantile of times on decides how many rounds each level keeps.
