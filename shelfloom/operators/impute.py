@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfloom.functions.expr import interpolate as line
-from shelfloom.functions.quantile import exact_quantiles
+from shelfloom.functions.quantile import exact_quantiles_of
 
 
 def fill_forward_back(df: DataFrame, keys: list[str], time: str, columns: list[str], backward: bool = True) -> DataFrame:
@@ -25,7 +25,7 @@ def ffill_bfill_zero(df: DataFrame, keys: list[str], time: str, columns: list[st
 def rolling_median_fill(df: DataFrame, keys: list[str], time: str, columns: list[str], n: int = 7) -> DataFrame:
     """Median of the last n rows, then of the column."""
     w = Window.partitionBy(*keys).orderBy(time).rowsBetween(-(n - 1), 0)
-    medians = {c: exact_quantiles(df, c, [0.5])[0] for c in columns}
+    medians = {c: q[0] for c, q in exact_quantiles_of(df, columns, [0.5]).items()}
     return df.withColumns({c: F.coalesce(F.col(c), F.percentile(c, F.lit(0.5)).over(w), F.lit(medians[c]).cast("double")) for c in columns})
 
 
@@ -72,6 +72,6 @@ def impute_after_split(train: DataFrame, test: DataFrame, numeric: list[str], ca
     """M1: what is filled is learned from train only: 0 for counts and history, medians for the rest."""
     to_zero = [c for c in numeric if any(k in c.lower() for k in zero)]
     rest = [c for c in numeric if c not in to_zero]
-    medians = {c: exact_quantiles(train, c, [0.5])[0] for c in rest}
+    medians = {c: q[0] for c, q in exact_quantiles_of(train, rest, [0.5]).items()}
     values = {**dict.fromkeys(to_zero, 0), **{c: (0 if v is None else v) for c, v in medians.items()}, **dict.fromkeys(categories, "Unknown")}
     return train.fillna(values), test.fillna(values)

@@ -170,21 +170,22 @@ def permutation_importance(model: QuantileForecaster, df: DataFrame, features: l
 
 
 def walk_forward(df: DataFrame, spec: SeriesSpec, folds: int = 52, train: int = 4) -> DataFrame:
-    """For each of the last ``folds`` weeks, quantiles of the four weeks before it, and their errors.
+    """For each of the last ``folds`` weeks, quantiles of the ``train`` weeks before it, and their errors.
 
-    A row trains the ``train`` folds after it: an explode of bounded size, no range join.
+    The weeks before are a range of one window over the series, so rows are shuffled once and none is copied.
+    Weeks without rows in reach of any series are no folds; null targets count in neither part.
     """
-    t, keys = F.col(spec.time), list(spec.keys)
-    last = df.agg(F.max(spec.time).alias("__last"))
-    rows = df.crossJoin(F.broadcast(last))
-    fits = rows.withColumn("fold", F.explode(F.sequence(t + 1, t + train))).where(F.col("fold").between(F.col("__last") - folds + 1, F.col("__last")))
-    q = fits.groupBy("fold", *keys).agg(F.percentile(spec.target, F.array(*map(F.lit, QUANTILES))).alias("q"))
-    tests = rows.where(t > F.col("__last") - folds).withColumn("fold", t).join(q, ["fold", *keys])
-    y = F.col(spec.target)
-    e = y - F.col("q")[2]
-    by = tests.groupBy("fold").agg(
-        F.avg(F.abs(e)).alias("mae"),
-        F.avg(((y >= F.col("q")[0]) & (y <= F.col("q")[4])).cast("double")).alias("coverage"),
-        r2(y, F.col("q")[2]).alias("r2"),
+    t, y = F.col(spec.time), F.col(spec.target)
+    before = Window.partitionBy(*spec.keys).orderBy(t).rangeBetween(-train, -1)
+    rows = df.select(*spec.keys, t, y, F.percentile(y, F.array(*map(F.lit, QUANTILES))).over(before).alias("q"))
+    q = lambda i: F.col("q")[i]
+    by = rows.groupBy(t.alias("fold")).agg(
+        F.count_if(q(2).isNotNull()).alias("n"),
+        F.avg(F.abs(y - q(2))).alias("mae"),
+        F.avg(((y >= q(0)) & (y <= q(4))).cast("double")).alias("coverage"),
+        r2(y, q(2)).alias("r2"),
     )
-    return by.agg(F.count("*").alias("folds"), *[f(c).alias(f"{c}_{n}") for c in ("r2", "coverage", "mae") for n, f in (("mean", F.avg), ("std", F.stddev_samp))])
+    # One row for each week: a list of them is no longer than the time axis.
+    weeks = by.agg(F.max("fold").alias("last"), F.collect_list(F.struct("fold", "n", "mae", "coverage", "r2")).alias("w"))
+    kept = weeks.select("last", F.explode("w").alias("w")).where((F.col("w.n") > 0) & (F.col("w.fold") > F.col("last") - folds)).select("w.*")
+    return kept.agg(F.count("*").alias("folds"), *[f(c).alias(f"{c}_{n}") for c in ("r2", "coverage", "mae") for n, f in (("mean", F.avg), ("std", F.stddev_samp))])

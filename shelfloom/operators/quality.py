@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfloom.functions.expr import clip, labels, ratio
-from shelfloom.functions.quantile import exact_quantiles
+from shelfloom.functions.quantile import exact_quantiles_of
 
 LARGE_FORECAST, LARGE_PRICE, SMALL_PRICE = 1_000_000, 1_000_000, 0.01
 
@@ -81,11 +81,15 @@ def duplicate_count(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def baseline_profile(df: DataFrame, numeric: list[str], categorical: list[str], top: int = 10) -> DataFrame:
-    """Tidy (column, metric, value); the frequencies of the ``top`` levels are ``top:<level>``."""
+    """Tidy (column, metric, value); the frequencies of the ``top`` levels are ``top:<level>``.
+
+    Quantiles are exact, at the price of further passes; ``profiles`` has sketches of one pass that merge.
+    """
     stats = []
+    quantiles = exact_quantiles_of(df, numeric, [0.25, 0.5, 0.75])
     for c in numeric:
         x = F.col(c)
-        q = dict(zip(("q25", "q50", "q75"), map(F.lit, exact_quantiles(df, c, [0.25, 0.5, 0.75])), strict=True))
+        q = dict(zip(("q25", "q50", "q75"), map(F.lit, quantiles[c]), strict=True))
         pairs = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x), **q}
         stats += [F.struct(F.lit(c).alias("column"), F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in pairs.items()]
     for c in [*numeric, *categorical]:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfloom.functions.expr import hash_uniform_sql, norm_cdf, norm_cdf_sql
-from shelfloom.operators import clean, insights, inventory, metrics, pricing, quality, report
+from shelfloom.operators import clean, insights, inventory, metrics, pricing, profiles, quality, report
 from shelfloom.plans import testbed as tb
-from shelfloom.plans.kit import TS, Book, R, out
+from shelfloom.plans.kit import TS, Book, R, out, scratch
 from shelfloom.plans.q_core import weekly_grid
 from shelfloom.sources.tables import scan_table
 
@@ -203,6 +203,32 @@ B.add(
     lambda s, d: out(quality.baseline_profile(tb.hourly(s, d), ["sales_quantity"], ["product_id"]), ["column", "metric"], {"value": 5}),
     f"WITH x AS (SELECT sales_quantity AS v, product_id AS p FROM v_hourly) " + " UNION ALL ".join(f"SELECT '{c}' AS column, '{m}' AS metric, {R(e, 5)} AS value FROM x" for c, m, e in (("sales_quantity", "mean", "avg(v)"), ("sales_quantity", "std", "stddev_samp(v)"), ("sales_quantity", "min", "min(v)"), ("sales_quantity", "max", "max(v)"), ("sales_quantity", "q25", "quantile_cont(v, 0.25)"), ("sales_quantity", "q50", "quantile_cont(v, 0.5)"), ("sales_quantity", "q75", "quantile_cont(v, 0.75)"), ("sales_quantity", "null_pct", "0.0 * count(*)"), ("product_id", "null_pct", "0.0 * count(*)"), ("product_id", "distinct", "count(DISTINCT p)"))) + " UNION ALL SELECT 'product_id', 'top:' || p, count(*)::DOUBLE FROM x GROUP BY p",
 )
+
+
+def _merged_profile(s, d):
+    """Profiles of all order lines by month, stored, read back and merged; sketched values against their bounds."""
+    rows = scan_table(s, d, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("l_extendedprice").cast("double").alias("price"), "l_quantity", "l_returnflag")
+    place = scratch(s, "profiles")
+    profiles.profile(rows, ["price", "l_quantity"], ["l_returnflag"], ["month"]).write.parquet(place)
+    found = profiles.describe(profiles.merge(s.read.parquet(place))).withColumnRenamed("value", "v")
+    exact = {"mean", "std", "min", "max", "null_pct"}
+    # A sketched quantile stands in for its rank: how far from it the rows really are.
+    wide = found.where("column = 'price'").groupBy().pivot("metric", ["q25", "q50", "q75"]).agg(F.first("v"))
+    share = rows.crossJoin(F.broadcast(wide)).agg(*[F.avg((F.col("price") <= F.col(q)).cast("double")).alias(q) for q in ("q25", "q50", "q75")])
+    ranks = share.select(F.explode(F.array(*[F.struct(F.lit(q).alias("metric"), (F.abs(F.col(q) - p) <= 0.0133).cast("double").alias("value")) for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))])).alias("x"))
+    ranks = ranks.select(F.lit("price").alias("column"), F.concat("x.metric", F.lit(" within bound")).alias("metric"), F.col("x.value").alias("value"))
+    plain = found.where(F.col("metric").isin(*exact) | ((F.col("metric") == "distinct") & (F.col("column") != "price"))).select("column", "metric", F.col("v").alias("value"))
+    return out(plain.unionByName(ranks), ["column", "metric"], {"value": 4})
+
+
+B.add(
+    "merged_profile",
+    _merged_profile,
+    "WITH x AS (SELECT l_extendedprice::DOUBLE AS price, l_quantity::DOUBLE AS l_quantity, l_returnflag FROM lineitem) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS column, '{m}' AS metric, {R(e.format(c), 4)} AS value FROM x" for c in ("price", "l_quantity") for m, e in (("mean", "avg({0})"), ("std", "stddev_samp({0})"), ("min", "min({0})"), ("max", "max({0})"), ("null_pct", "100.0 * count(*) FILTER ({0} IS NULL) / count(*)")))
+    + " UNION ALL SELECT 'l_quantity', 'distinct', count(DISTINCT l_quantity)::DOUBLE FROM x UNION ALL SELECT 'l_returnflag', 'distinct', count(DISTINCT l_returnflag)::DOUBLE FROM x UNION ALL SELECT 'l_returnflag', 'null_pct', 100.0 * count(*) FILTER (l_returnflag IS NULL) / count(*) FROM x"
+    + "".join(f" UNION ALL SELECT 'price', '{q} within bound', 1.0" for q in ("q25", "q50", "q75")),
+)
 OLD = "epoch_us(hour_timestamp) < (SELECT quantile_cont(epoch_us(hour_timestamp)::DOUBLE, 0.5) FROM v_hourly)"
 B.add("detect_drift", lambda s, d: _drift(s, d), f"SELECT 'sales_quantity' AS column, {R(f'avg(sales_quantity) FILTER ({OLD})', 5)} AS mean_base, {R(f'avg(sales_quantity) FILTER (NOT {OLD})', 5)} AS mean_now, abs(avg(sales_quantity) FILTER (NOT {OLD}) - avg(sales_quantity) FILTER ({OLD})) > 2 * stddev_samp(sales_quantity) FILTER ({OLD}) AS drifted FROM v_hourly")
 
