@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,11 +103,55 @@ def nonlinearity(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return rows.groupBy(*keys).agg(F.coalesce(value, F.lit(0.0)).alias("nonlinearity"))
 
 
+def measures(y: np.ndarray, lags: tuple[int, ...] = (1, 4, 12)) -> list[float]:
+    """Autocorrelations, entropy, Hurst exponent and nonlinearity of one series, as the operators above define them."""
+    n, flat = len(y), y.max() == y.min()
+    dev = y - y.mean()
+    acf = [0.0 if flat or n <= max(lags) else float(dev[k:] @ dev[:-k] / (dev @ dev)) for k in lags]
+    bins = min(10, n // 2)
+    entropy = 0.0
+    if n > 5 and not flat:
+        at = np.minimum(bins - 1, np.floor((y - y.min()) / (y.max() - y.min()) * bins).astype(int))
+        p = np.bincount(at)[np.unique(at)] / n
+        entropy = float(-(p * np.log(p)).sum()) + 0.0
+    points = []
+    for size in range(2, min(20, n // 2)) if n >= 10 else ():
+        blocks = y[: n // size * size].reshape(-1, size)
+        walk = np.cumsum(blocks - blocks.mean(1, keepdims=True), axis=1)
+        same = blocks.max(1) == blocks.min(1)
+        ratio = np.where(same, 0.0, np.ptp(walk, axis=1) / np.where(same, 1.0, blocks.std(1)))
+        if ratio.mean() > 0:
+            points.append((np.log(size), np.log(ratio.mean())))
+    hurst = 0.5
+    if len(points) >= 2:
+        x, z = np.array(points).T
+        x = x - x.mean()
+        hurst = float(np.clip(x @ z / (x @ x), 0.1, 0.9))
+    d1 = np.diff(y)
+    spread = d1.std() if len(d1) and np.ptp(d1) > 0 else 0.0
+    return [*acf, entropy, hurst, min(10.0, float(np.diff(d1).std() / spread)) if spread else 10.0]
+
+
 def advanced_series(df: DataFrame, spec: SeriesSpec, least: int = 12) -> DataFrame:
-    """FE9: the measures of its series on every row; 0 for series of fewer than ``least`` rows."""
-    keys = list(spec.keys)
-    found = autocorrelation(df, spec).join(entropy(df, spec), keys).join(hurst(df, spec), keys).join(nonlinearity(df, spec), keys)
-    found = found.join(df.groupBy(*keys).agg(F.count("*").alias("__n")), keys)
-    names = [c for c in found.columns if c not in keys and c != "__n"]
-    found = found.select(*keys, *[F.when(F.col("__n") >= least, F.col(c)).otherwise(0.0).alias(c) for c in names])
-    return df.join(found, keys, "left")
+    """FE9: the measures of its series on every row; 0 for series of fewer than ``least`` rows.
+
+    Rows of a series meet once, as a sorted list (no longer than the time axis); all measures are made of that
+    list and the rows are unpacked again: one scan, one shuffle, no join.
+
+    Cases: null targets are left out of the measures, rows keep them; ties of time are ordered by target;
+    null keys are a series; an empty table gives none.
+    """
+    keys, names = list(spec.keys), ["acf_1", "acf_4", "acf_12", "entropy", "hurst", "nonlinearity"]
+    rest = [c for c in df.columns if c not in (*keys, spec.time, spec.target)]
+    row = F.struct(F.col(spec.time).alias("t"), F.col(spec.target).alias("y"), F.struct(F.lit(0), *rest).alias("r"))
+    lists = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("__rows"))
+
+    @F.pandas_udf("array<double>")
+    def measured(values: pd.Series) -> pd.Series:
+        return pd.Series([measures(v) if len(v) else [0.0] * len(names) for v in values])
+
+    values = F.transform(F.filter("__rows", lambda x: x["y"].isNotNull()), lambda x: x["y"].cast("double"))
+    found = lists.withColumn("__m", F.when(F.size("__rows") >= least, measured(values)).otherwise(F.array(*[F.lit(0.0)] * len(names))))
+    out = found.select(*keys, "__m", F.explode("__rows").alias("__row"))
+    place = {**{k: F.col(k) for k in keys}, spec.time: F.col("__row.t"), spec.target: F.col("__row.y"), **{c: F.col("__row.r")[c] for c in rest}}
+    return out.select(*[place[c].alias(c) for c in df.columns], *[F.col("__m")[i].alias(c) for i, c in enumerate(names)])

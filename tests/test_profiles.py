@@ -87,3 +87,25 @@ def test_walk_forward_equals_brute_force(spark):
             cover.append(np.mean(inside))
     assert got.folds == len(maes) and got.mae_mean == pytest.approx(np.mean(maes)) and got.mae_std == pytest.approx(np.std(maes, ddof=1))
     assert got.coverage_mean == pytest.approx(np.mean(cover))
+
+
+def test_measures_of_lists_equal_those_of_windows(spark):
+    from shelfloom.operators import advanced
+
+    rng = random.Random(8)
+    data = [(k, t, 4.5 if k == "flat" else float(rng.choice([0, 0, rng.random() * 9])), "x") for k, n in (("a", 60), ("b", 25), ("c", 12), ("flat", 30), ("short", 7), ("one", 1)) for t in range(n)]
+    df = spark.createDataFrame(data, "k string, t int, y double, entropyless string").repartition(3)
+    spec = SeriesSpec(keys=("k",), time="t", target="y", lags=(1,), windows=(2,))
+    got = advanced.advanced_series(df, spec)
+    assert got.columns == [*df.columns, "acf_1", "acf_4", "acf_12", "entropy", "hurst", "nonlinearity"]
+    assert got.select(df.columns).exceptAll(df).count() == 0 and got.count() == df.count()
+    plain = {}
+    for part in (advanced.autocorrelation(df, spec), advanced.entropy(df, spec), advanced.hurst(df, spec), advanced.nonlinearity(df, spec)):
+        for r in part.collect():
+            plain.setdefault(r.k, {}).update(r.asDict())
+    for r in got.collect():
+        for c in got.columns[4:]:
+            assert r[c] == pytest.approx(plain[r.k][c] if r.k not in ("short", "one") else 0.0, abs=1e-9), (r.k, c)
+    holes = spark.createDataFrame([(None, t, None if t % 2 else float(t), "x") for t in range(14)], df.schema)
+    assert advanced.advanced_series(holes, spec).count() == 14
+    assert advanced.advanced_series(df.limit(0), spec).count() == 0
