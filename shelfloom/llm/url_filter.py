@@ -4,7 +4,7 @@ Explicit rules (host suffix and path prefix, the longest wins) judge first.  For
 tree of path templates decides.  For each host:
 
 1. digits and long hexadecimal runs in the path become ``*``; equal generalised paths are counted;
-2. level by level, a node whose branches are many and thinly used is variable: they become ``*``;
+2. level by level, until no two paths that a node holds differ any more, a node whose branches are many and thinly used is variable: they become ``*``;
 3. of the other branches of a node, those whose distribution of remaining paths does not differ
    from the node's pooled one by more than sampling noise are merged into ``(+)``;
 4. a template is rejected if its smoothed labelled purity, the share of its URLs labelled bad with a
@@ -22,6 +22,7 @@ empty table; other columns pass through unless named like an output.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +35,9 @@ VARIABLE = "[0-9A-Fa-f]{8,}|[0-9]+"
 
 @dataclass(frozen=True)
 class TreeSpec:
-    """levels: depth of the tree (deeper parts stay in the last level's remainder).  A node is variable if
-    it has ``min_branches`` branches with fewer than ``mean_support`` URLs on average.  Branches merge
-    within a total variation of ``tolerance`` plus one over the root of their count."""
+    """A node is variable if it has ``min_branches`` branches with fewer than ``mean_support`` URLs on average.
+    Branches merge within a total variation of ``tolerance`` plus one over the root of their count."""
 
-    levels: int = 3
     min_branches: int = 10
     mean_support: int = 4
     tolerance: float = 0.2
@@ -80,10 +79,29 @@ def _tail(rest: Column) -> Column:
 def template_tree(counts: DataFrame, spec: TreeSpec = TreeSpec()) -> DataFrame:
     """counts: (host, shape, n, bad), one row per host and generalised path.
 
-    Returns (host, shape, template, purity, reject).
+    Returns (host, shape, template, purity, reject).  The tree is as deep as paths differ; segments that a
+    node's paths share are passed at once, so there are as many rounds as branchings on a path.
     """
     rows = counts.select("host", "shape", "n", "bad", F.lit("").alias("prefix"), F.col("shape").alias("rest"))
-    for _ in range(spec.levels):
+    done = []
+    while True:
+        # What the first and the last of a node's paths have in common, all have.  A node whose paths do not differ
+        # never branches: what remains of them is literal.
+        ended = F.concat("rest", F.lit("/"))
+        ends = rows.groupBy("host", "prefix").agg(F.min(ended).alias("lo"), F.max(ended).alias("hi"))
+        inner = lambda c: F.slice(F.split(c, "/"), F.lit(1), F.size(F.split(c, "/")) - 1)
+        same = F.array_position(F.zip_with(inner("lo"), inner("hi"), lambda x, y: x.eqNullSafe(y)), False).cast("int") - 1
+        ends = ends.select("host", "prefix", (F.col("lo") != F.col("hi")).alias("open"), F.when(F.col("lo") != F.col("hi"), same).otherwise(0).alias("same"))
+        at = F.split("rest", "/")
+        moved = F.when(F.col("same") > 0, F.concat("prefix", F.array_join(F.slice(at, F.lit(1), F.col("same")), "/"))).otherwise(F.col("prefix"))
+        left = F.array_join(F.slice(at, F.col("same") + 1, F.size(at)), "/")
+        left = F.when(F.col("same") == 0, F.col("rest")).when(F.size(at) > F.col("same"), F.concat(F.lit("/"), left)).otherwise("")
+        split = rows.join(ends, ["host", "prefix"]).select("host", "shape", "n", "bad", moved.alias("prefix"), left.alias("rest"), "open")
+        split = materialize(split, "url-split")
+        done.append(split.where("not open").select("host", "shape", "n", "bad", F.concat("prefix", "rest").alias("template")))
+        rows = split.where("open").drop("open")
+        if rows.isEmpty():
+            break
         rows = materialize(rows.withColumn("seg", _head(F.col("rest"))).withColumn("rest", _tail(F.col("rest"))), "url-level")
         branch = rows.groupBy("host", "prefix", "seg").agg(F.sum("n").cast("double").alias("bn"))
         node = branch.groupBy("host", "prefix").agg(F.count("*").alias("k"), F.sum("bn").alias("nn"))
@@ -114,7 +132,7 @@ def template_tree(counts: DataFrame, spec: TreeSpec = TreeSpec()) -> DataFrame:
         rows = rows.join(materialize(decided, "url-decided"), ["host", "prefix", "seg"]).select(
             "host", "shape", "n", "bad", F.concat("prefix", F.lit("/"), "as").alias("prefix"), "rest"
         )
-    rows = materialize(rows.select("host", "shape", "n", "bad", F.concat("prefix", "rest").alias("template")), "url-tree")
+    rows = materialize(reduce(DataFrame.unionByName, done), "url-tree")
     purity = (F.sum("bad") + spec.prior * spec.prior_weight) / (F.sum("n") + spec.prior_weight)
     judged = rows.groupBy("host", "template").agg(purity.alias("purity"))
     return rows.join(judged, ["host", "template"]).select(

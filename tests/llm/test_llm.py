@@ -123,6 +123,20 @@ def test_url_rules_and_tree(spark):
     assert url_filter.judge(rows.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize("deep", ["", "/a/b/c/d/e/f"])
+def test_url_tree_goes_as_deep_as_paths_differ(spark, deep):
+    """A rule blocks most pages of a variable segment: the others go too, however deep it stands."""
+    letters = [("b" if i < 64 else "g") + chr(97 + i % 26) + chr(97 + i // 26) for i in range(80)]
+    urls = [f"http://{'bad' if i % 5 else 'good'}.host/x" for i in range(5)]
+    urls += [f"http://one.host/spam{deep}/slug-{x}" for x in letters] + [f"http://one.host/fine/{'y/' * 40}{x}" for x in "pq"]
+    rules = [("block", "one.host", f"/spam{deep}/slug-b")]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(rows, rules).collect()}
+    spam = [got[5 + i] for i in range(80)]
+    assert {r.verdict for r in spam} == {"block"} and len({r.template for r in spam}) == 1
+    assert {got[i].verdict for i in (*range(5), 85, 86)} == {"allow"}
+
+
 # op3
 def test_language_held_out_accuracy_and_edges(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
