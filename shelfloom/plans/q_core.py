@@ -170,6 +170,13 @@ B.add("semi_topk", lambda s, d: relational.semi_topk(grid.aggregate_series(tb.sa
 B.add("aggregate_series", lambda s, d: grid.aggregate_series(tb.sales_weekly(s, d), WEEKLY), "SELECT * FROM v_weekly")
 B.add("aggregate_rules", lambda s, d: grid.aggregate_rules(tb.sales_weekly(s, d), ["product_id"], {"sales_value": "sum", "quantity": "mean", "week_no": "count"}), "SELECT product_id, sum(sales_value) AS sales_value_sum, avg(quantity) AS quantity_mean, count(week_no) AS week_no_count FROM v_sales_weekly GROUP BY 1")
 B.add("master_grid", weekly_grid, "SELECT * FROM v_weekly_grid")
+B.add(
+    "master_grid_full",
+    lambda s, d: grid.master_grid(tb.sales_weekly(s, d), WEEKLY, full=True).select("product_id", "store_id", "week_no", "sales_value", "quantity"),
+    """SELECT p.product_id, s.store_id, w.week_no, coalesce(sales_value, 0) AS sales_value, coalesce(quantity, 0) AS quantity
+FROM (SELECT DISTINCT product_id FROM v_weekly WHERE sales_value > 0) p CROSS JOIN (SELECT DISTINCT store_id FROM v_weekly WHERE sales_value > 0) s CROSS JOIN (SELECT DISTINCT week_no FROM v_weekly WHERE sales_value > 0) w
+LEFT JOIN (SELECT * FROM v_weekly WHERE sales_value > 0) v ON v.product_id = p.product_id AND v.store_id = s.store_id AND v.week_no = w.week_no""",
+)
 B.add("funnel", lambda s, d: out(context.funnel_rates(context.funnel_pivot(tb.clicks(s, d))), ["visitorid", "total_views", "total_addtocart", "total_transactions"], {"rate_view_to_cart": 4, "rate_cart_to_buy": 4, "rate_view_to_buy": 4}), f"SELECT visitorid, v AS total_views, a AS total_addtocart, t AS total_transactions, {R('a / (v + 1e-6)', 4)} AS rate_view_to_cart, {R('t / (a + 1e-6)', 4)} AS rate_cart_to_buy, {R('t / (v + 1e-6)', 4)} AS rate_view_to_buy FROM (SELECT visitorid, count_if(event = 'view')::BIGINT AS v, count_if(event = 'addtocart')::BIGINT AS a, count_if(event = 'transaction')::BIGINT AS t FROM v_clicks GROUP BY 1)")
 B.add("visitor_recency", lambda s, d: out(context.visitor_recency(tb.clicks(s, d)), ["visitorid"], {"active_days": 5, "days_since_last": 5}), f"SELECT visitorid, {R('(max(timestamp) - min(timestamp)) / 86400000', 5)} AS active_days, {R('((SELECT max(timestamp) FROM v_clicks) - max(timestamp)) / 86400000', 5)} AS days_since_last FROM v_clicks GROUP BY 1")
 B.add("behavior_features", lambda s, d: context.with_behavior(scan_table(s, d, "customer").select("c_custkey"), tb.clicks(s, d), "c_custkey").select("c_custkey", "total_views", F.round("active_days", 5).alias("active_days")), "SELECT c_custkey, coalesce(v, 0) AS total_views, coalesce(a, 0) AS active_days FROM customer LEFT JOIN (SELECT visitorid, count_if(event = 'view')::BIGINT AS v, round((max(timestamp) - min(timestamp)) / 86400000, 5) AS a FROM v_clicks GROUP BY 1) ON c_custkey = visitorid")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfloom.operators import clean, metrics
 from shelfloom.plans import testbed as tb
 from shelfloom.plans.kit import TS, Book, R, out, scratch
-from shelfloom.sources import tables
+from shelfloom.sources import arrivals, tables
 from shelfloom.streaming import incremental
 from shelfloom.streaming.keyed import KeyedTable
 
@@ -35,13 +35,27 @@ def _weekly_bundle(s, d):
     tables.sink_parquet(tb.sales_weekly(s, d), f"{base}/transaction_data.parquet")
     tables.sink_parquet(tb.product(s, d), f"{base}/product.parquet")
     tables.sink_parquet(tb.household(s, d), f"{base}/hh_demographic.parquet")
+    tables.sink_parquet(tb.causal(s, d), f"{base}/causal_data.parquet")
     tables.sink_parquet(tb.clicks(s, d), f"{base}/clickstream_log.parquet")
     found = tables.load_weekly_bundle(s, base)
-    counts = [t.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, t in sorted(found.items())]
-    return clean.union_all(*counts)
-
-
-B.add("load_weekly_bundle", _weekly_bundle, " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {v}" for n, v in (("sales", "v_sales_weekly"), ("product", "v_product"), ("hh_demographic", "v_household"), ("clickstream_log", "v_clicks"))))
+    # All five tables, each row as text beside its table's name.
+    rows = [t.select(F.lit(name).alias("name"), F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in WEEKLY_COLUMNS[name]])).alias("row")) for name, t in sorted(found.items())]
+    return clean.union_all(*rows)
+
+
+WEEKLY_COLUMNS = {
+    "sales": ["product_id", "store_id", "week_no"],
+    "product": ["product_id", "department"],
+    "hh_demographic": ["household_key", "income_desc", "segment"],
+    "causal_data": ["product_id", "store_id", "week_no", "display", "mailer"],
+    "clickstream_log": ["visitorid", "event", "timestamp", "itemid"],
+}
+WEEKLY_VIEWS = {"sales": "v_sales_weekly", "product": "v_product", "hh_demographic": "v_household", "causal_data": "v_causal", "clickstream_log": "v_clicks"}
+B.add(
+    "load_weekly_bundle",
+    _weekly_bundle,
+    " UNION ALL ".join(f"SELECT '{n}' AS name, concat('{{', {', '.join(f"""'{',' if i else ''}"{c}":"', CAST({c} AS VARCHAR), '"'""" for i, c in enumerate(cols))}, '}}') AS row FROM {WEEKLY_VIEWS[n]}" for n, cols in WEEKLY_COLUMNS.items()),
+)
 
 
 def _weather(s, d):
@@ -76,6 +90,31 @@ def _metrics(s, d):
 B.add("sink_metrics", _metrics, " UNION ALL ".join(f"SELECT '{c}' AS model, '{m}' AS metric, {R(e, 5)} AS value FROM v_predictions" for q, c in LEVELS.items() for m, e in (("pinball", f"avg(greatest((sales_quantity - {c}) * {q}, (sales_quantity - {c}) * {q - 1!r}))"), ("mae", f"avg(abs(sales_quantity - {c}))"))))
 
 
+def _damaged(s, d):
+    """All events in three arrivals: as they are; as CSV with bad values; with a column retyped and one missing."""
+    base = scratch(s, "arrivals")
+    rows = s.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", "value")
+    of = lambda k: rows.where(F.col("user_id") % 3 == k)
+    of(0).write.parquet(f"{base}/a")
+    of(1).withColumn("value", F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))).select("value", "event_type", "user_id", "event_id").write.option("header", True).csv(f"{base}/b")
+    of(2).withColumn("value", F.when(F.col("value") > 90, "oops").otherwise(F.col("value").cast("string"))).drop("event_type").withColumn("note", F.lit("new")).write.parquet(f"{base}/c")
+    found = arrivals.load_arrivals(s, {"a": (f"{base}/a", "parquet"), "b": (f"{base}/b", "csv"), "c": (f"{base}/c", "parquet"), "none": (f"{base}/none", "csv")}, rows.schema, ["event_id"])
+    good = found.good.select("arrival", "event_id", "event_type", F.floor("value").cast("double").alias("value"), F.lit(None).cast("string").alias("reason"))
+    bad = found.quarantine.select("arrival", F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("value"), F.array_join("reasons", ", ").alias("reason"))
+    changes = found.drift.select("arrival", F.lit(None).cast("long").alias("event_id"), F.col("column").alias("event_type"), F.lit(None).cast("double").alias("value"), F.col("kind").alias("reason"))
+    return good.unionByName(bad).unionByName(changes)
+
+
+B.add(
+    "damaged_arrivals",
+    _damaged,
+    """SELECT CASE user_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS arrival, event_id, CASE WHEN user_id % 3 < 2 AND NOT bad THEN event_type END AS event_type,
+  CASE WHEN NOT bad THEN floor(value) END AS value, CASE WHEN bad THEN 'bad value' END AS reason
+FROM (SELECT *, (user_id % 3 = 1 AND event_type = 'error') OR (user_id % 3 = 2 AND value > 90) AS bad FROM events)
+UNION ALL SELECT 'c', NULL, x, NULL, y FROM (VALUES ('event_type', 'missing'), ('note', 'extra'), ('value', 'retyped')) AS t(x, y)""",
+)
+
+
 # Streaming
 def _closed_hours(s, d):
     """The closed hours of the events table, read as a stream."""

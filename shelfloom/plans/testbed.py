@@ -33,7 +33,7 @@ GROUP BY p_brand HAVING avg(p_retailprice) <= (SELECT avg(p_retailprice) FROM pa
     "v_causal": """SELECT product_id, store_id, week_no, CAST(CAST(sum(l_linenumber) AS BIGINT) % 3 AS VARCHAR) AS display, CAST(count(*) % 2 AS VARCHAR) AS mailer
 FROM v_sales_weekly WHERE l_returnflag = 'R' GROUP BY ALL""",
     "v_clicks": """SELECT user_id AS visitorid, CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event,
-  epoch_ms(ts) AS timestamp, event_id AS itemid FROM events""",
+  epoch_us(ts) // 1000 AS timestamp, event_id AS itemid FROM events""",
     "v_hourly_raw": """SELECT event_type AS product_id, CAST(user_id % 10 AS INTEGER) AS store_id, date_trunc('hour', ts) AS hour_timestamp,
   sum(floor(value)) AS sales_quantity FROM events GROUP BY ALL""",
     "v_hourly": """SELECT s.product_id, s.store_id, h.hour_timestamp, coalesce(sales_quantity, 0) AS sales_quantity,
