@@ -26,8 +26,10 @@ documents.  Terms over the threshold become spans of kind ``term`` wherever they
 generalises entities and secrets to their kind and removes terms.
 
 Terms travel to the tasks in blocks of at most ``MAX_TERMS``; more terms make more passes over the
-rows in place, never a larger broadcast.  A term whose uses in one task already exceed what its
-threshold allows is not counted further, which decides it exactly and keeps shuffles small.  Shapes are a few
+rows in place, never a larger broadcast.  Two facts decide most terms exactly, without their uses being
+shuffled: a term has at least as many uses as stand beside any entity, and at least as many as one task
+finds.  A term over what its threshold allows by either is out; a task says so in one row.
+Shapes are a few
 alphabets times ``LONGEST`` lengths at most, whatever the corpus, and are read on the driver.
 
 Cases: null and empty texts have no spans; entities of one kind do not overlap, of several kinds may;
@@ -234,10 +236,12 @@ def _uses(words: list[tuple[str, int, int]], k: int) -> int:
 
 #: Entities that stand for a kind as a whole.
 POOLED = {kind: _hash(kind) for kind in (*KINDS, SECRET)}
+#: Stands for all entities together.
+ANY = _hash("any")
 
 
 def neighbours(docs: DataFrame, spec: DisclosureSpec, shapes: frozenset[tuple[str, int]] = frozenset()) -> DataFrame:
-    """(entity, term, use): the distinct uses of terms beside each entity value and beside each kind."""
+    """(entity, term, use): the distinct uses of terms beside each entity value, each kind, and any entity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -258,7 +262,7 @@ def neighbours(docs: DataFrame, spec: DisclosureSpec, shapes: frozenset[tuple[st
                     right = [k for k, w in enumerate(around) if w[1] >= end][: spec.words]
                     for k in left + right:
                         use = _uses(around, k)
-                        rows.update(((value, around[k][0], use), (POOLED[kind], around[k][0], use)))
+                        rows.update((e, around[k][0], use) for e in (value, POOLED[kind], ANY))
             cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(list(cols[0]), pa.int64()), pa.array(list(cols[1]), pa.string()), pa.array(list(cols[2]), pa.int64())], names=["entity", "term", "use"])
 
@@ -285,18 +289,21 @@ def disclosing_terms(docs: DataFrame, spec: DisclosureSpec = DisclosureSpec(), s
     spark = docs.sparkSession
     words = docs.agg(F.sum(F.regexp_count("text", F.lit(r"\p{L}{3,}"))).alias("n")).collect()[0]["n"] or 0
     pairs = materialize(neighbours(docs, spec, shapes).groupBy("entity", "term").agg(F.count("*").alias("n")), "pii-pairs")
-    beside = pairs.groupBy("entity").agg(F.sum("n").alias("beside"))
+    beside = pairs.where(F.col("entity") != ANY).groupBy("entity").agg(F.sum("n").alias("beside"))
     # More distinct uses than words cannot be, but a window may cut words otherwise: never below zero.
     ic = F.greatest(F.log(F.lit(float(words)) / F.col("beside")), F.lit(0.0))
     # PMI >= d * IC  is  uses <= near * exp((1 - d) * IC): what a term may have at most, by its best entity.
     # A kind is one hot key: its few sums are sent to the pairs, those of values are joined.
     of_kind = F.col("entity").isin(list(POOLED.values()))
-    strong = pairs.where(F.col("n") >= spec.support)
+    strong = pairs.where((F.col("n") >= spec.support) & (F.col("entity") != ANY))
     best = strong.where(~of_kind).join(beside.where(~of_kind), "entity").unionByName(strong.where(of_kind).join(F.broadcast(beside.where(of_kind)), "entity"))
     best = best.select("term", "n", ic.alias("ic"))
     best = best.withColumn("allowed", F.floor(F.col("n") * F.exp((1 - spec.disclosure) * F.col("ic"))).cast("long"))
     best = best.groupBy("term").agg(F.max(F.struct("allowed", F.col("n").alias("near"), "ic")).alias("b"))
-    near = materialize(best.select("term", "b.allowed", "b.near", "b.ic"), "pii-near")
+    # Uses beside any entity are uses: too many of them, and the term is out before it is counted.
+    beside_any = pairs.where(F.col("entity") == ANY).select("term", F.col("n").alias("beside_any"))
+    best = best.select("term", "b.allowed", "b.near", "b.ic").join(beside_any, "term").where("beside_any <= allowed")
+    near = materialize(best, "pii-near")
     discard(pairs)
     out = None
     for block in _blocks(near, "allowed"):
@@ -314,17 +321,20 @@ def disclosing_terms(docs: DataFrame, spec: DisclosureSpec = DisclosureSpec(), s
                             before = words[k - 1] if k else ""
                             after = words[k + 1] if k + 1 < len(words) else ""
                             uses.add(_hash(before, w, after))
-            rows = [(t, u) for t, uses in seen.items() for u in uses]
+            # A null for all the uses of a term that has too many here already.
+            rows = [(t, u) for t, uses in seen.items() for u in (uses if len(uses) <= allowed[t] else (None,))]
             for lo in range(0, len(rows), 50_000):
                 part = rows[lo : lo + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.string()), pa.array([r[1] for r in part], pa.int64())], names=["term", "use"])
 
-        counted = docs.select("text").mapInArrow(run, "term string, use long").distinct().groupBy("term").agg(F.count("*").alias("uses"))
+        counted = docs.select("text").mapInArrow(run, "term string, use long").distinct().groupBy("term").agg(F.count("use").alias("uses"), F.count_if(F.col("use").isNull()).alias("over"))
         out = counted if out is None else out.unionByName(counted)
     if out is None:
         return spark.createDataFrame([], "term string, near long, uses long, pmi double, ic double")
+    # Beside an entity a use may lack a neighbour that the window cut: uses are never fewer than those.
     pmi = F.log(F.col("near") / F.col("uses")) + F.col("ic")
-    return near.join(out, "term").where("uses <= allowed").select("term", "near", "uses", pmi.alias("pmi"), "ic")
+    counted = near.join(out, "term").where("over = 0 AND uses <= allowed").withColumn("uses", F.greatest("uses", "beside_any"))
+    return counted.select("term", "near", "uses", pmi.alias("pmi"), "ic")
 
 
 def detect(df: DataFrame, terms: DataFrame | None = None, out: str = "spans", shapes: frozenset[tuple[str, int]] = frozenset(), bits: float = DisclosureSpec.bits) -> DataFrame:

@@ -470,13 +470,13 @@ def test_pii_spans_and_terms_equal_brute_force(spark):
             around = [w for w in around if (w[1] > lo or not lo) and (w[2] < hi or hi == len(low)) and not any(x < w[2] and w[1] < y for x, y in taken)]
             for k in [i for i, w in enumerate(around) if w[2] <= s][-4:] + [i for i, w in enumerate(around) if w[1] >= e][:4]:
                 use = (around[k - 1][0] if k else "", around[k][0], around[k + 1][0] if k + 1 < len(around) else "")
-                for entity in ((kind, t[s:e].lower()), (kind, None)):
+                for entity in ((kind, t[s:e].lower()), (kind, None), "any"):
                     near.setdefault(entity, {}).setdefault(around[k][0], set()).add(use)
-    want = set()
+    want, beside = set(), near.pop("any")
     for terms in near.values():
         content = math.log(words / sum(map(len, terms.values())))
         for term, n in terms.items():
-            if len(n) >= spec.support and math.log(len(n) / len(uses[term])) + content >= spec.disclosure * content - 1e-9:
+            if len(n) >= spec.support and math.log(len(n) / max(len(uses[term]), len(beside[term]))) + content >= spec.disclosure * content - 1e-9:
                 want.add(term)
     terms = pii.disclosing_terms(docs, spec)
     assert {r.term for r in terms.collect()} == want and {"zorbo", "krelto"} <= want and not {"quixo", "kaber", "velpo"} & want
