@@ -143,19 +143,23 @@ def interactions(df: DataFrame, target: str) -> DataFrame:
     return df.withColumns(out)
 
 
+def finished(out: DataFrame, spec: SeriesSpec, new: list[str], fill: bool) -> DataFrame:
+    """What needs the row alone: trend and calendar beside the lags and rolling statistics (``new``); nulls of these are 0 if asked."""
+    if {1, 4} <= set(spec.lags) and {4, 8} <= set(spec.windows):
+        out = trend(out, spec.target)
+        new = [*new, "wow_change", "wow_pct_change", "momentum", "volatility"]
+    t = F.col(spec.time)
+    out = out.withColumns(calendar_week(t) if spec.unit == "week" else {**calendar_hour(t), **intraday(t)})
+    return out.fillna(0, new) if fill else out
+
+
 def series_features(df: DataFrame, spec: SeriesSpec, fill: bool = True, advanced: bool = False) -> DataFrame:
     """FE8: lags, rolling statistics, trend, calendar; nulls are 0 if asked.
 
     ``advanced`` adds decomposition (as trend_component, seasonal, residual) and the measures of W21 to W24.
     """
     out = df.select("*", *lag_columns(spec), *rolling_columns(spec), *(lag_columns(spec, "quantity", (1, 4)) if spec.unit == "week" and "quantity" in df.columns else []))
-    new = [c for c in out.columns if c not in df.columns]
-    if {1, 4} <= set(spec.lags) and {4, 8} <= set(spec.windows):
-        out = trend(out, spec.target)
-        new += ["wow_change", "wow_pct_change", "momentum", "volatility"]
-    t = F.col(spec.time)
-    out = out.withColumns(calendar_week(t) if spec.unit == "week" else {**calendar_hour(t), **intraday(t)})
-    out = out.fillna(0, new) if fill else out
+    out = finished(out, spec, [c for c in out.columns if c not in df.columns], fill)
     if advanced:
         from shelfloom.operators.advanced import advanced_series, decompose
 

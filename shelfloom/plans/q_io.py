@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from shelfloom.operators import clean, metrics
 from shelfloom.plans import testbed as tb
 from shelfloom.plans.kit import TS, Book, R, out, scratch
 from shelfloom.sources import arrivals, tables
-from shelfloom.streaming import incremental
+from shelfloom.spec import HOURLY
+from shelfloom.streaming import incremental, series_state
 from shelfloom.streaming.keyed import KeyedTable
 
 B = Book()
@@ -127,6 +131,41 @@ def _closed_hours(s, d):
 B.add("incremental_aggregate", _closed_hours, f"SELECT product_id, store_id, {TS()} AS hour_timestamp, sales_quantity FROM v_hourly_raw WHERE hour_timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS")
 
 
+def _arriving_features(s, d):
+    """Features of the closed hours: the events come in four spans of time, each to a stream that is started anew."""
+    base = scratch(s, "features")
+    events = s.read.parquet(f"{d}/events.parquet")
+    cuts = [None, *events.select(F.percentile_approx("ts", [0.25, 0.5, 0.75])).first()[0], None]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        span = [*([F.col("ts") >= low] if low else []), *([F.col("ts") < high] if high else [])]
+        events.where(reduce(and_, span)).write.mode("append").parquet(f"{base}/in")
+        hours = incremental.hourly_stream(s, f"{base}/in", events.schema)
+        series_state.incremental_features(hours, HOURLY, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    found = s.read.parquet(f"{base}/out")
+    return out(found, [*HCELL, "sales_quantity", *[f"sales_quantity_lag_{k}" for k in HOURLY.lags], "hour_of_day", "day_of_week", "is_weekend"], {c: 6 for c in series_state.names(HOURLY) if c.startswith("rolling")})
+
+
+def _rolling_sql():
+    found = []
+    for n in HOURLY.windows:
+        w = f"OVER (PARTITION BY product_id, store_id ORDER BY hour_timestamp ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        found += [f"{R(f'coalesce({f}(sales_quantity) {w}, 0)', 6)} AS rolling_{name}_{n}" for name, f in (("mean", "avg"), ("std", "stddev_samp"), ("max", "max"), ("min", "min"))]
+    return ", ".join(found)
+
+
+B.add(
+    "incremental_features",
+    _arriving_features,
+    f"""WITH closed AS (SELECT * FROM v_hourly_raw WHERE hour_timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS),
+ends AS (SELECT product_id, store_id, min(hour_timestamp) AS first, max(hour_timestamp) AS last FROM closed GROUP BY ALL),
+axis AS (SELECT product_id, store_id, unnest(generate_series(first, last, INTERVAL 1 HOUR)) AS hour_timestamp FROM ends),
+filled AS (SELECT product_id, store_id, hour_timestamp, coalesce(sales_quantity, 0) AS sales_quantity FROM axis LEFT JOIN closed USING (product_id, store_id, hour_timestamp))
+SELECT product_id, store_id, {TS()} AS hour_timestamp, sales_quantity,
+  {", ".join(f"coalesce(lag(sales_quantity, {k}) OVER (PARTITION BY product_id, store_id ORDER BY hour_timestamp), 0) AS sales_quantity_lag_{k}" for k in HOURLY.lags)},
+  CAST(hour(hour_timestamp) AS INTEGER) AS hour_of_day, CAST(isodow(hour_timestamp) - 1 AS INTEGER) AS day_of_week, CAST(isodow(hour_timestamp) > 5 AS INTEGER) AS is_weekend,
+  {_rolling_sql()} FROM filled""",
+)
+
 #: Files that the events arrive in, one a batch; each holds rows of every day.
 ARRIVALS = 4
 
