@@ -4,7 +4,8 @@
   until a leaf's share of the sample is at most ``leaf``.  Every vector is then indexed: it descends
   the tree to its leaf.
 * The tree grows with the rows: leaves that hold more than ``leaf_rows`` of them are split in the same
-  way, each on a bounded sample of its own rows, all at once and as often as needed, up to ``MAX_LEAVES``.
+  way, each on a bounded sample of its own rows, all at once and as often as needed, while the tree's
+  centres take no more than ``TREE_BYTES``.
 * A query walks the tree through a priority queue that is ordered by an upper bound of the inner
   product in each subtree: q.c + |q| * radius, for the centre and radius of the subtree's sample.
   Leaves leave the queue in the order in which they should be visited.
@@ -15,8 +16,8 @@
 
 Index rows are split into blocks of about ``BLOCK_ROWS`` by a hash inside their leaf, so a leaf that
 holds a third of all vectors is many tasks; each block gets its leaf's queries and
-returns the best k of each, which are merged per query.  Only the tree (bounded by ``MAX_LEAVES``) is
-broadcast.
+returns the best k of each, which are merged per query.  Blocks, parts of queries and the sample are bounded
+in bytes, so that long vectors make smaller ones.  Only the tree (of at most ``TREE_BYTES``) is broadcast.
 
 Cases: vectors that are null, zero, hold null, NaN or infinite components, or differ in length from
 the most common length (the shortest of equally common ones) take no part, as rows or queries; equal vectors tie and rank by id;
@@ -40,14 +41,23 @@ from pyspark.sql import functions as F
 
 from shelfloom.llm.common import discard, materialize
 
-SAMPLE = 20_000
-#: Rows of a large leaf that its own part of the tree is fitted on, and leaves up to which the tree grows.
+#: Vectors, and bytes of them, that the first tree is fitted on.
+SAMPLE, SAMPLE_BYTES = 20_000, 1 << 26
+#: Rows of a large leaf that its own part of the tree is fitted on; bytes of centres up to which the tree grows.
 LEAF_SAMPLE = 4_096
-MAX_LEAVES = 8_192
+TREE_BYTES = 1 << 27
 CALIBRATION = 64
-BLOCK_ROWS = 4_096
-#: Queries of one part of a leaf; more queries make more parts, and each reads the leaf once.
-PART_QUERIES = 100_000
+#: Rows, and bytes, of one block of a leaf.
+BLOCK_ROWS, BLOCK_BYTES = 4_096, 1 << 25
+#: Queries, and bytes, of one part of a leaf's queries; more make more parts, and each reads the leaf once.
+PART_QUERIES, PART_BYTES = 100_000, 1 << 26
+#: Nodes up to which a query's bounds are taken of the whole tree at once; beyond, of those that it meets.
+WHOLE = 4_096
+
+
+def at_most(n: int, size: int, dimensions: int) -> int:
+    """``n`` vectors of doubles, or as many as ``size`` bytes hold, but one at least."""
+    return max(1, min(n, size // (8 * dimensions)))
 
 
 @dataclass(frozen=True)
@@ -111,8 +121,9 @@ class Tree:
     def graft(self, parts: dict[int, Tree]) -> None:
         """Puts trees in the place of leaves; all leaves get new numbers."""
         centre, radius = [self.centre], [self.radius]
+        at = {number: i for i, number in enumerate(self.leaf) if number >= 0}
         for number, part in parts.items():
-            node = self.leaf.index(number)
+            node = at[number]
             shift = len(self.children) - 1  # the part's root is the leaf itself
             self.children[node] = [c + shift for c in part.children[0]]
             self.children += [[c + shift for c in kids] for kids in part.children[1:]]
@@ -144,13 +155,15 @@ class Tree:
 
     def visit(self, q: np.ndarray, visits: int) -> list[int]:
         """The first leaves of the best-bin-first order."""
-        bound = self.centre @ q + np.linalg.norm(q) * self.radius
-        heap, out = [(-bound[0], 0)], []
+        norm = np.linalg.norm(q)
+        whole = self.centre @ q + norm * self.radius if len(self.centre) <= WHOLE else None
+        heap, out = [(0.0, 0)], []
         while heap and len(out) < visits:
             _, node = heapq.heappop(heap)
-            if self.children[node]:
-                for kid in self.children[node]:
-                    heapq.heappush(heap, (-bound[kid], kid))
+            if kids := self.children[node]:
+                bound = self.centre[kids] @ q + norm * self.radius[kids] if whole is None else whole[kids]
+                for kid, b in zip(kids, bound.tolist(), strict=True):
+                    heapq.heappush(heap, (-b, kid))
             else:
                 out.append(self.leaf[node])
         return out
@@ -236,11 +249,11 @@ def visit_table(queries: DataFrame, tree, visits: int) -> DataFrame:
 def _search(index: DataFrame, sizes: DataFrame, queries: DataFrame, tree, visits: int, k: int) -> DataFrame:
     """Joins queries with the blocks of the leaves that they visit.
 
-    A leaf that more than ``PART_QUERIES`` queries visit has them in several parts, each of which meets
+    A leaf that many queries visit has them in several parts, each of which meets
     all its blocks; others are read once.
     """
     wanted = materialize(visit_table(queries, tree, visits).withColumnsRenamed({"id": "query_id", "v": "q"}), "ann-wanted")
-    parts = wanted.groupBy("leaf").agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("parts"))
+    parts = wanted.groupBy("leaf").agg(F.ceil(F.count("*") / at_most(PART_QUERIES, PART_BYTES, tree.value.centre.shape[1])).cast("int").alias("parts"))
     plan = materialize(sizes.join(parts, "leaf"), "ann-plan")
     # A query goes to every block of the leaf.
     blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
@@ -274,6 +287,10 @@ def calibrated(tree: Tree, trial: pd.DataFrame, truth: pd.DataFrame, target: flo
 def _grown(rows: DataFrame, fitted: Tree, spec: TreeSpec):
     """(broadcast tree, (leaf, id, v) of all rows, (leaf, n, blocks)); splits ``fitted`` where leaves are large."""
     spark, kind, whole = rows.sparkSession, rows.schema["v"].dataType.simpleString(), set()
+    dimensions = fitted.centre.shape[1]
+    in_block, room = at_most(BLOCK_ROWS, BLOCK_BYTES, dimensions), TREE_BYTES // (8 * dimensions)
+    # A part of LEAF_SAMPLE rows has about that many nodes.
+    nodes = 2 * LEAF_SAMPLE // spec.leaf
     while True:
         tree = spark.sparkContext.broadcast(fitted)
 
@@ -284,11 +301,11 @@ def _grown(rows: DataFrame, fitted: Tree, spec: TreeSpec):
 
         placed = materialize(rows.mapInArrow(place, f"leaf int, id long, v {kind}"), "ann-placed")
         counts = placed.groupBy("leaf").agg(F.count("*").alias("n"))
-        sizes = materialize(counts.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")), "ann-sizes")
+        sizes = materialize(counts.withColumn("blocks", F.ceil(F.col("n") / in_block).cast("int")), "ann-sizes")
         node = {number: i for i, number in enumerate(fitted.leaf) if number >= 0}
         # Leaves of equal vectors cannot be split; they are not asked again.
         large = [r["leaf"] for r in sizes.where(F.col("n") > spec.leaf_rows).orderBy(F.desc("n"), "leaf").collect() if node[r["leaf"]] not in whole]
-        large = large[: max(0, (MAX_LEAVES - fitted.leaves) * spec.leaf // LEAF_SAMPLE)]
+        large = large[: max(0, (room - len(fitted.leaf)) // nodes)]
         if not large:
             return tree, placed, sizes
 
@@ -297,7 +314,9 @@ def _grown(rows: DataFrame, fitted: Tree, spec: TreeSpec):
             return pd.DataFrame({"leaf": group["leaf"].iloc[:1], "tree": [pickle.dumps(made)]})
 
         chosen = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64("id"), "id"))
-        sample = placed.where(F.col("leaf").isin(large)).withColumn("k", chosen).where(F.col("k") <= LEAF_SAMPLE).select("leaf", "v")
+        # No longer than the tree has leaves.
+        split = F.broadcast(spark.createDataFrame([(n,) for n in large], "leaf int"))
+        sample = placed.join(split, "leaf").withColumn("k", chosen).where(F.col("k") <= LEAF_SAMPLE).select("leaf", "v")
         parts = {r["leaf"]: pickle.loads(r["tree"]) for r in sample.groupBy("leaf").applyInPandas(fit, "leaf int, tree binary").collect()}
         whole |= {node[k] for k, part in parts.items() if not part.children[0]}
         fitted.graft({k: part for k, part in sorted(parts.items()) if part.children[0]})
@@ -309,9 +328,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str
     spark = vectors.sparkSession
     rows = materialize(usable(vectors, id_column, vector), "ann-rows")
     asked = queries.select(F.col(id_column).cast("long").alias("id")).distinct().join(rows, "id").select("id", "v")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toPandas()
-    if not len(sample):
+    some = rows.first()
+    if some is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(at_most(SAMPLE, SAMPLE_BYTES, len(some["v"]))).toPandas()
     fitted = Tree(np.array(sample["v"].tolist(), np.float64), spec)
     tree, placed, sizes = _grown(rows, fitted, spec)
     index = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v")

@@ -691,6 +691,35 @@ def test_trees_grow_with_the_rows(spark):
     assert hits / len(got) >= 0.9 and len(got) == 1350
 
 
+def test_ann_blocks_parts_and_tree_are_bounded_in_bytes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 12))
+    v = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 12)) * 0.3
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(5)
+    asked = np.arange(0, 3000, 50)
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = {int(q): set(np.argsort(-s)[:10].tolist()) for q, s in zip(asked, score, strict=True)}
+    spec = ann.TreeSpec(branches=4, leaf=32, leaf_rows=100)
+    # Blocks of 40 rows, parts of 7 queries, a sample of 300 vectors.
+    for name, rows in (("BLOCK_BYTES", 40), ("PART_BYTES", 7), ("SAMPLE_BYTES", 300)):
+        monkeypatch.setattr(ann, name, rows * 8 * 12)
+    found, leaves = [], []
+    grown = ann._grown
+    monkeypatch.setattr(ann, "_grown", lambda *a: (lambda out: (leaves.append((out[0].value.leaves, out[2].agg({"blocks": "max"}).first()[0])), out)[1])(grown(*a)))
+    # The tree may grow; it may not; and its bounds are taken node by node.
+    for nodes, whole in ((100_000, ann.WHOLE), (1, ann.WHOLE), (100_000, 0)):
+        monkeypatch.setattr(ann, "TREE_BYTES", nodes * 8 * 12)
+        monkeypatch.setattr(ann, "WHOLE", whole)
+        got = ann.nearest(df, df.where("vec_id % 50 = 0"), 10, spec=spec).toPandas()
+        assert (got.groupby("query_id").size() == 10).all() and got["query_id"].nunique() == len(asked)
+        assert sum(r.vec_id in want[r.query_id] for r in got.itertuples()) / (10 * len(asked)) >= 0.9
+        found.append(got.sort_values(["query_id", "rank"]).reset_index(drop=True))
+    assert leaves[0][0] == leaves[2][0] > leaves[1][0] and leaves[1][1] > 1
+    assert found[0].equals(found[2])
+
+
+
 def test_hot_line_bucket_of_two_thousand_around_one_passage(spark):
     rnd = random.Random(81)
     passage = prose(rnd, 30)
