@@ -99,6 +99,14 @@ def test_quality_of_empty_table(spark):
     assert quality.quality_score(df, ["y"], ["k"], {"y": (0, 1)}).first().score == 100
 
 
+def test_grade_and_issues_follow_the_score(spark):
+    bounds, lines = {"t": (0, 150)}, [("a", i, float(i)) for i in range(200)]
+    few = quality.quality_score(frame(spark, lines + lines[:1]), ["k", "absent"], ["k", "t"], bounds).first()
+    many = quality.quality_score(frame(spark, lines + lines[:5]), ["k", "absent"], ["k", "t"], bounds).first()
+    assert (few.score, few.grade, few.issues) == (70, "fair", ["missing columns", "out of range"])
+    assert (many.score, many.grade, many.issues) == (55, "poor", ["missing columns", "duplicates", "out of range"])
+
+
 def test_forecaster_orders_quantiles_and_covers(spark):
     rows = [("a" if i % 2 else "b", i, float((i * 37) % 23), float(i % 7)) for i in range(600)]
     df = spark.createDataFrame(rows, "k string, t int, y double, x double")
