@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,11 +48,17 @@ class KeyedTable:
             return self.spark.createDataFrame([], kind)
         return self.spark.read.schema(kind).parquet(f"{self.path}/manifest/{commit['name']}")
 
+    def _live(self, commit: dict) -> set[str]:
+        """The commits that still hold a partition: no more than partitions."""
+        return {r[0] for r in self._manifest(commit).select(COMMIT).distinct().collect()}
+
     def _rows(self, commit: dict) -> DataFrame:
-        if not commit:
+        # Folders that only earlier commits need are not even listed.
+        live = sorted(self._live(commit)) if commit else []
+        if not live:
             return self.spark.createDataFrame([], self.schema)
         stored = T.StructType([*self.schema.fields, T.StructField(COMMIT, T.StringType())])
-        rows = self.spark.read.schema(stored).parquet(f"{self.path}/data")
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.path}/data").parquet(*[f"{self.path}/data/{COMMIT}={name}" for name in live])
         at = self._manifest(commit).select(F.col(self.partition).alias("__p"), F.col(COMMIT).alias("__c"))
         here = rows.join(at, (F.col(COMMIT) == F.col("__c")) & F.col(self.partition).eqNullSafe(F.col("__p")), "left_semi")
         return here.select(*self.schema.fieldNames())
@@ -62,10 +68,21 @@ class KeyedTable:
         return self._rows(self.last()[1])
 
     def _newest(self, rows: DataFrame) -> DataFrame:
-        whole = F.struct(*[F.col(c) for c in self.schema.fieldNames()])
-        order = F.struct(*[F.col(c) for c in self.version], F.xxhash64(F.to_json(whole)))
+        # Nulls count as values; nested ones are hashed as text, which keeps their places.
+        nested = (T.StructType, T.ArrayType)
+        parts = [F.to_json(F.struct(f.name)) if isinstance(f.dataType, nested) else F.col(f.name) for f in self.schema.fields]
+        tie = F.xxhash64(*parts, *[F.col(f.name).isNull() for f in self.schema.fields])
         by = list(dict.fromkeys([self.partition, *self.keys]))
-        return rows.groupBy(*by).agg(F.max_by(whole, order).alias("__r")).select("__r.*")
+        order = Window.partitionBy(*by).orderBy(*[F.col(c).desc_nulls_last() for c in self.version], tie.desc())
+        return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+
+    def _touched(self, new: DataFrame, commit: dict) -> DataFrame:
+        """The partitions for which ``new`` has rows that do not stand there yet."""
+        if not commit:
+            return new.select(self.partition).distinct()
+        named = new.select(F.col(self.partition).alias("__t")).distinct()
+        there = self._rows(commit).join(named, F.col(self.partition).eqNullSafe(F.col("__t")), "left_semi")
+        return new.subtract(there).select(self.partition).distinct()
 
     def merge(self, batch: DataFrame, batch_id: int | None = None, stream: str = "") -> bool:
         """Merges a batch; False if the ledger has it already."""
@@ -74,17 +91,19 @@ class KeyedTable:
             return False
         name = f"{number + 1:012d}-{uuid.uuid4().hex}"
         new = batch.select(*self.schema.fieldNames())
-        named = new.select(F.col(self.partition).alias("__t")).distinct()
-        there = self._rows(commit).join(named, F.col(self.partition).eqNullSafe(F.col("__t")), "left_semi")
-        touched = new.subtract(there).select(self.partition).distinct()
-        p = touched.select(F.col(self.partition).alias("__t"))
+        # Which partitions change is found once and written: the rows and the rest of the manifest follow it.
+        changed = f"{self.path}/manifest/{name}"
+        self._touched(new, commit).withColumn(COMMIT, F.lit(name)).coalesce(1).write.parquet(changed)
+        p = self._manifest({"name": name}).select(F.col(self.partition).alias("__t"))
         same = F.col(self.partition).eqNullSafe(F.col("__t"))
-        old = self._rows(commit).join(p, same, "left_semi")
-        merged = self._newest(new.join(p, same, "left_semi").unionByName(old))
-        # A partition goes to one task; adaptive execution splits large ones.
-        merged.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.path}/data/{COMMIT}={name}")
-        stays = self._manifest(commit).join(p, same, "left_anti")
-        stays.unionByName(touched.withColumn(COMMIT, F.lit(name))).coalesce(1).write.parquet(f"{self.path}/manifest/{name}")
+        if not p.isEmpty():
+            merged = new.join(p, same, "left_semi")
+            if commit:
+                merged = merged.unionByName(self._rows(commit).join(p, same, "left_semi"))
+            # A partition goes to one task; adaptive execution splits large ones.
+            self._newest(merged).hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.path}/data/{COMMIT}={name}")
+        if commit:
+            self._manifest(commit).join(p, same, "left_anti").coalesce(1).write.mode("append").parquet(changed)
         streams = commit.get("streams", {}) | ({stream: batch_id} if batch_id is not None else {})
         self.publish(number + 1, {"name": name, "streams": streams})
         return True
@@ -97,8 +116,7 @@ class KeyedTable:
         number, commit = self.last()
         if not commit:
             return []
-        # As many names as commits that still hold a partition.
-        live = {r[0] for r in self._manifest(commit).select(COMMIT).distinct().collect()} | {commit["name"]}
+        live = self._live(commit) | {commit["name"]}
         gone = []
         for folder, prefix in (("data", f"{COMMIT}="), ("manifest", "")):
             for n in files.names(self.spark, f"{self.path}/{folder}"):
