@@ -166,14 +166,17 @@ SELECT product_id, store_id, {TS()} AS hour_timestamp, sales_quantity,
   {_rolling_sql()} FROM filled""",
 )
 
-#: Files that the events arrive in, one a batch; each holds rows of every day.
+#: Batches that the events arrive in; each holds rows of every day.
 ARRIVALS = 4
+#: Rows of one file: a larger batch is several files, which as many tasks read.
+FILE_ROWS = 250_000
 
 
 def _arriving(s, d, base):
     rows = s.read.parquet(f"{d}/events.parquet").withColumn("day", F.to_date("ts").cast("string"))
-    rows.repartition(ARRIVALS).write.parquet(f"{base}/in")
-    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    files = max(1, -(-rows.count() // (ARRIVALS * FILE_ROWS)))
+    rows.repartition(ARRIVALS * files).write.parquet(f"{base}/in")
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
 
 
 def _events_table(s, rows, base):

@@ -144,3 +144,21 @@ def test_ledger_holds_every_batch_over_restarts(spark, tmp_path):
     r = incremental_stats(ledger, "d").first()
     assert (r.batches, r.rows) == (150, sum(i % 7 for i in range(150)))
     assert incremental_stats(ledger, "other").count() == 0
+
+
+def test_a_large_batch_is_several_files_and_the_batches_stay_four(spark, monkeypatch):
+    from shelfloom.plans import q_io
+
+    monkeypatch.setattr(q_io, "FILE_ROWS", 100, raising=False)
+    got = q_io._stats(spark, "/root/testdata/sf0.001").first()
+    read = [f for f in spark.sparkContext._jvm.java.io.File(got_folder(spark)).list() if f.endswith(".parquet")]
+    assert (got.batches, got.rows) == (4, spark.read.parquet("/root/testdata/sf0.001/events.parquet").count())
+    assert len(read) > 4
+
+
+def got_folder(spark):
+    """Where the newest arrivals of incremental_stats were written."""
+    from pathlib import Path
+
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return str(max(base.glob("stats-*/in"), key=lambda p: p.stat().st_mtime))
