@@ -48,9 +48,9 @@ class Trees:
 
     def node(self, feature: np.ndarray, last: np.ndarray, bins: np.ndarray, depth: int) -> np.ndarray:
         """The node of each row at ``depth`` of one tree, numbered as in a heap."""
-        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        at, flat, row = np.zeros(len(bins), np.int64), bins.reshape(-1), np.arange(len(bins)) * bins.shape[1]
         for _ in range(depth):
-            at = 2 * at + 1 + (bins[rows, feature[at]] > last[at])
+            at = 2 * at + 1 + (flat[row + feature[at]] > last[at])
         return at
 
     def steps(self, bins: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
@@ -99,8 +99,10 @@ def _grown(table: DataFrame, trees: Trees, feature: np.ndarray, last: np.ndarray
 
 def _arrays(b: pa.RecordBatch, n_features: int, n_levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     y = b.column(0).to_numpy(zero_copy_only=False)
-    bins = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, n_features)
-    return y, bins, b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_levels)
+    # All values are as long as there are features: the column's own bytes serve, without an object a row.
+    fixed = b.column(1).cast(pa.binary(n_features))
+    bins = np.frombuffer(fixed.buffers()[1], np.uint8, len(fixed) * n_features, fixed.offset * n_features) if len(fixed) else np.empty(0, np.uint8)
+    return y, bins.reshape(-1, n_features), b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, n_levels)
 
 
 def best_split(g: np.ndarray, n: np.ndarray, least: int) -> tuple[int, int]:

@@ -80,3 +80,37 @@ def test_odd_tables(spark):
     got = ml.quantile_train(rows, SPEC, ["x"], "k", max_iter=2, depth=2, least=1).predict(rows.withColumn("k", F.coalesce("k", F.lit("new")))).collect()
     assert len(got) == 4 and all(0 <= r.forecast_q05 <= r.forecast_q95 for r in got)
     assert [r.rise for r in ml.permutation_importance(model, none, ["x"], "y", ["k"]).collect()] == [None]
+
+
+def test_batches_are_read_without_an_object_for_each_row():
+    import pyarrow as pa
+
+    from shelfloom.operators import quantile_trees
+
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 32, (50, 3)).astype(np.uint8)
+
+    class Column:
+        """Stands for the bytes; turns to Python objects only on pain of failure."""
+
+        def __init__(self, column):
+            self.column = column
+
+        def __getattr__(self, name):
+            assert name != "to_pylist", "one object for each row"
+            return getattr(self.column, name)
+
+        def __len__(self):
+            return len(self.column)
+
+    class Batch:
+        def __init__(self, batch):
+            self.batch = batch
+
+        def column(self, i):
+            return Column(self.batch.column(i)) if i == 1 else self.batch.column(i)
+
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(50.0)), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([[1.0, 2.0]] * 50)], names=["y", "bins", "start"])
+    for lo, n in ((0, 50), (7, 20), (3, 0)):
+        y, bins, start = quantile_trees._arrays(Batch(whole.slice(lo, n)), 3, 2)
+        assert (y == np.arange(50.0)[lo : lo + n]).all() and (bins == rows[lo : lo + n]).all() and start.shape == (n, 2)
