@@ -114,3 +114,68 @@ def test_batches_are_read_without_an_object_for_each_row():
     for lo, n in ((0, 50), (7, 20), (3, 0)):
         y, bins, start = quantile_trees._arrays(Batch(whole.slice(lo, n)), 3, 2)
         assert (y == np.arange(50.0)[lo : lo + n]).all() and (bins == rows[lo : lo + n]).all() and start.shape == (n, 2)
+
+
+def test_passes_read_cells_not_rows(spark, wide, monkeypatch):
+    from shelfloom.operators import quantile_trees
+
+    seen, grown = [], quantile_trees._grown
+    monkeypatch.setattr(quantile_trees, "_grown", lambda table, *a: (seen.append((table.count(), table.agg(F.sum("n")).first()[0])), grown(table, *a))[1])
+    ml.quantile_train(wide.withColumn("few", F.col("id") % 3).coalesce(1), SPEC, ["few"], "k", max_iter=1, depth=1)
+    # 5 segments, 3 values; all of the older rows are in cells
+    assert seen == [(seen[0][0], wide.where("t < 750").count())] and seen[0][0] <= 15 * (18_000 // 15 // quantile_trees.PIECE + 1)
+
+
+def test_cells_hold_each_row_once():
+    from shelfloom.operators import quantile_trees
+
+    rng = np.random.default_rng(5)
+    newer, segment, y, bins = rng.integers(0, 2, 3000) * 1.0, rng.integers(-1, 3, 3000) * 1.0, rng.normal(size=3000), rng.integers(0, 2, (3000, 2)).astype(np.uint8)
+    packed = quantile_trees._packed(newer, segment, y, bins)
+    assert max(packed["n"].to_pylist()) <= quantile_trees.PIECE and packed.num_rows < 60
+    got = [(r["__newer"], r["__number"], *r["bins"], x) for r in packed.to_pylist() for x in np.frombuffer(r["y"])]
+    assert sorted(got) == sorted(zip(newer > 0, segment, *bins.T, y, strict=True))
+
+
+def test_thinned_leaves_keep_their_quantiles(spark, wide, monkeypatch):
+    from shelfloom.operators import quantile_trees
+
+    whole = ml.quantile_train(wide, SPEC, ["x", "noise"], "k", max_iter=1, depth=1).trees.rounds[0]
+    monkeypatch.setattr(quantile_trees, "KEPT", 500)
+    monkeypatch.setattr(quantile_trees, "CHUNK", 4000)
+    thinned = ml.quantile_train(wide, SPEC, ["x", "noise"], "k", max_iter=1, depth=1).trees.rounds[0]
+    assert (whole[0] == thinned[0]).all() and (whole[1] == thinned[1]).all()
+    # a leaf's rows spread over up to 60
+    assert abs(whole[2] - thinned[2]).max() < 0.3 and (whole[2] != thinned[2]).any()
+
+
+def test_importance_by_exchange_equals_a_window(spark, wide, monkeypatch):
+    from pyspark.sql import Window
+
+    from shelfloom.operators import quantile_trees
+
+    rows = wide.withColumn("y", F.when(F.col("id") % 7 > 0, F.col("y")))
+    model = ml.quantile_train(rows, SPEC, ["x", "noise"], "k", max_iter=3)
+    monkeypatch.setattr(ml, "BUCKET_ROWS", 1000)
+    monkeypatch.setattr(quantile_trees, "CHUNK", 3000)
+    got = {r.feature: r.rise for r in ml.permutation_importance(model, rows, ["x", "noise"], "y", ["id"]).collect()}
+    slot = Window.partitionBy(F.pmod(F.xxhash64("id"), F.lit(24))).orderBy(F.xxhash64("id", F.lit(1)))
+    error = lambda t: model.predict(t).agg(F.avg(F.abs(F.col("y") - F.col("forecast_q50")))).first()[0]
+    for c in ("x", "noise"):
+        other = F.coalesce(F.lead(c).over(slot), F.first(c).over(slot))
+        assert got[c] == pytest.approx(error(rows.withColumn(c, other)) - error(rows), abs=1e-9)
+
+
+def test_importances_are_those_of_all_rows_from_few_cells(spark, wide, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = wide.select("y", F.floor(F.col("x") * 10).alias("tenth"), (F.floor(F.col("noise") * 4)).alias("quarter"), F.when(F.col("u") > 0.99, F.col("u")).otherwise(0.0).alias("rare"), F.lit(1).alias("same"))
+    names, sizes, fit = ["tenth", "quarter", "rare"], [], GBTRegressor.fit
+    plain = fit(GBTRegressor(labelCol="y", maxIter=10, maxDepth=4, seed=7), VectorAssembler(inputCols=names[:2], outputCol="features").transform(rows)).featureImportances.toArray()
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df: (sizes.append(df.count()), fit(self, df))[1])
+    got = {r.feature: r.importance for r in ml.select_by_importance(rows, [*names[:2], "same"], "y", 0.0).collect()}
+    assert sizes == [40] and got == pytest.approx(dict(zip(names, plain / plain.max())), abs=1e-6)
+    # A value that most rows have is apart from the few others.
+    assert "rare" in {r.feature for r in ml.select_by_importance(rows, names, "y").collect()}
+    assert ml.select_by_importance(rows, ["same"], "y").collect() == []
